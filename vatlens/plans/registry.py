@@ -118,3 +118,282 @@ def _q_intra_extra_share_community(b):
     return views.intra_extra_share(cf, {
         "issued": ("issued_intra", "issued_extra"),
         "received": ("received_intra", "received_extra")})
+
+
+def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
+    """Round DOUBLE columns: sums of doubles depend on summation order in the last bits."""
+    from pyspark.sql import functions as F
+    return df.select([F.round(F.col(f.name), digits).alias(f.name)
+                      if f.dataType.simpleString() == "double" else F.col(f.name)
+                      for f in df.schema.fields])
+
+
+# ------------------------------------------------------- 2.1 ownership/opacity
+from vatlens.operators import ownership as own_ops  # noqa: E402
+
+
+def _avg(b):
+    return own_ops.own_avg_share(own_ops.own_clean(b.ownership))
+
+
+def _opacity(b):
+    return own_ops.opacity_propagate(_avg(b), b.opacity_seed, max_iter=10)
+
+
+@query("own_profile")
+def _q_own_profile(b):
+    return own_ops.own_profile(b.ownership)
+
+
+@query("own_company_totals")
+def _q_own_company_totals(b):
+    return own_ops.company_totals(own_ops.own_clean(b.ownership))
+
+
+@query("own_clean")
+def _q_own_clean(b):
+    return own_ops.own_clean(b.ownership)
+
+
+@query("own_avg_share")
+def _q_own_avg_share(b):
+    return _avg(b)
+
+
+@query("own_weight")
+def _q_own_weight(b):
+    return own_ops.own_weight(_avg(b))
+
+
+@query("opacity_level0")
+def _q_opacity_level0(b):
+    return rounded(own_ops.opacity_level0(_avg(b), b.opacity_seed))
+
+
+@query("opacity_propagate")
+def _q_opacity_propagate(b):
+    return rounded(_opacity(b)[0].select("company", "value"))
+
+
+@query("opacity_first_iter")
+def _q_opacity_first_iter(b):
+    return _opacity(b)[0].select("company", "iteration")
+
+
+@query("opacity_filled_mesh")
+def _q_opacity_filled_mesh(b):
+    return rounded(_opacity(b)[1])
+
+
+@query("opacity_summary")
+def _q_opacity_summary(b):
+    return rounded(own_ops.opacity_summary(_opacity(b)[0]), 6)
+
+
+@query("opacity_quartiles")
+def _q_opacity_quartiles(b):
+    return rounded(own_ops.opacity_quartiles(_opacity(b)[0]), 6)
+
+
+# ------------------------------------------------------------- 2.2 kinship
+from vatlens.operators import kinship as kin_ops  # noqa: E402
+
+
+def _expanded(b):
+    return kin_ops.owners_expand(own_ops.own_clean(b.ownership), rounds=9)
+
+
+def _leaves(b):
+    return kin_ops.owners_natural(_expanded(b), b.opacity_seed)
+
+
+def _eligible(b, leaves=None):
+    leaves = leaves if leaves is not None else _leaves(b)
+    return kin_ops.owners_eligible(leaves, kin_ops.owners_completeness(leaves), cap=10000)
+
+
+@query("owners_expand")
+def _q_owners_expand(b):
+    return _expanded(b)
+
+
+@query("owners_natural")
+def _q_owners_natural(b):
+    return _leaves(b)
+
+
+@query("companies_per_person")
+def _q_companies_per_person(b):
+    return kin_ops.companies_per_person(_leaves(b))
+
+
+@query("owners_completeness")
+def _q_owners_completeness(b):
+    return kin_ops.owners_completeness(_leaves(b))
+
+
+@query("owners_eligible")
+def _q_owners_eligible(b):
+    return _eligible(b)
+
+
+@query("partner_pairs")
+def _q_partner_pairs(b):
+    return kin_ops.partner_pairs(_eligible(b))
+
+
+@query("kin_edges")
+def _q_kin_edges(b):
+    return kin_ops.kin_edges(b.kinship)
+
+
+@query("kin_type_counts")
+def _q_kin_type_counts(b):
+    return kin_ops.kin_type_counts(b.kinship)
+
+
+@query("kin_matches")
+def _q_kin_matches(b):
+    return kin_ops.kin_matches(_eligible(b), kin_ops.kin_edges(b.kinship))
+
+
+def _kinship_rate(b):
+    leaves = _leaves(b)
+    comp = kin_ops.owners_completeness(leaves)
+    matches = kin_ops.kin_matches(kin_ops.owners_eligible(leaves, comp, cap=10000),
+                                  kin_ops.kin_edges(b.kinship))
+    return kin_ops.kinship_rate(comp, matches)
+
+
+@query("kinship_rate")
+def _q_kinship_rate(b):
+    return rounded(_kinship_rate(b))
+
+
+@query("group_coverage")
+def _q_group_coverage(b):
+    return kin_ops.group_coverage(b.groups, own_ops.own_clean(b.ownership))
+
+
+# ------------------------------------------------------- 2.3 contamination
+from vatlens.operators import contamination as con_ops  # noqa: E402
+
+
+def _scores(b):
+    edges = con_ops.edge_strength(b.strength)
+    init = con_ops.contam_init(con_ops.trade_nodes(edges), con_ops.alert_seeds(b.alerts))
+    return con_ops.contam_propagate(edges, init, rounds=15)
+
+
+@query("alert_seeds")
+def _q_alert_seeds(b):
+    return con_ops.alert_seeds(b.alerts)
+
+
+@query("alert_profile")
+def _q_alert_profile(b):
+    return con_ops.alert_profile(b.alerts)
+
+
+@query("alert_descriptions")
+def _q_alert_descriptions(b):
+    return con_ops.alert_descriptions(b.alerts)
+
+
+@query("edge_strength")
+def _q_edge_strength(b):
+    return rounded(con_ops.edge_strength(b.strength))
+
+
+@query("trade_nodes")
+def _q_trade_nodes(b):
+    return con_ops.trade_nodes(con_ops.edge_strength(b.strength))
+
+
+@query("contam_init")
+def _q_contam_init(b):
+    edges = con_ops.edge_strength(b.strength)
+    return con_ops.contam_init(con_ops.trade_nodes(edges), con_ops.alert_seeds(b.alerts))
+
+
+@query("contam_propagate")
+def _q_contam_propagate(b):
+    return rounded(_scores(b))
+
+
+# ------------------------------------------------------- 2.4 / 2.5 labels
+from vatlens.operators import labels as lab_ops  # noqa: E402
+
+SINCE = "2000-06-01"
+TODAY = "2001-12-31"
+
+
+@query("paid_total")
+def _q_paid_total(b):
+    return lab_ops.paid_total(b.declarations, SINCE)
+
+
+@query("vat_net")
+def _q_vat_net(b):
+    return lab_ops.vat_net(b.invoices, SINCE)
+
+
+@query("latest_region")
+def _q_latest_region(b):
+    return lab_ops.latest_region(b.businesses, b.units)
+
+
+@query("docs_issued")
+def _q_docs_issued(b):
+    return lab_ops.docs_issued(b.invoices)
+
+
+@query("lifetime_days")
+def _q_lifetime_days(b):
+    return lab_ops.lifetime_days(b.taxpayers, TODAY)
+
+
+@query("initial_alert_flag")
+def _q_initial_alert_flag(b):
+    nodes = con_ops.trade_nodes(con_ops.edge_strength(b.strength))
+    return lab_ops.initial_alert_flag(nodes, con_ops.alert_seeds(b.alerts))
+
+
+def _labels(b):
+    return lab_ops.contam_labels(_scores(b), con_ops.alert_seeds(b.alerts), b.declarations,
+                                 b.invoices, b.businesses, b.units, b.taxpayers, SINCE, TODAY)
+
+
+@query("contam_labels")
+def _q_contam_labels(b):
+    return rounded(_labels(b))
+
+
+@query("payroll_period")
+def _q_payroll_period(b):
+    return lab_ops.payroll_period(b.payroll, list(b.PAYROLL_AMOUNTS))
+
+
+@query("payroll_latest")
+def _q_payroll_latest(b):
+    return lab_ops.payroll_latest(lab_ops.payroll_period(b.payroll, list(b.PAYROLL_AMOUNTS)))
+
+
+@query("fee_workers")
+def _q_fee_workers(b):
+    return lab_ops.fee_workers(b.fees)
+
+
+@query("fee_latest")
+def _q_fee_latest(b):
+    return lab_ops.fee_latest(lab_ops.fee_workers(b.fees))
+
+
+def _workers(b):
+    pl = lab_ops.payroll_latest(lab_ops.payroll_period(b.payroll, list(b.PAYROLL_AMOUNTS)))
+    return lab_ops.workers_last(lab_ops.fee_latest(lab_ops.fee_workers(b.fees)), pl)
+
+
+@query("workers_last")
+def _q_workers_last(b):
+    return _workers(b)

@@ -188,3 +188,234 @@ ORACLE["intra_extra_share_community"] = with_inputs(
         "issued": ("issued_intra", "issued_extra"),
         "received": ("received_intra", "received_extra")}) + " FROM cflow",
     [TAGGED, COMMUNITY_FLOW])
+
+
+def r(x: str, d: int = 9) -> str:
+    return f"round({x}, {d})"
+
+
+def chain(prefix: str, first: int, last: int, make) -> list[tuple[str, str]]:
+    """CTEs ``prefix{i}`` for i in first..last, each built by ``make(i)``."""
+    return [(f"{prefix}{i}", make(i)) for i in range(first, last + 1)]
+
+
+# ------------------------------------------------------- 2.1 ownership/opacity
+OCLEAN = ("oclean", "SELECT DISTINCT company, partner, capital, profit FROM ownership WHERE capital <> 0")
+OAVG = ("oavg", "SELECT company, partner, avg(capital) AS capital, avg(profit) AS profit FROM oclean GROUP BY company, partner")
+
+_G1 = "(SELECT company, partner, capital, profit, count(*) AS c FROM ownership GROUP BY company, partner, capital, profit)"
+ORACLE["own_profile"] = with_inputs(["ownership"], f"""
+SELECT count(*) AS rows,
+  count(*) FILTER (WHERE capital IS NULL OR profit IS NULL) AS null_shares,
+  count(*) FILTER (WHERE capital = 0 OR profit = 0) AS zero_either,
+  count(*) FILTER (WHERE capital = 0 AND profit = 0) AS zero_both,
+  count(*) FILTER (WHERE capital = 0 AND profit <> 0) AS zero_capital_only,
+  count(*) FILTER (WHERE capital <> 0 AND profit = 0) AS zero_profit_only,
+  count(*) FILTER (WHERE capital < 0 OR capital > 100 OR profit < 0 OR profit > 100) AS out_of_range,
+  count(*) FILTER (WHERE capital <> 0) AS nonzero_capital,
+  (SELECT count(*) FROM {_G1} g WHERE c > 1) AS duplicated_rows,
+  (SELECT CAST(COALESCE(sum(c - 1), 0) AS BIGINT) FROM {_G1} g) AS surplus_copies,
+  (SELECT count(*) FROM (SELECT company, partner, count(*) AS c FROM ownership GROUP BY company, partner) p
+   WHERE c > 1) AS repeated_pairs
+FROM ownership""")
+
+ORACLE["own_company_totals"] = with_inputs(
+    ["ownership"], "SELECT company, sum(capital) AS capital, sum(profit) AS profit FROM oclean GROUP BY company",
+    [OCLEAN])
+ORACLE["own_clean"] = with_inputs(["ownership"], "SELECT * FROM oclean", [OCLEAN])
+ORACLE["own_avg_share"] = with_inputs(
+    ["ownership"], f"SELECT company, partner, {r('capital')} AS capital, {r('profit')} AS profit FROM oavg",
+    [OCLEAN, OAVG])
+ORACLE["own_weight"] = with_inputs(
+    ["ownership"], f"SELECT company, {r('sum(capital)')} AS total_capital, {r('sum(profit)')} AS total_profit "
+    "FROM oavg GROUP BY company", [OCLEAN, OAVG])
+
+SEEDED = ("seeded", "SELECT a.company, a.partner, a.capital, s.value FROM oavg a "
+          "LEFT JOIN opacity_seed s ON a.partner = s.id")
+
+
+def _resolve_sql(src: str) -> str:
+    return (f"SELECT company, sum(capital * value * 0.01) / NULLIF(sum(capital), 0) * 100 AS value "
+            f"FROM {src} GROUP BY company HAVING count(*) = count(value)")
+
+
+def _fill_sql(i: int) -> str:
+    return (f"SELECT s.company, s.partner, s.capital, COALESCE(s.value, q.value) AS value "
+            f"FROM seeded s LEFT JOIN res{i - 1} q ON s.partner = q.company")
+
+
+OPACITY_CTES = [OCLEAN, OAVG, SEEDED, ("res0", _resolve_sql("seeded"))]
+for _i in range(1, 10):
+    OPACITY_CTES += [(f"fill{_i}", _fill_sql(_i)), (f"res{_i}", _resolve_sql(f"fill{_i}"))]
+OPACITY_IN = ["ownership", "opacity_seed"]
+
+ORACLE["opacity_level0"] = with_inputs(
+    OPACITY_IN, f"SELECT company, {r('value')} AS value FROM res0", OPACITY_CTES[:4])
+ORACLE["opacity_propagate"] = with_inputs(
+    OPACITY_IN, f"SELECT company, {r('value')} AS value FROM res9", OPACITY_CTES)
+ORACLE["opacity_first_iter"] = with_inputs(
+    OPACITY_IN, "SELECT company, CASE "
+    + " ".join(f"WHEN company IN (SELECT company FROM res{i}) THEN {i}" for i in range(9))
+    + " ELSE 9 END AS iteration FROM res9", OPACITY_CTES)
+ORACLE["opacity_filled_mesh"] = with_inputs(
+    OPACITY_IN, f"SELECT company, partner, {r('capital')} AS capital, {r('value')} AS value FROM fill9",
+    OPACITY_CTES)
+ORACLE["opacity_summary"] = with_inputs(
+    OPACITY_IN, f"SELECT count(value) AS count, {r('avg(value)', 6)} AS mean, {r('stddev_samp(value)', 6)} AS std, "
+    f"{r('min(value)', 6)} AS min, {r('max(value)', 6)} AS max FROM res9", OPACITY_CTES)
+
+# ------------------------------------------------------------- 2.2 kinship
+KIN_CTES = [OCLEAN, ("bag0", "SELECT company, partner AS owner FROM oclean"),
+            ("aux", "SELECT company AS c2, partner AS p2 FROM oclean")]
+KIN_CTES += chain("bag", 1, 9, lambda i: f"SELECT b.company, COALESCE(a.p2, b.owner) AS owner "
+                                         f"FROM bag{i - 1} b LEFT JOIN aux a ON b.owner = a.c2")
+KIN_CTES += [
+    ("socios", "SELECT b.company, b.owner, s.id AS natural_id FROM bag9 b LEFT JOIN opacity_seed s ON b.owner = s.id"),
+    ("ktotal", "SELECT company, count(*) AS total FROM socios GROUP BY company"),
+    ("knonnull", "SELECT company, count(*) AS matched FROM socios WHERE natural_id IS NOT NULL GROUP BY company"),
+    ("kfinal", "SELECT t.company, t.total, n.matched FROM ktotal t LEFT JOIN knonnull n ON t.company = n.company"),
+    ("elig", "SELECT s.company, s.natural_id AS owner FROM socios s LEFT JOIN kfinal f ON s.company = f.company "
+             "WHERE f.total = f.matched AND f.total <= 10000"),
+    ("kedges", "SELECT DISTINCT id, relative FROM (SELECT id, relative FROM (SELECT DISTINCT id, relative FROM "
+               "kinship WHERE id <> relative) k UNION ALL SELECT relative, id FROM (SELECT DISTINCT id, relative "
+               "FROM kinship WHERE id <> relative) k2) u"),
+    ("kmatch", "SELECT DISTINCT t1.company, t1.owner, t2.owner AS relative FROM elig t1 JOIN elig t2 "
+               "ON t1.company = t2.company AND t1.owner <> t2.owner "
+               "JOIN kedges e ON e.id = t1.owner AND e.relative = t2.owner"),
+]
+KIN_IN = ["ownership", "opacity_seed", "kinship"]
+
+ORACLE["owners_expand"] = with_inputs(
+    ["ownership"], "SELECT company, owner, count(*) AS paths FROM bag9 GROUP BY company, owner", KIN_CTES[:12])
+ORACLE["owners_natural"] = with_inputs(
+    KIN_IN, "SELECT company, owner, count(*) AS paths, natural_id FROM socios GROUP BY company, owner, natural_id",
+    KIN_CTES)
+ORACLE["companies_per_person"] = with_inputs(
+    KIN_IN, "SELECT natural_id AS person, count(company) AS n_companies FROM socios WHERE natural_id IS NOT NULL "
+    "GROUP BY natural_id", KIN_CTES)
+ORACLE["owners_completeness"] = with_inputs(KIN_IN, "SELECT company, total, matched FROM kfinal", KIN_CTES)
+ORACLE["owners_eligible"] = with_inputs(
+    KIN_IN, "SELECT company, owner, count(*) AS paths FROM elig GROUP BY company, owner", KIN_CTES)
+ORACLE["partner_pairs"] = with_inputs(
+    KIN_IN, "SELECT t1.company, count(*) AS n_pairs FROM elig t1 JOIN elig t2 ON t1.company = t2.company "
+    "WHERE t1.owner <> t2.owner GROUP BY t1.company", KIN_CTES)
+ORACLE["kin_edges"] = with_inputs(KIN_IN, "SELECT id, relative FROM kedges", KIN_CTES)
+ORACLE["kin_type_counts"] = with_inputs(
+    ["kinship"], "SELECT relation, count(*) AS n FROM kinship GROUP BY ROLLUP (relation)")
+ORACLE["kin_matches"] = with_inputs(KIN_IN, "SELECT company, owner, relative FROM kmatch", KIN_CTES)
+ORACLE["kinship_rate"] = with_inputs(
+    KIN_IN, "SELECT t.company, COALESCE(f.kin_owners, 0) AS kin_owners, t.total, "
+    + r(f"{div('COALESCE(f.kin_owners, 0)', 't.total')} * 100") + " AS kinship_rate FROM ktotal t LEFT JOIN "
+    "(SELECT company, count(DISTINCT owner) AS kin_owners FROM kmatch GROUP BY company) f ON t.company = f.company",
+    KIN_CTES)
+ORACLE["group_coverage"] = with_inputs(
+    ["ownership", "groups"], "SELECT count(*) AS matches FROM (SELECT DISTINCT id, grp FROM groups) g "
+    "JOIN oclean m ON g.id = m.company", [OCLEAN])
+
+# ------------------------------------------------------- 2.3 contamination
+SEED_WHERE = "code IN ('4110', '4111', '4112') OR code = '4113' AND deactivated IS NULL"
+SEEDS = ("seeds", f"SELECT DISTINCT id, 1 AS score FROM alerts WHERE {SEED_WHERE}")
+FZ = [
+    ("fz0", "SELECT * FROM strength WHERE fi > 0"),
+    ("fzagg", "SELECT receiver, exp(sum(ln(NULLIF(abs(1 - fi), 0)))) AS f0, sum(fi) AS sfi FROM fz0 GROUP BY receiver"),
+    ("fz1", "SELECT e.issuer, e.receiver, e.fi, COALESCE(a.f0, 0) AS f0, a.sfi FROM fz0 e "
+            "LEFT JOIN fzagg a ON e.receiver = a.receiver"),
+    ("fz", "SELECT issuer, receiver, fi, f0, CASE WHEN round((1 - f0) * fi, 4) = 0 THEN round((1 - f0) * fi, 4) "
+           "ELSE round((1 - f0) * fi, 4) / sfi END AS f FROM fz1"),
+    ("nodes", "SELECT issuer AS id FROM fz UNION SELECT receiver AS id FROM fz"),
+    SEEDS,
+    ("con0", "SELECT n.id, CAST(CASE WHEN s.score IS NOT NULL AND s.score > 0 THEN s.score ELSE 0 END AS DOUBLE) "
+             "AS score FROM nodes n LEFT JOIN seeds s ON n.id = s.id"),
+]
+
+
+def _con_round(i: int) -> str:
+    p = f"con{i - 1}"
+    return (f"SELECT c.id, CASE WHEN x.score1 > c.score AND x.score1 IS NOT NULL THEN x.score1 ELSE c.score END "
+            f"AS score FROM {p} c LEFT JOIN (SELECT a.receiver, sum(a.f * ci.score) + avg(a.f0 * COALESCE(cr.score, 0)) "
+            f"AS score1 FROM fz a LEFT JOIN {p} ci ON a.issuer = ci.id LEFT JOIN {p} cr ON a.receiver = cr.id "
+            f"GROUP BY a.receiver) x ON c.id = x.receiver")
+
+
+CON_CTES = FZ + chain("con", 1, 15, _con_round)
+CON_IN = ["strength", "alerts"]
+
+ORACLE["alert_seeds"] = with_inputs(["alerts"], "SELECT id, score FROM seeds", [SEEDS])
+ORACLE["alert_profile"] = with_inputs(
+    ["alerts"], f"SELECT id, count(*) AS n_alerts FROM alerts WHERE {SEED_WHERE} GROUP BY id")
+ORACLE["alert_descriptions"] = with_inputs(
+    ["alerts"], f"SELECT DISTINCT description FROM alerts WHERE {SEED_WHERE}")
+ORACLE["edge_strength"] = with_inputs(
+    CON_IN, f"SELECT issuer, receiver, {r('fi')} AS fi, {r('f0')} AS f0, {r('f')} AS f FROM fz", FZ[:4])
+ORACLE["trade_nodes"] = with_inputs(CON_IN, "SELECT id FROM nodes", FZ[:5])
+ORACLE["contam_init"] = with_inputs(CON_IN, "SELECT id, score FROM con0", FZ)
+ORACLE["contam_propagate"] = with_inputs(CON_IN, f"SELECT id, {r('score')} AS score FROM con15", CON_CTES)
+
+# ------------------------------------------------------- 2.4 / 2.5 labels
+SINCE = "TIMESTAMP '2000-06-01 00:00:00'"
+TODAY = "TIMESTAMP '2001-12-31 00:00:00'"
+PAID = ("paid", "SELECT id, sum(c_89) AS paid_total FROM declarations WHERE validity = 1 AND "
+        f"strptime(CAST(period AS VARCHAR) || '01', '%Y%m%d') >= {SINCE} GROUP BY id")
+VATNET = ("vnet", f"""
+SELECT COALESCE(e.issuer, q.receiver) AS id, COALESCE(e.vat_issued, 0) AS vat_issued,
+       COALESCE(q.vat_received, 0) AS vat_received,
+       COALESCE(q.vat_received, 0) - COALESCE(e.vat_issued, 0) AS vat_net
+FROM (SELECT issuer, sum(vat) AS vat_issued FROM inv GROUP BY issuer) e
+FULL OUTER JOIN (SELECT receiver, sum(vat) AS vat_received FROM inv GROUP BY receiver) q ON e.issuer = q.receiver""")
+INV = ("inv", "SELECT * FROM invoices WHERE doc_code IN ('33', '34') AND "
+       f"strptime(CAST(issue_date AS VARCHAR), '%Y%m%d') >= {SINCE}")
+REGION = ("lregion", "SELECT id, region, valid_from FROM (SELECT b.id, u.region, b.valid_from, row_number() OVER "
+          "(PARTITION BY b.id ORDER BY b.valid_from DESC, b.unit ASC) AS rn FROM businesses b "
+          "LEFT JOIN units u ON b.unit = u.unit) t WHERE rn = 1")
+DOCS = ("docs", "SELECT issuer AS id, count(*) AS n_documents FROM invoices WHERE doc_code IN ('33', '34') GROUP BY issuer")
+LIFE = ("life", f"SELECT id, CASE WHEN start_date IS NULL OR start_date > {TODAY} THEN NULL "
+        f"ELSE datediff('day', start_date, {TODAY}) END AS lifetime FROM taxpayers")
+
+ORACLE["paid_total"] = with_inputs(["declarations"], "SELECT id, CAST(paid_total AS DOUBLE) AS paid_total FROM paid", [PAID])
+ORACLE["vat_net"] = with_inputs(
+    ["invoices"], "SELECT id, " + _money(["vat_issued", "vat_received", "vat_net"]) + " FROM vnet", [INV, VATNET])
+ORACLE["latest_region"] = with_inputs(["businesses", "units"], "SELECT * FROM lregion", [REGION])
+ORACLE["docs_issued"] = with_inputs(["invoices"], "SELECT * FROM docs", [DOCS])
+ORACLE["lifetime_days"] = with_inputs(["taxpayers"], "SELECT * FROM life", [LIFE])
+ORACLE["initial_alert_flag"] = with_inputs(
+    CON_IN, "SELECT n.id, CASE WHEN s.id IS NULL THEN 0 ELSE 1 END AS initial_alert FROM nodes n "
+    "LEFT JOIN (SELECT DISTINCT id FROM seeds) s ON n.id = s.id", FZ[:6])
+ORACLE["contam_labels"] = with_inputs(
+    CON_IN + ["declarations", "invoices", "businesses", "units", "taxpayers"], f"""
+SELECT c.id, {r('c.score')} AS score, CAST(p.paid_total AS DOUBLE) AS paid_total, CAST(v.vat_net AS DOUBLE) AS vat_net,
+       g.region, d.n_documents, l.lifetime, CASE WHEN s.id IS NULL THEN 0 ELSE 1 END AS initial_alert
+FROM con15 c
+LEFT JOIN paid p ON c.id = p.id
+LEFT JOIN vnet v ON c.id = v.id
+LEFT JOIN lregion g ON c.id = g.id
+LEFT JOIN docs d ON c.id = d.id
+LEFT JOIN life l ON c.id = l.id
+LEFT JOIN (SELECT DISTINCT id FROM seeds) s ON c.id = s.id""", CON_CTES + [PAID, INV, VATNET, REGION, DOCS, LIFE])
+
+PAYROLL_AMOUNTS = (
+    "income_exempt_total", "income_net", "tax_withheld", "extra_withheld", "income_exempt",
+    "zone_rebate", "income_m01", "income_m02", "income_m03", "income_m04", "income_m05",
+    "income_m06", "income_m07", "income_m08", "income_m09", "income_m10", "income_m11",
+    "income_m12",
+)
+PP = ("pp", "SELECT id, dv, period, count(DISTINCT worker) AS dependent_workers, "
+      + ", ".join(f"sum({a}) AS {a}" for a in PAYROLL_AMOUNTS)
+      + " FROM payroll WHERE period IN (202000, 202100, 202200) GROUP BY id, dv, period")
+PL = ("pl", "SELECT id, dv, period, dependent_workers FROM (SELECT *, row_number() OVER "
+      "(PARTITION BY id, dv ORDER BY period DESC) AS rn FROM pp) t WHERE rn = 1")
+FW = ("fw", "SELECT id, period, count(DISTINCT worker) AS fee_workers, sum(withheld) AS fee_total FROM fees "
+      "WHERE period BETWEEN 202000 AND 202200 GROUP BY id, period")
+FL = ("fl", "SELECT id, period, fee_workers FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY period DESC) "
+      "AS rn FROM fw) t WHERE rn = 1")
+
+ORACLE["payroll_period"] = with_inputs(
+    ["payroll"], "SELECT id, dv, period, dependent_workers, " + _money(PAYROLL_AMOUNTS) + " FROM pp", [PP])
+ORACLE["payroll_latest"] = with_inputs(["payroll"], "SELECT * FROM pl", [PP, PL])
+ORACLE["fee_workers"] = with_inputs(
+    ["fees"], "SELECT id, period, fee_workers, CAST(fee_total AS DOUBLE) AS fee_total FROM fw", [FW])
+ORACLE["fee_latest"] = with_inputs(["fees"], "SELECT * FROM fl", [FW, FL])
+ORACLE["workers_last"] = with_inputs(
+    ["payroll", "fees"], "SELECT COALESCE(f.id, p.id) AS id, COALESCE(f.fee_workers, 0) AS fee_workers, "
+    "COALESCE(p.dependent_workers, 0) AS dependent_workers FROM fl f FULL OUTER JOIN "
+    "(SELECT id, max(dependent_workers) AS dependent_workers FROM pl GROUP BY id) p ON f.id = p.id",
+    [PP, PL, FW, FL])
