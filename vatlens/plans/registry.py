@@ -397,3 +397,223 @@ def _workers(b):
 @query("workers_last")
 def _q_workers_last(b):
     return _workers(b)
+
+
+# ------------------------------------------------------- 2.6 credit tracing
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from vatlens.operators import credit as cr  # noqa: E402
+from vatlens.operators import history as hist_ops  # noqa: E402
+from vatlens.session import ensure_checkpoint_dir  # noqa: E402
+
+P1, P2 = 200006, 200007
+PERIODS_TODAY, PERIODS_YEARS = "2001-01-15", 1
+
+
+def _decl1(b, period=P1):
+    cur = cr.decl_current(b.declarations, period)
+    return cr.decl_adjust_fm01(cur, cr.observations(b.observations, cr.OBS_FM01, period))
+
+
+def _edges(b, decl1=None, period=P1):
+    decl1 = decl1 if decl1 is not None else _decl1(b, period)
+    return cr.trade_edges_clamped(cr.trade_edges(cr.ledger_docs(b.ledger, period), decl1))
+
+
+def _trace(b, period=P1):
+    return cr.trace_period(b.declarations, b.observations, b.ledger, b.authorisations, b.alerts, period)
+
+
+def _scratch(b, name):
+    root = ensure_checkpoint_dir(b.spark)
+    return os.path.join(root, f"vatlens-{name}-{uuid.uuid4().hex}")
+
+
+def _two_periods(b):
+    hp, cp, sp = _scratch(b, "history"), _scratch(b, "carried"), _scratch(b, "snapshot")
+    out = hist_ops.run_periods(b.spark, b.declarations, b.observations, b.ledger, b.authorisations,
+                               b.alerts, [P1, P2], hp, cp, snapshot_path=sp)
+    return out, hp, cp
+
+
+@query("periods")
+def _q_periods(b):
+    wanted = cr.periods(b.spark, PERIODS_TODAY, PERIODS_YEARS)
+    return b.ledger.select("period").distinct().join(wanted, "period", "left_semi")
+
+
+@query("prior_period")
+def _q_prior_period(b):
+    from vatlens.functions.expr import prior_period
+    return b.declarations.select("period").distinct().select("period", prior_period("period").alias("prior"))
+
+
+@query("decl_latest")
+def _q_decl_latest(b):
+    return cr.decl_latest(b.declarations, P1)
+
+
+@query("decl_prior")
+def _q_decl_prior(b):
+    return cr.decl_prior(b.declarations, cr.prior_period_int(P1))
+
+
+@query("decl_current")
+def _q_decl_current(b):
+    return cr.decl_current(b.declarations, P1)
+
+
+@query("observations")
+def _q_observations(b):
+    return (cr.observations(b.observations, cr.OBS_FM01, P1).withColumn("code", F.lit("FM01"))
+            .unionByName(cr.observations(b.observations, cr.OBS_W08, P1).withColumn("code", F.lit("W08"))))
+
+
+@query("decl_adjust_fm01")
+def _q_decl_adjust_fm01(b):
+    return _decl1(b)
+
+
+@query("carry_in")
+def _q_carry_in(b):
+    d1 = _decl1(b)
+    return cr.carry_in(d1, cr.decl_prior(b.declarations, cr.prior_period_int(P1)), P1,
+                       cr.prior_period_int(P1), None)
+
+
+@query("ledger_docs")
+def _q_ledger_docs(b):
+    return cr.ledger_docs(b.ledger, P1).drop("doc_id", "doc_type")
+
+
+@query("trade_edges")
+def _q_trade_edges(b):
+    return cr.trade_edges(cr.ledger_docs(b.ledger, P1), _decl1(b))
+
+
+@query("trade_edges_clamped")
+def _q_trade_edges_clamped(b):
+    return _edges(b)
+
+
+@query("decl_or_ledger")
+def _q_decl_or_ledger(b):
+    d1 = _decl1(b)
+    return cr.decl_or_ledger(d1, _edges(b, d1))
+
+
+@query("nondeclaring_issuers")
+def _q_nondeclaring_issuers(b):
+    d1 = _decl1(b)
+    e = _edges(b, d1)
+    return cr.nondeclaring_issuers(e, cr.decl_or_ledger(d1, e))
+
+
+@query("doc30_issuers")
+def _q_doc30_issuers(b):
+    return cr.doc30_issuers(b.ledger, b.authorisations, P1)
+
+
+@query("alerted_issuers")
+def _q_alerted_issuers(b):
+    return cr.alerted_issuers(_edges(b), b.alerts)
+
+
+@query("special_credit")
+def _q_special_credit(b):
+    d1 = _decl1(b)
+    return cr.special_credit(cr.decl_or_ledger(d1, _edges(b, d1)), P1)
+
+
+@query("phantom_edges")
+def _q_phantom_edges(b):
+    return _trace(b).pedges
+
+
+@query("edge_level0")
+def _q_edge_level0(b):
+    return cr.edge_level0(_trace(b).pedges)
+
+
+@query("hop1_by_origin")
+def _q_hop1_by_origin(b):
+    return _trace(b).hop1
+
+
+@query("hop1_result")
+def _q_hop1_result(b):
+    return rounded(_trace(b).hops[0])
+
+
+@query("hop_next")
+def _q_hop_next(b):
+    h = _trace(b).hops
+    u = h[1]
+    for x in h[2:]:
+        u = u.unionByName(x)
+    return rounded(u)
+
+
+@query("hops_union")
+def _q_hops_union(b):
+    return rounded(_trace(b).union)
+
+
+@query("origin_summary")
+def _q_origin_summary(b):
+    return rounded(_trace(b).summary)
+
+
+@query("receivers")
+def _q_receivers(b):
+    return rounded(_trace(b).recv)
+
+
+@query("origin_pivot")
+def _q_origin_pivot(b):
+    return rounded(_trace(b).pivot)
+
+
+@query("hop_totals")
+def _q_hop_totals(b):
+    return rounded(_trace(b).totals)
+
+
+@query("history_upsert")
+def _q_history_upsert(b):
+    _, hp, _ = _two_periods(b)
+    return rounded(b.spark.read.parquet(hp).drop(*hist_ops.STAMP_COLS))
+
+
+@query("carried_history")
+def _q_carried_history(b):
+    _, _, cp = _two_periods(b)
+    return rounded(b.spark.read.parquet(cp))
+
+
+@query("period_extract")
+def _q_period_extract(b):
+    _, _, cp = _two_periods(b)
+    path = _scratch(b, "extract")
+    hist_ops.period_extract(b.spark.read.parquet(cp), P2, path)
+    return rounded(b.spark.read.parquet(cp).transform(lambda d: hist_ops.period_extract(d, P2)))
+
+
+@query("snapshot_backup")
+def _q_snapshot_backup(b):
+    out, _, _ = _two_periods(b)
+    return rounded(out["snapshots"][P2].drop(*hist_ops.STAMP_COLS))
+
+
+@query("table_profile")
+def _q_table_profile(b):
+    _, hp, _ = _two_periods(b)
+    return hist_ops.table_profile(b.spark.read.parquet(hp).drop(*hist_ops.STAMP_COLS))
+
+
+@query("export_csv")
+def _q_export_csv(b):
+    return hist_ops.export_csv_text(b.observations, _scratch(b, "export"))

@@ -419,3 +419,111 @@ ORACLE["workers_last"] = with_inputs(
     "COALESCE(p.dependent_workers, 0) AS dependent_workers FROM fl f FULL OUTER JOIN "
     "(SELECT id, max(dependent_workers) AS dependent_workers FROM pl GROUP BY id) p ON f.id = p.id",
     [PP, PL, FW, FL])
+
+# ------------------------------------------------------- 2.6 credit tracing
+from vatlens.sql import credit_sql as cs  # noqa: E402
+
+P1, P2 = 200006, 200007
+A = cs.period_ctes(P1, "a_")
+B = cs.period_ctes(P2, "b_", history="hist1")
+HIST1 = ("hist1", "SELECT period, receiver, total_cont_an, prop_total_cont_an FROM a_totals")
+AB = A + [HIST1] + B
+CIN = cs.CREDIT_INPUTS
+
+
+def _cr(body, ctes=A):
+    return with_inputs(CIN, body, ctes)
+
+
+ORACLE["periods"] = with_inputs(["ledger"], """
+SELECT DISTINCT period FROM ledger WHERE period IN (
+  SELECT CAST(strftime(e + to_months(CAST(i AS INTEGER)), '%Y%m') AS INTEGER)
+  FROM (SELECT date_trunc('month', s - INTERVAL 365 DAY) AS e, s
+        FROM (SELECT CAST(date_trunc('month', DATE '2001-01-15') AS DATE) AS s) q) b, range(1, 40) t(i)
+  WHERE e + to_months(CAST(i AS INTEGER)) < s)""")
+ORACLE["prior_period"] = with_inputs(["declarations"], """
+SELECT DISTINCT period, CASE WHEN period % 100 = 1 THEN (period // 100 - 1) * 100 + 12 ELSE period - 1 END AS prior
+FROM declarations""")
+ORACLE["decl_latest"] = _cr("SELECT * FROM a_latest")
+ORACLE["decl_prior"] = _cr("SELECT * FROM a_ant")
+ORACLE["decl_current"] = _cr("SELECT * FROM a_f29_0")
+ORACLE["observations"] = _cr("SELECT *, 'FM01' AS code FROM a_fm01 UNION ALL SELECT *, 'W08' AS code FROM a_w08")
+ORACLE["decl_adjust_fm01"] = _cr("SELECT * FROM a_f29_1")
+ORACLE["carry_in"] = _cr("SELECT * FROM a_carry")
+ORACLE["ledger_docs"] = _cr("SELECT period, issuer, receiver, iva_fact, iva_nc, es_fact AS is_fact, es_nc AS is_nc, "
+                            "monto_iva AS signed_vat FROM a_docs")
+ORACLE["trade_edges"] = _cr("SELECT * FROM a_res01")
+ORACLE["trade_edges_clamped"] = _cr("SELECT * FROM a_res0")
+ORACLE["decl_or_ledger"] = _cr("SELECT * FROM a_f29")
+ORACLE["nondeclaring_issuers"] = _cr("SELECT * FROM a_emi_sinf29")
+ORACLE["doc30_issuers"] = _cr("SELECT * FROM a_doc30")
+ORACLE["alerted_issuers"] = _cr("SELECT * FROM a_alerta")
+ORACLE["special_credit"] = _cr("SELECT * FROM a_ce")
+ORACLE["phantom_edges"] = _cr("SELECT * FROM a_res_docto")
+ORACLE["edge_level0"] = _cr("SELECT * FROM a_rel0")
+ORACLE["hop1_by_origin"] = _cr("SELECT * FROM a_arco1")
+
+
+def _rounded_cols(cols):
+    return ", ".join(f"round(CAST({c} AS DOUBLE), 9) AS {c}" if c in _DBL else c for c in cols)
+
+
+_RESULT = ["period", "receiver", "f29_fact_reci", "f29_nc_reci", "f29_neto_reci", "iva_fact_cdo", "iva_nc_cdo",
+           "iva_neto_cdo", "prop_fact_cdo", "prop_nc_cdo", "prop_neto_cdo", "hop", "c_537", "origin"]
+_DBL = set(_RESULT[2:11]) | {"c_537"}
+ORACLE["hop1_result"] = _cr(f"SELECT {_rounded_cols(_RESULT)} FROM a_res1")
+ORACLE["hop_next"] = _cr(" UNION ALL ".join(f"SELECT {_rounded_cols(_RESULT)} FROM a_res{k}" for k in range(2, 6)))
+ORACLE["hops_union"] = _cr(f"SELECT {_rounded_cols(_RESULT)} FROM a_resultado")
+
+_SUMMARY = (["period", "receiver", "origin", "f29_fact_reci", "f29_nc_reci", "f29_neto_reci", "c_537", "qty_arco"]
+            + [f"{m}_a{k}" for k in range(1, 6) for m in ("iva_neto_cdo", "prop_neto_cdo")]
+            + ["total_cont", "prop_total_cont"] + [f"origin_a{k}" for k in range(1, 6)])
+_DBL |= {c for c in _SUMMARY if c.startswith(("iva_", "prop_", "total_", "f29_"))}
+ORACLE["origin_summary"] = _cr(f"SELECT {_rounded_cols(_SUMMARY)} FROM a_resumen")
+ORACLE["receivers"] = _cr(f"SELECT {_rounded_cols(['period', 'receiver', 'f29_fact_reci', 'f29_nc_reci', 'f29_neto_reci', 'c_537'])} FROM a_receptores")
+
+_MEAS = ([f"iva_neto_cdo_a{k}" for k in range(1, 6)] + [f"prop_neto_cdo_a{k}" for k in range(1, 6)]
+         + ["total_cont", "prop_total_cont"])
+_PIVOT = ["period", "receiver", "f29_neto_reci"] + [f"{m}_{s}" for s in cs.PIVOT_ORDER for m in _MEAS] + ["c_537"]
+_TOTALS = (_PIVOT + [f"{m}_a{k}_an" for k in range(1, 6) for m in ("iva_neto_cdo", "prop_neto_cdo")]
+           + ["total_cont_an", "prop_total_cont_an"])
+_DBL |= {c for c in _TOTALS if c.startswith(("iva_", "prop_", "total_", "f29_"))}
+ORACLE["origin_pivot"] = _cr(f"SELECT {_rounded_cols(_PIVOT)} FROM a_pivot")
+ORACLE["hop_totals"] = _cr(f"SELECT {_rounded_cols(_TOTALS)} FROM a_totals")
+ORACLE["history_upsert"] = _cr(f"SELECT {_rounded_cols(_TOTALS)} FROM a_totals UNION ALL "
+                               f"SELECT {_rounded_cols(_TOTALS)} FROM b_totals", AB)
+ORACLE["snapshot_backup"] = _cr(f"SELECT {_rounded_cols(_TOTALS)} FROM a_totals")
+ORACLE["table_profile"] = _cr(
+    "SELECT period, count(*) AS rows_in_period, sum(count(*)) OVER () AS rows, "
+    f"{len(_TOTALS)} AS columns FROM (SELECT period FROM a_totals UNION ALL SELECT period FROM b_totals) h "
+    "GROUP BY period", AB)
+
+_CARRIED = ["period", "receiver", "f29_neto_reci", "period_ant", "f29_77_ant", "prop_total_cont_an_ant",
+            "carried_cont", "c_504"]
+for _s in cs.CARRIED_ORDER + ("an",):
+    for _k in range(1, 6):
+        _CARRIED += [f"iva_neto_cdo_a{_k}_{_s}", f"prop_neto_cdo_a{_k}_{_s}"]
+    _CARRIED += [f"total_cont_{_s}", f"prop_total_cont_{_s}"]
+_DBL |= {"f29_77_ant", "prop_total_cont_an_ant", "carried_cont", "c_504"}
+ORACLE["carried_history"] = _cr(f"SELECT {_rounded_cols(_CARRIED)} FROM a_carried UNION ALL "
+                                f"SELECT {_rounded_cols(_CARRIED)} FROM b_carried", AB)
+_EXTRACT = (["period", "receiver", "f29_neto_reci", "period_ant", "f29_77_ant", "prop_total_cont_an_ant",
+             "carried_cont", "c_504"] + [f"{m}_a{k}_rem" for k in range(1, 6) for m in ("iva_neto_cdo", "prop_neto_cdo")]
+            + ["total_cont_rem", "prop_total_cont_rem"])
+ORACLE["period_extract"] = _cr(f"SELECT {_rounded_cols(_EXTRACT)} FROM b_carried", AB)
+ORACLE["export_csv"] = with_inputs(
+    ["observations"], "SELECT id, period, code, CAST(amount AS DOUBLE) AS amount, "
+    "strftime(end_date, '%Y-%m-%d %H:%M:%S') AS end_date, status FROM observations")
+
+
+def final_oracle() -> dict[str, str]:
+    """Every twin with its DECIMAL outputs cast to DOUBLE (the Spark queries' report type)."""
+    from vatlens.sql.decimal_cols import DECIMAL_COLS
+    out = {}
+    for k, q in ORACLE.items():
+        cols = DECIMAL_COLS.get(k)
+        if cols:
+            rep = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+            q = f"SELECT * REPLACE ({rep}) FROM ({q}) q"
+        out[k] = q
+    return out
