@@ -164,7 +164,9 @@ def carry_in(decl1: DataFrame, prior: DataFrame, period: int, prior_period: int,
         F.col("total_cont_an").cast("double").alias("total_cont_an_ant"),
         F.col("_prop").cast("double").alias("prop_total_cont_an_ant"), "f29_77_ant", "c_504_orig",
         "c_504", "fm01",
-        F.round(F.col("_prop") * nz("c_504").cast("double"), 4).alias("carried_cont"))
+        # money: the product is exact in DECIMAL, so the 4-digit rounding cannot fall on a float tie
+        F.round(F.col("_prop").cast("decimal(20,10)") * nz("c_504"), 4).cast("double")
+        .alias("carried_cont"))
 
 
 # ------------------------------------------------------------ ledger -> edges

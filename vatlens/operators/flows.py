@@ -155,3 +155,26 @@ def extreme_regions(invoices_by_point: DataFrame, point_region: DataFrame,
     return g.withColumn("sells_extremes",
                         F.when((F.col("total_north") > 0) & (F.col("total_south") > 0), "si")
                         .otherwise("no"))
+
+
+T360_COLUMNS = (
+    "id", "is_company", "is_accountant", "is_natural", "is_rep", "contamination", "paid_total", "vat_net",
+    "region", "n_documents", "lifetime_days", "initial_alert", "opacity", "kin_owners", "natural_partners",
+    "kinship_rate", "initial_group", "community", "fee_workers", "dependent_workers", "networth",
+)
+
+
+def taxpayer_360(communities: DataFrame, labels: DataFrame, opacity: DataFrame, kinship: DataFrame,
+                 workers: DataFrame, worth: DataFrame) -> DataFrame:
+    """Community members left-joined with labels, opacity, kinship, workers and net worth
+    (one row per member; every right side is unique per taxpayer, so nothing fans out)."""
+    lab = labels.select("id", F.col("score").alias("contamination"), "paid_total", "vat_net", "region",
+                        "n_documents", F.col("lifetime").alias("lifetime_days"), "initial_alert")
+    op = opacity.select(F.col("company").alias("id"), F.col("value").alias("opacity"))
+    kin = kinship.select(F.col("company").alias("id"), "kin_owners", F.col("total").alias("natural_partners"),
+                         "kinship_rate")
+    wk = workers.select("id", "fee_workers", "dependent_workers")
+    nw = worth.select(F.col("company").alias("id"), "networth")
+    out = (communities.join(lab, "id", "left").join(op, "id", "left").join(kin, "id", "left")
+           .join(wk, "id", "left").join(nw, "id", "left"))
+    return out.select(*T360_COLUMNS)

@@ -617,3 +617,32 @@ def _q_table_profile(b):
 @query("export_csv")
 def _q_export_csv(b):
     return hist_ops.export_csv_text(b.observations, _scratch(b, "export"))
+
+
+# ------------------------------------------------------- 2.7 360 and carried
+def _t360(b):
+    leaves = _leaves(b)
+    comp = kin_ops.owners_completeness(leaves)
+    kin = kin_ops.kinship_rate(comp, kin_ops.kin_matches(kin_ops.owners_eligible(leaves, comp, cap=10000),
+                                                         kin_ops.kin_edges(b.kinship)))
+    return flows.taxpayer_360(b.communities, _labels(b), _opacity(b)[0], kin, _workers(b),
+                              flows.networth(b.networth))
+
+
+@query("taxpayer_360")
+def _q_taxpayer_360(b):
+    return rounded(_t360(b))
+
+
+@query("latest_carried")
+def _q_latest_carried(b):
+    _, _, cp = _two_periods(b)
+    return rounded(flows.latest_carried(_t360(b), b.spark.read.parquet(cp)))
+
+
+EXTREME_NORTH, EXTREME_SOUTH = ("AFRI",), ("EURO",)
+
+
+@query("extreme_regions")
+def _q_extreme_regions(b):
+    return flows.extreme_regions(b.invoice_points, b.point_regions, EXTREME_NORTH, EXTREME_SOUTH)

@@ -225,6 +225,16 @@ class Bindings:
                 .select(F.col("o_custkey").alias("company"),
                         F.col("o_totalprice").cast(MONEY).alias("amount")))
 
+    def _b_invoice_points(self) -> DataFrame:
+        return self._lines().select(F.col("l_suppkey").alias("issuer"),
+                                    (F.col("o_orderkey") % 25).cast("int").alias("point"))
+
+    def _b_point_regions(self) -> DataFrame:
+        n = self.raw("nation")
+        r = self.raw("region")
+        return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
+            F.col("n_nationkey").alias("point"), F.col("r_name").alias("region"))
+
     # ---- 2.6 ledger, declarations, observations, authorisations ---------
     def _b_ledger(self) -> DataFrame:
         rf, ln = F.col("l_returnflag"), F.col("l_linenumber")

@@ -238,6 +238,13 @@ UNION ALL
 SELECT s_suppkey, 'OTHR', CAST(NULL AS TIMESTAMP) FROM supplier WHERE s_suppkey % 3 = 0""")
 
 
+_cte("invoice_points", ("b_lines",), """
+SELECT l_suppkey AS issuer, CAST(o_orderkey % 25 AS INTEGER) AS point FROM b_lines""")
+
+_cte("point_regions", (), """
+SELECT n_nationkey AS point, r_name AS region FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""")
+
+
 def _closure(names) -> list[str]:
     out: list[str] = []
 

@@ -83,7 +83,7 @@ FROM {x}f29_1 t1 LEFT JOIN {x}ant t2 ON t1.id = t2.id""")
         add("carry", f"""SELECT {Pa} AS period_ant, t1.receiver, {P} AS period,
   CAST(t1.total_cont_an AS DOUBLE) AS total_cont_an_ant, CAST({prop} AS DOUBLE) AS prop_total_cont_an_ant,
   t2.f29_77_ant, t3.c_504_orig, t3.c_504, t3.fm01,
-  round({prop} * CAST(COALESCE(t3.c_504, 0) AS DOUBLE), 4) AS carried_cont
+  CAST(round(CAST({prop} AS DECIMAL(20,10)) * COALESCE(t3.c_504, 0), 4) AS DOUBLE) AS carried_cont
 FROM {history} t1 LEFT JOIN {x}ant t2 ON t1.receiver = t2.id LEFT JOIN {x}f29_1 t3 ON t1.receiver = t3.id
 WHERE t1.period = {Pa}""")
     add("docs", f"""SELECT period, issuer, receiver,

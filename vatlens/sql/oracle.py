@@ -527,3 +527,53 @@ def final_oracle() -> dict[str, str]:
             q = f"SELECT * REPLACE ({rep}) FROM ({q}) q"
         out[k] = q
     return out
+
+# ------------------------------------------------------- 2.7 360 and carried
+T360 = ("t360", f"""
+SELECT c.id, c.is_company, c.is_accountant, c.is_natural, c.is_rep, {r('k.score')} AS contamination,
+       CAST(p.paid_total AS DOUBLE) AS paid_total, CAST(v.vat_net AS DOUBLE) AS vat_net, g.region, d.n_documents,
+       l.lifetime AS lifetime_days, CASE WHEN s.id IS NULL THEN 0 ELSE 1 END AS initial_alert,
+       {r('o.value')} AS opacity, kr.kin_owners, kr.total AS natural_partners, {r('kr.kinship_rate')} AS kinship_rate,
+       c.initial_group, c.community, w.fee_workers, w.dependent_workers, CAST(nw.networth AS DOUBLE) AS networth
+FROM communities c
+LEFT JOIN con15 k ON c.id = k.id
+LEFT JOIN paid p ON c.id = p.id
+LEFT JOIN vnet v ON c.id = v.id
+LEFT JOIN lregion g ON c.id = g.id
+LEFT JOIN docs d ON c.id = d.id
+LEFT JOIN life l ON c.id = l.id
+LEFT JOIN (SELECT DISTINCT id FROM seeds) s ON c.id = s.id
+LEFT JOIN res9 o ON c.id = o.company
+LEFT JOIN (SELECT t.company, COALESCE(f.kin_owners, 0) AS kin_owners, t.total,
+                  {div('COALESCE(f.kin_owners, 0)', 't.total')} * 100 AS kinship_rate
+           FROM ktotal t LEFT JOIN (SELECT company, count(DISTINCT owner) AS kin_owners FROM kmatch GROUP BY company) f
+           ON t.company = f.company) kr ON c.id = kr.company
+LEFT JOIN (SELECT COALESCE(f.id, p.id) AS id, COALESCE(f.fee_workers, 0) AS fee_workers,
+                  COALESCE(p.dependent_workers, 0) AS dependent_workers
+           FROM fl f FULL OUTER JOIN (SELECT id, max(dependent_workers) AS dependent_workers FROM pl GROUP BY id) p
+           ON f.id = p.id) w ON c.id = w.id
+LEFT JOIN (SELECT company, sum(amount) AS networth FROM networth GROUP BY company) nw ON c.id = nw.company""")
+
+T360_IN = (["communities"] + CON_IN + ["declarations", "invoices", "businesses", "units", "taxpayers"]
+           + OPACITY_IN + KIN_IN + ["payroll", "fees", "networth"])
+_T360_CTES = (CON_CTES + [PAID, INV, VATNET, REGION, DOCS, LIFE] + OPACITY_CTES + KIN_CTES[1:]
+              + [PP, PL, FW, FL, T360])
+ORACLE["taxpayer_360"] = with_inputs(T360_IN, "SELECT * FROM t360", _T360_CTES)
+
+ORACLE["latest_carried"] = with_inputs(
+    T360_IN + CIN, f"""
+SELECT t.*, lc.last_carried_period, {r('lc.carried_cont')} AS carried_cont
+FROM t360 t LEFT JOIN (
+  SELECT period AS last_carried_period, receiver, carried_cont FROM (
+    SELECT period, receiver, carried_cont, rank() OVER (PARTITION BY receiver ORDER BY period DESC) AS rk
+    FROM (SELECT period, receiver, carried_cont FROM a_carried UNION ALL SELECT period, receiver, carried_cont FROM b_carried) u
+  ) x WHERE rk = 1) lc ON t.id = lc.receiver""", _T360_CTES + AB)
+
+ORACLE["extreme_regions"] = with_inputs(["invoice_points", "point_regions"], """
+SELECT issuer, total_north, total_south,
+       CASE WHEN total_north > 0 AND total_south > 0 THEN 'si' ELSE 'no' END AS sells_extremes
+FROM (SELECT issuer, sum(CASE WHEN substring(region, 1, 4) IN ('AFRI') THEN 1 ELSE 0 END) AS total_north,
+             sum(CASE WHEN substring(region, 1, 4) IN ('EURO') THEN 1 ELSE 0 END) AS total_south
+      FROM (SELECT issuer, point, count(*) AS c FROM invoice_points WHERE issuer IS NOT NULL GROUP BY issuer, point) pv
+      JOIN point_regions pr ON pv.point = pr.point WHERE pr.region IS NOT NULL
+      GROUP BY issuer) t""")
