@@ -9,9 +9,10 @@ Origins: 1 issuer does not declare, 2 alert, 3 special credit, 4 observation
 W08, 5 carried credit, 6 observation FM01, 7 unauthorised document type 30.
 
 Physical plan notes (the point of the rewrite, see README):
-* the edge table (normal + phantom edges) is hash-partitioned on
-  (issuer, period) and checkpointed once; hops 2..5 join it on that key, so
-  each hop shuffles only the previous hop's (small) result;
+* the edge table of hops 2..5 is salted on hot issuers (``plans.skew``),
+  hash-partitioned on (issuer, period, salt) and checkpointed once; each hop
+  joins it on that key, so a hop shuffles only the previous hop's (small)
+  result, and an issuer holding a third of the edges is spread over all tasks;
 * the declaration table used by every hop is partitioned on (id, period)
   once, so each hop's aggregate meets it without re-shuffling it;
 * the seven per-origin left joins with OR conditions are one pivot
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from vatlens.functions.expr import clamp_min, least_of, nz, prior_period_int, safe_div
 from vatlens.plans.iterate import cut
+from vatlens.plans.skew import SALT, hot_keys, salt_big, salt_small
 
 # fixed values of the reference ------------------------------------------
 VALIDITY_OK = (1, 3)
@@ -394,19 +396,34 @@ def hop1_result(hop1: DataFrame, declared: DataFrame) -> DataFrame:
         F.lit(1).alias("hop"), "c_537", "origin")
 
 
-def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int) -> DataFrame:
+def hop_edges(pedges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges used by hops 2..5 (self edges excluded), salted on hot issuers and
+    hash-partitioned on (issuer, period, _salt); returns (edges, hot issuers)."""
+    e = pedges.where(_c("issuer") != _c("receiver")).select(
+        "issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto")
+    hot = cut(hot_keys(e, ["issuer", "period"]))
+    salted = salt_big(e, ["issuer", "period"], hot, ["receiver"]).repartition("issuer", "period", SALT)
+    return salted, hot
+
+
+def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
+             hot: DataFrame | None = None) -> DataFrame:
     """Hop ``hop`` (2..5): each edge of an already contaminated issuer carries its VAT times
     the issuer's contaminated proportion; self edges are excluded; sums are capped by the
-    receiver's declaration."""
+    receiver's declaration. With ``hot`` (see ``hop_edges``) the edges are salted on hot
+    issuers and the previous hop's rows of those issuers are repeated per salt bucket."""
     _src, nc_uses_fact, prod_digits, sum_digits, need_fact = HOP_RULES[hop]
     p = prev.select(F.col("receiver").alias("issuer"), "period", "origin",
                     _c("iva_fact_cdo").alias("p_fact_cdo"), "prop_fact_cdo", "prop_nc_cdo",
                     "prop_neto_cdo")
     if need_fact:
         p = p.where(_c("p_fact_cdo") > 0)
-    e = pedges.where(_c("issuer") != _c("receiver")).select(
-        "issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto")
-    j = e.join(p, ["issuer", "period"], "inner")
+    e = pedges.where(_c("issuer") != _c("receiver"))
+    if hot is not None:
+        j = e.join(salt_small(p, ["issuer", "period"], hot), ["issuer", "period", SALT], "inner")
+    else:
+        j = e.select("issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto").join(
+            p, ["issuer", "period"], "inner")
     nc_prop = _c("prop_fact_cdo") if nc_uses_fact else _c("prop_nc_cdo")
     rows = j.select(
         "period", "receiver", "origin",
@@ -578,19 +595,19 @@ def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataF
     fm = observations(obs, OBS_FM01, period)
     decl1 = keep(decl_adjust_fm01(cur, fm).repartition("id", "period"))
     prev_decl = decl_prior(decl, prior)
-    carry = keep(carry_in(decl1, prev_decl, period, prior, history))
+    carry = carry_in(decl1, prev_decl, period, prior, history)
     edges = keep(trade_edges_clamped(trade_edges(ledger_docs(ledger, period), decl1)))
     declared = keep(decl_or_ledger(decl1, edges).repartition("id", "period"))
     nondecl = nondeclaring_issuers(edges, declared).select("issuer", "period").distinct()
-    seeds = keep(seed_table(doc30_issuers(ledger, auth, period), nondecl,
-                            alerted_issuers(edges, alerts), period))
+    seeds = seed_table(doc30_issuers(ledger, auth, period), nondecl, alerted_issuers(edges, alerts), period)
     pedges = keep(phantom_edges(edges, special_credit(declared, period),
-                                observations(obs, OBS_W08, period), carry, fm)
-                  .repartition("issuer", "period"))
+                                observations(obs, OBS_W08, period), carry, fm))
     hop1 = hop1_by_origin(edge_level0(pedges), declared, seeds, phantom_origins)
     results = [keep(hop1_result(hop1, declared))]
+    hedges, hot = hop_edges(pedges)
+    hedges = keep(hedges)
     for k in range(2, 6):
-        results.append(keep(hop_next(pedges, results[-1], declared, k)))
+        results.append(keep(hop_next(hedges, results[-1], declared, k, hot)))
     union = hops_union(results)
     summary = origin_summary(union, decl1)
     recv = receivers(union, decl1)

@@ -5,9 +5,11 @@ defined only when every partner has a value. Seeds give natural persons a
 value; a company's value, once defined, is final, so the set of resolved
 companies only grows and the loop can stop as soon as a round adds none.
 
-Per round the plan is: averaged mesh (hash-partitioned by partner once and
-checkpointed) joined to the resolved-company table on partner, then one
-aggregate by company. Only the resolved table moves between rounds.
+Per round the plan is: averaged mesh (salted on hot partners, hash-partitioned
+on (partner, salt) once and checkpointed) joined to the resolved-company table
+on partner, then one aggregate by company. Only the resolved table moves
+between rounds; a person or holding that is partner of a third of all
+companies is spread over all tasks.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from vatlens.functions.expr import safe_div
 from vatlens.plans.iterate import LoopTrace, cut
+from vatlens.plans.skew import SALT, hot_keys, salt_big, salt_small
 
 
 def own_profile(own: DataFrame) -> DataFrame:
@@ -80,11 +83,14 @@ def _resolve(mesh_valued: DataFrame) -> DataFrame:
         "company", (safe_div("s", "w") * 100).alias("value"))
 
 
-def _fill(mesh_seeded: DataFrame, resolved: DataFrame) -> DataFrame:
+def _fill(mesh_seeded: DataFrame, resolved: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     r = resolved.select(F.col("company").alias("partner"), F.col("value").alias("_cv"))
-    return (mesh_seeded.join(r, "partner", "left")
-            .select("company", "partner", "capital",
-                    F.coalesce(F.col("value"), F.col("_cv")).alias("value")))
+    if hot is not None:
+        j = mesh_seeded.join(salt_small(r, ["partner"], hot), ["partner", SALT], "left")
+    else:
+        j = mesh_seeded.join(r, "partner", "left")
+    return j.select("company", "partner", "capital",
+                    F.coalesce(F.col("value"), F.col("_cv")).alias("value"))
 
 
 def opacity_level0(avg_share: DataFrame, seed: DataFrame) -> DataFrame:
@@ -106,13 +112,15 @@ def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int = 10,
     filled by the last round (NULL where still unknown).
     """
     trace = trace if trace is not None else LoopTrace()
-    mesh = cut(_seeded(avg_share, seed).repartition("partner"))
+    seeded = _seeded(avg_share, seed)
+    hot = cut(hot_keys(seeded, ["partner"]))
+    mesh = cut(salt_big(seeded, ["partner"], hot, ["company"]).repartition("partner", SALT))
     resolved = cut(_resolve(mesh).withColumn("iteration", F.lit(0)))
     used = None
     trace.rounds_run = 1
     for it in range(1, max_iter):
         used = resolved
-        fresh = _resolve(_fill(mesh, resolved))
+        fresh = _resolve(_fill(mesh, resolved, hot))
         new = cut(fresh.join(resolved.select("company", "iteration"), "company", "left")
                   .select("company", "value", F.coalesce("iteration", F.lit(it)).alias("iteration")))
         trace.rounds_run += 1
@@ -121,7 +129,7 @@ def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int = 10,
         resolved = new
         if grown == 0:
             break
-    filled = mesh if used is None else _fill(mesh, used)
+    filled = mesh.drop(SALT) if used is None else _fill(mesh, used, hot)
     return resolved, filled
 
 

@@ -12,15 +12,28 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from vatlens.session import ensure_checkpoint_dir
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder and cut its lineage."""
+    """Materialise ``df`` to the reliable checkpoint folder and cut its lineage.
+
+    The frame is persisted first: writing a reliable checkpoint runs a second
+    job over the data, which then reads the cached blocks instead of
+    recomputing the plan. The checkpointed frame keeps the output
+    partitioning, so a table hash-partitioned on a join key before the cut
+    is not shuffled again by later joins on that key. The cache is dropped
+    once the checkpoint files exist (they survive executor loss; the cache
+    does not need to).
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 @dataclass
