@@ -1,0 +1,8 @@
+"""No streaming operator.
+
+The reference reads and writes batch tables only (no stream source, sink,
+watermark or stateful operator), so nothing is built here. The one
+incremental behaviour it has -- each tax period's carry-in depends on the
+previous period's results -- is the batch loop ``vatlens.operators.history.run_periods``
+with an idempotent per-period upsert.
+"""
