@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vatlens.functions.expr import clamp_min, least_of, nz, prior_period_int, safe_div
-from vatlens.plans.iterate import cut
+from vatlens.plans.iterate import cut, cut_table
 from vatlens.plans.skew import SALT, hot_keys, salt_big, salt_small
 
 # fixed values of the reference ------------------------------------------
@@ -593,7 +593,7 @@ def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataF
     prior = prior_period_int(period)
     cur = decl_current(decl, period)
     fm = observations(obs, OBS_FM01, period)
-    decl1 = keep(decl_adjust_fm01(cur, fm).repartition("id", "period"))
+    decl1 = keep(decl_adjust_fm01(cur, fm))
     prev_decl = decl_prior(decl, prior)
     carry = carry_in(decl1, prev_decl, period, prior, history)
     edges = keep(trade_edges_clamped(trade_edges(ledger_docs(ledger, period), decl1)))
@@ -603,11 +603,12 @@ def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataF
     pedges = keep(phantom_edges(edges, special_credit(declared, period),
                                 observations(obs, OBS_W08, period), carry, fm))
     hop1 = hop1_by_origin(edge_level0(pedges), declared, seeds, phantom_origins)
-    results = [keep(hop1_result(hop1, declared))]
+    keep_small = cut_table if checkpoint else (lambda df: df)
+    results = [keep_small(hop1_result(hop1, declared))]
     hedges, hot = hop_edges(pedges)
     hedges = keep(hedges)
     for k in range(2, 6):
-        results.append(keep(hop_next(hedges, results[-1], declared, k, hot)))
+        results.append(keep_small(hop_next(hedges, results[-1], declared, k, hot)))
     union = hops_union(results)
     summary = origin_summary(union, decl1)
     recv = receivers(union, decl1)

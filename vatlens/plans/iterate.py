@@ -9,11 +9,12 @@ per-round count used as the stop rule.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from vatlens.session import ensure_checkpoint_dir
 
@@ -36,6 +37,26 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def cut_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a parquet table in the checkpoint folder and read it back.
+
+    One job instead of two; used for per-round states, whose partitioning is
+    not reused (the next round re-keys them anyway). The folder is the shared
+    one named by ``spark.checkpoint.dir``, so the table survives executor loss.
+    """
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/vatlens-rounds/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """Attach aggregate metrics that are collected by the job that writes the
+    round (no extra job); read them with ``obs.get`` after the write."""
+    obs = Observation()
+    return df.observe(obs, *[m.alias(k) for k, m in metrics.items()]), obs
+
+
 @dataclass
 class LoopTrace:
     rounds_run: int = 0

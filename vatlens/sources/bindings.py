@@ -11,6 +11,8 @@ supplier ``k``; so low ids both issue and receive, which gives multi-hop paths.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,12 +28,22 @@ def D(x) -> F.Column:
     return F.lit(Decimal(str(x)))
 
 
+_MATERIALISED: dict[tuple[str, str, str], str] = {}
+
+
 class Bindings:
-    """Lazily built input tables for one scale-factor folder."""
+    """Lazily built input tables for one scale-factor folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``materialise=True`` (default) each derived input is written once per
+    Spark application as parquet under the session's checkpoint folder and read
+    back, i.e. it becomes a table as the inputs are in production: later
+    queries scan it with pushdown and pruning instead of re-deriving it.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialise: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialise = materialise
         self._cache: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -44,9 +56,21 @@ class Bindings:
         if builder is None:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = builder(self)
+            self._cache[name] = self._table(name, builder) if self.materialise else builder(self)
         return self._cache[name]
 
+    def _table(self, name: str, builder) -> DataFrame:
+        from vatlens.session import ensure_checkpoint_dir
+        key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), name)
+        path = _MATERIALISED.get(key)
+        if path is None:
+            root = ensure_checkpoint_dir(self.spark)
+            tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
+            path = f"{root.rstrip('/')}/vatlens-inputs/{key[0]}/{tag}/{name}"
+            builder(self).write.mode("overwrite").parquet(path)
+            _MATERIALISED[key] = path
+        return self.spark.read.parquet(path)
+
     # ---- shared pieces -------------------------------------------------
     def _n_customers(self) -> F.Column:
         return self.raw("customer").select(F.count(F.lit(1))).scalar()
