@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vatlens.functions.expr import clamp_min, least_of, nz, prior_period_int, safe_div
-from vatlens.plans.iterate import cut, cut_table
+from vatlens.plans.iterate import cut
 from vatlens.plans.skew import SALT, hot_keys, salt_big, salt_small
 
 # fixed values of the reference ------------------------------------------
@@ -396,12 +396,12 @@ def hop1_result(hop1: DataFrame, declared: DataFrame) -> DataFrame:
         F.lit(1).alias("hop"), "c_537", "origin")
 
 
-def hop_edges(pedges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def hop_edges(pedges: DataFrame, materialise=lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Edges used by hops 2..5 (self edges excluded), salted on hot issuers and
     hash-partitioned on (issuer, period, _salt); returns (edges, hot issuers)."""
     e = pedges.where(_c("issuer") != _c("receiver")).select(
         "issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto")
-    hot = cut(hot_keys(e, ["issuer", "period"]))
+    hot = materialise(hot_keys(e, ["issuer", "period"]))
     salted = salt_big(e, ["issuer", "period"], hot, ["receiver"]).repartition("issuer", "period", SALT)
     return salted, hot
 
@@ -582,33 +582,45 @@ class PeriodResult:
     recv: DataFrame
     pivot: DataFrame
     totals: DataFrame
+    cached: list = None
+
+    def release(self) -> None:
+        """Drop the persisted intermediates once the period's outputs are written."""
+        for df in self.cached or []:
+            df.unpersist()
 
 
 def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataFrame,
                  alerts: DataFrame, period: int, history: DataFrame | None = None,
                  phantom_origins: bool = True, checkpoint: bool = True) -> PeriodResult:
     """Run the whole credit tracing of one period. ``history`` holds earlier
-    periods' hop totals (period, receiver, total_cont_an, prop_total_cont_an)."""
+    periods' hop totals (period, receiver, total_cont_an, prop_total_cont_an).
+
+    Every reused intermediate is cut into a leaf in the checkpoint folder:
+    DataFrame analysis is eager and a shared subtree would otherwise be
+    re-analysed by every later step (the hop chain would grow combinatorially).
+    Checkpoints keep their partitioning, which the hops reuse for the
+    declarations (id, period) and the salted hop edges."""
     keep = cut if checkpoint else (lambda df: df)
+    leaf = keep
     prior = prior_period_int(period)
     cur = decl_current(decl, period)
     fm = observations(obs, OBS_FM01, period)
-    decl1 = keep(decl_adjust_fm01(cur, fm))
+    decl1 = leaf(decl_adjust_fm01(cur, fm))
     prev_decl = decl_prior(decl, prior)
-    carry = carry_in(decl1, prev_decl, period, prior, history)
-    edges = keep(trade_edges_clamped(trade_edges(ledger_docs(ledger, period), decl1)))
+    carry = leaf(carry_in(decl1, prev_decl, period, prior, history))
+    edges = leaf(trade_edges_clamped(trade_edges(ledger_docs(ledger, period), decl1)))
     declared = keep(decl_or_ledger(decl1, edges).repartition("id", "period"))
     nondecl = nondeclaring_issuers(edges, declared).select("issuer", "period").distinct()
     seeds = seed_table(doc30_issuers(ledger, auth, period), nondecl, alerted_issuers(edges, alerts), period)
-    pedges = keep(phantom_edges(edges, special_credit(declared, period),
+    pedges = leaf(phantom_edges(edges, special_credit(declared, period),
                                 observations(obs, OBS_W08, period), carry, fm))
     hop1 = hop1_by_origin(edge_level0(pedges), declared, seeds, phantom_origins)
-    keep_small = cut_table if checkpoint else (lambda df: df)
-    results = [keep_small(hop1_result(hop1, declared))]
-    hedges, hot = hop_edges(pedges)
+    results = [leaf(hop1_result(hop1, declared))]
+    hedges, hot = hop_edges(pedges, leaf)
     hedges = keep(hedges)
     for k in range(2, 6):
-        results.append(keep_small(hop_next(hedges, results[-1], declared, k, hot)))
+        results.append(leaf(hop_next(hedges, results[-1], declared, k, hot)))
     union = hops_union(results)
     summary = origin_summary(union, decl1)
     recv = receivers(union, decl1)

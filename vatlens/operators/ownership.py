@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vatlens.functions.expr import safe_div
-from vatlens.plans.iterate import LoopTrace, cut, cut_table, observed
+from vatlens.plans.iterate import LoopTrace, cut, observed
 from vatlens.plans.skew import SALT, hot_keys, salt_big, salt_small
 
 
@@ -125,7 +125,7 @@ def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int = 10,
             fresh.join(resolved.select("company", "iteration"), "company", "left")
             .select("company", "value", F.coalesce("iteration", F.lit(it)).alias("iteration")),
             grown=F.count_if(F.col("iteration") == it))
-        new = cut_table(step)
+        new = cut(step)
         trace.rounds_run += 1
         grown = obs.get["grown"]                      # collected by the round's own write
         trace.changed.append(grown)
