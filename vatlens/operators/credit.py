@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vatlens.functions.expr import clamp_min, least_of, nz, prior_period_int, safe_div
-from vatlens.plans.iterate import cut
+from vatlens.plans.iterate import cut, cut_partitioned
 from vatlens.plans.skew import SALT, hot_keys, salt_big, salt_small
 
 # fixed values of the reference ------------------------------------------
@@ -361,19 +361,25 @@ RESULT_COLS = ("period", "receiver", "f29_fact_reci", "f29_nc_reci", "f29_neto_r
                "c_537", "origin")
 
 
+def _declared_caps(declared: DataFrame) -> DataFrame:
+    """The receiver's declared caps, keyed (receiver, period): one row per declarant."""
+    return declared.select(F.col("id").alias("receiver"), "period", _c("fact_cr").alias("mf"),
+                           _c("nc_cr").alias("mn"), _c("net_cr").alias("mnet"),
+                           _c("special_cr").alias("ms"), "c_537")
+
+
 def hop1_result(hop1: DataFrame, declared: DataFrame) -> DataFrame:
-    """Per (period, receiver, origin): capped sums, remainders and proportions (round 5)."""
-    d = declared.withColumnRenamed("id", "receiver")
-    j = hop1.drop("fact_cr", "nc_cr", "net_cr").join(d, ["receiver", "period"], "inner")
-    g = j.groupBy("period", "receiver", "origin").agg(
-        F.sum("iva_fact_cont").alias("s_fact"), F.max("fact_cr").alias("mf"),
-        F.sum("iva_nc_cont").alias("s_nc"), F.max("nc_cr").alias("mn"),
-        F.sum("iva_neto_cont").alias("s_net"), F.max("net_cr").alias("mnet"),
-        F.sum("issuer_declares").alias("s_ie"), F.sum("receiver_declares").alias("s_re"),
-        F.sum("qty_docto").alias("qty_docto"), F.max("fact_amt").alias("fact_amt_emi"),
-        F.max("fact_qty").alias("fact_qty_emi"), F.max("nc_amt").alias("nc_amt_emi"),
-        F.max("nc_qty").alias("nc_qty_emi"), F.max("c_537").alias("c_537"),
-        F.max("c_520").alias("c_520"), F.max("special_cr").alias("ms"))
+    """Per (period, receiver, origin): capped sums, remainders and proportions (round 5).
+
+    Edge rows are summed per (period, receiver, origin) first (partial
+    aggregation on the map side, so a receiver with a huge number of issuers
+    is combined before the shuffle); only then are the sums joined to the
+    receiver's declaration (one row per declarant)."""
+    sums = hop1.groupBy("period", "receiver", "origin").agg(
+        F.sum("iva_fact_cont").alias("s_fact"), F.sum("iva_nc_cont").alias("s_nc"),
+        F.sum("iva_neto_cont").alias("s_net"), F.sum("issuer_declares").alias("s_ie"),
+        F.sum("receiver_declares").alias("s_re"), F.sum("qty_docto").alias("qty_docto"))
+    g = sums.join(_declared_caps(declared), ["receiver", "period"], "inner")
     fact_cdo = least_of("s_fact", "mf")
     nc_cdo = least_of("s_nc", "mn")
     neto_cdo = (F.when(_c("origin") == 3, _c("s_net"))
@@ -397,13 +403,13 @@ def hop1_result(hop1: DataFrame, declared: DataFrame) -> DataFrame:
 
 
 def hop_edges(pedges: DataFrame, materialise=lambda df: df) -> tuple[DataFrame, DataFrame]:
-    """Edges used by hops 2..5 (self edges excluded), salted on hot issuers and
-    hash-partitioned on (issuer, period, _salt); returns (edges, hot issuers)."""
+    """Edges used by hops 2..5 (self edges excluded), salted on hot issuers;
+    returns (edges, hot issuers). ``trace_period`` hash-partitions them on
+    (issuer, period, _salt) once for all four hops."""
     e = pedges.where(_c("issuer") != _c("receiver")).select(
         "issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto")
     hot = materialise(hot_keys(e, ["issuer", "period"]))
-    salted = salt_big(e, ["issuer", "period"], hot, ["receiver"]).repartition("issuer", "period", SALT)
-    return salted, hot
+    return salt_big(e, ["issuer", "period"], hot, ["receiver"]), hot
 
 
 def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
@@ -430,11 +436,10 @@ def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
         F.round(_c("iva_fact").cast("double") * _c("prop_fact_cdo"), prod_digits).alias("pf"),
         F.round(_c("iva_nc").cast("double") * nc_prop, prod_digits).alias("pn"),
         F.round(_c("iva_neto").cast("double") * _c("prop_neto_cdo"), prod_digits).alias("pt"))
-    d = declared.withColumnRenamed("id", "receiver")
-    g = rows.join(d, ["receiver", "period"], "inner").groupBy("period", "receiver", "origin").agg(
-        F.sum("pf").alias("sf"), F.sum("pn").alias("sn"), F.sum("pt").alias("st"),
-        F.max("fact_cr").alias("mf"), F.max("nc_cr").alias("mn"), F.max("net_cr").alias("mnet"),
-        F.max("special_cr").alias("ms"), F.max("c_537").alias("c_537"))
+    # sum per (period, receiver, origin) before meeting the declarations (map-side combine)
+    sums = rows.groupBy("period", "receiver", "origin").agg(
+        F.sum("pf").alias("sf"), F.sum("pn").alias("sn"), F.sum("pt").alias("st"))
+    g = sums.join(_declared_caps(declared), ["receiver", "period"], "inner")
 
     def capped(s: str, m: str) -> Column:
         v = F.round(_c(s), sum_digits) if sum_digits is not None else _c(s)
@@ -599,10 +604,15 @@ def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataF
     Every reused intermediate is cut into a leaf in the checkpoint folder:
     DataFrame analysis is eager and a shared subtree would otherwise be
     re-analysed by every later step (the hop chain would grow combinatorially).
-    Checkpoints keep their partitioning, which the hops reuse for the
-    declarations (id, period) and the salted hop edges."""
-    keep = cut if checkpoint else (lambda df: df)
-    leaf = keep
+    Two leaves are hash-partitioned once and reused by every hop without a
+    new shuffle: the salted hop edges on (issuer, period, _salt) and the
+    declarations on (id, period). Edge-level joins by receiver use the plain
+    declarations instead, so both sides shuffle and AQE can split a hot
+    receiver."""
+    leaf = cut if checkpoint else (lambda df: df)
+
+    def by_key(df: DataFrame, *keys: str) -> DataFrame:
+        return cut_partitioned(df, *keys) if checkpoint else df
     prior = prior_period_int(period)
     cur = decl_current(decl, period)
     fm = observations(obs, OBS_FM01, period)
@@ -610,17 +620,18 @@ def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataF
     prev_decl = decl_prior(decl, prior)
     carry = leaf(carry_in(decl1, prev_decl, period, prior, history))
     edges = leaf(trade_edges_clamped(trade_edges(ledger_docs(ledger, period), decl1)))
-    declared = keep(decl_or_ledger(decl1, edges).repartition("id", "period"))
+    declared = leaf(decl_or_ledger(decl1, edges))
+    declared_by_id = by_key(declared, "id", "period")
     nondecl = nondeclaring_issuers(edges, declared).select("issuer", "period").distinct()
     seeds = seed_table(doc30_issuers(ledger, auth, period), nondecl, alerted_issuers(edges, alerts), period)
     pedges = leaf(phantom_edges(edges, special_credit(declared, period),
                                 observations(obs, OBS_W08, period), carry, fm))
     hop1 = hop1_by_origin(edge_level0(pedges), declared, seeds, phantom_origins)
-    results = [leaf(hop1_result(hop1, declared))]
+    results = [leaf(hop1_result(hop1, declared_by_id))]
     hedges, hot = hop_edges(pedges, leaf)
-    hedges = keep(hedges)
+    hedges = by_key(hedges, "issuer", "period", SALT)
     for k in range(2, 6):
-        results.append(leaf(hop_next(hedges, results[-1], declared, k, hot)))
+        results.append(leaf(hop_next(hedges, results[-1], declared_by_id, k, hot)))
     union = hops_union(results)
     summary = origin_summary(union, decl1)
     recv = receivers(union, decl1)

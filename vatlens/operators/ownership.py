@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vatlens.functions.expr import safe_div
-from vatlens.plans.iterate import LoopTrace, cut, observed
+from vatlens.plans.iterate import LoopTrace, cut, cut_partitioned, observed
 from vatlens.plans.skew import SALT, hot_keys, salt_big, salt_small
 
 
@@ -114,7 +114,7 @@ def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int = 10,
     trace = trace if trace is not None else LoopTrace()
     seeded = _seeded(avg_share, seed)
     hot = cut(hot_keys(seeded, ["partner"]))
-    mesh = cut(salt_big(seeded, ["partner"], hot, ["company"]).repartition("partner", SALT))
+    mesh = cut_partitioned(salt_big(seeded, ["partner"], hot, ["company"]), "partner", SALT)
     resolved = cut(_resolve(mesh).withColumn("iteration", F.lit(0)))
     used = None
     trace.rounds_run = 1

@@ -9,8 +9,8 @@ per-round count used as the stop rule.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -37,17 +37,33 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
-def cut_table(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a parquet table in the checkpoint folder and read it back.
-
-    One job instead of two; used for per-round states, whose partitioning is
-    not reused (the next round re-keys them anyway). The folder is the shared
-    one named by ``spark.checkpoint.dir``, so the table survives executor loss.
+@contextmanager
+def _adaptive_off(spark) -> Iterator[None]:
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def cut_partitioned(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """``cut`` of ``df`` hash-partitioned on ``keys`` that *advertises* that partitioning.
+
+    For a large table reused by every round of a loop (edges, ownership mesh,
+    declarations): later joins on ``keys`` then shuffle only the other side.
+    Under AQE the physical plan of a checkpoint is an adaptive plan whose
+    output partitioning is unknown, so the checkpoint would not advertise the
+    hash partitioning and every round would shuffle the big table again
+    (checked with ``explain``). Only this one materialisation is planned with
+    AQE off; the number of partitions is fixed (``spark.sql.shuffle.partitions``
+    unless given), so the loop's join sides line up without coalescing.
     """
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/vatlens-rounds/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with _adaptive_off(spark):
+        return cut(df.repartition(n, *keys))
 
 
 def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:

@@ -34,14 +34,27 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: b
 
 
 def table_exists(spark: SparkSession, path_or_table: str) -> bool:
-    """Source-exists probe for a catalog table or a folder of parquet files."""
+    """Source-exists probe for a catalog table or a folder of data files.
+
+    A folder counts when it holds at least one visible entry (file or
+    partition folder); the probe asks the Hadoop file system of the path, so it
+    works the same for local, HDFS and object-store paths and never fails an
+    analysis."""
     if "/" not in path_or_table:
         return spark.catalog.tableExists(path_or_table)
     try:
-        spark.read.parquet(path_or_table).schema
-        return True
-    except AnalysisException:
+        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    except AttributeError:                            # no JVM gateway (Spark Connect)
+        try:
+            spark.read.parquet(path_or_table).schema
+            return True
+        except AnalysisException:
+            return False
+    path = jvm.org.apache.hadoop.fs.Path(path_or_table)
+    fs = path.getFileSystem(jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(path))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
