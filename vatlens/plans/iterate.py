@@ -56,14 +56,22 @@ def cut_partitioned(df: DataFrame, *keys: str, partitions: int | None = None) ->
     Under AQE the physical plan of a checkpoint is an adaptive plan whose
     output partitioning is unknown, so the checkpoint would not advertise the
     hash partitioning and every round would shuffle the big table again
-    (checked with ``explain``). Only this one materialisation is planned with
-    AQE off; the number of partitions is fixed (``spark.sql.shuffle.partitions``
-    unless given), so the loop's join sides line up without coalescing.
+    (checked with ``explain``). ``df`` itself is computed under AQE (runtime
+    join choice, skew splits) into the cache; only the final repartition and
+    checkpoint are planned with AQE off. The number of partitions is fixed
+    (``spark.sql.shuffle.partitions`` unless given), so the loop's join sides
+    line up without coalescing.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    base.count()
     with _adaptive_off(spark):
-        return cut(df.repartition(n, *keys))
+        # the checkpoint's second job re-reads the shuffle files, not the plan
+        out = base.repartition(n, *keys).checkpoint(eager=True)
+    base.unpersist()
+    return out
 
 
 def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
