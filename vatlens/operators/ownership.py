@@ -14,7 +14,7 @@ companies is spread over all tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vatlens.functions.expr import safe_div
@@ -143,8 +143,41 @@ def opacity_summary(opacity: DataFrame) -> DataFrame:
                        F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
 
 
-def opacity_quartiles(opacity: DataFrame, accuracy: int = 100000) -> DataFrame:
-    """Quartiles of the opacity values with the mergeable quantile sketch (no single-task sort)."""
-    q = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
-    return opacity.agg(q.alias("q")).select(F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
-                                            F.col("q")[2].alias("q75"))
+def opacity_quartiles(opacity: DataFrame, probs=(0.25, 0.5, 0.75), key: str = "company",
+                      partitions: int | None = None) -> DataFrame:
+    """Exact quantiles of the opacity values, linearly interpolated between the
+    order statistics at rank (n - 1) * p (as pandas ``describe`` does).
+
+    No task sees all values: they are range-partitioned on (value, company) --
+    the key breaks ties, so a value shared by a third of the companies is still
+    spread over many partitions -- and sorted within each partition. A row's
+    global rank is its position in its partition plus the rows of all lower
+    partitions, taken from the per-partition counts (a table of at most
+    ``partitions`` rows, the only thing broadcast). Only the rows at the needed
+    ranks survive the filter.
+    """
+    spark = opacity.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = opacity.where(F.col("value").isNotNull()).select(F.col("value").cast("double").alias("v"), key)
+    ranked = (v.repartitionByRange(n, "v", key).sortWithinPartitions("v", key)
+              .select("v", F.spark_partition_id().alias("pid"),
+                      F.monotonically_increasing_id().alias("_mid"))
+              .select("v", "pid", (F.col("_mid") - F.shiftleft(F.col("pid").cast("long"), 33)).alias("idx")))
+    per = ranked.groupBy("pid").agg(F.count(F.lit(1)).alias("rows"))
+    upto = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select("pid", F.coalesce(F.sum("rows").over(upto), F.lit(0)).alias("offset"),
+                         F.sum("rows").over(Window.partitionBy()).alias("n"))
+    pos = {p: (F.col("n") - 1) * F.lit(p) for p in probs}
+    at = ranked.join(F.broadcast(offsets), "pid").select(
+        "v", (F.col("offset") + F.col("idx")).alias("rank"), "n")
+    wanted = F.lit(False)
+    for p in probs:
+        wanted = wanted | (F.col("rank") == F.floor(pos[p])) | (F.col("rank") == F.ceil(pos[p]))
+    picked = at.where(wanted)
+    aggs = []
+    for p in probs:
+        lo = F.max(F.when(F.col("rank") == F.floor(pos[p]), F.col("v")))
+        hi = F.max(F.when(F.col("rank") == F.ceil(pos[p]), F.col("v")))
+        frac = F.max(pos[p] - F.floor(pos[p]))
+        aggs.append((lo + (hi - lo) * frac).alias(f"q{int(round(p * 100))}"))
+    return picked.agg(*aggs)

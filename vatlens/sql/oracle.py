@@ -264,6 +264,10 @@ ORACLE["opacity_summary"] = with_inputs(
     OPACITY_IN, f"SELECT count(value) AS count, {r('avg(value)', 6)} AS mean, {r('stddev_samp(value)', 6)} AS std, "
     f"{r('min(value)', 6)} AS min, {r('max(value)', 6)} AS max FROM res9", OPACITY_CTES)
 
+ORACLE["opacity_quartiles"] = with_inputs(
+    OPACITY_IN, f"SELECT {r('quantile_cont(value, 0.25)', 6)} AS q25, {r('quantile_cont(value, 0.5)', 6)} AS q50, "
+    f"{r('quantile_cont(value, 0.75)', 6)} AS q75 FROM res9", OPACITY_CTES)
+
 # ------------------------------------------------------------- 2.2 kinship
 KIN_CTES = [OCLEAN, ("bag0", "SELECT company, partner AS owner FROM oclean"),
             ("aux", "SELECT company AS c2, partner AS p2 FROM oclean")]
