@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from vatlens.functions.expr import clamp_min, least_of, nz, prior_period_int, safe_div
 from vatlens.plans.iterate import cut, cut_partitioned
-from vatlens.plans.skew import SALT, hot_keys, salt_big, salt_small
+from vatlens.plans.skew import SALT, find_hot_keys, salt_big, salt_small
 
 # fixed values of the reference ------------------------------------------
 VALIDITY_OK = (1, 3)
@@ -408,7 +408,7 @@ def hop_edges(pedges: DataFrame, materialise=lambda df: df) -> tuple[DataFrame,
     (issuer, period, _salt) once for all four hops."""
     e = pedges.where(_c("issuer") != _c("receiver")).select(
         "issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto")
-    hot = materialise(hot_keys(e, ["issuer", "period"]))
+    hot = find_hot_keys(e, ["issuer", "period"], materialise=materialise)
     return salt_big(e, ["issuer", "period"], hot, ["receiver"]), hot
 
 
@@ -416,8 +416,8 @@ def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
              hot: DataFrame | None = None) -> DataFrame:
     """Hop ``hop`` (2..5): each edge of an already contaminated issuer carries its VAT times
     the issuer's contaminated proportion; self edges are excluded; sums are capped by the
-    receiver's declaration. With ``hot`` (see ``hop_edges``) the edges are salted on hot
-    issuers and the previous hop's rows of those issuers are repeated per salt bucket."""
+    receiver's declaration. When the edges are salted (``hop_edges``; ``hot`` is None when
+    no issuer is hot) the previous hop's rows of hot issuers are repeated per salt bucket."""
     _src, nc_uses_fact, prod_digits, sum_digits, need_fact = HOP_RULES[hop]
     p = prev.select(F.col("receiver").alias("issuer"), "period", "origin",
                     _c("iva_fact_cdo").alias("p_fact_cdo"), "prop_fact_cdo", "prop_nc_cdo",
@@ -425,7 +425,7 @@ def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
     if need_fact:
         p = p.where(_c("p_fact_cdo") > 0)
     e = pedges.where(_c("issuer") != _c("receiver"))
-    if hot is not None:
+    if SALT in e.columns:                             # salted edges (see ``hop_edges``)
         j = e.join(salt_small(p, ["issuer", "period"], hot), ["issuer", "period", SALT], "inner")
     else:
         j = e.select("issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto").join(

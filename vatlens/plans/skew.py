@@ -12,6 +12,9 @@ are salted explicitly:
 * ``salt_big`` -- rows of a hot key get ``_salt = pmod(hash(spread), n)``;
   other rows get 0. The big side is then partitioned on (key, _salt).
 * ``salt_small`` -- rows of a hot key are repeated once per bucket.
+* ``find_hot_keys`` -- ``hot_keys`` materialised, or ``None`` when no key is
+  hot; both salt functions then
+  just add ``_salt = 0``, so the usual case pays no broadcast join per round.
 
 A key holding a third of all rows is thus spread over every partition; no
 row is dropped or sampled.
@@ -19,9 +22,13 @@ row is dropped or sampled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vatlens.plans.iterate import cut
+
 SALT = "_salt"
 NSALT = "_nsalt"
 
@@ -40,15 +47,26 @@ def hot_keys(df: DataFrame, keys: list[str], partitions: int | None = None) -> D
             .select(*keys, F.least(F.lit(p), F.ceil(F.col("_n") / threshold)).cast("int").alias(NSALT)))
 
 
-def salt_big(df: DataFrame, keys: list[str], hot: DataFrame, spread: list[str]) -> DataFrame:
+def find_hot_keys(df: DataFrame, keys: list[str], partitions: int | None = None,
+                  materialise: Callable[[DataFrame], DataFrame] = cut) -> DataFrame | None:
+    """``hot_keys`` materialised (a bounded table), or ``None`` when there is none."""
+    hot = materialise(hot_keys(df, keys, partitions))
+    return hot if hot.count() > 0 else None       # counts the small materialised table
+
+
+def salt_big(df: DataFrame, keys: list[str], hot: DataFrame | None, spread: list[str]) -> DataFrame:
     """Add ``_salt``: a hash bucket of ``spread`` for hot keys, 0 otherwise."""
+    if hot is None:
+        return df.withColumn(SALT, F.lit(0))
     j = df.join(F.broadcast(hot), keys, "left")
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.col(NSALT)).cast("int")
     return j.withColumn(SALT, F.when(F.col(NSALT).isNull(), F.lit(0)).otherwise(bucket)).drop(NSALT)
 
 
-def salt_small(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+def salt_small(df: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
     """Repeat rows of hot keys once per salt bucket (``_salt`` = 0..n-1); others get 0."""
+    if hot is None:
+        return df.withColumn(SALT, F.lit(0))
     j = df.join(F.broadcast(hot), keys, "left")
     buckets = F.when(F.col(NSALT).isNull(), F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(0), F.col(NSALT) - 1))
