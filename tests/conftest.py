@@ -11,10 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from vatlens.session import build_session
     scratch = tempfile.mkdtemp(prefix="vatlens-test-")
-    s = build_session("local[4]", shuffle_partitions=4, extra={
-        "spark.local.dir": scratch,
-        "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-    })
+    # the checkpoint folder comes from the session when configured, else a private one
+    s = build_session("local[4]", shuffle_partitions=4, extra={"spark.local.dir": scratch})
     yield s
     s.stop()
 
