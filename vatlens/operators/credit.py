@@ -587,12 +587,6 @@ class PeriodResult:
     recv: DataFrame
     pivot: DataFrame
     totals: DataFrame
-    cached: list = None
-
-    def release(self) -> None:
-        """Drop the persisted intermediates once the period's outputs are written."""
-        for df in self.cached or []:
-            df.unpersist()
 
 
 def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataFrame,

@@ -90,6 +90,5 @@ def run_periods(spark: SparkSession, decl: DataFrame, obs: DataFrame, ledger: Da
         totals_p = spark.read.parquet(history_path).where(F.col("period") == p).drop(*STAMP_COLS)
         carried = cr.carried_history_rows(totals_p, r.carry, r.decl1)
         history_upsert(carried, carried_path, stamp=False)
-        r.release()
         out[p] = r
     return out

@@ -9,7 +9,7 @@ per-round count used as the stop rule.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -85,24 +85,3 @@ def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
 class LoopTrace:
     rounds_run: int = 0
     changed: list[int] = field(default_factory=list)
-
-
-def iterate(state: DataFrame, step: Callable[[DataFrame, int], DataFrame], rounds: int,
-            changed: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-            first_round: int = 0, trace: LoopTrace | None = None) -> DataFrame:
-    """Apply ``step(state, i)`` for ``i`` in ``first_round .. first_round + rounds - 1``.
-
-    ``changed(old, new)`` returns the rows that differ; when it is empty the
-    loop stops early (only valid when a round without change is a fixed point).
-    """
-    trace = trace if trace is not None else LoopTrace()
-    for i in range(first_round, first_round + rounds):
-        new = cut(step(state, i))
-        trace.rounds_run += 1
-        if changed is not None:
-            n = changed(state, new).count()
-            trace.changed.append(n)
-            if n == 0:
-                return new
-        state = new
-    return state
