@@ -31,3 +31,31 @@ def test_round_join_shuffles_only_the_small_side(spark):
         assert plan.count("Exchange hashpartitioning") == 1          # the nodes only
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _big_side_exchanges(spark, rows):
+    from vatlens.plans.skew import find_hot_keys, salt_big, salt_keys, salt_small
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        e = spark.createDataFrame(rows, "issuer long, receiver long, f double")
+        hot = find_hot_keys(e, ["issuer"])
+        ed = cut_partitioned(salt_big(e, ["issuer"], hot, ["receiver"]), *salt_keys(["issuer"], hot))
+        src = cut(spark.range(1, 600).select(F.col("id").alias("issuer"), F.lit(1.0).alias("s")))
+        j = ed.join(salt_small(src, ["issuer"], hot), salt_keys(["issuer"], hot), "inner")
+        return hot, _executed(j.groupBy("receiver").agg(F.sum(F.col("f") * F.col("s"))))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_salted_edges_are_not_reshuffled_without_hot_keys(spark):
+    hot, plan = _big_side_exchanges(spark, [(i % 500 + 1, i, 0.5) for i in range(5000)])
+    assert hot is None
+    assert plan.count("Exchange hashpartitioning") == 2          # the small side and the aggregate
+
+
+def test_salted_edges_are_not_reshuffled_with_a_hot_key(spark):
+    hot, plan = _big_side_exchanges(spark, [(1, i, 0.5) for i in range(3000)]
+                                    + [(i % 500 + 2, i, 0.5) for i in range(2000)])
+    assert hot is not None
+    assert plan.count("Exchange hashpartitioning") == 2

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from vatlens.functions.expr import clamp_min, least_of, nz, prior_period_int, safe_div
 from vatlens.plans.iterate import cut, cut_partitioned
-from vatlens.plans.skew import SALT, find_hot_keys, salt_big, salt_small
+from vatlens.plans.skew import SALT, find_hot_keys, salt_big, salt_keys, salt_small
 
 # fixed values of the reference ------------------------------------------
 VALIDITY_OK = (1, 3)
@@ -425,7 +425,7 @@ def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
     if need_fact:
         p = p.where(_c("p_fact_cdo") > 0)
     e = pedges.where(_c("issuer") != _c("receiver"))
-    if SALT in e.columns:                             # salted edges (see ``hop_edges``)
+    if SALT in e.columns:                             # salted on hot issuers (``hop_edges``)
         j = e.join(salt_small(p, ["issuer", "period"], hot), ["issuer", "period", SALT], "inner")
     else:
         j = e.select("issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto").join(
@@ -623,7 +623,7 @@ def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataF
     hop1 = hop1_by_origin(edge_level0(pedges), declared, seeds, phantom_origins)
     results = [leaf(hop1_result(hop1, declared_by_id))]
     hedges, hot = hop_edges(pedges, leaf)
-    hedges = by_key(hedges, "issuer", "period", SALT)
+    hedges = by_key(hedges, *salt_keys(["issuer", "period"], hot))
     for k in range(2, 6):
         results.append(leaf(hop_next(hedges, results[-1], declared_by_id, k, hot)))
     union = hops_union(results)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from vatlens.functions.expr import safe_div
 from vatlens.plans.iterate import LoopTrace, cut, cut_partitioned, observed
-from vatlens.plans.skew import SALT, find_hot_keys, salt_big, salt_small
+from vatlens.plans.skew import SALT, find_hot_keys, salt_big, salt_keys, salt_small
 
 
 def own_profile(own: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def _resolve(mesh_valued: DataFrame) -> DataFrame:
 
 def _fill(mesh_seeded: DataFrame, resolved: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     r = resolved.select(F.col("company").alias("partner"), F.col("value").alias("_cv"))
-    if SALT in mesh_seeded.columns:                   # the salted, partitioned mesh
+    if SALT in mesh_seeded.columns:                   # salted on hot partners
         j = mesh_seeded.join(salt_small(r, ["partner"], hot), ["partner", SALT], "left")
     else:
         j = mesh_seeded.join(r, "partner", "left")
@@ -114,7 +114,7 @@ def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int = 10,
     trace = trace if trace is not None else LoopTrace()
     seeded = _seeded(avg_share, seed)
     hot = find_hot_keys(seeded, ["partner"])
-    mesh = cut_partitioned(salt_big(seeded, ["partner"], hot, ["company"]), "partner", SALT)
+    mesh = cut_partitioned(salt_big(seeded, ["partner"], hot, ["company"]), *salt_keys(["partner"], hot))
     resolved = cut(_resolve(mesh).withColumn("iteration", F.lit(0)))
     used = None
     trace.rounds_run = 1

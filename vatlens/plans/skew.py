@@ -13,8 +13,11 @@ are salted explicitly:
   other rows get 0. The big side is then partitioned on (key, _salt).
 * ``salt_small`` -- rows of a hot key are repeated once per bucket.
 * ``find_hot_keys`` -- ``hot_keys`` materialised, or ``None`` when no key is
-  hot; both salt functions then
-  just add ``_salt = 0``, so the usual case pays no broadcast join per round.
+  hot. Then there is no salt at all: both salt functions return their input
+  and ``salt_keys`` is just the keys, so the usual case pays no broadcast join
+  per round. (A constant ``_salt = 0`` on the small side would be folded out
+  of the join keys by the optimizer, and the big side, partitioned on
+  (key, _salt), would be shuffled again.)
 
 A key holding a third of all rows is thus spread over every partition; no
 row is dropped or sampled.
@@ -54,10 +57,15 @@ def find_hot_keys(df: DataFrame, keys: list[str], partitions: int | None = None,
     return hot if hot.count() > 0 else None       # counts the small materialised table
 
 
+def salt_keys(keys: list[str], hot: DataFrame | None) -> list[str]:
+    """Join / partitioning keys of a salted table: ``keys`` plus ``_salt`` when salted."""
+    return list(keys) + ([SALT] if hot is not None else [])
+
+
 def salt_big(df: DataFrame, keys: list[str], hot: DataFrame | None, spread: list[str]) -> DataFrame:
     """Add ``_salt``: a hash bucket of ``spread`` for hot keys, 0 otherwise."""
     if hot is None:
-        return df.withColumn(SALT, F.lit(0))
+        return df
     j = df.join(F.broadcast(hot), keys, "left")
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.col(NSALT)).cast("int")
     return j.withColumn(SALT, F.when(F.col(NSALT).isNull(), F.lit(0)).otherwise(bucket)).drop(NSALT)
@@ -66,7 +74,7 @@ def salt_big(df: DataFrame, keys: list[str], hot: DataFrame | None, spread: list
 def salt_small(df: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
     """Repeat rows of hot keys once per salt bucket (``_salt`` = 0..n-1); others get 0."""
     if hot is None:
-        return df.withColumn(SALT, F.lit(0))
+        return df
     j = df.join(F.broadcast(hot), keys, "left")
     buckets = F.when(F.col(NSALT).isNull(), F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(0), F.col(NSALT) - 1))
