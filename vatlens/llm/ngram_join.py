@@ -195,6 +195,7 @@ def linked_classes(rows: DataFrame, texts: DataFrame) -> DataFrame:
         F.min_by(F.struct("doc_id", "n", "signature", "prefix"), F.struct("doc_id", "_md5")).alias("_r")).select("class", "_r.*"), "classes")
     every = classes.select("class", "n", F.posexplode("prefix").alias("at", "shingle"))
     shared = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("_k"), F.min(F.struct("at", "n", "class")).alias("_pivot")).where("_k > 1").drop("_k")
+    shared = materialise(shared, "shared")       # a table of its own, so that the join below can split a hot shingle
     held = materialise(every.join(shared, "shingle"), "postings")
     pivot = {k: F.col(f"_pivot.{k}") for k in ("class", "n", "at")}
     first = held.where((F.col("class") != pivot["class"]) & could_link(F.col("n"), F.col("at"), pivot["n"], pivot["at"]))
