@@ -5,7 +5,6 @@ Sub-packages:
   functions  -- column-expression helpers (safe division, clamps, periods, money)
   operators  -- the analytical operators, one module per family
   plans      -- loop helper (checkpointed iteration) and composed jobs
-  streaming  -- period-by-period incremental driver built on Structured Streaming
   sql        -- DuckDB SQL twins of every operator, used as the correctness oracle
 """
 

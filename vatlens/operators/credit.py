@@ -85,8 +85,8 @@ def decl_latest(decl: DataFrame, period: int) -> DataFrame:
 
 def _latest_rows(decl: DataFrame, period: int) -> DataFrame:
     d = decl.where((_c("period") == period) & _c("validity").isin(*VALIDITY_OK) & (_c("c_537") > 0))
-    latest = decl_latest(decl, period).select("id", F.col("max_folio").alias("folio"))
-    return d.join(latest, ["id", "folio"], "inner")
+    newest = d.groupBy(F.col("id").alias("_id")).agg(F.max_by(F.struct(*d.columns), "folio").alias("_r"))
+    return newest.select("_r.*")
 
 
 SPECIAL_CODES = ("c_725", "c_704", "c_160", "c_126", "c_572", "c_768", "c_767")
@@ -107,7 +107,7 @@ def decl_prior(decl: DataFrame, prior: int) -> DataFrame:
         "id", F.col("period").alias("period_ant"), F.col("c_537").alias("f29_537_ant"),
         nz("c_538").alias("f29_538_ant"), nz("c_77").alias("f29_77_ant"),
         (nz("c_768") + nz("c_767")).alias("special_cr_ant"),
-        F.round(safe_div(nz("c_77"), den), 6).alias("carry_ratio_ant")).distinct()
+        F.round(safe_div(nz("c_77"), den), 6).alias("carry_ratio_ant"))
 
 
 def decl_current(decl: DataFrame, period: int) -> DataFrame:
@@ -121,7 +121,7 @@ def decl_current(decl: DataFrame, period: int) -> DataFrame:
         F.col("c_525").alias("fact_cr_fixed"), nz("c_528").alias("nc_cr"), fact_cr.alias("fact_cr"),
         "c_538", F.col("c_509").alias("nc_qty"), F.col("c_510").alias("nc_amt"), "c_537",
         net.alias("net_cr"), _sum_nz(*SPECIAL_CODES).alias("special_cr"), nz("c_504").alias("c_504"),
-    ).distinct()
+    )
 
 
 def observations(obs: DataFrame, code: str, period: int) -> DataFrame:
@@ -195,7 +195,7 @@ def trade_edges(docs: DataFrame, decl1: DataFrame) -> DataFrame:
         F.sum("is_nc").alias("qty_nc"),
         (F.sum(nz("iva_fact")) - F.sum(nz("iva_nc"))).alias("iva_neto1"),
         F.sum(nz("signed_vat")).alias("iva_neto_cv1"))
-    dk = decl1.select("id", "period").distinct()
+    dk = decl1.select("id", "period")           # one declaration per (id, period)
     ie = dk.select(F.col("id").alias("issuer"), "period", F.lit(1).alias("issuer_declares"))
     re = dk.select(F.col("id").alias("receiver"), "period", F.lit(1).alias("receiver_declares"))
     j = e.join(ie, ["issuer", "period"], "left").join(re, ["receiver", "period"], "left")
@@ -254,17 +254,17 @@ def nondeclaring_issuers(edges: DataFrame, declared: DataFrame) -> DataFrame:
 def doc30_issuers(ledger: DataFrame, auth: DataFrame, period: int) -> DataFrame:
     """Issuers of type-30 purchases in the period without an open POFE authorisation."""
     d = ledger.where((_c("doc_type") == UNAUTHORISED_DOC_TYPE) & (_c("period") == period)
-                     & (_c("operation") == PURCHASE)).select("issuer", "period")
+                     & (_c("operation") == PURCHASE)).select("issuer", "period").distinct()
     ok = auth.where((_c("attribute") == AUTH_ATTRIBUTE) & _c("end_date").isNull()).select(
         F.col("id").alias("issuer"))
-    return d.join(ok, "issuer", "left_anti").distinct()
+    return d.join(ok, "issuer", "left_anti")
 
 
 def alerted_issuers(edges: DataFrame, alerts: DataFrame) -> DataFrame:
     """Issuers with an active alert 4110-4112 (not deactivated by a user, not unblocked)."""
     a = alerts.where(_c("deactivated_by").isNull() & _c("unblock_folio").isNull()
                      & _c("code").isin(*ALERT_CODES)).select(F.col("id").alias("issuer"))
-    return edges.select("issuer").join(a, "issuer", "left_semi").distinct()
+    return edges.select("issuer").distinct().join(a, "issuer", "left_semi")
 
 
 def special_credit(declared: DataFrame, period: int) -> DataFrame:
@@ -293,14 +293,15 @@ def phantom_edges(edges: DataFrame, special: DataFrame, w08: DataFrame, carry: D
     rem = self_edge(carry, "receiver", F.col("carried_cont"), PHANTOM["REM"])
     fm = self_edge(fm01.groupBy("id", "period").agg(F.sum("amount").alias("a")), "id",
                    F.col("a"), PHANTOM["FM01"])
-    return normal.unionByName(ce).unionByName(w).unionByName(rem).unionByName(fm).distinct()
+    # normal edges are unique by their keys; only self edges can repeat
+    return normal.unionByName(ce.unionByName(w).unionByName(rem).unionByName(fm).distinct())
 
 
 def edge_level0(pedges: DataFrame) -> DataFrame:
-    """Distinct projection of the edges at level 0."""
+    """Projection of the edges (unique rows) at level 0."""
     return pedges.select("issuer", "receiver", "iva_fact", "iva_nc", "period", F.lit(0).alias("level"),
                          "qty_docto", "iva_neto", "node_kind", "issuer_declares",
-                         "receiver_declares").distinct()
+                         "receiver_declares")
 
 
 # ------------------------------------------------------------ hops
@@ -464,11 +465,11 @@ def _as_result(df: DataFrame) -> DataFrame:
 
 
 def hops_union(results: list[DataFrame]) -> DataFrame:
-    """The five hop results, distinct."""
+    """The five hop results; each is unique per (period, receiver, origin)."""
     u = _as_result(results[0])
     for r in results[1:]:
         u = u.unionByName(_as_result(r))
-    return u.distinct()
+    return u
 
 
 # ------------------------------------------------------------ summary / pivot

@@ -138,18 +138,17 @@ def latest_carried(t360: DataFrame, carried: DataFrame, id_col: str = "id") -> D
 
 
 def extreme_regions(invoices_by_point: DataFrame, point_region: DataFrame,
-                    north=("XV R", "I RE"), south=("XI R", "XII ")) -> DataFrame:
+                    north: tuple[str, ...], south: tuple[str, ...]) -> DataFrame:
     """Issuer -> point of sale -> region; flags sales to the far north / far south.
 
     ``invoices_by_point``: (issuer, point); ``point_region``: (point, region).
-    The region is matched on its first four characters as in the reference."""
+    ``north`` and ``south`` are whole region names."""
     pts = (invoices_by_point.where(F.col("issuer").isNotNull())
            .groupBy("issuer", "point").agg(F.count(F.lit(1)).alias("n")))
     pr = pts.join(point_region, "point", "inner").where(F.col("region").isNotNull())
-    prefix = F.substring("region", 1, 4)
     flagged = pr.select("issuer",
-                        F.when(prefix.isin(*north), 1).otherwise(0).alias("north"),
-                        F.when(prefix.isin(*south), 1).otherwise(0).alias("south"))
+                        F.when(F.col("region").isin(*north), 1).otherwise(0).alias("north"),
+                        F.when(F.col("region").isin(*south), 1).otherwise(0).alias("south"))
     g = flagged.groupBy("issuer").agg(F.sum("north").alias("total_north"),
                                       F.sum("south").alias("total_south"))
     return g.withColumn("sells_extremes",

@@ -14,6 +14,8 @@ companies is spread over all tasks.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,9 +105,9 @@ def _seeded(avg_share: DataFrame, seed: DataFrame) -> DataFrame:
     return avg_share.select("company", "partner", "capital").join(s, "partner", "left")
 
 
-def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int = 10,
+def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int | None = None,
                       trace: LoopTrace | None = None) -> tuple[DataFrame, DataFrame]:
-    """Iterations ``0 .. max_iter-1``. Returns (opacity, filled mesh).
+    """Iterations until nothing new resolves, or ``0 .. max_iter-1``. Returns (opacity, filled mesh).
 
     opacity: (company, value, iteration) with the first iteration in which
     the company resolved; filled mesh: (company, partner, capital, value) as
@@ -118,7 +120,7 @@ def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int = 10,
     resolved = cut(_resolve(mesh).withColumn("iteration", F.lit(0)))
     used = None
     trace.rounds_run = 1
-    for it in range(1, max_iter):
+    for it in count(1) if max_iter is None else range(1, max_iter):
         used = resolved
         fresh = _resolve(_fill(mesh, resolved, hot))
         step, obs = observed(
@@ -137,10 +139,12 @@ def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int = 10,
 
 
 def opacity_summary(opacity: DataFrame) -> DataFrame:
-    """count / mean / std / min / max of opacity values (one global partial aggregate)."""
+    """count / mean / std / min / quartiles / max of opacity values, one row."""
     v = F.col("value")
-    return opacity.agg(F.count(v).alias("count"), F.avg(v).alias("mean"),
-                       F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    moments = opacity.agg(F.count(v).alias("count"), F.avg(v).alias("mean"),
+                          F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    return moments.join(F.broadcast(opacity_quartiles(opacity))).select(     # one row each
+        "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def opacity_quartiles(opacity: DataFrame, probs=(0.25, 0.5, 0.75), key: str = "company",
@@ -163,6 +167,8 @@ def opacity_quartiles(opacity: DataFrame, probs=(0.25, 0.5, 0.75), key: str = "c
               .select("v", F.spark_partition_id().alias("pid"),
                       F.monotonically_increasing_id().alias("_mid"))
               .select("v", "pid", (F.col("_mid") - F.shiftleft(F.col("pid").cast("long"), 33)).alias("idx")))
+    # used twice below: without a table of its own each use would sample its own range bounds
+    ranked = cut(ranked)
     per = ranked.groupBy("pid").agg(F.count(F.lit(1)).alias("rows"))
     upto = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select("pid", F.coalesce(F.sum("rows").over(upto), F.lit(0)).alias("offset"),

@@ -20,8 +20,9 @@ def lookup_taxpayer(t360: DataFrame, tflow: DataFrame, cflow: DataFrame, id_text
                     id_col: str = "id", group_col: str = "community") -> DataFrame:
     """The 360 row of one taxpayer, its flow row and its community row (empty if unknown)."""
     key = normalise_id(id_text)
-    row = t360.where(F.col(id_col).cast("string") == F.lit(key))
-    flow = tflow.withColumnRenamed("taxpayer", "_tp")
+    # the literal takes the key's type, so that the filter reaches the scan; text that is no id finds nothing
+    row = t360.where(F.col(id_col) == F.lit(key).try_cast(t360.schema[id_col].dataType))
+    flow = tflow.where(F.col("taxpayer") == F.lit(key).try_cast(tflow.schema["taxpayer"].dataType)).withColumnRenamed("taxpayer", "_tp")
     out = row.join(flow, row[id_col] == flow["_tp"], "left").drop("_tp")
     com = cflow.withColumnRenamed("com", "_com")
     return out.join(com, out[group_col] == com["_com"], "left").drop("_com")

@@ -137,7 +137,7 @@ def _avg(b):
 
 
 def _opacity(b):
-    return own_ops.opacity_propagate(_avg(b), b.opacity_seed, max_iter=10)
+    return own_ops.opacity_propagate(_avg(b), b.opacity_seed)
 
 
 @query("own_profile")
@@ -209,7 +209,7 @@ def _leaves(b):
 
 def _eligible(b, leaves=None):
     leaves = leaves if leaves is not None else _leaves(b)
-    return kin_ops.owners_eligible(leaves, kin_ops.owners_completeness(leaves), cap=10000)
+    return kin_ops.owners_eligible(leaves, kin_ops.owners_completeness(leaves))
 
 
 @query("owners_expand")
@@ -260,7 +260,7 @@ def _q_kin_matches(b):
 def _kinship_rate(b):
     leaves = _leaves(b)
     comp = kin_ops.owners_completeness(leaves)
-    matches = kin_ops.kin_matches(kin_ops.owners_eligible(leaves, comp, cap=10000),
+    matches = kin_ops.kin_matches(kin_ops.owners_eligible(leaves, comp),
                                   kin_ops.kin_edges(b.kinship))
     return kin_ops.kinship_rate(comp, matches)
 
@@ -623,7 +623,7 @@ def _q_export_csv(b):
 def _t360(b):
     leaves = _leaves(b)
     comp = kin_ops.owners_completeness(leaves)
-    kin = kin_ops.kinship_rate(comp, kin_ops.kin_matches(kin_ops.owners_eligible(leaves, comp, cap=10000),
+    kin = kin_ops.kinship_rate(comp, kin_ops.kin_matches(kin_ops.owners_eligible(leaves, comp),
                                                          kin_ops.kin_edges(b.kinship)))
     return flows.taxpayer_360(b.communities, _labels(b), _opacity(b)[0], kin, _workers(b),
                               flows.networth(b.networth))
@@ -640,7 +640,7 @@ def _q_latest_carried(b):
     return rounded(flows.latest_carried(_t360(b), b.spark.read.parquet(cp)))
 
 
-EXTREME_NORTH, EXTREME_SOUTH = ("AFRI",), ("EURO",)
+EXTREME_NORTH, EXTREME_SOUTH = ("AFRICA",), ("EUROPE",)
 
 
 @query("extreme_regions")

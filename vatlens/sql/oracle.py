@@ -262,7 +262,8 @@ ORACLE["opacity_filled_mesh"] = with_inputs(
     OPACITY_CTES)
 ORACLE["opacity_summary"] = with_inputs(
     OPACITY_IN, f"SELECT count(value) AS count, {r('avg(value)', 6)} AS mean, {r('stddev_samp(value)', 6)} AS std, "
-    f"{r('min(value)', 6)} AS min, {r('max(value)', 6)} AS max FROM res9", OPACITY_CTES)
+    f"{r('min(value)', 6)} AS min, {r('quantile_cont(value, 0.25)', 6)} AS q25, {r('quantile_cont(value, 0.5)', 6)} AS q50, "
+    f"{r('quantile_cont(value, 0.75)', 6)} AS q75, {r('max(value)', 6)} AS max FROM res9", OPACITY_CTES)
 
 ORACLE["opacity_quartiles"] = with_inputs(
     OPACITY_IN, f"SELECT {r('quantile_cont(value, 0.25)', 6)} AS q25, {r('quantile_cont(value, 0.5)', 6)} AS q50, "
@@ -279,7 +280,7 @@ KIN_CTES += [
     ("knonnull", "SELECT company, count(*) AS matched FROM socios WHERE natural_id IS NOT NULL GROUP BY company"),
     ("kfinal", "SELECT t.company, t.total, n.matched FROM ktotal t LEFT JOIN knonnull n ON t.company = n.company"),
     ("elig", "SELECT s.company, s.natural_id AS owner FROM socios s LEFT JOIN kfinal f ON s.company = f.company "
-             "WHERE f.total = f.matched AND f.total <= 10000"),
+             "WHERE f.total = f.matched"),
     ("kedges", "SELECT DISTINCT id, relative FROM (SELECT id, relative FROM (SELECT DISTINCT id, relative FROM "
                "kinship WHERE id <> relative) k UNION ALL SELECT relative, id FROM (SELECT DISTINCT id, relative "
                "FROM kinship WHERE id <> relative) k2) u"),
@@ -576,8 +577,8 @@ FROM t360 t LEFT JOIN (
 ORACLE["extreme_regions"] = with_inputs(["invoice_points", "point_regions"], """
 SELECT issuer, total_north, total_south,
        CASE WHEN total_north > 0 AND total_south > 0 THEN 'si' ELSE 'no' END AS sells_extremes
-FROM (SELECT issuer, sum(CASE WHEN substring(region, 1, 4) IN ('AFRI') THEN 1 ELSE 0 END) AS total_north,
-             sum(CASE WHEN substring(region, 1, 4) IN ('EURO') THEN 1 ELSE 0 END) AS total_south
+FROM (SELECT issuer, sum(CASE WHEN region IN ('AFRICA') THEN 1 ELSE 0 END) AS total_north,
+             sum(CASE WHEN region IN ('EUROPE') THEN 1 ELSE 0 END) AS total_south
       FROM (SELECT issuer, point, count(*) AS c FROM invoice_points WHERE issuer IS NOT NULL GROUP BY issuer, point) pv
       JOIN point_regions pr ON pv.point = pr.point WHERE pr.region IS NOT NULL
       GROUP BY issuer) t""")
