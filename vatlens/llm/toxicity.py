@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from vatlens.llm.common import fold, materialise
 
 #: EVIDENCE: least likelihood ratio of a feature (chi-square at 0.001, one degree of freedom).
-SAMPLE, FEATURES, LEAST, EVIDENCE = 40_000, 4000, 3, 10.83
+SAMPLE, FEATURES, LEAST, EVIDENCE = 20_000, 4000, 3, 10.83
 PREFIXES = (3, 4, 5, 6)
 WEIGHT, RIDGE, STEPS = 5.0, 1e-4, 400
 #: Fixed: identity terms by kind; a term is swapped for the next of its kind.
@@ -93,7 +93,7 @@ def sampled(texts: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
     The ids are chosen first and, being bounded, broadcast: the other texts do not move."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = known.withColumn("doc_id", F.col("doc_id").cast("long")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic") \
         .agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"))
 
@@ -131,35 +131,42 @@ def strongest(counts: DataFrame, texts: int, toxic: int, limit: int, least: int,
     return [r[0] for r in top.select("feature").collect()]
 
 
-def fit(rows: list[tuple[float, list[int], list[int] | None]], width: int, weight: float = WEIGHT,
-        ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and bias from rows of (label, features, features of the counterfactual)."""
-    y = np.array([r[0] for r in rows])
+@dataclass
+class Lists:
+    """Lists of feature numbers as flat arrays: ``ids`` and the row of each."""
 
-    def sparse(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        return np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.array([i for x in lists for i in x], np.int64)
+    rows: np.ndarray
+    ids: np.ndarray
+    size: int
 
-    own = sparse([r[1] for r in rows])
-    pairs = [(r[1], r[2]) for r in rows if r[2] is not None]
-    left, right = sparse([p[0] for p in pairs]), sparse([p[1] for p in pairs])
-    n, m = len(y), max(1, len(pairs))
+    @staticmethod
+    def of(column: pa.ListArray) -> Lists:
+        """The lists of a column without NULLs."""
+        lengths = np.diff(column.offsets.to_numpy())
+        return Lists(np.repeat(np.arange(len(column), dtype=np.int32), lengths), column.flatten().to_numpy(), len(column))
 
-    def times(x, w, size):
-        return np.bincount(x[0], w[x[1]], minlength=size)
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, w[self.ids], minlength=self.size)
 
-    def back(x, v):
-        return np.bincount(x[1], v[x[0]], minlength=width)
+    def back(self, v: np.ndarray, width: int) -> np.ndarray:
+        return np.bincount(self.ids, v[self.rows], minlength=width)
 
+
+def fit(y: np.ndarray, own: Lists, left: Lists, right: Lists, width: int, weight: float = WEIGHT,
+        ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """Weights and bias from labels, features, and the features before (``left``) and after (``right``) the
+    swap of the texts that name a group."""
+    n, pairs = len(y), left.size
     w = v = np.zeros(width)
     base = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     b = c = float(np.log(base / (1 - base)))
-    step = 4.0 / (1 + np.bincount(own[0], minlength=n).mean() + 8 * weight * len(pairs) / n)
+    step = 4.0 / (1 + len(own.ids) / n + 8 * weight * pairs / n)
     for k in range(steps):                       # Nesterov's gradient steps
-        p = 1 / (1 + np.exp(-np.clip(times(own, v, n) + c, -40, 40)))
-        grad = back(own, (p - y) / n) + ridge * v
+        p = 1 / (1 + np.exp(-np.clip(own.times(v) + c, -40, 40)))
+        grad = own.back((p - y) / n, width) + ridge * v
         if pairs:
-            gap = (times(left, v, len(pairs)) - times(right, v, len(pairs))) * (2 * weight / n)
-            grad += back(left, gap) - back(right, gap)
+            gap = (left.times(v) - right.times(v)) * (2 * weight / n)
+            grad += left.back(gap, width) - right.back(gap, width)
         w_next, b_next = v - step * grad, c - step * float((p - y).mean())
         pull = k / (k + 3)
         v, c = w_next + pull * (w_next - w), b_next + pull * (b_next - b)
@@ -179,21 +186,23 @@ def learn(texts: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: i
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"label": [], "own": [], "other": []}
+            out = {"doc_id": batch.column("doc_id"), "label": [], "own": [], "other": []}
             for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
                 found = words(text.as_py() or "")
                 swapped = counterfactual(found)
                 out["label"].append(float(label))
                 out["own"].append(index.ids(found))
                 out["other"].append(None if swapped is None else index.ids(swapped))
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(out["label"], pa.float64()), pa.array(out["own"], kind), pa.array(out["other"], kind)], names=list(out))
-
-    # at most ``sample`` rows of feature numbers
-    got = rows.select("text", "toxic").mapInArrow(encode, "label double, own array<long>, other array<long>").toArrow()
-    data = list(zip(*(got.column(c).to_pylist() for c in ("label", "own", "other"))))
-    data.sort(key=lambda r: (r[0], r[1]))        # the same sums whatever the order of the tasks
-    weights, bias = fit(data, len(names), weight)
+            kind = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([out["doc_id"], pa.array(out["label"], pa.float64()), pa.array(out["own"], kind), pa.array(out["other"], kind)], names=list(out))
+
+    # at most ``sample`` rows of feature numbers; by doc_id, for the same sums whatever the order of the tasks
+    got = rows.select("doc_id", "text", "toxic").mapInArrow(encode, "doc_id long, label double, own array<int>, other array<int>").toArrow()
+    got = got.sort_by("doc_id").combine_chunks()
+    column = {c: got.column(c).chunk(0) for c in ("label", "own", "other")}
+    named = column["other"].is_valid()
+    weights, bias = fit(column["label"].to_numpy(), Lists.of(column["own"]), Lists.of(column["own"].filter(named)),
+                        Lists.of(column["other"].filter(named)), len(names), weight)
     return Classifier(index.index, weights, bias)
 
 
