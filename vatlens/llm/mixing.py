@@ -8,7 +8,8 @@ sampled if the hash of its id, as a number in [0, 1), lies below its cell's prob
 so the choice does not depend on partitions or on the order of the rows.
 
 Targets: a share per value of a margin, or by default the corpus share to the power
-``temper``, which lifts small sources and lowers large ones. ``rate`` is the share of all
+``temper``, which lifts small sources and lowers large ones. Values that given targets do
+not name get nothing. ``rate`` is the share of all
 tokens to keep. Only the cell table, which is small (sources x languages x topics), is
 raked; every round is one table in the shared folder. Texts are read once and not moved.
 
@@ -52,9 +53,9 @@ def with_targets(cells: DataFrame, targets: dict[str, dict[str | None, float]],
     """Cells with the target share of each of their margin values as _t_<margin>."""
     for m in MARGINS:
         values = cells.groupBy(f"_{m}").agg(F.sum("_tokens").alias("_sum"))
-        raw = F.pow(F.col("_sum").cast("double"), F.lit(temper))
+        raw = F.lit(0.0) if m in targets else F.pow(F.col("_sum").cast("double"), F.lit(temper))
         for value, weight in targets.get(m, {}).items():
-            raw = F.when(F.col(f"_{m}") == ("" if value is None else f"={value}"), F.lit(float(weight))).otherwise(raw if m not in targets else F.lit(0.0))
+            raw = F.when(F.col(f"_{m}") == ("" if value is None else f"={value}"), F.lit(float(weight))).otherwise(raw)
         values = materialise(values.select(f"_{m}", raw.alias("_raw")), "margin")
         total = values.agg(F.sum("_raw")).first()[0]
         cells = cells.join(small(values), f"_{m}").withColumn(f"_t_{m}", F.col("_raw") / F.lit(total or 1.0)).drop("_raw")
