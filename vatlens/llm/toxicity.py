@@ -160,7 +160,8 @@ def fit(y: np.ndarray, own: Lists, left: Lists, right: Lists, width: int, weight
     w = v = np.zeros(width)
     base = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     b = c = float(np.log(base / (1 - base)))
-    step = 4.0 / (1 + len(own.ids) / n + 8 * weight * pairs / n)
+    # the inverse of a bound of the curvature: of the logistic part, and of the squared gaps
+    step = 1 / ((1 + len(own.ids) / n) / 4 + 2 * weight * (len(left.ids) + len(right.ids)) / n + ridge)
     for k in range(steps):                       # Nesterov's gradient steps
         p = 1 / (1 + np.exp(-np.clip(own.times(v) + c, -40, 40)))
         grad = own.back((p - y) / n, width) + ridge * v
