@@ -7,7 +7,8 @@ gaps of the squared number of open bins with that gap becomes smallest; the choi
 needs only those counts, not the bins' contents.
 
 The rule is sequential, so the pieces are dealt at random to shards of about
-``shard_pieces`` pieces, and each shard is packed by one task in the order dealt; the
+``shard_pieces`` pieces, and each shard is packed by one task, in the order dealt and in
+order of falling length, of which the better stays; the
 state of a shard is one count per gap. The pieces of the sequences that stay open at
 the end of a shard (a few in a hundred) are then taken out and placed once more, in
 order of falling length into the smallest gap that holds them. The number of shards
@@ -140,20 +141,29 @@ def place(lengths: np.ndarray, capacity: int = CAPACITY, tightest: bool = False)
     return where, offset
 
 
-def pack_shard(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of the items of one shard: the sum-of-squares rule, then the open bins once more."""
-    where, offset = place(lengths, capacity)
-    if len(lengths):
-        is_open = np.bincount(where, weights=lengths) < capacity
-        again = np.flatnonzero(is_open[where])
-        again = again[np.argsort(-lengths[again], kind="stable")]
-        full = np.cumsum(~is_open) - 1
-        second, offset[again] = place(lengths[again], capacity, tightest=True)
-        where = full[where]
-        where[again] = int((~is_open).sum()) + second
+def settle(lengths: np.ndarray, order: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of the items placed in ``order`` by the rule, then the open bins once more."""
+    where, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    where[order], offset[order] = place(lengths[order], capacity)
+    is_open = np.bincount(where, weights=lengths) < capacity
+    again = np.flatnonzero(is_open[where])
+    again = again[np.argsort(-lengths[again], kind="stable")]
+    full = np.cumsum(~is_open) - 1
+    second, offset[again] = place(lengths[again], capacity, tightest=True)
+    where = full[where]
+    where[again] = int((~is_open).sum()) + second
     return where, offset
 
 
+def pack_shard(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of the items of one shard, in the order given or of falling length,
+    whichever leaves fewer bins."""
+    if not len(lengths):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    orders = (np.arange(len(lengths)), np.argsort(-lengths, kind="stable"))
+    return min((settle(lengths, order, capacity) for order in orders), key=lambda found: found[0].max())
+
+
 def pack(docs: DataFrame, capacity: int = CAPACITY, files: tuple[str, str] | None = None,
          shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """One row per piece with its sequence and its place there (``PACKED``)."""
