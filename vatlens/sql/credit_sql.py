@@ -1,299 +1,203 @@
-"""DuckDB twin of the credit tracing of one period, as a CTE chain.
+"""DuckDB twin of the credit tracing, derived from the definitions in SURVEY section 2.6.
 
-It follows the reference's SQL shape (branch unions for hop 1, five left
-joins for the summary, seven OR-joins for the pivot) with the decisions
-recorded in README (aligned union, declared flags as NOT NULL, phantom
-origins 4-6, cold-start receiver taken from the current declaration).
+Relations that need no history hold every period at once (``base``). A period adds what
+depends on the period before it (``period_ctes``): the carried credit, the self edges, one
+tagged join that gives hop 1, one recursive step over (receiver, origin) for the hops after
+it, and conditional aggregates that turn hops and then origins into columns.
 """
 
 from __future__ import annotations
 
+# Origin codes, column orders and code lists that results must share.
 ORIGIN_SUFFIX = {1: "nd", 2: "al", 3: "ce", 4: "w08", 5: "rem", 6: "fm01", 7: "ed30"}
 PIVOT_ORDER = ("al", "nd", "ce", "w08", "rem", "fm01", "ed30")
 TOTAL_ORIGINS = ("al", "rem", "nd", "w08", "fm01", "ed30")
 CARRIED_ORDER = ("rem", "nd", "al", "w08", "ed30", "ce", "fm01")
 SPECIAL = ("c_725", "c_704", "c_160", "c_126", "c_572", "c_768", "c_767")
+INVOICE_CREDIT = ("c_520", "c_762", "c_766", "c_525")
 DECLARED = ("id", "period", "fact_amt", "fact_qty", "c_519", "c_520", "fact_cr_sup", "fact_cr_const",
             "fact_cr_fixed", "nc_cr", "fact_cr", "c_538", "nc_qty", "nc_amt", "c_537", "net_cr",
             "special_cr", "c_504")
-CREDIT_TEST = ("(t5.c_520 > 0 OR t5.fact_cr_sup > 0 OR t5.fact_cr_const > 0 OR t5.fact_cr_fixed > 0 "
-               "OR t5.nc_cr > 0)")
+CREDIT_INPUTS = ["declarations", "observations", "ledger", "authorisations", "alerts"]
+HOPS = range(1, 6)
+MEASURES = ([f"iva_neto_cdo_a{k}" for k in HOPS] + [f"prop_neto_cdo_a{k}" for k in HOPS]
+            + ["total_cont", "prop_total_cont"])
+RESULT = ("period", "receiver", "f29_fact_reci", "f29_nc_reci", "f29_neto_reci", "iva_fact_cdo", "iva_nc_cdo",
+          "iva_neto_cdo", "prop_fact_cdo", "prop_nc_cdo", "prop_neto_cdo", "hop", "c_537", "origin")
+
+#: Which edges an origin marks: (origin, kind of self edge or NULL for a marked issuer, receiver's kind,
+#: receiver must claim credit, label of the row).
+ADMITS = """VALUES
+  (1, NULL, 'f29', true, 'f29'), (2, NULL, 'f29', true, 'f29'), (7, NULL, 'f29', true, 'f29'),
+  (2, NULL, 'rcv', false, 'rcv'), (3, 'PHANTOM CE', 'f29', false, 'f29 CE'), (4, 'PHANTOM CE', 'rcv', false, 'RCV CE'),
+  (4, 'PHANTOM W08', 'f29', false, 'f29 W08'), (5, 'PHANTOM REM', 'f29', false, 'f29 REM'),
+  (6, 'PHANTOM FM01', 'f29', false, 'f29 FM01')"""
+#: How a hop rounds: (hop, credit notes take the invoice proportion, digits of a product, sums to one
+#: digit, the issuer's invoice part must be positive).
+STEPS = "VALUES (2, true, 1, false, false), (3, false, 1, true, true), (4, false, 5, true, true), (5, false, 5, true, true)"
 
 
 def prior(p: int) -> int:
-    return (p // 100 - 1) * 100 + 12 if p % 100 == 1 else p - 1
-
-
-def nzsum(cols, alias="") -> str:
-    return " + ".join(f"COALESCE({alias}{c}, 0)" for c in cols)
-
-
-def ddiv(a: str, b: str) -> str:
-    return f"(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0))"
+    return p - 89 if p % 100 == 1 else p - 1
+
+
+def total(cols) -> str:
+    return " + ".join(f"ifnull({c}, 0)" for c in cols)
+
+
+def share(a: str, b: str) -> str:
+    return f"round({a}::DOUBLE / nullif({b}::DOUBLE, 0), 5)"
+
+
+def base() -> list[tuple[str, str]]:
+    """Relations of all periods."""
+    invoice = total(INVOICE_CREDIT)
+    zeros = ", ".join(f"0 AS {c}" for c in DECLARED if c not in ("id", "period", "nc_cr", "fact_cr", "c_537", "net_cr"))
+    plain = ", ".join(c for c in DECLARED if c != "c_504")
+    return [
+        # one declaration a taxpayer and period: the valid one with the highest folio
+        ("filed", """SELECT * FROM declarations WHERE validity IN (1, 3) AND c_537 > 0
+QUALIFY row_number() OVER (PARTITION BY id, period ORDER BY folio DESC) = 1"""),
+        ("carryover", f"""SELECT id, period AS period_ant, c_537 AS f29_537_ant, ifnull(c_538, 0) AS f29_538_ant,
+  ifnull(c_77, 0) AS f29_77_ant, {total(('c_768', 'c_767'))} AS special_cr_ant,
+  round(ifnull(c_77, 0)::DOUBLE / nullif((c_537 + {total(SPECIAL)})::DOUBLE, 0), 6) AS carry_ratio_ant FROM filed"""),
+        ("claims", f"""SELECT id, period, c_502 AS fact_amt, c_503 AS fact_qty, c_519, c_520, c_762 AS fact_cr_sup,
+  c_766 AS fact_cr_const, c_525 AS fact_cr_fixed, ifnull(c_528, 0) AS nc_cr, {invoice} AS fact_cr, c_538,
+  c_509 AS nc_qty, c_510 AS nc_amt, c_537,
+  {invoice} + {total(('c_504', 'c_532', 'c_535', 'c_553'))} - ifnull(c_528, 0) AS net_cr,
+  {total(SPECIAL)} AS special_cr, ifnull(c_504, 0) AS c_504 FROM filed"""),
+        ("notes", "SELECT id, period, amount, code FROM observations WHERE code IN ('FM01', 'W08') AND status = 'V' "
+                  "AND end_date IS NULL"),
+        # an FM01 note takes from the carried credit; one larger than it takes it all
+        ("adjusted", f"""SELECT {', '.join('q.' + c for c in DECLARED if c != 'c_504')}, q.c_504 AS c_504_orig,
+  greatest(q.c_504 - ifnull(n.amount, 0), 0) AS c_504, least(q.c_504, ifnull(n.amount, 0)) AS fm01
+FROM claims q LEFT JOIN notes n ON n.code = 'FM01' AND n.id = q.id AND n.period = q.period"""),
+        ("purchases", """SELECT period, issuer, receiver, if(note, 0, vat) AS iva_fact, if(note, vat, 0) AS iva_nc,
+  (NOT note)::INT AS is_fact, note::INT AS is_nc, if(note, -vat, vat) AS signed_vat
+FROM (SELECT *, doc_type IN (60, 61) AS note FROM ledger
+      WHERE operation = 'COMPRA' AND tx_type BETWEEN 1 AND 6 AND doc_type IN (30, 33, 55, 56, 60, 61)) p"""),
+        ("links", """SELECT g.*, EXISTS (FROM adjusted a WHERE a.id = g.issuer AND a.period = g.period)::INT AS issuer_declares,
+  EXISTS (FROM adjusted a WHERE a.id = g.receiver AND a.period = g.period)::INT AS receiver_declares
+FROM (SELECT issuer, receiver, period, sum(iva_fact) AS iva_fact, sum(iva_nc) AS iva_nc, count(*) AS qty_docto,
+        sum(is_fact) AS qty_fact, sum(is_nc) AS qty_nc, ifnull(sum(iva_fact), 0) - ifnull(sum(iva_nc), 0) AS iva_neto1,
+        ifnull(sum(signed_vat), 0) AS iva_neto_cv1
+      FROM purchases GROUP BY ALL) g"""),
+        ("trades", """SELECT * EXCLUDE (iva_neto1, iva_neto_cv1), greatest(iva_neto1, 0) AS iva_neto,
+  greatest(iva_neto_cv1, 0) AS iva_neto_cv FROM links"""),
+        # who may claim: declarants, and receivers known from the ledger alone
+        ("claimants", f"""SELECT DISTINCT {plain.replace('net_cr', 'greatest(net_cr, 0) AS net_cr')}, c_504, 'f29' AS kind FROM adjusted
+UNION ALL BY NAME
+SELECT receiver AS id, period, {zeros}, sum(iva_nc) AS nc_cr, sum(iva_fact) AS fact_cr, sum(iva_neto) AS c_537,
+  greatest(sum(iva_neto), 0) AS net_cr, 'rcv' AS kind
+FROM trades WHERE receiver_declares = 0 GROUP BY receiver, period"""),
+        ("silent", "SELECT issuer, period, receiver, iva_fact, iva_nc, qty_docto, iva_neto FROM trades WHERE issuer_declares = 0"),
+        ("unlicensed", """SELECT DISTINCT issuer, period FROM ledger l WHERE doc_type = 30 AND operation = 'COMPRA'
+  AND NOT EXISTS (FROM authorisations a WHERE a.id = l.issuer AND a.attribute = 'POFE' AND a.end_date IS NULL)"""),
+        ("alerted", """SELECT DISTINCT issuer, period FROM trades WHERE issuer IN (
+  SELECT id FROM alerts WHERE code IN ('4110', '4111', '4112') AND deactivated_by IS NULL AND unblock_folio IS NULL)"""),
+        ("marked", """SELECT DISTINCT issuer, period, 1 AS origin FROM silent UNION ALL
+SELECT issuer, period, 2 FROM alerted UNION ALL SELECT issuer, period, 7 FROM unlicensed"""),
+        ("admits", f"SELECT * FROM ({ADMITS}) v(origin, node_kind, kind, claims_credit, label)"),
+        ("steps", f"SELECT * FROM ({STEPS}) v(hop, nc_by_invoice, digits, sums_to_tenth, needs_invoice)"),
+    ]
 
 
 def period_ctes(P: int, x: str, history: str | None = None) -> list[tuple[str, str]]:
-    """CTEs named ``{x}<step>`` for period ``P``; ``history`` names a CTE with
-    (period, receiver, total_cont_an, prop_total_cont_an) of earlier periods."""
-    Pa = prior(P)
-    c: list[tuple[str, str]] = []
-
-    def add(name, sql):
-        c.append((x + name, sql))
-
-    def latest(per):
-        return (f"SELECT max(folio) AS max_folio, id, period FROM declarations WHERE period = {per} "
-                f"AND validity IN (1, 3) AND c_537 > 0 GROUP BY id, period")
-
-    add("latest", latest(P))
-    add("latest_ant", latest(Pa))
-    add("ant", f"""SELECT DISTINCT t1.id, t1.period AS period_ant, t1.c_537 AS f29_537_ant,
-  COALESCE(t1.c_538, 0) AS f29_538_ant, COALESCE(t1.c_77, 0) AS f29_77_ant,
-  COALESCE(t1.c_768, 0) + COALESCE(t1.c_767, 0) AS special_cr_ant,
-  round({ddiv('COALESCE(t1.c_77, 0)', 't1.c_537 + ' + nzsum(SPECIAL, 't1.'))}, 6) AS carry_ratio_ant
-FROM declarations t1 JOIN {x}latest_ant t2 ON t1.folio = t2.max_folio AND t1.id = t2.id
-WHERE t1.period = {Pa} AND t1.c_537 > 0 AND t1.validity IN (1, 3)""")
-    fact_cr = nzsum(("c_520", "c_762", "c_766", "c_525"))
-    add("f29_0", f"""SELECT DISTINCT t1.id, c_502 AS fact_amt, c_503 AS fact_qty, c_519, c_520, t1.period,
-  c_762 AS fact_cr_sup, c_766 AS fact_cr_const, c_525 AS fact_cr_fixed, COALESCE(c_528, 0) AS nc_cr,
-  {fact_cr} AS fact_cr, c_538, c_509 AS nc_qty, c_510 AS nc_amt, c_537,
-  {fact_cr} + COALESCE(c_504, 0) - COALESCE(c_528, 0) + COALESCE(c_532, 0) + COALESCE(c_535, 0) + COALESCE(c_553, 0) AS net_cr,
-  {nzsum(SPECIAL)} AS special_cr, COALESCE(c_504, 0) AS c_504
-FROM declarations t1 JOIN {x}latest t2 ON t1.folio = t2.max_folio AND t1.id = t2.id
-WHERE t1.period = {P} AND t1.validity IN (1, 3) AND t1.c_537 > 0""")
-
-    def obs(code):
-        return (f"SELECT id, period, amount FROM observations WHERE period = {P} AND code = '{code}' "
-                f"AND end_date IS NULL AND status = 'V'")
-
-    add("fm01", obs("FM01"))
-    add("w08", obs("W08"))
-    keep = ", ".join(f"t1.{k}" for k in DECLARED if k != "c_504")
-    add("f29_1", f"""SELECT {keep}, t1.c_504 AS c_504_orig,
-  CASE WHEN t1.c_504 - COALESCE(o.amount, 0) < 0 THEN 0 ELSE t1.c_504 - COALESCE(o.amount, 0) END AS c_504,
-  CASE WHEN t1.c_504 - COALESCE(o.amount, 0) < 0 THEN t1.c_504 ELSE COALESCE(o.amount, 0) END AS fm01
-FROM {x}f29_0 t1 LEFT JOIN {x}fm01 o ON t1.id = o.id""")
+    """CTEs ``{x}<name>`` of period ``P`` over those of ``base``; ``history`` names a relation with
+    (period, receiver, total_cont_an, prop_total_cont_an) of the periods before."""
     if history is None:
-        add("carry", f"""SELECT {Pa} AS period_ant, t1.id AS receiver, {P} AS period,
-  CAST(0 AS DOUBLE) AS total_cont_an_ant, CAST(0 AS DOUBLE) AS prop_total_cont_an_ant, t2.f29_77_ant,
-  t1.c_504_orig, t1.c_504, t1.fm01, CAST(0 AS DOUBLE) AS carried_cont
-FROM {x}f29_1 t1 LEFT JOIN {x}ant t2 ON t1.id = t2.id""")
+        entering = f"SELECT id AS receiver, 0.0::DOUBLE AS total_cont_an, 0.0::DOUBLE AS prop FROM adjusted WHERE period = {P}"
     else:
-        prop = "CASE WHEN COALESCE(t1.prop_total_cont_an, 0) < 0 THEN 0 ELSE COALESCE(t1.prop_total_cont_an, 0) END"
-        add("carry", f"""SELECT {Pa} AS period_ant, t1.receiver, {P} AS period,
-  CAST(t1.total_cont_an AS DOUBLE) AS total_cont_an_ant, CAST({prop} AS DOUBLE) AS prop_total_cont_an_ant,
-  t2.f29_77_ant, t3.c_504_orig, t3.c_504, t3.fm01,
-  CAST(round(CAST({prop} AS DECIMAL(20,10)) * COALESCE(t3.c_504, 0), 4) AS DOUBLE) AS carried_cont
-FROM {history} t1 LEFT JOIN {x}ant t2 ON t1.receiver = t2.id LEFT JOIN {x}f29_1 t3 ON t1.receiver = t3.id
-WHERE t1.period = {Pa}""")
-    add("docs", f"""SELECT period, issuer, receiver,
-  CASE WHEN doc_type IN (29, 30, 33, 45, 46, 55, 56) THEN vat ELSE 0 END AS iva_fact,
-  CASE WHEN doc_type IN (60, 61) THEN vat ELSE 0 END AS iva_nc,
-  CASE WHEN doc_type IN (29, 30, 33, 45, 46, 55, 56) THEN 1 ELSE 0 END AS es_fact,
-  CASE WHEN doc_type IN (60, 61) THEN 1 ELSE 0 END AS es_nc,
-  CASE WHEN doc_type IN (60, 61) THEN vat * -1 ELSE vat END AS monto_iva
-FROM ledger WHERE period = {P} AND tx_type IN (1, 2, 3, 4, 5, 6) AND doc_type IN (30, 33, 55, 56, 60, 61)
-  AND operation = 'COMPRA'""")
-    add("res01", f"""SELECT t1.issuer, t1.receiver, t1.period, sum(iva_fact) AS iva_fact, sum(iva_nc) AS iva_nc,
-  count(*) AS qty_docto, sum(es_fact) AS qty_fact, sum(es_nc) AS qty_nc,
-  sum(COALESCE(iva_fact, 0)) - sum(COALESCE(iva_nc, 0)) AS iva_neto1, sum(COALESCE(monto_iva, 0)) AS iva_neto_cv1,
-  CASE WHEN t2.id IS NOT NULL THEN 1 ELSE 0 END AS issuer_declares,
-  CASE WHEN t3.id IS NOT NULL THEN 1 ELSE 0 END AS receiver_declares
-FROM {x}docs t1
-LEFT JOIN {x}f29_1 t2 ON t1.issuer = t2.id AND t1.period = t2.period
-LEFT JOIN {x}f29_1 t3 ON t1.receiver = t3.id AND t1.period = t3.period
-GROUP BY t1.issuer, t1.receiver, t1.period, t2.id, t3.id""")
-    add("res0", f"""SELECT issuer, receiver, period, iva_fact, iva_nc, qty_docto, qty_fact, qty_nc,
-  CASE WHEN iva_neto1 < 0 THEN 0 ELSE iva_neto1 END AS iva_neto,
-  CASE WHEN iva_neto_cv1 < 0 THEN 0 ELSE iva_neto_cv1 END AS iva_neto_cv, issuer_declares, receiver_declares
-FROM {x}res01""")
-    cols_f29 = ", ".join(DECLARED)
-    add("f29u", f"""SELECT {cols_f29}, 'f29' AS kind FROM {x}f29_1
-UNION
-SELECT receiver, period, 0, 0, 0, 0, 0, 0, 0, sum(iva_nc), sum(iva_fact), 0, 0, 0, sum(iva_neto), sum(iva_neto), 0, 0, 'rcv'
-FROM {x}res0 t1 WHERE NOT EXISTS (SELECT * FROM {x}f29_1 t2 WHERE t2.id = t1.receiver AND t2.period = t1.period)
-GROUP BY receiver, period""")
-    sel = ", ".join(k if k != "net_cr" else "CASE WHEN net_cr < 0 THEN 0 ELSE net_cr END AS net_cr"
-                    for k in DECLARED)
-    add("f29", f"SELECT {sel}, kind FROM {x}f29u")
-    add("emi_sinf29", f"""SELECT issuer, period, receiver, sum(iva_fact) AS iva_fact, sum(iva_nc) AS iva_nc,
-  sum(qty_docto) AS qty_docto, sum(iva_neto) AS iva_neto
-FROM {x}res0 t1 WHERE NOT EXISTS (SELECT * FROM {x}f29 t2 WHERE kind = 'f29' AND t2.id = t1.issuer AND t2.period = t1.period)
-GROUP BY issuer, period, receiver""")
-    add("doc30", f"""SELECT DISTINCT issuer, period FROM ledger WHERE doc_type = 30 AND period = {P} AND operation = 'COMPRA'
-  AND issuer NOT IN (SELECT id FROM authorisations WHERE attribute = 'POFE' AND end_date IS NULL)""")
-    add("alerta", f"""SELECT DISTINCT t1.issuer FROM {x}res0 t1 WHERE EXISTS (SELECT * FROM alerts t2
-  WHERE t1.issuer = t2.id AND t2.deactivated_by IS NULL AND t2.unblock_folio IS NULL
-  AND t2.code IN ('4110', '4111', '4112'))""")
-    add("ce", f"SELECT id, special_cr, period FROM {x}f29 WHERE period = {P} AND special_cr > 0")
-
-    def ph(src, idc, amount, kind, group=True):
-        g = f" GROUP BY {idc}, period" if group else ""
-        return (f"SELECT {idc}, {idc}, period, 0, 0, 0, 0, 0, {amount}, 0, 1, 1, '{kind}' FROM {src}{g}")
-
-    add("res_docto", "\nUNION\n".join([
-        f"SELECT issuer, receiver, period, iva_fact, iva_nc, qty_docto, qty_fact, qty_nc, iva_neto, iva_neto_cv, "
-        f"issuer_declares, receiver_declares, 'NORMAL' AS node_kind FROM {x}res0",
-        ph(f"{x}ce", "id", "sum(special_cr)", "PHANTOM CE"),
-        ph(f"{x}w08", "id", "sum(amount)", "PHANTOM W08"),
-        ph(f"{x}carry", "receiver", "carried_cont", "PHANTOM REM", group=False),
-        ph(f"{x}fm01", "id", "sum(amount)", "PHANTOM FM01"),
-    ]))
-    add("rel0", f"""SELECT DISTINCT issuer, receiver, iva_fact, iva_nc, period, 0 AS level, qty_docto, iva_neto,
-  node_kind, issuer_declares, receiver_declares FROM {x}res_docto""")
-
-    fact_c = "CASE WHEN iva_fact <= fact_cr THEN iva_fact ELSE fact_cr END"
-    nc_c = "CASE WHEN iva_nc <= t5.nc_cr THEN iva_nc ELSE t5.nc_cr END"
-
-    def neto(cap, neither):
-        pre = "WHEN issuer_declares = 0 AND receiver_declares = 0 THEN 0 " if neither else ""
-        return f"CASE {pre}WHEN iva_neto >= 0 AND iva_neto <= {cap} THEN iva_neto ELSE {cap} END"
-
-    def branch(origin, kind_out, kind_cond, where, neto_expr):
-        return f"""SELECT DISTINCT t1.issuer, t1.receiver, t1.period, {fact_c} AS iva_fact_cont, {nc_c} AS iva_nc_cont,
-  iva_fact, iva_nc, t5.nc_cr, iva_neto, t1.qty_docto, fact_cr, t5.net_cr, ({fact_c}) - ({nc_c}) AS neto_ctdo,
-  {neto_expr} AS iva_neto_cont, {origin} AS origin, {kind_out} AS kind, issuer_declares, receiver_declares
-FROM {x}rel0 t1 JOIN {x}f29 t5 ON t1.receiver = t5.id AND t1.period = t5.period AND {kind_cond}
-WHERE {where}"""
-
-    f29c = f"t5.kind = 'f29' AND {CREDIT_TEST}"
-    special_cap = "t5.net_cr + t5.special_cr"
-    branches = [
-        branch(7, "t5.kind", f29c, f"EXISTS (SELECT * FROM {x}doc30 d WHERE t1.issuer = d.issuer AND t1.period = d.period)",
-               neto("t5.net_cr", True)),
-        branch(1, "t5.kind", f29c, f"EXISTS (SELECT * FROM {x}emi_sinf29 d WHERE t1.issuer = d.issuer AND t1.period = d.period)",
-               neto("t5.net_cr", True)),
-        branch(2, "t5.kind", f29c, f"EXISTS (SELECT * FROM {x}alerta a WHERE t1.issuer = a.issuer)",
-               neto("t5.net_cr", False)),
-        branch(2, "t5.kind", "t5.kind = 'rcv'",
-               f"EXISTS (SELECT * FROM {x}alerta a WHERE t1.issuer = a.issuer) AND NOT EXISTS (SELECT * FROM {x}f29 t3 "
-               f"WHERE t1.receiver = t3.id AND t1.period = t3.period AND t3.kind = 'f29' AND (t3.c_520 > 0 OR "
-               f"t3.fact_cr_sup > 0 OR t3.fact_cr_const > 0 OR t3.fact_cr_fixed > 0 OR t3.nc_cr > 0))",
-               neto("t5.net_cr", False)),
-        branch(3, "'f29 CE'", "t5.kind = 'f29'", "t1.node_kind = 'PHANTOM CE'", neto(special_cap, False)),
-        branch(4, "'RCV CE'", "t5.kind = 'rcv'", "t1.node_kind = 'PHANTOM CE'", neto(special_cap, False)),
-        branch(4, "'f29 W08'", "t5.kind = 'f29'", "t1.node_kind = 'PHANTOM W08'", neto(special_cap, False)),
-        branch(5, "'f29 REM'", "t5.kind = 'f29'", "t1.node_kind = 'PHANTOM REM'", neto(special_cap, False)),
-        branch(6, "'f29 FM01'", "t5.kind = 'f29'", "t1.node_kind = 'PHANTOM FM01'", neto(special_cap, False)),
-    ]
-    add("arco1", "\nUNION\n".join(branches))
-
-    lf = "CASE WHEN sum(iva_fact_cont) <= max(t2.fact_cr) THEN sum(iva_fact_cont) ELSE max(t2.fact_cr) END"
-    ln_ = "CASE WHEN sum(iva_nc_cont) <= max(t2.nc_cr) THEN sum(iva_nc_cont) ELSE max(t2.nc_cr) END"
-    add("prep1", f"""SELECT t1.period, t1.receiver, {lf} AS iva_fact_cdo, max(t2.fact_cr) - {lf} AS remanente_iva_fact_re,
-  {ln_} AS iva_nc_cdo, max(t2.nc_cr) - {ln_} AS remanente_iva_nc_re,
-  CASE WHEN origin = 3 THEN sum(iva_neto_cont)
-       WHEN origin <> 3 AND sum(t1.issuer_declares) = 0 AND sum(t1.receiver_declares) = 0 THEN 0
-       WHEN origin <> 3 AND sum(iva_neto_cont) <= max(t2.net_cr) THEN sum(iva_neto_cont)
-       ELSE max(t2.net_cr) END AS iva_neto_cdo,
-  sum(t1.qty_docto) AS qty_docto, max(t2.fact_amt) AS monto_fact_emi, max(t2.c_537) AS c_537,
-  max(t2.c_520) AS c_520, max(t2.fact_cr) AS monto_fact_reci, max(t2.nc_cr) AS monto_nc_reci,
-  max(t2.net_cr) + max(t2.special_cr) AS monto_neto_reci, t1.origin
-FROM {x}arco1 t1 JOIN {x}f29 t2 ON t1.receiver = t2.id AND t1.period = t2.period
-GROUP BY t1.period, t1.receiver, t1.origin""")
-    add("res1", f"""SELECT period, receiver, monto_fact_reci AS f29_fact_reci, monto_nc_reci AS f29_nc_reci,
-  monto_neto_reci AS f29_neto_reci,
-  CASE WHEN iva_fact_cdo <= monto_fact_reci THEN iva_fact_cdo ELSE monto_fact_reci END AS iva_fact_cdo,
-  CASE WHEN iva_nc_cdo <= monto_nc_reci THEN iva_nc_cdo ELSE monto_nc_reci END AS iva_nc_cdo,
-  CASE WHEN origin = 3 THEN iva_neto_cdo WHEN iva_neto_cdo <= monto_neto_reci THEN iva_neto_cdo ELSE monto_neto_reci END AS iva_neto_cdo,
-  round({ddiv('COALESCE(iva_fact_cdo, 0)', 'COALESCE(monto_fact_reci, 0)')}, 5) AS prop_fact_cdo,
-  round({ddiv('COALESCE(iva_nc_cdo, 0)', 'COALESCE(monto_nc_reci, 0)')}, 5) AS prop_nc_cdo,
-  round({ddiv('COALESCE(iva_neto_cdo, 0)', 'COALESCE(monto_neto_reci, 0)')}, 5) AS prop_neto_cdo,
-  1 AS hop, c_537, origin
-FROM {x}prep1""")
-
-    rules = {2: (True, 1, False, False), 3: (False, 1, True, True), 4: (False, 5, True, True),
-             5: (False, 5, True, True)}
-    for k, (nc_fact, pd, rsum, need) in rules.items():
-        ncp = "t2.prop_fact_cdo" if nc_fact else "t2.prop_nc_cdo"
-        cond = "t2.iva_fact_cdo > 0 AND " if need else ""
-        add(f"arco{k}", f"""SELECT t1.period, t1.issuer, t1.receiver,
-  round(CAST(t1.iva_fact AS DOUBLE) * t2.prop_fact_cdo, {pd}) AS pf,
-  round(CAST(t1.iva_nc AS DOUBLE) * {ncp}, {pd}) AS pn,
-  round(CAST(t1.iva_neto AS DOUBLE) * t2.prop_neto_cdo, {pd}) AS pt, t2.origin
-FROM {x}res_docto t1 JOIN {x}res{k - 1} t2 ON t1.issuer = t2.receiver AND t1.period = t2.period
-WHERE {cond}t1.issuer <> t1.receiver""")
-
-        def capped(s, m):
-            v = f"round(sum({s}), 1)" if rsum else f"sum({s})"
-            return f"CASE WHEN {v} <= max(t2.{m}) THEN {v} ELSE max(t2.{m}) END"
-
-        def prop(s, m):
-            return f"CASE WHEN sum({s}) <= max(t2.{m}) THEN round({ddiv(f'sum({s})', f'max(t2.{m})')}, 5) ELSE 1 END"
-
-        add(f"res{k}", f"""SELECT t1.period, t1.receiver, max(t2.fact_cr) AS f29_fact_reci, max(t2.nc_cr) AS f29_nc_reci,
-  max(t2.net_cr) + max(t2.special_cr) AS f29_neto_reci,
-  {capped('pf', 'fact_cr')} AS iva_fact_cdo, {capped('pn', 'nc_cr')} AS iva_nc_cdo, {capped('pt', 'net_cr')} AS iva_neto_cdo,
-  {prop('pf', 'fact_cr')} AS prop_fact_cdo, {prop('pn', 'nc_cr')} AS prop_nc_cdo, {prop('pt', 'net_cr')} AS prop_neto_cdo,
-  {k} AS hop, max(t2.c_537) AS c_537, t1.origin
-FROM {x}arco{k} t1 JOIN {x}f29 t2 ON t1.receiver = t2.id AND t1.period = t2.period
-GROUP BY t1.period, t1.receiver, t1.origin""")
-
-    rc = ("period, receiver, f29_fact_reci, f29_nc_reci, f29_neto_reci, iva_fact_cdo, iva_nc_cdo, iva_neto_cdo, "
-          "prop_fact_cdo, prop_nc_cdo, prop_neto_cdo, hop, c_537, origin")
-    add("resultado", "\nUNION\n".join(f"SELECT {rc} FROM {x}res{k}" for k in range(1, 6)))
-    add("prep_res", f"""SELECT t1.period, t1.receiver, max(f29_fact_reci) AS f29_fact_reci, max(f29_nc_reci) AS f29_nc_reci,
-  max(f29_neto_reci) AS f29_neto_reci, max(t1.c_537) AS c_537, count(*) AS qty_arco, origin
-FROM {x}resultado t1 JOIN {x}f29_1 t2 ON t1.receiver = t2.id AND t1.period = t2.period
-GROUP BY t1.period, t1.receiver, origin""")
-
-    def capv(t):
-        v = f"COALESCE({t}.iva_neto_cdo, 0)"
-        return (f"CASE WHEN {t}.origin = -3 THEN {v} WHEN {v} > 0 AND {v} > t1.f29_neto_reci THEN t1.f29_neto_reci "
-                f"WHEN {v} < 0 THEN {v} ELSE {v} END")
-
-    def capp(t):
-        p = f"COALESCE({t}.prop_neto_cdo, 0)"
-        return f"CASE WHEN {p} > 1 THEN 1 WHEN {p} < 0 THEN {p} ELSE {p} END"
-
-    ts = ["h1", "h2", "h3", "h4", "h5"]
-    first = (f"CASE WHEN h1.origin = 3 THEN COALESCE(h1.iva_neto_cdo, 0) WHEN COALESCE(h1.iva_neto_cdo, 0) > 0 AND "
-             f"COALESCE(h1.iva_neto_cdo, 0) > t1.f29_neto_reci THEN t1.f29_neto_reci ELSE COALESCE(h1.iva_neto_cdo, 0) END")
-    total = " + ".join([first] + [capv(t) for t in ts[1:]])
-    capped_total = " + ".join(capv(t) for t in ts)
-    joins = "\n".join(f"LEFT JOIN {x}res{k} h{k} ON t1.period = h{k}.period AND t1.receiver = h{k}.receiver "
-                      f"AND t1.origin = h{k}.origin" for k in range(1, 6))
-    add("resumen", f"""SELECT t1.period, t1.receiver, t1.f29_fact_reci, t1.f29_nc_reci, t1.f29_neto_reci, t1.c_537, t1.qty_arco,
-  {", ".join(f"{capv(t)} AS iva_neto_cdo_a{i + 1}, {capp(t)} AS prop_neto_cdo_a{i + 1}" for i, t in enumerate(ts))},
-  {total} AS total_cont,
-  CASE WHEN {capped_total} > t1.f29_neto_reci THEN 1 ELSE {ddiv(capped_total, 't1.f29_neto_reci')} END AS prop_total_cont,
-  {", ".join(f"{t}.origin AS origin_a{i + 1}" for i, t in enumerate(ts))}, t1.origin
-FROM {x}prep_res t1
-{joins}""")
-    add("receptores", f"""SELECT t1.period, t1.receiver, max(f29_fact_reci) AS f29_fact_reci, max(f29_nc_reci) AS f29_nc_reci,
-  max(f29_neto_reci) AS f29_neto_reci, max(t1.c_537) AS c_537
-FROM {x}resultado t1 JOIN {x}f29_1 t2 ON t1.receiver = t2.id AND t1.period = t2.period
-GROUP BY t1.period, t1.receiver""")
-    measures = ([f"iva_neto_cdo_a{k}" for k in range(1, 6)] + [f"prop_neto_cdo_a{k}" for k in range(1, 6)]
-                + ["total_cont", "prop_total_cont"])
-    code = {v: k for k, v in ORIGIN_SUFFIX.items()}
-    sel = ["tr.period", "tr.receiver", "tr.f29_neto_reci"]
-    for s in PIVOT_ORDER:
-        sel += [f"o_{s}.{m} AS {m}_{s}" for m in measures]
-    sel.append("tr.c_537")
-    pj = []
-    for s in PIVOT_ORDER:
-        ors = " OR ".join(f"COALESCE(o_{s}.origin_a{k}, 0) = {code[s]}" for k in range(1, 6))
-        pj.append(f"LEFT JOIN {x}resumen o_{s} ON tr.receiver = o_{s}.receiver AND tr.period = o_{s}.period AND ({ors})")
-    add("pivot", f"SELECT {', '.join(sel)} FROM {x}receptores tr\n" + "\n".join(pj))
-    an = []
-    for k in range(1, 6):
-        for m in ("iva_neto_cdo", "prop_neto_cdo"):
-            an.append(" + ".join(f"COALESCE({m}_a{k}_{s}, 0)" for s in TOTAL_ORIGINS) + f" AS {m}_a{k}_an")
-    add("pivot2", f"SELECT *, {', '.join(an)} FROM {x}pivot")
-    add("totals", "SELECT *, " + " + ".join(f"COALESCE(iva_neto_cdo_a{k}_an, 0)" for k in range(1, 6))
-        + " AS total_cont_an, " + " + ".join(f"prop_neto_cdo_a{k}_an" for k in range(1, 6))
-        + f" AS prop_total_cont_an FROM {x}pivot2")
-    ccols = ["t1.period", "t1.receiver", "t1.f29_neto_reci", "t2.period_ant", "t2.f29_77_ant",
-             "t2.prop_total_cont_an_ant", "t2.carried_cont", "t3.c_504"]
-    for s in CARRIED_ORDER + ("an",):
-        for k in range(1, 6):
-            ccols += [f"iva_neto_cdo_a{k}_{s}", f"prop_neto_cdo_a{k}_{s}"]
-        ccols += [f"total_cont_{s}", f"prop_total_cont_{s}"]
-    add("carried", f"""SELECT {", ".join(ccols)} FROM {x}totals t1
-LEFT JOIN {x}carry t2 ON t1.receiver = t2.receiver AND t1.period = t2.period
-LEFT JOIN {x}f29_1 t3 ON t1.receiver = t3.id""")
-    return c
-
-
-CREDIT_INPUTS = ["declarations", "observations", "ledger", "authorisations", "alerts"]
+        entering = (f"SELECT receiver, total_cont_an::DOUBLE AS total_cont_an, greatest(ifnull(prop_total_cont_an, 0), 0)::DOUBLE AS prop "
+                    f"FROM {history} WHERE period = {prior(P)}")
+    amount = "(h.prop::DECIMAL(20, 10) * ifnull(a.c_504, 0))" if history else "0"
+    carry = f"""SELECT {prior(P)} AS period_ant, h.receiver, {P} AS period, h.total_cont_an AS total_cont_an_ant,
+  h.prop AS prop_total_cont_an_ant, c.f29_77_ant, a.c_504_orig, a.c_504, a.fm01, round({amount}, 4)::DOUBLE AS carried_cont
+FROM ({entering}) h LEFT JOIN carryover c ON c.id = h.receiver AND c.period_ant = {prior(P)}
+LEFT JOIN adjusted a ON a.id = h.receiver AND a.period = {P}"""
+
+    # what a taxpayer brings in itself, as an edge to itself
+    edges = f"""SELECT issuer, receiver, period, iva_fact, iva_nc, qty_docto, qty_fact, qty_nc, iva_neto, iva_neto_cv,
+  issuer_declares, receiver_declares, 'NORMAL' AS node_kind FROM trades WHERE period = {P}
+UNION ALL
+SELECT DISTINCT id, id, {P}, 0, 0, 0, 0, 0, amount, 0, 1, 1, 'PHANTOM ' || brought
+FROM (SELECT id, sum(special_cr) AS amount, 'CE' AS brought FROM claimants WHERE period = {P} AND special_cr > 0 GROUP BY id
+      UNION ALL SELECT id, sum(amount), code FROM notes WHERE period = {P} GROUP BY id, code
+      UNION ALL SELECT receiver, carried_cont, 'REM' FROM {x}carry) own"""
+
+    hop1 = f"""SELECT DISTINCT issuer, receiver, period, taken AS iva_fact_cont, returned AS iva_nc_cont, iva_fact, iva_nc, nc_cr,
+  iva_neto, qty_docto, fact_cr, net_cr, taken - returned AS neto_ctdo,
+  CASE WHEN origin IN (1, 7) AND issuer_declares + receiver_declares = 0 THEN 0
+       WHEN iva_neto BETWEEN 0 AND room THEN iva_neto ELSE room END AS iva_neto_cont,
+  origin, label AS kind, issuer_declares, receiver_declares
+FROM (SELECT e.*, d.nc_cr, d.fact_cr, d.net_cr, w.origin, w.label,
+        if(e.iva_fact <= d.fact_cr, e.iva_fact, d.fact_cr) AS taken, if(e.iva_nc <= d.nc_cr, e.iva_nc, d.nc_cr) AS returned,
+        d.net_cr + if(w.origin BETWEEN 3 AND 6, d.special_cr, 0) AS room
+      FROM {x}edges e JOIN claimants d ON d.id = e.receiver AND d.period = e.period
+      JOIN admits w ON w.kind = d.kind AND ifnull(w.node_kind, e.node_kind) = e.node_kind
+      LEFT JOIN marked m ON m.issuer = e.issuer AND m.period = e.period AND m.origin = w.origin
+      WHERE (w.node_kind IS NOT NULL OR m.origin IS NOT NULL)
+        AND (NOT w.claims_credit OR greatest(d.c_520, d.fact_cr_sup, d.fact_cr_const, d.fact_cr_fixed, d.nc_cr) > 0)) hit"""
+
+    # sums within what the receiver claims; special credit is not bounded
+    first = f"""SELECT period, receiver, fact_cr AS f29_fact_reci, nc_cr AS f29_nc_reci, whole AS f29_neto_reci,
+  f AS iva_fact_cdo, n AS iva_nc_cdo, if(origin = 3, t, least(t, whole)) AS iva_neto_cdo, {share('f', 'fact_cr')} AS prop_fact_cdo,
+  {share('n', 'nc_cr')} AS prop_nc_cdo, {share('t', 'whole')} AS prop_neto_cdo, 1 AS hop, c_537, origin
+FROM (SELECT s.period, s.receiver, s.origin, d.fact_cr, d.nc_cr, d.c_537, d.net_cr + d.special_cr AS whole,
+        least(s.f, d.fact_cr) AS f, least(s.n, d.nc_cr) AS n,
+        CASE WHEN s.origin = 3 THEN s.t WHEN s.declarants = 0 THEN 0 ELSE least(s.t, d.net_cr) END AS t
+      FROM (SELECT period, receiver, origin, sum(iva_fact_cont) AS f, sum(iva_nc_cont) AS n, sum(iva_neto_cont) AS t,
+              sum(issuer_declares + receiver_declares) AS declarants FROM {x}hop1 GROUP BY ALL) s
+      JOIN claimants d ON d.id = s.receiver AND d.period = s.period) b"""
+
+    def held(v, cap):
+        return f"least(if(sums_to_tenth, round({v}, 1), {v}), {cap})::DOUBLE"
+
+    def part(v, cap):
+        return f"if({v} <= {cap}, {share(v, cap)}, 1.0)"
+
+    as_double = ", ".join(f"{c}::DOUBLE AS {c}" if c.startswith(("f29", "iva", "prop", "c_")) else c for c in RESULT)
+    hops = f"""WITH RECURSIVE reach AS (
+SELECT {as_double} FROM {x}first
+UNION ALL
+SELECT s.period, s.receiver, d.fact_cr::DOUBLE, d.nc_cr::DOUBLE, (d.net_cr + d.special_cr)::DOUBLE,
+  {held('f', 'd.fact_cr')}, {held('n', 'd.nc_cr')}, {held('t', 'd.net_cr')},
+  {part('f', 'd.fact_cr')}, {part('n', 'd.nc_cr')}, {part('t', 'd.net_cr')}, s.hop, d.c_537::DOUBLE, s.origin
+FROM (SELECT e.period, e.receiver, v.origin, q.hop, q.sums_to_tenth, sum(round(e.iva_fact::DOUBLE * v.prop_fact_cdo, q.digits)) AS f,
+        sum(round(e.iva_nc::DOUBLE * if(q.nc_by_invoice, v.prop_fact_cdo, v.prop_nc_cdo), q.digits)) AS n,
+        sum(round(e.iva_neto::DOUBLE * v.prop_neto_cdo, q.digits)) AS t
+      FROM reach v JOIN steps q ON q.hop = v.hop + 1
+      JOIN {x}edges e ON e.issuer = v.receiver AND e.period = v.period AND e.receiver <> e.issuer
+      WHERE v.iva_fact_cdo > 0 OR NOT q.needs_invoice GROUP BY ALL) s
+JOIN claimants d ON d.id = s.receiver AND d.period = s.period)
+SELECT * FROM reach"""
+
+    def at(k, c):
+        return f"max({c}) FILTER (WHERE hop = {k})"
+
+    per_hop = ",\n  ".join(f"ifnull({at(k, 'iva_neto_cdo')}, 0) AS v{k}, least(ifnull({at(k, 'prop_neto_cdo')}, 0), 1) AS prop_neto_cdo_a{k}, "
+                           f"{at(k, 'origin')} AS origin_a{k}" for k in HOPS)
+    summary = f"""SELECT period, receiver, origin, f29_fact_reci, f29_nc_reci, f29_neto_reci, c_537, qty_arco,
+  {', '.join(f'iva_neto_cdo_a{k}, prop_neto_cdo_a{k}, origin_a{k}' for k in HOPS)},
+  if(origin_a1 = 3, v1, iva_neto_cdo_a1) + {' + '.join(f'iva_neto_cdo_a{k}' for k in HOPS if k > 1)} AS total_cont,
+  if(bounded > f29_neto_reci, 1, bounded / nullif(f29_neto_reci, 0)) AS prop_total_cont
+FROM (SELECT *, {' + '.join(f'iva_neto_cdo_a{k}' for k in HOPS)} AS bounded
+      FROM (SELECT *, {', '.join(f'if(v{k} > 0, least(v{k}, f29_neto_reci), v{k}) AS iva_neto_cdo_a{k}' for k in HOPS)}
+            FROM (SELECT period, receiver, origin, max(f29_fact_reci) AS f29_fact_reci, max(f29_nc_reci) AS f29_nc_reci,
+  max(f29_neto_reci) AS f29_neto_reci, max(c_537) AS c_537, count(*) AS qty_arco,
+  {per_hop}
+                  FROM {x}hops WHERE (receiver, period) IN (SELECT (id, period) FROM adjusted) GROUP BY ALL) a) b) c"""
+
+    named = ",\n  ".join(f"max({m}) FILTER (WHERE origin = {code}) AS {m}_{ORIGIN_SUFFIX[code]}" for code in ORIGIN_SUFFIX for m in MEASURES)
+    wide = f"""SELECT period, receiver, max(f29_fact_reci) AS f29_fact_reci, max(f29_nc_reci) AS f29_nc_reci,
+  max(f29_neto_reci) AS f29_neto_reci, max(c_537) AS c_537,
+  {named}
+FROM {x}summary GROUP BY period, receiver"""
+
+    over = ", ".join(f"{total(f'{m}_a{k}_{s}' for s in TOTAL_ORIGINS)} AS {m}_a{k}_an" for k in HOPS for m in ("iva_neto_cdo", "prop_neto_cdo"))
+    totals = f"""SELECT *, {' + '.join(f'iva_neto_cdo_a{k}_an' for k in HOPS)} AS total_cont_an,
+  {' + '.join(f'prop_neto_cdo_a{k}_an' for k in HOPS)} AS prop_total_cont_an FROM (SELECT *, {over} FROM {x}wide) o"""
+    carried = f"""SELECT t.*, c.period_ant, c.f29_77_ant, c.prop_total_cont_an_ant, c.carried_cont, a.c_504
+FROM {x}totals t LEFT JOIN {x}carry c USING (period, receiver) LEFT JOIN adjusted a ON a.id = t.receiver AND a.period = t.period"""
+    return [(x + n, sql) for n, sql in (("carry", carry), ("edges", edges), ("hop1", hop1), ("first", first), ("hops", hops),
+                                        ("summary", summary), ("wide", wide), ("totals", totals), ("carried", carried))]

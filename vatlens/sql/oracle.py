@@ -1,7 +1,7 @@
 """DuckDB SQL twins, one per registered query (see ``vatlens.plans.registry``).
 
-Written independently of the DataFrame code, following the reference's SQL
-semantics; loops are unrolled into CTE chains by small text helpers.
+Written independently of the DataFrame code from the definitions in SURVEY section 2;
+loops are recursive CTEs, or chains of CTEs built by small text helpers.
 """
 
 from __future__ import annotations
@@ -27,62 +27,38 @@ LEFT JOIN communities c1 ON a.issuer = c1.id
 LEFT JOIN communities c2 ON a.receiver = c2.id
 WHERE a.vat > 0 AND (c1.community IS NOT NULL OR c2.community IS NOT NULL)""")
 
-FLOW_ISSUER = ("flow_i", """
-SELECT issuer,
-  sum(CASE WHEN issuer_community = receiver_community THEN vat ELSE 0 END) AS vat_intra_issued,
-  sum(CASE WHEN issuer_community <> receiver_community AND receiver_community IS NOT NULL THEN vat ELSE 0 END) AS vat_extra_issued,
-  count(CASE WHEN issuer_community = receiver_community THEN 1 END) AS arcs_intra_issued,
-  count(CASE WHEN issuer_community <> receiver_community AND receiver_community IS NOT NULL THEN 1 END) AS arcs_extra_issued
-FROM tagged GROUP BY issuer""")
-
-FLOW_RECEIVER = ("flow_r", """
-SELECT receiver,
-  sum(CASE WHEN receiver_community = issuer_community THEN vat ELSE 0 END) AS vat_intra_received,
-  sum(CASE WHEN receiver_community <> issuer_community AND issuer_community IS NOT NULL THEN vat ELSE 0 END) AS vat_extra_received,
-  count(CASE WHEN receiver_community = issuer_community THEN 1 END) AS arcs_intra_received,
-  count(CASE WHEN receiver_community <> issuer_community AND issuer_community IS NOT NULL THEN 1 END) AS arcs_extra_received
-FROM tagged GROUP BY receiver""")
-
-TAXPAYER_FLOW = ("tflow", """
-SELECT COALESCE(e.issuer, r.receiver) AS taxpayer,
-  COALESCE(e.vat_intra_issued, 0) AS vat_intra_issued,
-  COALESCE(e.vat_extra_issued, 0) AS vat_extra_issued,
-  e.arcs_intra_issued, e.arcs_extra_issued,
-  COALESCE(r.vat_intra_received, 0) AS vat_intra_received,
-  COALESCE(r.vat_extra_received, 0) AS vat_extra_received,
-  r.arcs_intra_received, r.arcs_extra_received
-FROM flow_i e FULL OUTER JOIN flow_r r ON e.issuer = r.receiver""")
-
-COMMUNITY_FLOW = ("cflow", """
-SELECT COALESCE(em.com, re.com) AS com, issued_intra, issued_extra, received_intra, received_extra,
-       arcs_issued_intra, arcs_issued_extra, arcs_received_intra, arcs_received_extra
-FROM (SELECT COALESCE(a.com, b.com) AS com, issued_intra, issued_extra, arcs_issued_intra, arcs_issued_extra
-      FROM (SELECT issuer_community AS com, sum(vat) AS issued_intra, count(*) AS arcs_issued_intra
-            FROM tagged WHERE issuer_community = receiver_community AND issuer_community IS NOT NULL
-            GROUP BY issuer_community) a
-      FULL OUTER JOIN
-           (SELECT issuer_community AS com, sum(vat) AS issued_extra, count(*) AS arcs_issued_extra
-            FROM tagged WHERE issuer_community <> receiver_community AND issuer_community IS NOT NULL
-            GROUP BY issuer_community) b ON a.com = b.com) em
-FULL OUTER JOIN
-     (SELECT COALESCE(a.com, b.com) AS com, received_intra, received_extra, arcs_received_intra, arcs_received_extra
-      FROM (SELECT receiver_community AS com, sum(vat) AS received_intra, count(*) AS arcs_received_intra
-            FROM tagged WHERE issuer_community = receiver_community AND receiver_community IS NOT NULL
-            GROUP BY receiver_community) a
-      FULL OUTER JOIN
-           (SELECT receiver_community AS com, sum(vat) AS received_extra, count(*) AS arcs_received_extra
-            FROM tagged WHERE issuer_community <> receiver_community AND receiver_community IS NOT NULL
-            GROUP BY receiver_community) b ON a.com = b.com) re
-ON em.com = re.com""")
-
-COMMUNITY_RATIOS = ("cratios", f"""
-SELECT com,
-  {div('issued_extra', 'issued_intra + issued_extra')} * 100 AS pct_issued_extra,
-  {div('received_extra', 'received_intra + received_extra')} * 100 AS pct_received_extra,
-  issued_extra, received_extra, issued_intra, received_intra,
-  {div('issued_extra', 'issued_intra')} AS rate_issued_extra_intra,
-  arcs_issued_intra, arcs_issued_extra, arcs_received_intra, arcs_received_extra
-FROM cflow""")
+# every arc seen from both of its ends, summed into cells (end, community, side, relation)
+CELLS = ("cells", """
+SELECT who, own, side, CASE WHEN own = other THEN 'intra' WHEN own <> other THEN 'extra' ELSE 'open' END AS relation,
+  sum(vat) AS vat, count(*) AS arcs
+FROM (SELECT issuer AS who, issuer_community AS own, receiver_community AS other, 'issued' AS side, vat FROM tagged
+      UNION ALL SELECT receiver, receiver_community, issuer_community, 'received', vat FROM tagged) ends
+GROUP BY ALL""")
+
+
+def _cell(measure: str, side: str, relation: str) -> str:
+    return f"sum({measure}) FILTER (WHERE side = '{side}' AND relation = '{relation}')"
+
+
+def _of_taxpayer(side: str, counts_if_absent: str) -> str:
+    """The four columns of one side; the counts of a taxpayer without arcs there are ``counts_if_absent``."""
+    vat = [f"COALESCE({_cell('vat', side, x)}, 0) AS vat_{x}_{side}" for x in ("intra", "extra")]
+    arcs = [f"CASE WHEN count(*) FILTER (WHERE side = '{side}') > 0 THEN COALESCE({_cell('arcs', side, x)}, 0)::BIGINT "
+            f"ELSE {counts_if_absent} END AS arcs_{x}_{side}" for x in ("intra", "extra")]
+    return ", ".join(vat + arcs)
+
+
+FLOW_ISSUER = ("flow_i", f"SELECT who AS issuer, {_of_taxpayer('issued', '0')} FROM cells WHERE side = 'issued' GROUP BY who")
+FLOW_RECEIVER = ("flow_r", f"SELECT who AS receiver, {_of_taxpayer('received', '0')} FROM cells WHERE side = 'received' GROUP BY who")
+TAXPAYER_FLOW = ("tflow", f"SELECT who AS taxpayer, {_of_taxpayer('issued', 'NULL')}, {_of_taxpayer('received', 'NULL')} "
+                 "FROM cells GROUP BY who")
+COMMUNITY_FLOW = ("cflow", "SELECT own AS com, "
+                  + ", ".join(f"{_cell('vat', s, x)} AS {s}_{x}, {_cell('arcs', s, x)}::BIGINT AS arcs_{s}_{x}"
+                              for s in ("issued", "received") for x in ("intra", "extra"))
+                  + " FROM cells WHERE relation <> 'open' GROUP BY own")
+COMMUNITY_RATIOS = ("cratios", "SELECT *, "
+                    + ", ".join(f"100 * {div(f'{s}_extra', f'({s}_intra + {s}_extra)')} AS pct_{s}_extra" for s in ("issued", "received"))
+                    + f", {div('issued_extra', 'issued_intra')} AS rate_issued_extra_intra FROM cflow")
 
 FLOW_IN = ["arcs", "communities"]
 
@@ -97,36 +73,36 @@ ORACLE["arcs_tagged"] = with_inputs(
 
 ORACLE["flow_issuer"] = with_inputs(
     FLOW_IN, "SELECT issuer, " + _money(["vat_intra_issued", "vat_extra_issued"])
-    + ", arcs_intra_issued, arcs_extra_issued FROM flow_i", [TAGGED, FLOW_ISSUER])
+    + ", arcs_intra_issued, arcs_extra_issued FROM flow_i", [TAGGED, CELLS, FLOW_ISSUER])
 
 ORACLE["flow_receiver"] = with_inputs(
     FLOW_IN, "SELECT receiver, " + _money(["vat_intra_received", "vat_extra_received"])
-    + ", arcs_intra_received, arcs_extra_received FROM flow_r", [TAGGED, FLOW_RECEIVER])
+    + ", arcs_intra_received, arcs_extra_received FROM flow_r", [TAGGED, CELLS, FLOW_RECEIVER])
 
 FLOW_MONEY = ["vat_intra_issued", "vat_extra_issued", "vat_intra_received", "vat_extra_received"]
 
 ORACLE["taxpayer_flow"] = with_inputs(
     FLOW_IN, "SELECT taxpayer, " + _money(FLOW_MONEY[:2]) + ", arcs_intra_issued, arcs_extra_issued, "
     + _money(FLOW_MONEY[2:]) + ", arcs_intra_received, arcs_extra_received FROM tflow",
-    [TAGGED, FLOW_ISSUER, FLOW_RECEIVER, TAXPAYER_FLOW])
+    [TAGGED, CELLS, TAXPAYER_FLOW])
 
 CF_MONEY = ["issued_intra", "issued_extra", "received_intra", "received_extra"]
 CF_COUNTS = ["arcs_issued_intra", "arcs_issued_extra", "arcs_received_intra", "arcs_received_extra"]
 
 ORACLE["community_flow"] = with_inputs(
     FLOW_IN, "SELECT com, " + _money(CF_MONEY) + ", " + ", ".join(CF_COUNTS) + " FROM cflow",
-    [TAGGED, COMMUNITY_FLOW])
+    [TAGGED, CELLS, COMMUNITY_FLOW])
 
 RATIO_COLS = ("com, pct_issued_extra, pct_received_extra, " + _money(CF_MONEY)
               + ", rate_issued_extra_intra, " + ", ".join(CF_COUNTS))
 
 ORACLE["community_ratios"] = with_inputs(
-    FLOW_IN, f"SELECT {RATIO_COLS} FROM cratios", [TAGGED, COMMUNITY_FLOW, COMMUNITY_RATIOS])
+    FLOW_IN, f"SELECT {RATIO_COLS} FROM cratios", [TAGGED, CELLS, COMMUNITY_FLOW, COMMUNITY_RATIOS])
 
 ORACLE["community_size"] = with_inputs(
     FLOW_IN, f"SELECT {RATIO_COLS.replace('com,', 'r.com,', 1)}, s.community_size FROM cratios r "
     "LEFT JOIN (SELECT community AS com, count(*) AS community_size FROM communities GROUP BY community) s "
-    "ON r.com = s.com", [TAGGED, COMMUNITY_FLOW, COMMUNITY_RATIOS])
+    "ON r.com = s.com", [TAGGED, CELLS, COMMUNITY_FLOW, COMMUNITY_RATIOS])
 
 ORACLE["networth"] = with_inputs(
     ["networth"], "SELECT company, CAST(sum(amount) AS DOUBLE) AS networth FROM networth GROUP BY company")
@@ -144,7 +120,7 @@ LEFT JOIN tflow f ON c.id = f.taxpayer
 LEFT JOIN cflow g ON c.community = g.com
 WHERE CAST(c.id AS VARCHAR) = {LOOKUP_KEY}""")
 
-_FLOW_CTES = [TAGGED, FLOW_ISSUER, FLOW_RECEIVER, TAXPAYER_FLOW, COMMUNITY_FLOW]
+_FLOW_CTES = [TAGGED, CELLS, TAXPAYER_FLOW, COMMUNITY_FLOW]
 
 ORACLE["lookup_taxpayer"] = with_inputs(
     FLOW_IN, "SELECT id, community, is_company, is_natural, is_accountant, is_rep, initial_group, "
@@ -166,7 +142,7 @@ ORACLE["lookup_unpivot"] = with_inputs(
 
 ORACLE["money_format"] = with_inputs(
     FLOW_IN, "SELECT taxpayer, " + ", ".join(f"{money_text(c)} AS {c}" for c in FLOW_MONEY) + " FROM tflow",
-    [TAGGED, FLOW_ISSUER, FLOW_RECEIVER, TAXPAYER_FLOW])
+    [TAGGED, CELLS, TAXPAYER_FLOW])
 
 
 def _shares(pairs):
@@ -181,13 +157,13 @@ ORACLE["intra_extra_share"] = with_inputs(
     FLOW_IN, "SELECT taxpayer, " + _money(FLOW_MONEY) + ", " + _shares({
         "issued": ("vat_intra_issued", "vat_extra_issued"),
         "received": ("vat_intra_received", "vat_extra_received")}) + " FROM tflow",
-    [TAGGED, FLOW_ISSUER, FLOW_RECEIVER, TAXPAYER_FLOW])
+    [TAGGED, CELLS, TAXPAYER_FLOW])
 
 ORACLE["intra_extra_share_community"] = with_inputs(
     FLOW_IN, "SELECT com, " + _money(CF_MONEY) + ", " + _shares({
         "issued": ("issued_intra", "issued_extra"),
         "received": ("received_intra", "received_extra")}) + " FROM cflow",
-    [TAGGED, COMMUNITY_FLOW])
+    [TAGGED, CELLS, COMMUNITY_FLOW])
 
 
 def r(x: str, d: int = 9) -> str:
@@ -270,49 +246,51 @@ ORACLE["opacity_quartiles"] = with_inputs(
     f"{r('quantile_cont(value, 0.75)', 6)} AS q75 FROM res9", OPACITY_CTES)
 
 # ------------------------------------------------------------- 2.2 kinship
-KIN_CTES = [OCLEAN, ("bag0", "SELECT company, partner AS owner FROM oclean"),
-            ("aux", "SELECT company AS c2, partner AS p2 FROM oclean")]
-KIN_CTES += chain("bag", 1, 9, lambda i: f"SELECT b.company, COALESCE(a.p2, b.owner) AS owner "
-                                         f"FROM bag{i - 1} b LEFT JOIN aux a ON b.owner = a.c2")
-KIN_CTES += [
-    ("socios", "SELECT b.company, b.owner, s.id AS natural_id FROM bag9 b LEFT JOIN opacity_seed s ON b.owner = s.id"),
-    ("ktotal", "SELECT company, count(*) AS total FROM socios GROUP BY company"),
-    ("knonnull", "SELECT company, count(*) AS matched FROM socios WHERE natural_id IS NOT NULL GROUP BY company"),
-    ("kfinal", "SELECT t.company, t.total, n.matched FROM ktotal t LEFT JOIN knonnull n ON t.company = n.company"),
-    ("elig", "SELECT s.company, s.natural_id AS owner FROM socios s LEFT JOIN kfinal f ON s.company = f.company "
-             "WHERE f.total = f.matched"),
-    ("kedges", "SELECT DISTINCT id, relative FROM (SELECT id, relative FROM (SELECT DISTINCT id, relative FROM "
-               "kinship WHERE id <> relative) k UNION ALL SELECT relative, id FROM (SELECT DISTINCT id, relative "
-               "FROM kinship WHERE id <> relative) k2) u"),
-    ("kmatch", "SELECT DISTINCT t1.company, t1.owner, t2.owner AS relative FROM elig t1 JOIN elig t2 "
-               "ON t1.company = t2.company AND t1.owner <> t2.owner "
-               "JOIN kedges e ON e.id = t1.owner AND e.relative = t2.owner"),
+#: Rounds of replacing an owner that is a company by its own owners.
+OWNER_ROUNDS = 9
+KIN_CTES = [OCLEAN, ("leaf", f"""
+WITH RECURSIVE walk AS (
+  SELECT company, partner AS owner, count(*)::HUGEINT AS paths, 0 AS depth FROM oclean GROUP BY company, partner
+  UNION ALL
+  SELECT w.company, o.partner, sum(w.paths)::HUGEINT, w.depth + 1 FROM walk w JOIN oclean o ON o.company = w.owner
+  WHERE w.depth < {OWNER_ROUNDS} GROUP BY w.company, o.partner, w.depth)
+SELECT company, owner, sum(paths)::BIGINT AS paths FROM walk
+WHERE depth = {OWNER_ROUNDS} OR owner IS NULL OR owner NOT IN (SELECT company FROM oclean) GROUP BY company, owner"""),
+    ("person", "SELECT DISTINCT id FROM opacity_seed"),
+    ("holder", "SELECT l.*, p.id AS natural_id FROM leaf l LEFT JOIN person p ON p.id = l.owner"),
+    ("complete", "SELECT company, sum(paths)::BIGINT AS total, (sum(paths) FILTER (WHERE natural_id IS NOT NULL))::BIGINT AS matched "
+                 "FROM holder GROUP BY company"),
+    ("elig", "SELECT company, natural_id AS owner, paths FROM holder WHERE company IN "
+             "(SELECT company FROM complete WHERE total = matched)"),
+    ("kedges", "SELECT DISTINCT unnest([id, relative]) AS id, unnest([relative, id]) AS relative FROM kinship WHERE id <> relative"),
+    # from the kin edges to companies that both ends own
+    ("kmatch", "SELECT a.company, e.id AS owner, e.relative FROM kedges e JOIN elig a ON a.owner = e.id "
+               "SEMI JOIN elig b ON b.owner = e.relative AND b.company = a.company"),
+    ("krate", f"SELECT c.company, count(DISTINCT k.owner) AS kin_owners, c.total, {div('count(DISTINCT k.owner)', 'c.total')} * 100 "
+              "AS kinship_rate FROM complete c LEFT JOIN kmatch k USING (company) GROUP BY c.company, c.total"),
 ]
 KIN_IN = ["ownership", "opacity_seed", "kinship"]
 
 ORACLE["owners_expand"] = with_inputs(
-    ["ownership"], "SELECT company, owner, count(*) AS paths FROM bag9 GROUP BY company, owner", KIN_CTES[:12])
+    ["ownership"], "SELECT * FROM leaf", KIN_CTES[:2])
 ORACLE["owners_natural"] = with_inputs(
-    KIN_IN, "SELECT company, owner, count(*) AS paths, natural_id FROM socios GROUP BY company, owner, natural_id",
+    KIN_IN, "SELECT company, owner, paths, natural_id FROM holder",
     KIN_CTES)
 ORACLE["companies_per_person"] = with_inputs(
-    KIN_IN, "SELECT natural_id AS person, count(company) AS n_companies FROM socios WHERE natural_id IS NOT NULL "
+    KIN_IN, "SELECT natural_id AS person, sum(paths)::BIGINT AS n_companies FROM holder WHERE natural_id IS NOT NULL "
     "GROUP BY natural_id", KIN_CTES)
-ORACLE["owners_completeness"] = with_inputs(KIN_IN, "SELECT company, total, matched FROM kfinal", KIN_CTES)
+ORACLE["owners_completeness"] = with_inputs(KIN_IN, "SELECT company, total, matched FROM complete", KIN_CTES)
 ORACLE["owners_eligible"] = with_inputs(
-    KIN_IN, "SELECT company, owner, count(*) AS paths FROM elig GROUP BY company, owner", KIN_CTES)
+    KIN_IN, "SELECT company, owner, paths FROM elig", KIN_CTES)
 ORACLE["partner_pairs"] = with_inputs(
-    KIN_IN, "SELECT t1.company, count(*) AS n_pairs FROM elig t1 JOIN elig t2 ON t1.company = t2.company "
-    "WHERE t1.owner <> t2.owner GROUP BY t1.company", KIN_CTES)
+    KIN_IN, "SELECT a.company, sum(a.paths * b.paths)::BIGINT AS n_pairs FROM elig a JOIN elig b "
+    "ON b.company = a.company AND b.owner <> a.owner GROUP BY a.company", KIN_CTES)
 ORACLE["kin_edges"] = with_inputs(KIN_IN, "SELECT id, relative FROM kedges", KIN_CTES)
 ORACLE["kin_type_counts"] = with_inputs(
     ["kinship"], "SELECT relation, count(*) AS n FROM kinship GROUP BY ROLLUP (relation)")
 ORACLE["kin_matches"] = with_inputs(KIN_IN, "SELECT company, owner, relative FROM kmatch", KIN_CTES)
 ORACLE["kinship_rate"] = with_inputs(
-    KIN_IN, "SELECT t.company, COALESCE(f.kin_owners, 0) AS kin_owners, t.total, "
-    + r(f"{div('COALESCE(f.kin_owners, 0)', 't.total')} * 100") + " AS kinship_rate FROM ktotal t LEFT JOIN "
-    "(SELECT company, count(DISTINCT owner) AS kin_owners FROM kmatch GROUP BY company) f ON t.company = f.company",
-    KIN_CTES)
+    KIN_IN, f"SELECT company, kin_owners, total, {r('kinship_rate')} AS kinship_rate FROM krate", KIN_CTES)
 ORACLE["group_coverage"] = with_inputs(
     ["ownership", "groups"], "SELECT count(*) AS matches FROM (SELECT DISTINCT id, grp FROM groups) g "
     "JOIN oclean m ON g.id = m.company", [OCLEAN])
@@ -320,29 +298,30 @@ ORACLE["group_coverage"] = with_inputs(
 # ------------------------------------------------------- 2.3 contamination
 SEED_WHERE = "code IN ('4110', '4111', '4112') OR code = '4113' AND deactivated IS NULL"
 SEEDS = ("seeds", f"SELECT DISTINCT id, 1 AS score FROM alerts WHERE {SEED_WHERE}")
+#: Rounds of the contamination model.
+CON_ROUNDS = 15
 FZ = [
-    ("fz0", "SELECT * FROM strength WHERE fi > 0"),
-    ("fzagg", "SELECT receiver, exp(sum(ln(NULLIF(abs(1 - fi), 0)))) AS f0, sum(fi) AS sfi FROM fz0 GROUP BY receiver"),
-    ("fz1", "SELECT e.issuer, e.receiver, e.fi, COALESCE(a.f0, 0) AS f0, a.sfi FROM fz0 e "
-            "LEFT JOIN fzagg a ON e.receiver = a.receiver"),
-    ("fz", "SELECT issuer, receiver, fi, f0, CASE WHEN round((1 - f0) * fi, 4) = 0 THEN round((1 - f0) * fi, 4) "
-           "ELSE round((1 - f0) * fi, 4) / sfi END AS f FROM fz1"),
-    ("nodes", "SELECT issuer AS id FROM fz UNION SELECT receiver AS id FROM fz"),
+    ("pulled", "SELECT issuer, receiver, fi, sum(fi) OVER w AS sfi, "
+               "COALESCE(exp(sum(ln(abs(1 - fi))) FILTER (WHERE fi <> 1) OVER w), 0) AS f0 "
+               "FROM strength WHERE fi > 0 WINDOW w AS (PARTITION BY receiver)"),
+    ("fz", "SELECT issuer, receiver, fi, f0, CASE WHEN pull <> 0 THEN pull / sfi ELSE pull END AS f "
+           "FROM (SELECT *, round((1 - f0) * fi, 4) AS pull FROM pulled) p"),
+    ("nodes", "SELECT DISTINCT unnest([issuer, receiver]) AS id FROM fz"),
     SEEDS,
-    ("con0", "SELECT n.id, CAST(CASE WHEN s.score IS NOT NULL AND s.score > 0 THEN s.score ELSE 0 END AS DOUBLE) "
-             "AS score FROM nodes n LEFT JOIN seeds s ON n.id = s.id"),
+    ("con0", "SELECT id, (id IN (SELECT id FROM seeds))::INT::DOUBLE AS score FROM nodes"),
+]
+CON_CTES = FZ + [
+    # what flows into a node each round: issuers' scores, its own times f0, and its score as it stands
+    ("moves", "SELECT issuer AS src, receiver AS dst, f AS weight, true AS renews FROM fz "
+              "UNION ALL SELECT receiver, receiver, max(f0), true FROM fz GROUP BY receiver "
+              "UNION ALL SELECT id, id, 1.0, false FROM nodes"),
+    ("con", f"""WITH RECURSIVE spread AS (
+  SELECT id, score, 0 AS round_no FROM con0
+  UNION ALL
+  SELECT m.dst, greatest(max(s.score) FILTER (WHERE NOT m.renews), sum(m.weight * s.score) FILTER (WHERE m.renews)), s.round_no + 1
+  FROM spread s JOIN moves m ON m.src = s.id WHERE s.round_no < {CON_ROUNDS} GROUP BY m.dst, s.round_no)
+SELECT id, score FROM spread WHERE round_no = {CON_ROUNDS}"""),
 ]
-
-
-def _con_round(i: int) -> str:
-    p = f"con{i - 1}"
-    return (f"SELECT c.id, CASE WHEN x.score1 > c.score AND x.score1 IS NOT NULL THEN x.score1 ELSE c.score END "
-            f"AS score FROM {p} c LEFT JOIN (SELECT a.receiver, sum(a.f * ci.score) + avg(a.f0 * COALESCE(cr.score, 0)) "
-            f"AS score1 FROM fz a LEFT JOIN {p} ci ON a.issuer = ci.id LEFT JOIN {p} cr ON a.receiver = cr.id "
-            f"GROUP BY a.receiver) x ON c.id = x.receiver")
-
-
-CON_CTES = FZ + chain("con", 1, 15, _con_round)
 CON_IN = ["strength", "alerts"]
 
 ORACLE["alert_seeds"] = with_inputs(["alerts"], "SELECT id, score FROM seeds", [SEEDS])
@@ -351,22 +330,20 @@ ORACLE["alert_profile"] = with_inputs(
 ORACLE["alert_descriptions"] = with_inputs(
     ["alerts"], f"SELECT DISTINCT description FROM alerts WHERE {SEED_WHERE}")
 ORACLE["edge_strength"] = with_inputs(
-    CON_IN, f"SELECT issuer, receiver, {r('fi')} AS fi, {r('f0')} AS f0, {r('f')} AS f FROM fz", FZ[:4])
-ORACLE["trade_nodes"] = with_inputs(CON_IN, "SELECT id FROM nodes", FZ[:5])
+    CON_IN, f"SELECT issuer, receiver, {r('fi')} AS fi, {r('f0')} AS f0, {r('f')} AS f FROM fz", FZ[:2])
+ORACLE["trade_nodes"] = with_inputs(CON_IN, "SELECT id FROM nodes", FZ[:3])
 ORACLE["contam_init"] = with_inputs(CON_IN, "SELECT id, score FROM con0", FZ)
-ORACLE["contam_propagate"] = with_inputs(CON_IN, f"SELECT id, {r('score')} AS score FROM con15", CON_CTES)
+ORACLE["contam_propagate"] = with_inputs(CON_IN, f"SELECT id, {r('score')} AS score FROM con", CON_CTES)
 
 # ------------------------------------------------------- 2.4 / 2.5 labels
 SINCE = "TIMESTAMP '2000-06-01 00:00:00'"
 TODAY = "TIMESTAMP '2001-12-31 00:00:00'"
 PAID = ("paid", "SELECT id, sum(c_89) AS paid_total FROM declarations WHERE validity = 1 AND "
         f"strptime(CAST(period AS VARCHAR) || '01', '%Y%m%d') >= {SINCE} GROUP BY id")
-VATNET = ("vnet", f"""
-SELECT COALESCE(e.issuer, q.receiver) AS id, COALESCE(e.vat_issued, 0) AS vat_issued,
-       COALESCE(q.vat_received, 0) AS vat_received,
-       COALESCE(q.vat_received, 0) - COALESCE(e.vat_issued, 0) AS vat_net
-FROM (SELECT issuer, sum(vat) AS vat_issued FROM inv GROUP BY issuer) e
-FULL OUTER JOIN (SELECT receiver, sum(vat) AS vat_received FROM inv GROUP BY receiver) q ON e.issuer = q.receiver""")
+VATNET = ("vnet", """
+SELECT id, sum(issued) AS vat_issued, sum(received) AS vat_received, sum(received) - sum(issued) AS vat_net
+FROM (SELECT issuer AS id, COALESCE(vat, 0) AS issued, 0 AS received FROM inv
+      UNION ALL SELECT receiver, 0, COALESCE(vat, 0) FROM inv) ends GROUP BY id""")
 INV = ("inv", "SELECT * FROM invoices WHERE doc_code IN ('33', '34') AND "
        f"strptime(CAST(issue_date AS VARCHAR), '%Y%m%d') >= {SINCE}")
 REGION = ("lregion", "SELECT id, region, valid_from FROM (SELECT b.id, u.region, b.valid_from, row_number() OVER "
@@ -383,13 +360,12 @@ ORACLE["latest_region"] = with_inputs(["businesses", "units"], "SELECT * FROM lr
 ORACLE["docs_issued"] = with_inputs(["invoices"], "SELECT * FROM docs", [DOCS])
 ORACLE["lifetime_days"] = with_inputs(["taxpayers"], "SELECT * FROM life", [LIFE])
 ORACLE["initial_alert_flag"] = with_inputs(
-    CON_IN, "SELECT n.id, CASE WHEN s.id IS NULL THEN 0 ELSE 1 END AS initial_alert FROM nodes n "
-    "LEFT JOIN (SELECT DISTINCT id FROM seeds) s ON n.id = s.id", FZ[:6])
+    CON_IN, "SELECT id, (id IN (SELECT id FROM seeds))::INT AS initial_alert FROM nodes", FZ[:4])
 ORACLE["contam_labels"] = with_inputs(
     CON_IN + ["declarations", "invoices", "businesses", "units", "taxpayers"], f"""
 SELECT c.id, {r('c.score')} AS score, CAST(p.paid_total AS DOUBLE) AS paid_total, CAST(v.vat_net AS DOUBLE) AS vat_net,
        g.region, d.n_documents, l.lifetime, CASE WHEN s.id IS NULL THEN 0 ELSE 1 END AS initial_alert
-FROM con15 c
+FROM con c
 LEFT JOIN paid p ON c.id = p.id
 LEFT JOIN vnet v ON c.id = v.id
 LEFT JOIN lregion g ON c.id = g.id
@@ -428,11 +404,13 @@ ORACLE["workers_last"] = with_inputs(
 # ------------------------------------------------------- 2.6 credit tracing
 from vatlens.sql import credit_sql as cs  # noqa: E402
 
-P1, P2 = 200006, 200007
-A = cs.period_ctes(P1, "a_")
-B = cs.period_ctes(P2, "b_", history="hist1")
-HIST1 = ("hist1", "SELECT period, receiver, total_cont_an, prop_total_cont_an FROM a_totals")
-AB = A + [HIST1] + B
+P1 = 200006
+#: The periods of the ledger, in order.
+PERIODS = range(200001, 200013)
+A = cs.base() + cs.period_ctes(P1, "a_")
+ALL = cs.base()
+for _p in PERIODS:
+    ALL += cs.period_ctes(_p, f"m{_p}_", None if _p == PERIODS[0] else f"m{_p - 1}_totals")
 CIN = cs.CREDIT_INPUTS
 
 
@@ -440,6 +418,11 @@ def _cr(body, ctes=A):
     return with_inputs(CIN, body, ctes)
 
 
+def _every(cols, name, periods=PERIODS):
+    """Rows of relation ``name`` of all periods."""
+    return " UNION ALL ".join(f"SELECT {cols} FROM m{p}_{name}" for p in periods)
+
+
 ORACLE["periods"] = with_inputs(["ledger"], """
 SELECT DISTINCT period FROM ledger WHERE period IN (
   SELECT CAST(strftime(e + to_months(CAST(i AS INTEGER)), '%Y%m') AS INTEGER)
@@ -449,59 +432,57 @@ SELECT DISTINCT period FROM ledger WHERE period IN (
 ORACLE["prior_period"] = with_inputs(["declarations"], """
 SELECT DISTINCT period, CASE WHEN period % 100 = 1 THEN (period // 100 - 1) * 100 + 12 ELSE period - 1 END AS prior
 FROM declarations""")
-ORACLE["decl_latest"] = _cr("SELECT * FROM a_latest")
-ORACLE["decl_prior"] = _cr("SELECT * FROM a_ant")
-ORACLE["decl_current"] = _cr("SELECT * FROM a_f29_0")
-ORACLE["observations"] = _cr("SELECT *, 'FM01' AS code FROM a_fm01 UNION ALL SELECT *, 'W08' AS code FROM a_w08")
-ORACLE["decl_adjust_fm01"] = _cr("SELECT * FROM a_f29_1")
+_NOW = f"WHERE period = {P1}"
+ORACLE["decl_latest"] = _cr(f"SELECT folio AS max_folio, id, period FROM filed {_NOW}")
+ORACLE["decl_prior"] = _cr(f"SELECT * FROM carryover WHERE period_ant = {cs.prior(P1)}")
+ORACLE["decl_current"] = _cr(f"SELECT * FROM claims {_NOW}")
+ORACLE["observations"] = _cr(f"SELECT id, period, amount, code FROM notes {_NOW}")
+ORACLE["decl_adjust_fm01"] = _cr(f"SELECT * FROM adjusted {_NOW}")
 ORACLE["carry_in"] = _cr("SELECT * FROM a_carry")
-ORACLE["ledger_docs"] = _cr("SELECT period, issuer, receiver, iva_fact, iva_nc, es_fact AS is_fact, es_nc AS is_nc, "
-                            "monto_iva AS signed_vat FROM a_docs")
-ORACLE["trade_edges"] = _cr("SELECT * FROM a_res01")
-ORACLE["trade_edges_clamped"] = _cr("SELECT * FROM a_res0")
-ORACLE["decl_or_ledger"] = _cr("SELECT * FROM a_f29")
-ORACLE["nondeclaring_issuers"] = _cr("SELECT * FROM a_emi_sinf29")
-ORACLE["doc30_issuers"] = _cr("SELECT * FROM a_doc30")
-ORACLE["alerted_issuers"] = _cr("SELECT * FROM a_alerta")
-ORACLE["special_credit"] = _cr("SELECT * FROM a_ce")
-ORACLE["phantom_edges"] = _cr("SELECT * FROM a_res_docto")
-ORACLE["edge_level0"] = _cr("SELECT * FROM a_rel0")
-ORACLE["hop1_by_origin"] = _cr("SELECT * FROM a_arco1")
+ORACLE["ledger_docs"] = _cr(f"SELECT * FROM purchases {_NOW}")
+ORACLE["trade_edges"] = _cr(f"SELECT * FROM links {_NOW}")
+ORACLE["trade_edges_clamped"] = _cr(f"SELECT * FROM trades {_NOW}")
+ORACLE["decl_or_ledger"] = _cr(f"SELECT * FROM claimants {_NOW}")
+ORACLE["nondeclaring_issuers"] = _cr(f"SELECT * FROM silent {_NOW}")
+ORACLE["doc30_issuers"] = _cr(f"SELECT * FROM unlicensed {_NOW}")
+ORACLE["alerted_issuers"] = _cr(f"SELECT issuer FROM alerted {_NOW}")
+ORACLE["special_credit"] = _cr(f"SELECT id, special_cr, period FROM claimants {_NOW} AND special_cr > 0")
+ORACLE["phantom_edges"] = _cr("SELECT * FROM a_edges")
+ORACLE["edge_level0"] = _cr("SELECT issuer, receiver, iva_fact, iva_nc, period, 0 AS level, qty_docto, iva_neto, node_kind, "
+                            "issuer_declares, receiver_declares FROM a_edges")
+ORACLE["hop1_by_origin"] = _cr("SELECT * FROM a_hop1")
 
 
 def _rounded_cols(cols):
     return ", ".join(f"round(CAST({c} AS DOUBLE), 9) AS {c}" if c in _DBL else c for c in cols)
 
 
-_RESULT = ["period", "receiver", "f29_fact_reci", "f29_nc_reci", "f29_neto_reci", "iva_fact_cdo", "iva_nc_cdo",
-           "iva_neto_cdo", "prop_fact_cdo", "prop_nc_cdo", "prop_neto_cdo", "hop", "c_537", "origin"]
+_RESULT = list(cs.RESULT)
 _DBL = set(_RESULT[2:11]) | {"c_537"}
-ORACLE["hop1_result"] = _cr(f"SELECT {_rounded_cols(_RESULT)} FROM a_res1")
-ORACLE["hop_next"] = _cr(" UNION ALL ".join(f"SELECT {_rounded_cols(_RESULT)} FROM a_res{k}" for k in range(2, 6)))
-ORACLE["hops_union"] = _cr(f"SELECT {_rounded_cols(_RESULT)} FROM a_resultado")
+ORACLE["hop1_result"] = _cr(f"SELECT {_rounded_cols(_RESULT)} FROM a_hops WHERE hop = 1")
+ORACLE["hop_next"] = _cr(f"SELECT {_rounded_cols(_RESULT)} FROM a_hops WHERE hop > 1")
+ORACLE["hops_union"] = _cr(f"SELECT {_rounded_cols(_RESULT)} FROM a_hops")
 
 _SUMMARY = (["period", "receiver", "origin", "f29_fact_reci", "f29_nc_reci", "f29_neto_reci", "c_537", "qty_arco"]
             + [f"{m}_a{k}" for k in range(1, 6) for m in ("iva_neto_cdo", "prop_neto_cdo")]
             + ["total_cont", "prop_total_cont"] + [f"origin_a{k}" for k in range(1, 6)])
 _DBL |= {c for c in _SUMMARY if c.startswith(("iva_", "prop_", "total_", "f29_"))}
-ORACLE["origin_summary"] = _cr(f"SELECT {_rounded_cols(_SUMMARY)} FROM a_resumen")
-ORACLE["receivers"] = _cr(f"SELECT {_rounded_cols(['period', 'receiver', 'f29_fact_reci', 'f29_nc_reci', 'f29_neto_reci', 'c_537'])} FROM a_receptores")
+ORACLE["origin_summary"] = _cr(f"SELECT {_rounded_cols(_SUMMARY)} FROM a_summary")
+ORACLE["receivers"] = _cr(f"SELECT {_rounded_cols(['period', 'receiver', 'f29_fact_reci', 'f29_nc_reci', 'f29_neto_reci', 'c_537'])} FROM a_wide")
 
-_MEAS = ([f"iva_neto_cdo_a{k}" for k in range(1, 6)] + [f"prop_neto_cdo_a{k}" for k in range(1, 6)]
-         + ["total_cont", "prop_total_cont"])
+_MEAS = cs.MEASURES
 _PIVOT = ["period", "receiver", "f29_neto_reci"] + [f"{m}_{s}" for s in cs.PIVOT_ORDER for m in _MEAS] + ["c_537"]
 _TOTALS = (_PIVOT + [f"{m}_a{k}_an" for k in range(1, 6) for m in ("iva_neto_cdo", "prop_neto_cdo")]
            + ["total_cont_an", "prop_total_cont_an"])
 _DBL |= {c for c in _TOTALS if c.startswith(("iva_", "prop_", "total_", "f29_"))}
-ORACLE["origin_pivot"] = _cr(f"SELECT {_rounded_cols(_PIVOT)} FROM a_pivot")
+ORACLE["origin_pivot"] = _cr(f"SELECT {_rounded_cols(_PIVOT)} FROM a_wide")
 ORACLE["hop_totals"] = _cr(f"SELECT {_rounded_cols(_TOTALS)} FROM a_totals")
-ORACLE["history_upsert"] = _cr(f"SELECT {_rounded_cols(_TOTALS)} FROM a_totals UNION ALL "
-                               f"SELECT {_rounded_cols(_TOTALS)} FROM b_totals", AB)
-ORACLE["snapshot_backup"] = _cr(f"SELECT {_rounded_cols(_TOTALS)} FROM a_totals")
+ORACLE["history_upsert"] = _cr(_every(_rounded_cols(_TOTALS), "totals"), ALL)
+ORACLE["snapshot_backup"] = _cr(_every(_rounded_cols(_TOTALS), "totals", PERIODS[-2:-1]), ALL)
 ORACLE["table_profile"] = _cr(
     "SELECT period, count(*) AS rows_in_period, sum(count(*)) OVER () AS rows, "
-    f"{len(_TOTALS)} AS columns FROM (SELECT period FROM a_totals UNION ALL SELECT period FROM b_totals) h "
-    "GROUP BY period", AB)
+    f"{len(_TOTALS)} AS columns FROM ({_every('period', 'totals')}) h "
+    "GROUP BY period", ALL)
 
 _CARRIED = ["period", "receiver", "f29_neto_reci", "period_ant", "f29_77_ant", "prop_total_cont_an_ant",
             "carried_cont", "c_504"]
@@ -510,12 +491,11 @@ for _s in cs.CARRIED_ORDER + ("an",):
         _CARRIED += [f"iva_neto_cdo_a{_k}_{_s}", f"prop_neto_cdo_a{_k}_{_s}"]
     _CARRIED += [f"total_cont_{_s}", f"prop_total_cont_{_s}"]
 _DBL |= {"f29_77_ant", "prop_total_cont_an_ant", "carried_cont", "c_504"}
-ORACLE["carried_history"] = _cr(f"SELECT {_rounded_cols(_CARRIED)} FROM a_carried UNION ALL "
-                                f"SELECT {_rounded_cols(_CARRIED)} FROM b_carried", AB)
+ORACLE["carried_history"] = _cr(_every(_rounded_cols(_CARRIED), "carried"), ALL)
 _EXTRACT = (["period", "receiver", "f29_neto_reci", "period_ant", "f29_77_ant", "prop_total_cont_an_ant",
              "carried_cont", "c_504"] + [f"{m}_a{k}_rem" for k in range(1, 6) for m in ("iva_neto_cdo", "prop_neto_cdo")]
             + ["total_cont_rem", "prop_total_cont_rem"])
-ORACLE["period_extract"] = _cr(f"SELECT {_rounded_cols(_EXTRACT)} FROM b_carried", AB)
+ORACLE["period_extract"] = _cr(f"SELECT {_rounded_cols(_EXTRACT)} FROM m{PERIODS[-1]}_carried", ALL)
 ORACLE["export_csv"] = with_inputs(
     ["observations"], "SELECT id, period, code, CAST(amount AS DOUBLE) AS amount, "
     "strftime(end_date, '%Y-%m-%d %H:%M:%S') AS end_date, status FROM observations")
@@ -541,7 +521,7 @@ SELECT c.id, c.is_company, c.is_accountant, c.is_natural, c.is_rep, {r('k.score'
        {r('o.value')} AS opacity, kr.kin_owners, kr.total AS natural_partners, {r('kr.kinship_rate')} AS kinship_rate,
        c.initial_group, c.community, w.fee_workers, w.dependent_workers, CAST(nw.networth AS DOUBLE) AS networth
 FROM communities c
-LEFT JOIN con15 k ON c.id = k.id
+LEFT JOIN con k ON c.id = k.id
 LEFT JOIN paid p ON c.id = p.id
 LEFT JOIN vnet v ON c.id = v.id
 LEFT JOIN lregion g ON c.id = g.id
@@ -549,10 +529,7 @@ LEFT JOIN docs d ON c.id = d.id
 LEFT JOIN life l ON c.id = l.id
 LEFT JOIN (SELECT DISTINCT id FROM seeds) s ON c.id = s.id
 LEFT JOIN res9 o ON c.id = o.company
-LEFT JOIN (SELECT t.company, COALESCE(f.kin_owners, 0) AS kin_owners, t.total,
-                  {div('COALESCE(f.kin_owners, 0)', 't.total')} * 100 AS kinship_rate
-           FROM ktotal t LEFT JOIN (SELECT company, count(DISTINCT owner) AS kin_owners FROM kmatch GROUP BY company) f
-           ON t.company = f.company) kr ON c.id = kr.company
+LEFT JOIN krate kr ON c.id = kr.company
 LEFT JOIN (SELECT COALESCE(f.id, p.id) AS id, COALESCE(f.fee_workers, 0) AS fee_workers,
                   COALESCE(p.dependent_workers, 0) AS dependent_workers
            FROM fl f FULL OUTER JOIN (SELECT id, max(dependent_workers) AS dependent_workers FROM pl GROUP BY id) p
@@ -568,11 +545,8 @@ ORACLE["taxpayer_360"] = with_inputs(T360_IN, "SELECT * FROM t360", _T360_CTES)
 ORACLE["latest_carried"] = with_inputs(
     T360_IN + CIN, f"""
 SELECT t.*, lc.last_carried_period, {r('lc.carried_cont')} AS carried_cont
-FROM t360 t LEFT JOIN (
-  SELECT period AS last_carried_period, receiver, carried_cont FROM (
-    SELECT period, receiver, carried_cont, rank() OVER (PARTITION BY receiver ORDER BY period DESC) AS rk
-    FROM (SELECT period, receiver, carried_cont FROM a_carried UNION ALL SELECT period, receiver, carried_cont FROM b_carried) u
-  ) x WHERE rk = 1) lc ON t.id = lc.receiver""", _T360_CTES + AB)
+FROM t360 t LEFT JOIN (SELECT receiver, max(period) AS last_carried_period, arg_max_null(carried_cont, period) AS carried_cont
+  FROM ({_every('period, receiver, carried_cont', 'carried')}) u GROUP BY receiver) lc ON t.id = lc.receiver""", _T360_CTES + ALL)
 
 ORACLE["extreme_regions"] = with_inputs(["invoice_points", "point_regions"], """
 SELECT issuer, total_north, total_south,
