@@ -159,3 +159,27 @@ def test_intra_flows_balance(spark):
     cf = flows.community_flow(flows.arcs_tagged(arcs, com))
     s = cf.agg(F.sum("issued_intra").alias("i"), F.sum("received_intra").alias("r")).collect()[0]
     assert s["i"] == s["r"]
+
+
+def test_path_counts_of_dense_cross_holdings_stay_exact(spark):
+    n = 90                                                      # 89^10 paths a company: beyond a long
+    firms = spark.range(n)
+    mesh = firms.select(F.col("id").alias("company")).join(firms.select(F.col("id").alias("partner"))) \
+        .where("company <> partner").selectExpr("company", "partner", "1.0D AS capital", "1.0D AS profit")
+    out = kin.owners_expand(mesh, rounds=9)
+    per = out.groupBy("company").agg(F.sum("paths").alias("t"), F.min("is_company").alias("left")).collect()
+    assert len(per) == n and all(int(r["t"]) == (n - 1) ** 10 and r["left"] == 1 for r in per)
+
+
+def test_snapshot_takes_only_the_named_partitions(spark, tmp_path):
+    path, copy = str(tmp_path / "h"), str(tmp_path / "s")
+    hist.snapshot_backup(spark, path, copy, [1])                # nothing to copy yet
+    hist.history_upsert(spark.createDataFrame([(1, 10), (2, 20)], "period int, v int"), path, stamp=False)
+    hist.snapshot_backup(spark, path, copy, [1])
+    hist.snapshot_backup(spark, path, copy, [2, 3])
+    assert rows(spark.read.parquet(copy), "period", "v") == [(1, 10), (2, 20)]
+
+
+def test_csv_reads_back_what_was_written(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0.1, None), (2, None, "x, \"y\"")], "k int, v double, t string")
+    assert rows(hist.as_csv(df, str(tmp_path / "c")), "k", "v", "t") == [(1, 0.1, None), (2, None, 'x, "y"')]

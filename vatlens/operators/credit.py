@@ -52,13 +52,13 @@ PIVOT_ORDER = ("al", "nd", "ce", "w08", "rem", "fm01", "ed30")
 CARRIED_ORDER = ("rem", "nd", "al", "w08", "ed30", "ce", "fm01")
 PHANTOM = {"CE": "PHANTOM CE", "W08": "PHANTOM W08", "REM": "PHANTOM REM", "FM01": "PHANTOM FM01"}
 NORMAL = "NORMAL"
-# hop k >= 2: (proportion source, NC multiplies invoice proportion, product rounding, sums rounded,
+# hop k >= 2: (NC multiplies invoice proportion, product rounding, sums rounded,
 #              requires iva_fact_cdo > 0 on the previous hop)
 HOP_RULES = {
-    2: ("porc", True, 1, None, False),
-    3: ("prop", False, 1, 1, True),
-    4: ("prop", False, 5, 1, True),
-    5: ("prop", False, 5, 1, True),
+    2: (True, 1, None, False),
+    3: (False, 1, 1, True),
+    4: (False, 5, 1, True),
+    5: (False, 5, 1, True),
 }
 
 
@@ -379,7 +379,7 @@ def hop1_result(hop1: DataFrame, declared: DataFrame) -> DataFrame:
     sums = hop1.groupBy("period", "receiver", "origin").agg(
         F.sum("iva_fact_cont").alias("s_fact"), F.sum("iva_nc_cont").alias("s_nc"),
         F.sum("iva_neto_cont").alias("s_net"), F.sum("issuer_declares").alias("s_ie"),
-        F.sum("receiver_declares").alias("s_re"), F.sum("qty_docto").alias("qty_docto"))
+        F.sum("receiver_declares").alias("s_re"))
     g = sums.join(_declared_caps(declared), ["receiver", "period"], "inner")
     fact_cdo = least_of("s_fact", "mf")
     nc_cdo = least_of("s_nc", "mn")
@@ -387,8 +387,7 @@ def hop1_result(hop1: DataFrame, declared: DataFrame) -> DataFrame:
                 .when((_c("s_ie") == 0) & (_c("s_re") == 0), F.lit(0))
                 .when(_c("s_net") <= _c("mnet"), _c("s_net")).otherwise(_c("mnet")))
     prep = g.select("period", "receiver", "origin", fact_cdo.alias("fcdo"), nc_cdo.alias("ncdo"),
-                    neto_cdo.alias("netcdo"), (_c("mf") - fact_cdo).alias("remainder_fact"),
-                    (_c("mn") - nc_cdo).alias("remainder_nc"), "qty_docto", "c_537",
+                    neto_cdo.alias("netcdo"), "c_537",
                     _c("mf").alias("fact_reci"), _c("mn").alias("nc_reci"),
                     (_c("mnet") + _c("ms")).alias("neto_reci"))
     return prep.select(
@@ -419,7 +418,7 @@ def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
     the issuer's contaminated proportion; self edges are excluded; sums are capped by the
     receiver's declaration. When the edges are salted (``hop_edges``; ``hot`` is None when
     no issuer is hot) the previous hop's rows of hot issuers are repeated per salt bucket."""
-    _src, nc_uses_fact, prod_digits, sum_digits, need_fact = HOP_RULES[hop]
+    nc_uses_fact, prod_digits, sum_digits, need_fact = HOP_RULES[hop]
     p = prev.select(F.col("receiver").alias("issuer"), "period", "origin",
                     _c("iva_fact_cdo").alias("p_fact_cdo"), "prop_fact_cdo", "prop_nc_cdo",
                     "prop_neto_cdo")
@@ -431,12 +430,17 @@ def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
     else:
         j = e.select("issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto").join(
             p, ["issuer", "period"], "inner")
-    nc_prop = _c("prop_fact_cdo") if nc_uses_fact else _c("prop_nc_cdo")
+
+    def carried(amount: str, prop: str) -> Column:
+        """Money times a proportion of 5 digits, exact in DECIMAL: no rounding (here or of the sums)
+        depends on the order of summation or falls on a float tie."""
+        exact = _c(amount).cast("decimal(20,4)") * _c(prop).cast("decimal(10,5)")
+        return F.round(exact, prod_digits).cast("decimal(28,5)")
+
     rows = j.select(
-        "period", "receiver", "origin",
-        F.round(_c("iva_fact").cast("double") * _c("prop_fact_cdo"), prod_digits).alias("pf"),
-        F.round(_c("iva_nc").cast("double") * nc_prop, prod_digits).alias("pn"),
-        F.round(_c("iva_neto").cast("double") * _c("prop_neto_cdo"), prod_digits).alias("pt"))
+        "period", "receiver", "origin", carried("iva_fact", "prop_fact_cdo").alias("pf"),
+        carried("iva_nc", "prop_fact_cdo" if nc_uses_fact else "prop_nc_cdo").alias("pn"),
+        carried("iva_neto", "prop_neto_cdo").alias("pt"))
     # sum per (period, receiver, origin) before meeting the declarations (map-side combine)
     sums = rows.groupBy("period", "receiver", "origin").agg(
         F.sum("pf").alias("sf"), F.sum("pn").alias("sn"), F.sum("pt").alias("st"))
@@ -444,10 +448,11 @@ def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
 
     def capped(s: str, m: str) -> Column:
         v = F.round(_c(s), sum_digits) if sum_digits is not None else _c(s)
-        return F.when(v <= _c(m), v).otherwise(_c(m).cast("double"))
+        # as DOUBLE: a common DECIMAL type of both could lose the sum's last digits
+        return F.when(v.cast("double") <= _c(m).cast("double"), v.cast("double")).otherwise(_c(m).cast("double"))
 
     def prop(s: str, m: str) -> Column:
-        return F.when(_c(s) <= _c(m), F.round(safe_div(s, m), 5)).otherwise(F.lit(1.0))
+        return F.when(_c(s).cast("double") <= _c(m).cast("double"), F.round(safe_div(s, m), 5)).otherwise(F.lit(1.0))
 
     return g.select(
         "period", "receiver", _c("mf").alias("f29_fact_reci"), _c("mn").alias("f29_nc_reci"),
@@ -510,10 +515,9 @@ def origin_summary(hops: DataFrame, decl1: DataFrame) -> DataFrame:
     return g.select(*cols)
 
 
-def receivers(hops: DataFrame, decl1: DataFrame) -> DataFrame:
-    """Unique receivers (declarers) with declared maxima."""
-    dk = decl1.select(F.col("id").alias("receiver"), "period").distinct()
-    return (hops.join(dk, ["receiver", "period"], "left_semi").groupBy("period", "receiver")
+def receivers(summary: DataFrame) -> DataFrame:
+    """Unique receivers (declarers) with declared maxima, from the rows of their origins."""
+    return (summary.groupBy("period", "receiver")
             .agg(F.max("f29_fact_reci").alias("f29_fact_reci"), F.max("f29_nc_reci").alias("f29_nc_reci"),
                  F.max("f29_neto_reci").alias("f29_neto_reci"), F.max("c_537").alias("c_537")))
 
@@ -522,15 +526,13 @@ PIVOT_MEASURES = ([f"iva_neto_cdo_a{k}" for k in range(1, 6)] + [f"prop_neto_cdo
                   + ["total_cont", "prop_total_cont"])
 
 
-def origin_pivot(recv: DataFrame, summary: DataFrame) -> DataFrame:
-    """One row per receiver, the 12 summary measures for each of the 7 origins (one pivot)."""
-    codes = sorted(ORIGIN_SUFFIX)
-    pv = (summary.groupBy("period", "receiver").pivot("origin", codes)
-          .agg(*[F.first(m).alias(m) for m in PIVOT_MEASURES]))
-    renamed = [F.col(f"{code}_{m}").alias(f"{m}_{ORIGIN_SUFFIX[code]}")
-               for code in codes for m in PIVOT_MEASURES]
-    pv = pv.select("period", "receiver", *renamed)
-    out = recv.select("period", "receiver", "f29_neto_reci", "c_537").join(pv, ["period", "receiver"], "left")
+def origin_pivot(summary: DataFrame) -> DataFrame:
+    """One row per receiver: its declared maxima and the 12 summary measures for each of the
+    7 origins (one row each), in one aggregation."""
+    measures = [F.max(F.when(_c("origin") == code, _c(m))).alias(f"{m}_{suffix}")
+                for code, suffix in ORIGIN_SUFFIX.items() for m in PIVOT_MEASURES]
+    out = summary.groupBy("period", "receiver").agg(
+        F.max("f29_neto_reci").alias("f29_neto_reci"), F.max("c_537").alias("c_537"), *measures)
     order = ["period", "receiver", "f29_neto_reci"]
     for sfx in PIVOT_ORDER:
         order += [f"{m}_{sfx}" for m in PIVOT_MEASURES]
@@ -583,18 +585,20 @@ class PeriodResult:
     pedges: DataFrame
     hop1: DataFrame
     hops: list
-    union: DataFrame
-    summary: DataFrame
-    recv: DataFrame
-    pivot: DataFrame
-    totals: DataFrame
+    union: DataFrame | None = None
+    summary: DataFrame | None = None
+    recv: DataFrame | None = None
+    pivot: DataFrame | None = None
+    totals: DataFrame | None = None
 
 
 def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataFrame,
                  alerts: DataFrame, period: int, history: DataFrame | None = None,
-                 phantom_origins: bool = True, checkpoint: bool = True) -> PeriodResult:
-    """Run the whole credit tracing of one period. ``history`` holds earlier
+                 phantom_origins: bool = True, checkpoint: bool = True, hops: int = 5) -> PeriodResult:
+    """Run the credit tracing of one period. ``history`` holds earlier
     periods' hop totals (period, receiver, total_cont_an, prop_total_cont_an).
+    With ``hops`` of 0 it ends at the edges of hop 1, with 1 at hop 1's result; the
+    summary and what follows need all five.
 
     Every reused intermediate is cut into a leaf in the checkpoint folder:
     DataFrame analysis is eager and a shared subtree would otherwise be
@@ -616,21 +620,26 @@ def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataF
     carry = leaf(carry_in(decl1, prev_decl, period, prior, history))
     edges = leaf(trade_edges_clamped(trade_edges(ledger_docs(ledger, period), decl1)))
     declared = leaf(decl_or_ledger(decl1, edges))
-    declared_by_id = by_key(declared, "id", "period")
     nondecl = nondeclaring_issuers(edges, declared).select("issuer", "period").distinct()
     seeds = seed_table(doc30_issuers(ledger, auth, period), nondecl, alerted_issuers(edges, alerts), period)
     pedges = leaf(phantom_edges(edges, special_credit(declared, period),
                                 observations(obs, OBS_W08, period), carry, fm))
     hop1 = hop1_by_origin(edge_level0(pedges), declared, seeds, phantom_origins)
-    results = [leaf(hop1_result(hop1, declared_by_id))]
+    out = PeriodResult(period, decl1, declared, carry, edges, pedges, hop1, [])
+    if hops == 0:
+        return out
+    declared_by_id = by_key(declared, "id", "period")
+    results = out.hops
+    results.append(leaf(hop1_result(hop1, declared_by_id)))
+    if hops == 1:
+        return out
     hedges, hot = hop_edges(pedges, leaf)
     hedges = by_key(hedges, *salt_keys(["issuer", "period"], hot))
     for k in range(2, 6):
         results.append(leaf(hop_next(hedges, results[-1], declared_by_id, k, hot)))
-    union = hops_union(results)
-    summary = origin_summary(union, decl1)
-    recv = receivers(union, decl1)
-    pivot = origin_pivot(recv, summary)
-    totals = hop_totals(pivot)
-    return PeriodResult(period, decl1, declared, carry, edges, pedges, hop1, results, union, summary,
-                        recv, pivot, totals)
+    out.union = hops_union(results)
+    out.summary = origin_summary(out.union, decl1)
+    out.recv = receivers(out.summary)
+    out.pivot = origin_pivot(out.summary)
+    out.totals = hop_totals(out.pivot)
+    return out

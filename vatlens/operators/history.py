@@ -4,8 +4,9 @@ written by the period before.
 
 Histories are parquet tables partitioned by period. An upsert of period P
 writes only partition P with dynamic partition overwrite, so it drops the
-period's old rows and appends the new ones in one atomic job per partition,
-and re-running a period is idempotent.
+period's old rows and appends the new ones in one job, and re-running a period
+is idempotent. (Where a store has no atomic rename the replacement is not
+atomic; the snapshot holds the partition until then.)
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vatlens.operators import credit as cr
-from vatlens.sources.tables import dates_as_text, table_exists, write_csv
+from vatlens.sources.tables import dates_as_text, read_csv, table_exists, write_csv
 
 STAMP_COLS = ("created", "user")
 
@@ -33,13 +34,12 @@ def read_history(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if table_exists(spark, path) else None
 
 
-def snapshot_backup(spark: SparkSession, path: str, snapshot_path: str) -> DataFrame | None:
-    """Copy a history table before it is changed (no-op when it does not exist yet)."""
+def snapshot_backup(spark: SparkSession, path: str, snapshot_path: str, periods: list[int]) -> None:
+    """Copy the partitions of ``periods`` into the snapshot before the history changes
+    (no-op when there is no history yet); the snapshot's other partitions stay."""
     h = read_history(spark, path)
-    if h is None:
-        return None
-    h.write.mode("overwrite").partitionBy("period").parquet(snapshot_path)
-    return spark.read.parquet(snapshot_path)
+    if h is not None:
+        history_upsert(h.where(F.col("period").isin(periods)), snapshot_path, stamp=False)
 
 
 EXTRACT_COLS = (["period", "receiver", "f29_neto_reci", "period_ant", "f29_77_ant", "prop_total_cont_an_ant",
@@ -48,12 +48,17 @@ EXTRACT_COLS = (["period", "receiver", "f29_neto_reci", "period_ant", "f29_77_an
                 + ["total_cont_rem", "prop_total_cont_rem"])
 
 
+def as_csv(df: DataFrame, path: str | None) -> DataFrame:
+    """``df`` written as CSV and read back with its own schema; ``df`` itself without a path."""
+    if not path:
+        return df
+    write_csv(df, path)
+    return read_csv(df.sparkSession, path, df.schema)
+
+
 def period_extract(carried: DataFrame, period: int, path: str | None = None) -> DataFrame:
-    """Carried-credit columns of one period; written as CSV when ``path`` is given."""
-    out = carried.where(F.col("period") == period).select(*EXTRACT_COLS)
-    if path:
-        write_csv(out, path)
-    return out
+    """Carried-credit columns of one period; what the CSV file holds when ``path`` is given."""
+    return as_csv(carried.where(F.col("period") == period).select(*EXTRACT_COLS), path)
 
 
 def table_profile(df: DataFrame, period_col: str = "period") -> DataFrame:
@@ -67,22 +72,22 @@ def table_profile(df: DataFrame, period_col: str = "period") -> DataFrame:
 
 
 def export_csv_text(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Date/time columns as ``yyyy-MM-dd HH:mm:ss`` text; written as CSV when ``path`` is given."""
-    out = dates_as_text(df)
-    if path:
-        write_csv(out, path)
-    return out
+    """Date/time columns as ``yyyy-MM-dd HH:mm:ss`` text; what the CSV file holds when ``path`` is given."""
+    return as_csv(dates_as_text(df), path)
 
 
 def run_periods(spark: SparkSession, decl: DataFrame, obs: DataFrame, ledger: DataFrame,
                 auth: DataFrame, alerts: DataFrame, periods: list[int], history_path: str,
                 carried_path: str, phantom_origins: bool = True,
-                snapshot_path: str | None = None) -> dict:
-    """Process periods in order; each one reads the history left by the previous one."""
-    out = {}
+                snapshot_path: str | None = None) -> None:
+    """Process periods in order; each one reads the history left by the previous one (the first
+    starts cold). Before a period, the snapshot takes the partition that was written last and
+    the one about to be replaced, so that it always holds the history as it was."""
+    before: list[int] = []
     for p in periods:
         if snapshot_path:
-            out.setdefault("snapshots", {})[p] = snapshot_backup(spark, history_path, f"{snapshot_path}/{p}")
+            snapshot_backup(spark, history_path, snapshot_path, [*before, p])
+        before = [p]
         hist = read_history(spark, history_path)
         r = cr.trace_period(decl, obs, ledger, auth, alerts, p, history=hist,
                             phantom_origins=phantom_origins)
@@ -90,5 +95,3 @@ def run_periods(spark: SparkSession, decl: DataFrame, obs: DataFrame, ledger: Da
         totals_p = spark.read.parquet(history_path).where(F.col("period") == p).drop(*STAMP_COLS)
         carried = cr.carried_history_rows(totals_p, r.carry, r.decl1)
         history_upsert(carried, carried_path, stamp=False)
-        out[p] = r
-    return out

@@ -18,14 +18,25 @@ def normalise_id(text: str) -> str:
 
 def lookup_taxpayer(t360: DataFrame, tflow: DataFrame, cflow: DataFrame, id_text: str,
                     id_col: str = "id", group_col: str = "community") -> DataFrame:
-    """The 360 row of one taxpayer, its flow row and its community row (empty if unknown)."""
+    """The 360 row of one taxpayer beside its flow row and its community row (empty if unknown)."""
+    row, flow, com = lookup_frames(t360, tflow, cflow, id_text, id_col, group_col)
+    out = row.join(flow.withColumnRenamed("taxpayer", "_tp"), F.col(id_col) == F.col("_tp"), "left").drop("_tp")
+    return out.join(com.withColumnRenamed("com", "_com"), F.col(group_col) == F.col("_com"), "left").drop("_com")
+
+
+def lookup_frames(t360: DataFrame, tflow: DataFrame, cflow: DataFrame, id_text: str,
+                  id_col: str = "id", group_col: str = "community") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The 360 row of one taxpayer, its flow row, and its community's row (each empty if unknown)."""
     key = normalise_id(id_text)
     # the literal takes the key's type, so that the filter reaches the scan; text that is no id finds nothing
     row = t360.where(F.col(id_col) == F.lit(key).try_cast(t360.schema[id_col].dataType))
-    flow = tflow.where(F.col("taxpayer") == F.lit(key).try_cast(tflow.schema["taxpayer"].dataType)).withColumnRenamed("taxpayer", "_tp")
-    out = row.join(flow, row[id_col] == flow["_tp"], "left").drop("_tp")
-    com = cflow.withColumnRenamed("com", "_com")
-    return out.join(com, out[group_col] == com["_com"], "left").drop("_com")
+    flow = tflow.where(F.col("taxpayer") == F.lit(key).try_cast(tflow.schema["taxpayer"].dataType))
+    return row, flow, cflow.join(row.select(F.col(group_col).alias("com")), "com", "left_semi")
+
+
+def number_text(c: str, digits: int = 4) -> F.Column:
+    """A ratio with ``digits`` decimals; NULL stays NULL."""
+    return F.format_number(F.col(c).cast("double"), digits)
 
 
 def format_money(df: DataFrame, columns: list[str]) -> DataFrame:

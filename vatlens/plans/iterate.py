@@ -37,6 +37,10 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+#: Rows of one partition of a reused table (some 100 to 200 MB).
+PARTITION_ROWS = 4_000_000
+
+
 @contextmanager
 def _adaptive_off(spark) -> Iterator[None]:
     key = "spark.sql.adaptive.enabled"
@@ -58,15 +62,14 @@ def cut_partitioned(df: DataFrame, *keys: str, partitions: int | None = None) ->
     hash partitioning and every round would shuffle the big table again
     (checked with ``explain``). ``df`` itself is computed under AQE (runtime
     join choice, skew splits) into the cache; only the final repartition and
-    checkpoint are planned with AQE off. The number of partitions is fixed
-    (``spark.sql.shuffle.partitions`` unless given), so the loop's join sides
-    line up without coalescing.
+    checkpoint are planned with AQE off. The number of partitions follows the rows
+    (``PARTITION_ROWS`` each, ``spark.sql.shuffle.partitions`` at least) unless given, and
+    the loop's join sides line up without coalescing.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    base.count()
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // PARTITION_ROWS))
     with _adaptive_off(spark):
         # the checkpoint's second job re-reads the shuffle files, not the plan
         out = base.repartition(n, *keys).checkpoint(eager=True)

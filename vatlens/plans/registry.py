@@ -80,21 +80,36 @@ LOOKUP_ID = " 1 2 "
 FLOW_MONEY = ["vat_intra_issued", "vat_extra_issued", "vat_intra_received", "vat_extra_received"]
 
 
-def _lookup(b):
-    tagged = _tagged(b)
-    return views.lookup_taxpayer(b.communities, flows.taxpayer_flow(tagged),
-                                 flows.community_flow(tagged), LOOKUP_ID)
+#: Columns shown as money in each frame of a lookup.
+COMMUNITY_MONEY = ["issued_intra", "issued_extra", "received_intra", "received_extra"]
+MONEY_COLUMNS = ["paid_total", "vat_net", "networth", "carried_cont", *FLOW_MONEY, *COMMUNITY_MONEY]
+
+
+def _served(b):
+    """The three tables that lookups serve from: 360 with carried credit, taxpayer flows, communities."""
+    def communities(x):
+        return flows.community_size(flows.community_ratios(flows.community_flow(_tagged(x))), x.communities)
+
+    return (b.derived("served_360", lambda x: rounded(decimals_to_double(_t360_carried(x)))),
+            b.derived("served_flow", lambda x: decimals_to_double(flows.taxpayer_flow(_tagged(x)))),
+            b.derived("served_community", lambda x: decimals_to_double(communities(x))))
 
 
 @query("lookup_taxpayer")
 def _q_lookup_taxpayer(b):
-    return _lookup(b)
+    return rounded(views.lookup_taxpayer(*_served(b), LOOKUP_ID))
 
 
 @query("lookup_unpivot")
 def _q_lookup_unpivot(b):
-    row = views.format_money(decimals_to_double(_lookup(b)), FLOW_MONEY)
-    return views.unpivot_row(row.select("id", *FLOW_MONEY, "arcs_intra_issued", "arcs_extra_issued"))
+    from pyspark.sql import functions as F
+    out = None
+    for name, frame in zip(("taxpayer", "flow", "community"), views.lookup_frames(*_served(b), LOOKUP_ID)):
+        text = views.format_money(rounded(frame), MONEY_COLUMNS)
+        text = text.select([views.number_text(c).alias(c) if t == "double" else F.col(c) for c, t in text.dtypes])
+        pairs = views.unpivot_row(text).select(F.lit(name).alias("frame"), "attribute", "value")
+        out = pairs if out is None else out.unionByName(pairs)
+    return out
 
 
 @query("money_format")
@@ -409,8 +424,8 @@ from vatlens.operators import credit as cr  # noqa: E402
 from vatlens.operators import history as hist_ops  # noqa: E402
 from vatlens.session import ensure_checkpoint_dir  # noqa: E402
 
-P1, P2 = 200006, 200007
-PERIODS_TODAY, PERIODS_YEARS = "2001-01-15", 1
+P1 = 200006
+PERIODS_TODAY, PERIODS_YEARS, HISTORY_YEARS = "2001-01-15", 1, 2
 
 
 def _decl1(b, period=P1):
@@ -423,8 +438,8 @@ def _edges(b, decl1=None, period=P1):
     return cr.trade_edges_clamped(cr.trade_edges(cr.ledger_docs(b.ledger, period), decl1))
 
 
-def _trace(b, period=P1):
-    return cr.trace_period(b.declarations, b.observations, b.ledger, b.authorisations, b.alerts, period)
+def _trace(b, period=P1, hops=5):
+    return cr.trace_period(b.declarations, b.observations, b.ledger, b.authorisations, b.alerts, period, hops=hops)
 
 
 def _scratch(b, name):
@@ -432,17 +447,30 @@ def _scratch(b, name):
     return os.path.join(root, f"vatlens-{name}-{uuid.uuid4().hex}")
 
 
-def _two_periods(b):
-    hp, cp, sp = _scratch(b, "history"), _scratch(b, "carried"), _scratch(b, "snapshot")
-    out = hist_ops.run_periods(b.spark, b.declarations, b.observations, b.ledger, b.authorisations,
-                               b.alerts, [P1, P2], hp, cp, snapshot_path=sp)
-    return out, hp, cp
+def _ledger_periods(b, years=PERIODS_YEARS):
+    wanted = cr.periods(b.spark, PERIODS_TODAY, years)
+    return b.ledger.select("period").distinct().join(wanted, "period", "left_semi")
+
+
+_TRACED: dict[tuple, tuple[str, str, str, int]] = {}
+
+
+def _history(b):
+    """Folders of history, carried history and snapshot after tracing every period of the ledger,
+    in order, and the last period; written once per application and state of the inputs."""
+    key = b.key()
+    if key not in _TRACED:
+        months = [r["period"] for r in _ledger_periods(b, HISTORY_YEARS).orderBy("period").collect()]
+        paths = _scratch(b, "history"), _scratch(b, "carried"), _scratch(b, "snapshot")
+        hist_ops.run_periods(b.spark, b.declarations, b.observations, b.ledger, b.authorisations, b.alerts,
+                             months, *paths[:2], snapshot_path=paths[2])
+        _TRACED[key] = (*paths, months[-1])
+    return _TRACED[key]
 
 
 @query("periods")
 def _q_periods(b):
-    wanted = cr.periods(b.spark, PERIODS_TODAY, PERIODS_YEARS)
-    return b.ledger.select("period").distinct().join(wanted, "period", "left_semi")
+    return _ledger_periods(b)
 
 
 @query("prior_period")
@@ -530,22 +558,22 @@ def _q_special_credit(b):
 
 @query("phantom_edges")
 def _q_phantom_edges(b):
-    return _trace(b).pedges
+    return _trace(b, hops=0).pedges
 
 
 @query("edge_level0")
 def _q_edge_level0(b):
-    return cr.edge_level0(_trace(b).pedges)
+    return cr.edge_level0(_trace(b, hops=0).pedges)
 
 
 @query("hop1_by_origin")
 def _q_hop1_by_origin(b):
-    return _trace(b).hop1
+    return _trace(b, hops=0).hop1
 
 
 @query("hop1_result")
 def _q_hop1_result(b):
-    return rounded(_trace(b).hops[0])
+    return rounded(_trace(b, hops=1).hops[0])
 
 
 @query("hop_next")
@@ -584,34 +612,28 @@ def _q_hop_totals(b):
 
 @query("history_upsert")
 def _q_history_upsert(b):
-    _, hp, _ = _two_periods(b)
-    return rounded(b.spark.read.parquet(hp).drop(*hist_ops.STAMP_COLS))
+    return rounded(b.spark.read.parquet(_history(b)[0]).drop(*hist_ops.STAMP_COLS))
 
 
 @query("carried_history")
 def _q_carried_history(b):
-    _, _, cp = _two_periods(b)
-    return rounded(b.spark.read.parquet(cp))
+    return rounded(b.spark.read.parquet(_history(b)[1]))
 
 
 @query("period_extract")
 def _q_period_extract(b):
-    _, _, cp = _two_periods(b)
-    path = _scratch(b, "extract")
-    hist_ops.period_extract(b.spark.read.parquet(cp), P2, path)
-    return rounded(b.spark.read.parquet(cp).transform(lambda d: hist_ops.period_extract(d, P2)))
+    _, carried, _, last = _history(b)
+    return rounded(hist_ops.period_extract(b.spark.read.parquet(carried), last, _scratch(b, "extract")))
 
 
 @query("snapshot_backup")
 def _q_snapshot_backup(b):
-    out, _, _ = _two_periods(b)
-    return rounded(out["snapshots"][P2].drop(*hist_ops.STAMP_COLS))
+    return rounded(b.spark.read.parquet(_history(b)[2]).drop(*hist_ops.STAMP_COLS))
 
 
 @query("table_profile")
 def _q_table_profile(b):
-    _, hp, _ = _two_periods(b)
-    return hist_ops.table_profile(b.spark.read.parquet(hp).drop(*hist_ops.STAMP_COLS))
+    return hist_ops.table_profile(b.spark.read.parquet(_history(b)[0]).drop(*hist_ops.STAMP_COLS))
 
 
 @query("export_csv")
@@ -634,10 +656,13 @@ def _q_taxpayer_360(b):
     return rounded(_t360(b))
 
 
+def _t360_carried(b):
+    return flows.latest_carried(_t360(b), b.spark.read.parquet(_history(b)[1]))
+
+
 @query("latest_carried")
 def _q_latest_carried(b):
-    _, _, cp = _two_periods(b)
-    return rounded(flows.latest_carried(_t360(b), b.spark.read.parquet(cp)))
+    return rounded(_t360_carried(b))
 
 
 EXTREME_NORTH, EXTREME_SOUTH = ("AFRICA",), ("EUROPE",)

@@ -1,8 +1,8 @@
 """TESTDATA tables -> the input schemas the operators read (see FIXTURES.md).
 
 This is the only module that knows the TPC-H-ish table names. Every binding
-is a lazy DataFrame over the parquet files, so its size grows with the scale
-factor. Money is DECIMAL(18,2) so that sums are exact whatever the order of
+is a DataFrame over the parquet files, written as a table when a query first needs it
+(see ``Bindings``), so its size grows with the scale factor. Money is DECIMAL(18,2) so that sums are exact whatever the order of
 summation (the operators also accept DOUBLE).
 
 One id space: taxpayer ``k`` is customer ``k`` and, for small ``k``, also
@@ -12,13 +12,13 @@ supplier ``k``; so low ids both issue and receive, which gives multi-hop paths.
 from __future__ import annotations
 
 import hashlib
-import os
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vatlens.sources.tables import read_table
+from vatlens.plans.iterate import cut
+from vatlens.sources.tables import folder_state, read_table
 
 MONEY = "decimal(18,2)"
 
@@ -28,7 +28,7 @@ def D(x) -> F.Column:
     return F.lit(Decimal(str(x)))
 
 
-_MATERIALISED: dict[tuple[str, str, str], str] = {}
+_MATERIALISED: dict[tuple, str] = {}
 
 
 class Bindings:
@@ -37,7 +37,8 @@ class Bindings:
     With ``materialise=True`` (default) each derived input is written once per
     Spark application as parquet under the session's checkpoint folder and read
     back, i.e. it becomes a table as the inputs are in production: later
-    queries scan it with pushdown and pruning instead of re-deriving it.
+    queries scan it with pushdown and pruning instead of re-deriving it. Tables are known
+    by application, folder and the state of the folder's files: changed files give new ones.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialise: bool = True):
@@ -61,16 +62,26 @@ class Bindings:
 
     def _table(self, name: str, builder) -> DataFrame:
         from vatlens.session import ensure_checkpoint_dir
-        key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), name)
+        key = (*self.key(), name)
         path = _MATERIALISED.get(key)
         if path is None:
             root = ensure_checkpoint_dir(self.spark)
-            tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
+            tag = hashlib.sha1(repr(key[1:3]).encode()).hexdigest()[:12]
             path = f"{root.rstrip('/')}/vatlens-inputs/{key[0]}/{tag}/{name}"
             builder(self).write.mode("overwrite").parquet(path)
             _MATERIALISED[key] = path
         return self.spark.read.parquet(path)
 
+    def key(self) -> tuple:
+        """Application, folder, and the state of its files."""
+        return self.spark.sparkContext.applicationId, self.sf_dir, folder_state(self.spark, self.sf_dir)
+
+    def derived(self, name: str, build) -> DataFrame:
+        """``build(self)`` as a table that several queries serve from."""
+        if name not in self._cache:
+            self._cache[name] = self._table(name, build)
+        return self._cache[name]
+
     # ---- shared pieces -------------------------------------------------
     def _n_customers(self) -> F.Column:
         return self.raw("customer").select(F.count(F.lit(1))).scalar()
@@ -122,9 +133,10 @@ class Bindings:
         )
 
     def _b_strength(self) -> DataFrame:
-        a = self.arcs
-        tot = F.sum("vat").over(Window.partitionBy("receiver"))
-        fi = F.round(F.col("vat").cast("double") / tot.cast("double"), 6)
+        # totals as a table of their own: both join sides are plain shuffles, and AQE splits a hub receiver
+        totals = cut(self.arcs.groupBy("receiver").agg(F.sum("vat").alias("tot")))
+        a = self.arcs.join(totals, "receiver")
+        fi = F.round(F.col("vat").cast("double") / F.col("tot").cast("double"), 6)
         k = F.col("issuer") + F.col("receiver")
         return a.select(
             "issuer", "receiver",

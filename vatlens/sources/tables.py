@@ -57,6 +57,13 @@ def table_exists(spark: SparkSession, path_or_table: str) -> bool:
     return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(path))
 
 
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """(name, size, time of change) of each entry of a folder, asked of its own file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    entries = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    return tuple(sorted((e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in entries))
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   mode: str = "overwrite") -> None:
     w = df.write.mode(mode)
@@ -65,11 +72,6 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Date and timestamp columns become ``yyyy-MM-dd HH:mm:ss`` text, then CSV with header."""
-    write_csv(dates_as_text(df), path, mode)
-
-
 def dates_as_text(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:

@@ -150,11 +150,15 @@ FROM (SELECT s.period, s.receiver, s.origin, d.fact_cr, d.nc_cr, d.c_537, d.net_
               sum(issuer_declares + receiver_declares) AS declarants FROM {x}hop1 GROUP BY ALL) s
       JOIN claimants d ON d.id = s.receiver AND d.period = s.period) b"""
 
+    def passed(amount, prop):
+        exact = f"e.{amount}::DECIMAL(20, 4) * ({prop})::DECIMAL(10, 5)"
+        return f"sum(if(q.digits = 1, round({exact}, 1)::DECIMAL(28, 5), round({exact}, 5)::DECIMAL(28, 5)))"
+
     def held(v, cap):
-        return f"least(if(sums_to_tenth, round({v}, 1), {v}), {cap})::DOUBLE"
+        return f"least(if(sums_to_tenth, round({v}, 1)::DOUBLE, {v}::DOUBLE), {cap}::DOUBLE)"
 
     def part(v, cap):
-        return f"if({v} <= {cap}, {share(v, cap)}, 1.0)"
+        return f"if({v}::DOUBLE <= {cap}::DOUBLE, {share(v, cap)}, 1.0)"
 
     as_double = ", ".join(f"{c}::DOUBLE AS {c}" if c.startswith(("f29", "iva", "prop", "c_")) else c for c in RESULT)
     hops = f"""WITH RECURSIVE reach AS (
@@ -163,9 +167,9 @@ UNION ALL
 SELECT s.period, s.receiver, d.fact_cr::DOUBLE, d.nc_cr::DOUBLE, (d.net_cr + d.special_cr)::DOUBLE,
   {held('f', 'd.fact_cr')}, {held('n', 'd.nc_cr')}, {held('t', 'd.net_cr')},
   {part('f', 'd.fact_cr')}, {part('n', 'd.nc_cr')}, {part('t', 'd.net_cr')}, s.hop, d.c_537::DOUBLE, s.origin
-FROM (SELECT e.period, e.receiver, v.origin, q.hop, q.sums_to_tenth, sum(round(e.iva_fact::DOUBLE * v.prop_fact_cdo, q.digits)) AS f,
-        sum(round(e.iva_nc::DOUBLE * if(q.nc_by_invoice, v.prop_fact_cdo, v.prop_nc_cdo), q.digits)) AS n,
-        sum(round(e.iva_neto::DOUBLE * v.prop_neto_cdo, q.digits)) AS t
+FROM (SELECT e.period, e.receiver, v.origin, q.hop, q.sums_to_tenth, {passed('iva_fact', 'v.prop_fact_cdo')} AS f,
+        {passed('iva_nc', 'if(q.nc_by_invoice, v.prop_fact_cdo, v.prop_nc_cdo)')} AS n,
+        {passed('iva_neto', 'v.prop_neto_cdo')} AS t
       FROM reach v JOIN steps q ON q.hop = v.hop + 1
       JOIN {x}edges e ON e.issuer = v.receiver AND e.period = v.period AND e.receiver <> e.issuer
       WHERE v.iva_fact_cdo > 0 OR NOT q.needs_invoice GROUP BY ALL) s

@@ -110,36 +110,12 @@ ORACLE["networth"] = with_inputs(
 # ---------------------------------------------------------------- 2.8 views
 LOOKUP_KEY = "replace(' 1 2 ', ' ', '')"
 
-LOOKUP = ("lookup", f"""
-SELECT c.*, f.vat_intra_issued, f.vat_extra_issued, f.arcs_intra_issued, f.arcs_extra_issued,
-       f.vat_intra_received, f.vat_extra_received, f.arcs_intra_received, f.arcs_extra_received,
-       g.issued_intra, g.issued_extra, g.received_intra, g.received_extra,
-       g.arcs_issued_intra, g.arcs_issued_extra, g.arcs_received_intra, g.arcs_received_extra
-FROM communities c
-LEFT JOIN tflow f ON c.id = f.taxpayer
-LEFT JOIN cflow g ON c.community = g.com
-WHERE CAST(c.id AS VARCHAR) = {LOOKUP_KEY}""")
-
-_FLOW_CTES = [TAGGED, CELLS, TAXPAYER_FLOW, COMMUNITY_FLOW]
-
-ORACLE["lookup_taxpayer"] = with_inputs(
-    FLOW_IN, "SELECT id, community, is_company, is_natural, is_accountant, is_rep, initial_group, "
-    + _money(FLOW_MONEY[:2]) + ", arcs_intra_issued, arcs_extra_issued, " + _money(FLOW_MONEY[2:])
-    + ", arcs_intra_received, arcs_extra_received, " + _money(CF_MONEY) + ", " + ", ".join(CF_COUNTS)
-    + " FROM lookup", _FLOW_CTES + [LOOKUP])
 
 
 def money_text(c: str) -> str:
     return f"COALESCE('$' || format('{{:,.0f}}', {dbl(c)}), '')"
 
 
-ORACLE["lookup_unpivot"] = with_inputs(
-    FLOW_IN, "SELECT attribute, value FROM (SELECT CAST(id AS VARCHAR) AS id, "
-    + ", ".join(f"{money_text(c)} AS {c}" for c in FLOW_MONEY)
-    + ", CAST(arcs_intra_issued AS VARCHAR) AS arcs_intra_issued, CAST(arcs_extra_issued AS VARCHAR) AS arcs_extra_issued"
-    " FROM lookup) UNPIVOT INCLUDE NULLS (value FOR attribute IN (id, " + ", ".join(FLOW_MONEY)
-    + ", arcs_intra_issued, arcs_extra_issued))", _FLOW_CTES + [LOOKUP])
-
 ORACLE["money_format"] = with_inputs(
     FLOW_IN, "SELECT taxpayer, " + ", ".join(f"{money_text(c)} AS {c}" for c in FLOW_MONEY) + " FROM tflow",
     [TAGGED, CELLS, TAXPAYER_FLOW])
@@ -254,11 +230,11 @@ WITH RECURSIVE walk AS (
   UNION ALL
   SELECT w.company, o.partner, sum(w.paths)::HUGEINT, w.depth + 1 FROM walk w JOIN oclean o ON o.company = w.owner
   WHERE w.depth < {OWNER_ROUNDS} GROUP BY w.company, o.partner, w.depth)
-SELECT company, owner, sum(paths)::BIGINT AS paths FROM walk
+SELECT company, owner, sum(paths)::HUGEINT AS paths FROM walk
 WHERE depth = {OWNER_ROUNDS} OR owner IS NULL OR owner NOT IN (SELECT company FROM oclean) GROUP BY company, owner"""),
     ("person", "SELECT DISTINCT id FROM opacity_seed"),
     ("holder", "SELECT l.*, p.id AS natural_id FROM leaf l LEFT JOIN person p ON p.id = l.owner"),
-    ("complete", "SELECT company, sum(paths)::BIGINT AS total, (sum(paths) FILTER (WHERE natural_id IS NOT NULL))::BIGINT AS matched "
+    ("complete", "SELECT company, sum(paths)::HUGEINT AS total, (sum(paths) FILTER (WHERE natural_id IS NOT NULL))::HUGEINT AS matched "
                  "FROM holder GROUP BY company"),
     ("elig", "SELECT company, natural_id AS owner, paths FROM holder WHERE company IN "
              "(SELECT company FROM complete WHERE total = matched)"),
@@ -272,25 +248,25 @@ WHERE depth = {OWNER_ROUNDS} OR owner IS NULL OR owner NOT IN (SELECT company FR
 KIN_IN = ["ownership", "opacity_seed", "kinship"]
 
 ORACLE["owners_expand"] = with_inputs(
-    ["ownership"], "SELECT * FROM leaf", KIN_CTES[:2])
+    ["ownership"], "SELECT company, owner, paths::DOUBLE AS paths, (owner IN (SELECT company FROM oclean))::INT AS is_company FROM leaf", KIN_CTES[:2])
 ORACLE["owners_natural"] = with_inputs(
-    KIN_IN, "SELECT company, owner, paths, natural_id FROM holder",
+    KIN_IN, "SELECT company, owner, paths::DOUBLE AS paths, natural_id FROM holder",
     KIN_CTES)
 ORACLE["companies_per_person"] = with_inputs(
-    KIN_IN, "SELECT natural_id AS person, sum(paths)::BIGINT AS n_companies FROM holder WHERE natural_id IS NOT NULL "
+    KIN_IN, "SELECT natural_id AS person, sum(paths)::DOUBLE AS n_companies FROM holder WHERE natural_id IS NOT NULL "
     "GROUP BY natural_id", KIN_CTES)
-ORACLE["owners_completeness"] = with_inputs(KIN_IN, "SELECT company, total, matched FROM complete", KIN_CTES)
+ORACLE["owners_completeness"] = with_inputs(KIN_IN, "SELECT company, total::DOUBLE AS total, matched::DOUBLE AS matched FROM complete", KIN_CTES)
 ORACLE["owners_eligible"] = with_inputs(
-    KIN_IN, "SELECT company, owner, paths FROM elig", KIN_CTES)
+    KIN_IN, "SELECT company, owner, paths::DOUBLE AS paths FROM elig", KIN_CTES)
 ORACLE["partner_pairs"] = with_inputs(
-    KIN_IN, "SELECT a.company, sum(a.paths * b.paths)::BIGINT AS n_pairs FROM elig a JOIN elig b "
+    KIN_IN, "SELECT a.company, sum(a.paths * b.paths)::DOUBLE AS n_pairs FROM elig a JOIN elig b "
     "ON b.company = a.company AND b.owner <> a.owner GROUP BY a.company", KIN_CTES)
 ORACLE["kin_edges"] = with_inputs(KIN_IN, "SELECT id, relative FROM kedges", KIN_CTES)
 ORACLE["kin_type_counts"] = with_inputs(
     ["kinship"], "SELECT relation, count(*) AS n FROM kinship GROUP BY ROLLUP (relation)")
 ORACLE["kin_matches"] = with_inputs(KIN_IN, "SELECT company, owner, relative FROM kmatch", KIN_CTES)
 ORACLE["kinship_rate"] = with_inputs(
-    KIN_IN, f"SELECT company, kin_owners, total, {r('kinship_rate')} AS kinship_rate FROM krate", KIN_CTES)
+    KIN_IN, f"SELECT company, kin_owners, total::DOUBLE AS total, {r('kinship_rate')} AS kinship_rate FROM krate", KIN_CTES)
 ORACLE["group_coverage"] = with_inputs(
     ["ownership", "groups"], "SELECT count(*) AS matches FROM (SELECT DISTINCT id, grp FROM groups) g "
     "JOIN oclean m ON g.id = m.company", [OCLEAN])
@@ -478,7 +454,7 @@ _DBL |= {c for c in _TOTALS if c.startswith(("iva_", "prop_", "total_", "f29_"))
 ORACLE["origin_pivot"] = _cr(f"SELECT {_rounded_cols(_PIVOT)} FROM a_wide")
 ORACLE["hop_totals"] = _cr(f"SELECT {_rounded_cols(_TOTALS)} FROM a_totals")
 ORACLE["history_upsert"] = _cr(_every(_rounded_cols(_TOTALS), "totals"), ALL)
-ORACLE["snapshot_backup"] = _cr(_every(_rounded_cols(_TOTALS), "totals", PERIODS[-2:-1]), ALL)
+ORACLE["snapshot_backup"] = _cr(_every(_rounded_cols(_TOTALS), "totals", PERIODS[:-1]), ALL)
 ORACLE["table_profile"] = _cr(
     "SELECT period, count(*) AS rows_in_period, sum(count(*)) OVER () AS rows, "
     f"{len(_TOTALS)} AS columns FROM ({_every('period', 'totals')}) h "
@@ -518,7 +494,7 @@ T360 = ("t360", f"""
 SELECT c.id, c.is_company, c.is_accountant, c.is_natural, c.is_rep, {r('k.score')} AS contamination,
        CAST(p.paid_total AS DOUBLE) AS paid_total, CAST(v.vat_net AS DOUBLE) AS vat_net, g.region, d.n_documents,
        l.lifetime AS lifetime_days, CASE WHEN s.id IS NULL THEN 0 ELSE 1 END AS initial_alert,
-       {r('o.value')} AS opacity, kr.kin_owners, kr.total AS natural_partners, {r('kr.kinship_rate')} AS kinship_rate,
+       {r('o.value')} AS opacity, kr.kin_owners, kr.total::DOUBLE AS natural_partners, {r('kr.kinship_rate')} AS kinship_rate,
        c.initial_group, c.community, w.fee_workers, w.dependent_workers, CAST(nw.networth AS DOUBLE) AS networth
 FROM communities c
 LEFT JOIN con k ON c.id = k.id
@@ -542,11 +518,52 @@ _T360_CTES = (CON_CTES + [PAID, INV, VATNET, REGION, DOCS, LIFE] + OPACITY_CTES
               + [PP, PL, FW, FL, T360])
 ORACLE["taxpayer_360"] = with_inputs(T360_IN, "SELECT * FROM t360", _T360_CTES)
 
-ORACLE["latest_carried"] = with_inputs(
-    T360_IN + CIN, f"""
+LATEST_CARRIED = f"""
 SELECT t.*, lc.last_carried_period, {r('lc.carried_cont')} AS carried_cont
 FROM t360 t LEFT JOIN (SELECT receiver, max(period) AS last_carried_period, arg_max_null(carried_cont, period) AS carried_cont
-  FROM ({_every('period, receiver, carried_cont', 'carried')}) u GROUP BY receiver) lc ON t.id = lc.receiver""", _T360_CTES + ALL)
+  FROM ({_every('period, receiver, carried_cont', 'carried')}) u GROUP BY receiver) lc ON t.id = lc.receiver"""
+ORACLE["latest_carried"] = with_inputs(T360_IN + CIN, LATEST_CARRIED, _T360_CTES + ALL)
+
+# --------------------------------------- 2.8 lookups (over the 360 table with carried credit)
+COMMUNITY_SIZE = ("csize", "SELECT r.*, s.community_size FROM cratios r LEFT JOIN (SELECT community AS com, count(*) AS community_size "
+                  "FROM communities GROUP BY community) s USING (com)")
+LOOKUP_IN = T360_IN + CIN + FLOW_IN
+_LOOKUP_CTES = _T360_CTES + ALL + [TAGGED, CELLS, TAXPAYER_FLOW, COMMUNITY_FLOW, COMMUNITY_RATIOS, COMMUNITY_SIZE,
+                                   ("carried360", LATEST_CARRIED),
+                                   ("one", f"SELECT * FROM carried360 WHERE CAST(id AS VARCHAR) = {LOOKUP_KEY}")]
+_FLOW_COLS = FLOW_MONEY[:2] + ["arcs_intra_issued", "arcs_extra_issued"] + FLOW_MONEY[2:] + ["arcs_intra_received", "arcs_extra_received"]
+_RATIO_NAMES = ["pct_issued_extra", "pct_received_extra", "rate_issued_extra_intra"]
+_ONE = ["id", "is_company", "is_accountant", "is_natural", "is_rep", "contamination", "paid_total", "vat_net", "region",
+        "n_documents", "lifetime_days", "initial_alert", "opacity", "kin_owners", "natural_partners", "kinship_rate",
+        "initial_group", "community", "fee_workers", "dependent_workers", "networth", "last_carried_period", "carried_cont"]
+_SHOWN_AS_MONEY = ["paid_total", "vat_net", "networth", "carried_cont"] + FLOW_MONEY + CF_MONEY
+_RATIOS = ["contamination", "opacity", "natural_partners", "kinship_rate"] + _RATIO_NAMES
+
+
+def _real(c: str) -> str:
+    return f"round(CAST({c} AS DOUBLE), 9) AS {c}" if c in _SHOWN_AS_MONEY + _RATIOS else c
+
+
+_COMMUNITY_COLS = _RATIO_NAMES + CF_MONEY + CF_COUNTS + ["community_size"]
+ORACLE["lookup_taxpayer"] = with_inputs(
+    LOOKUP_IN, "SELECT " + ", ".join(map(_real, _ONE + _FLOW_COLS + _COMMUNITY_COLS))
+    + " FROM one LEFT JOIN tflow f ON f.taxpayer = one.id LEFT JOIN csize g ON g.com = one.community", _LOOKUP_CTES)
+
+
+def _pairs(frame: str, cols: list[str], source: str) -> str:
+    """(frame, attribute, value) of each column, as text."""
+    def text(c):
+        if c in _SHOWN_AS_MONEY:
+            return f"{money_text(c)} AS {c}"
+        return f"format('{{:,.4f}}', round(CAST({c} AS DOUBLE), 9)) AS {c}" if c in _RATIOS else f"CAST({c} AS VARCHAR) AS {c}"
+    return (f"SELECT '{frame}' AS frame, attribute, value FROM (SELECT {', '.join(map(text, cols))} FROM {source}) "
+            f"UNPIVOT INCLUDE NULLS (value FOR attribute IN ({', '.join(cols)}))")
+
+
+ORACLE["lookup_unpivot"] = with_inputs(LOOKUP_IN, " UNION ALL ".join([
+    _pairs("taxpayer", _ONE, "one"),
+    _pairs("flow", ["taxpayer"] + _FLOW_COLS, "tflow WHERE taxpayer IN (SELECT id FROM one)"),
+    _pairs("community", ["com"] + _COMMUNITY_COLS, "csize WHERE com IN (SELECT community FROM one)")]), _LOOKUP_CTES)
 
 ORACLE["extreme_regions"] = with_inputs(["invoice_points", "point_regions"], """
 SELECT issuer, total_north, total_south,
