@@ -11,7 +11,7 @@ from tools.check_oracle import canon
 from vatlens.sources.tables import TESTDATA_TABLES
 
 SF = "/root/testdata/sf0.001"
-CHEAP = ["community_ratios", "taxpayer_flow", "lookup_unpivot", "own_profile", "opacity_propagate",
+CHEAP = ["community_ratios", "taxpayer_flow", "intra_extra_share", "own_profile", "opacity_propagate",
          "kinship_rate", "edge_strength", "vat_net", "latest_region", "workers_last", "decl_or_ledger",
          "doc30_issuers", "periods", "extreme_regions", "opacity_quartiles"]
 NAMES = list(entry.oracle_sql()) if os.environ.get("VATLENS_ALL_ORACLE") else CHEAP
