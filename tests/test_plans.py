@@ -6,8 +6,12 @@ from vatlens.plans.iterate import cut, cut_partitioned
 
 
 def _executed(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The final plan of ``df``, from the query execution that ran."""
+    run = df._jdf.queryExecution()
+    run.toRdd().count()
+    plan = run.executedPlan().toString()
+    assert "isFinalPlan=false" not in plan
+    return plan.split("== Initial Plan ==")[0]
 
 
 def test_cut_partitioned_advertises_hash_partitioning(spark):
