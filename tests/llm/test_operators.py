@@ -298,6 +298,25 @@ def test_lm_automaton_against_recursion(spark):
         assert logs.sum() == pytest.approx(sum(math.log10(p(tuple(w[max(0, i - 2):i]), x)) for i, x in enumerate(w)))
 
 
+def test_lm_rare_ngrams_stay_in_the_model(spark):
+    """Scores do not depend on how much is broadcast: n-grams below that share are looked up."""
+    rng = np.random.default_rng(6)
+    made = [(i, " ".join(f"w{int(k)}" for k in rng.zipf(1.3, 60) % 400)) for i in range(80)] + [(80, None), (81, "never seen"), (82, "w1")]
+    train = spark.createDataFrame([(t,) for _, t in made[:60]], "text string").repartition(3).cache()
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(3).cache()
+
+    def scores(common, arcs):
+        total, rest, model = lm_scoring.train_automaton(train, common=common, arcs=arcs)
+        return {r.doc_id: r for r in lm_scoring.score(docs, total, rest, model).collect()}
+    whole = scores(0.0, 1e-9)
+    for common, arcs in ((0.0, 0.01), (0.01, 0.01), (1.0, 1.0)):
+        got = scores(common, arcs)
+        assert len(got) == len(made)
+        for i, r in whole.items():
+            assert (got[i].n_tokens, got[i].n_known) == (r.n_tokens, r.n_known)
+            assert got[i].score == pytest.approx(r.score) and got[i].base_score == pytest.approx(r.base_score)
+
+
 def test_quality_statistics(docs, rows, empty):
     def plain(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", t or "")

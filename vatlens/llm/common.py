@@ -130,6 +130,14 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
+def unmix(h: np.ndarray) -> np.ndarray:
+    """The inverse of ``mix``."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(31)) ^ (h >> np.uint64(62))) * np.uint64(pow(int(_mix2), -1, 1 << 64))
+        h = (h ^ (h >> np.uint64(27)) ^ (h >> np.uint64(54))) * np.uint64(pow(int(_mix1), -1, 1 << 64))
+        return h ^ (h >> np.uint64(30)) ^ (h >> np.uint64(60))
+
+
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)

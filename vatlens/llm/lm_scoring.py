@@ -2,22 +2,20 @@
 
 Tokens are words [^\\x20\\x09-\\x0D]+ with A-Z lower-cased, then one end per text; NULL is the
 empty text. The model interpolates n-grams of up to ``order`` tokens with absolute
-discounting and is held as an automaton: each context with n-grams of its own is a state,
-each of its n-grams an arc with the finished log10 probability, and each state has a
-failure arc that carries its backoff weight to the next shorter context's state. One
-left-to-right pass over a text holds the state, follows arcs or failures, and adds up.
-The last ``order - 1`` tokens decide the state, so a chunk of texts is walked with a few
-array passes.
-
-Three parts have three sizes:
-
-* All token counts: a table in the shared folder that grows with the corpus. Counts of
-  rare tokens meet the texts in a join.
-* Tokens of at least ``common`` of all tokens: at most 1 / common of them, broadcast.
-* N-grams of at least ``arcs`` of all tokens (and seen twice): at most 1 / arcs of each
-  order, broadcast. They are found exactly: an n-gram that common has at least half that
-  share in enough blocks to be named there (a block names those of half the share), and
-  a second pass counts the named ones.
+discounting, over all tokens and every longer n-gram seen ``LEAST`` times. Each context with
+n-grams of its own is a state, each of its n-grams an arc, and each state has a failure arc with
+the backoff weight to the next shorter context's state.
+
+The weights are pushed so that they add up: an arc holds log10(1 + own / (left * p(tail))), what it
+gains over the failure path, and a state its failure weight log10(left). An n-gram that does not end
+a text is followed by one token, so it always pays its state's weight; so a text's score is a sum
+over its n-grams of one weight each, and n-grams without a weight add nothing.
+
+* Counts and weights of all n-grams: tables in the shared folder that grow with the corpus.
+* Tokens of at least ``common`` of all tokens, and n-grams of at least ``arcs`` of them: at most
+  1 / common and 1 / arcs of each order, broadcast.
+* All other n-grams of the texts meet the weights in a shuffle by hash buckets, packed. An n-gram
+  there is rare, so buckets are even; their number grows with the bytes of text.
 
 The unigrams are proper over the distinct training tokens and one unseen type, as those of
 the base score: a seen token has (c - D) / N, the unseen type D * V / N.
@@ -34,12 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vatlens.llm.common import chunked, fold, materialise, mix, signed, text_bytes, word_hashes
+from vatlens.llm.common import chunked, fold, materialise, mix, signed, text_bytes, unmix, word_hashes
 
 ORDER = 3
 COMMON, ARCS = 1e-6, 4e-6
+#: Times that an n-gram of two tokens or more is seen, to be in the model.
+LEAST = 2
 DISCOUNT = 0.75
 BLOCK_TOKENS = 2_000_000
+#: Bytes of text a hash bucket.
+BUCKET_BYTES = 16_000_000
+FACTOR = np.uint64(0x9FB21C651E98DF25)
 #: The end token's hash.
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -59,74 +62,88 @@ def token_runs(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 
 
 def ngrams(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For n = 1 .. order: (hash of the n-gram that ends at each token, whether it lies in one text)."""
+    """For n = 1 .. order: (hash of the n-gram that ends at each token, whether it lies in one text).
+
+    A hash is made of those of the n-gram without its last and without its first token."""
     place = np.arange(len(tokens)) - np.repeat(starts[:-1], np.diff(starts))
     out = [(tokens, np.ones(len(tokens), bool))]
     with np.errstate(over="ignore"):
         for n in range(2, order + 1):
+            last = out[-1][0]
             before = np.zeros_like(tokens)
-            before[1:] = out[-1][0][:-1]          # the (n-1)-gram that ends one token earlier
-            out.append((mix(before * np.uint64(0x9FB21C651E98DF25) + tokens + np.uint64(n)), place >= n - 1))
+            before[1:] = last[:-1]                # the (n-1)-gram that ends one token earlier
+            out.append((mix(before * FACTOR + last + np.uint64(n)), place >= n - 1))
     return out
 
 
-def gather(train: DataFrame, order: int, share: float) -> DataFrame:
-    """(n, gram, times): exact counts of all tokens, and for longer n-grams what blocks name."""
-    schema = pa.schema([("n", pa.int32()), ("gram", pa.int64()), ("times", pa.int64())])
+def context_of(grams: np.ndarray, tails: np.ndarray, n: int) -> np.ndarray:
+    """The n-grams without their last token, from them and what they are without their first."""
+    with np.errstate(over="ignore"):
+        return (unmix(grams) - tails - np.uint64(n)) * np.uint64(pow(int(FACTOR), -1, 1 << 64))
+
+
+def bucket_count(texts: DataFrame) -> int:
+    return int(texts.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]) // BUCKET_BYTES + 1
+
+
+def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
+    return ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+
 
-    def block(parts: list[list[np.ndarray]], size: int) -> Iterator[pa.RecordBatch]:
+def packed(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def merged(grams: np.ndarray, tails: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each n-gram once, sorted, with its tail and the sum of its times."""
+    at = np.argsort(grams, kind="stable")
+    grams = grams[at]
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else at
+    return grams[first], tails[at][first], np.add.reduceat(times[at], first) if len(grams) else times
+
+
+def gather(train: DataFrame, order: int, buckets: int) -> DataFrame:
+    """(n, gram, times, context, tail): exact counts of all tokens, and of every longer n-gram seen LEAST times."""
+    kinds = [("grams", "<u8"), ("tails", "<u8"), ("times", "<i8")]
+
+    def block(parts: list[list]) -> Iterator[pa.RecordBatch]:
         for n, part in enumerate(parts, 1):
-            grams, times = np.unique(np.concatenate(part), return_counts=True)
-            if n > 1:
-                named = times >= share / 2 * size
-                grams, times = grams[named], times[named]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), n, np.int32)), pa.array(signed(grams)), pa.array(times)], schema=schema)
+            held = merged(*(packed([x[k] for x in part]) for k in (0, 1)), np.ones(sum(len(x[0]) for x in part), np.int64))
+            at = np.argsort(bucket_of(held[0], buckets), kind="stable")
+            cuts = np.searchsorted(bucket_of(held[0], buckets)[at], np.arange(buckets + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            columns = [pa.array([x[at[cuts[b]:cuts[b + 1]]].astype(kind).tobytes() for b in some], pa.binary()) for x, (_, kind) in zip(held, kinds)]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), n, np.int32)), *columns],
+                                             names=["bucket", "n", *(k for k, _ in kinds)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [[] for _ in range(order)], 0
         for batch in batches:
             for _, _, tokens, starts in token_runs(batch.column(0)):
-                for part, (grams, inside) in zip(parts, ngrams(tokens, starts, order)):
-                    part.append(grams[inside])
+                grams = ngrams(tokens, starts, order)
+                for n, (part, (gram, inside)) in enumerate(zip(parts, grams)):
+                    part.append((gram[inside], grams[n - 1][0][inside] if n else np.zeros(len(gram), np.uint64)))
                 size += len(tokens)
                 if size >= BLOCK_TOKENS:
-                    yield from block(parts, size)
+                    yield from block(parts)
                     parts, size = [[] for _ in range(order)], 0
         if size:
-            yield from block(parts, size)
-
-    return train.select("text").mapInArrow(count, "n int, gram long, times long") \
-        .groupBy("n", "gram").agg(F.sum("times").alias("times"))
-
-
-def recount(train: DataFrame, order: int, named: list[np.ndarray]) -> DataFrame:
-    """(n, gram, times, context, tail): exact counts of the named n-grams, with the n-gram without
-    its last and without its first token."""
-    shared = train.sparkSession.sparkContext.broadcast(named)
+            yield from block(parts)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = shared.value
-        times = [np.zeros(len(x), np.int64) for x in names]
-        context, tail = [np.zeros(len(x), np.uint64) for x in names], [np.zeros(len(x), np.uint64) for x in names]
-        for batch in batches:
-            for _, _, tokens, starts in token_runs(batch.column(0)):
-                grams = ngrams(tokens, starts, order)
-                for n in range(2, order + 1):
-                    known = names[n - 2]
-                    if len(known):
-                        at, hit = find(known, grams[n - 1][0])
-                        place = np.flatnonzero(hit & grams[n - 1][1])
-                        at = at[place]
-                        times[n - 2] += np.bincount(at, minlength=len(known))
-                        context[n - 2][at] = grams[n - 2][0][place - 1]
-                        tail[n - 2][at] = grams[n - 2][0][place]
-        for n in range(2, order + 1):
-            some = np.flatnonzero(times[n - 2])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), n, np.int32)), *(pa.array(signed(x[n - 2][some]) if x is not times else x[n - 2][some]) for x in (names, times, context, tail))],
-                                             names=["n", "gram", "times", "context", "tail"])
+    def add(rows: pa.Table) -> pa.Table:
+        out, order_of = [], np.asarray(rows.column("n"))
+        for n in range(1, order + 1):
+            of = rows.filter(pa.array(order_of == n))
+            grams, tails, times = merged(*(np.frombuffer(b"".join(of.column(k).to_pylist()), kind) for k, kind in kinds))
+            keep = times >= (LEAST if n > 1 else 1)
+            grams, tails, times = grams[keep], tails[keep], times[keep]
+            context = context_of(grams, tails, n) if n > 1 else tails
+            out.append(pa.table([pa.array(np.full(len(grams), n, np.int32)), pa.array(signed(grams)), pa.array(times), pa.array(signed(context)), pa.array(signed(tails))],
+                                names=["n", "gram", "times", "context", "tail"]))
+        return pa.concat_tables(out)
 
-    return train.select("text").mapInArrow(count, "n int, gram long, times long, context long, tail long") \
-        .groupBy("n", "gram").agg(F.sum("times").alias("times"), F.max("context").alias("context"), F.max("tail").alias("tail"))
+    return train.select("text").mapInArrow(count, "bucket int, n int, grams binary, tails binary, times binary") \
+        .groupBy("bucket").applyInArrow(add, "n int, gram long, times long, context long, tail long")
 
 
 def find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,33 +156,36 @@ def find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Automaton:
-    """tokens/token_log/base_log: common tokens; for n = 2 .. order: arcs (sorted n-gram, log10 p)
-    and states (sorted context, log10 of its failure weight)."""
+    """The broadcast part. tokens/token_log/base_log: common tokens; arcs: for n = 2 .. order the
+    frequent n-grams (sorted) and their weights; rest: for n = 1 .. order, whether there are others;
+    unseen: weight and base of an unseen token."""
 
     order: int
     tokens: np.ndarray
     token_log: np.ndarray
     base_log: np.ndarray
     arcs: list[tuple[np.ndarray, np.ndarray]]
-    states: list[tuple[np.ndarray, np.ndarray]]
+    rest: list[bool]
+    unseen: tuple[float, float]
 
     def walk(self, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: its log10 weight, without the unigram if that is rare; the base; whether it is rare."""
+        """Per token: the broadcast weights of the n-grams that end there; the base; for each n whether
+        the n-gram's weight (and the base) is to be looked up."""
         at, common = find(self.tokens, tokens)
-        out = np.where(common, self.token_log[at], 0.0) if len(self.tokens) else np.zeros(len(tokens))
-        base = np.where(common, self.base_log[at], 0.0) if len(self.tokens) else np.zeros(len(tokens))
         grams = ngrams(tokens, starts, self.order)
-        for n in range(2, self.order + 1):       # from short to long: an arc replaces, a failure adds
-            before = np.zeros_like(tokens)
-            before[1:] = grams[n - 2][0][:-1]
-            inside = grams[n - 1][1]
-            at, state = find(self.states[n - 2][0], before)
-            if len(self.states[n - 2][0]):
-                out = out + np.where(state & inside, self.states[n - 2][1][at], 0.0)
-            at, arc = find(self.arcs[n - 2][0], grams[n - 1][0])
-            if len(self.arcs[n - 2][0]):
-                out = np.where(arc & inside, self.arcs[n - 2][1][at], out)
-        return out, base, ~common
+        out, base = (np.full(len(tokens), 0.0 if self.rest[0] else x) for x in self.unseen)
+        if len(self.tokens):
+            out, base = np.where(common, self.token_log[at], out), np.where(common, self.base_log[at], base)
+        ask = [~common & self.rest[0]]
+        for (keys, weights), rest, (gram, inside) in zip(self.arcs, self.rest[1:], grams[1:]):
+            at, arc = find(keys, gram)
+            if len(keys):
+                out = out + np.where(arc & inside, weights[at], 0.0)
+            ask.append(~arc & inside & rest)
+        return out, base, np.array(ask)
+
+    def known(self, tokens: np.ndarray) -> np.ndarray:
+        return find(self.tokens, tokens)[1]
 
 
 @dataclass
@@ -184,77 +204,144 @@ class Totals:
         return float(np.log10(self.discount * self.types / self.tokens)) if self.types else 0.0
 
 
-def build(order: int, total: Totals, grams: np.ndarray, times: np.ndarray, longer: list[dict[str, np.ndarray]]) -> Automaton:
-    """The automaton from the common tokens and the kept n-grams of each longer order."""
-    at = np.argsort(grams)
-    keys, counts = grams[at], times[at].astype(float)
-    logs = total.seen(counts) if len(counts) else np.zeros(0)
-    arcs, states = [], []
-    lower = (keys, logs)                          # log10 p of the (n-1)-grams
-    for x in longer:
-        at = np.argsort(x["gram"])
-        gram, c, context, tail = (x[k][at] for k in ("gram", "times", "context", "tail"))
-        place, _ = find(keys, context)
-        seen = counts[place] if len(gram) else np.zeros(0)
-        own = (c - DISCOUNT) / seen if len(gram) else np.zeros(0)
-        owners, of = np.unique(context, return_inverse=True)
-        left = 1 - np.bincount(of, own, minlength=len(owners))
-        low, _ = find(lower[0], tail)
-        p = np.log10(own + left[of] * 10 ** lower[1][low]) if len(gram) else np.zeros(0)
-        arcs.append((gram, p))
-        states.append((owners, np.log10(np.maximum(left, 1e-300))))
-        keys, counts, lower = gram, c.astype(float), (gram, p)
-    return Automaton(order, grams[np.argsort(grams)], logs, total.base(times[np.argsort(grams)].astype(float)) if len(grams) else np.zeros(0), arcs, states)
-
-
 def unsigned(x) -> np.ndarray:
     return np.asarray(x, np.int64).view(np.uint64)
 
 
-def train_automaton(train: DataFrame, order: int = ORDER, common: float = COMMON, arcs: float = ARCS) -> tuple[Totals, DataFrame, Automaton]:
-    """Totals, the table of all token counts (gram, times), and the automaton."""
-    counts = materialise(gather(train, order, arcs), "counts")
-    tokens = counts.where("n = 1")
-    size, types, once, twice = tokens.select(F.coalesce(F.sum("times"), F.lit(0)), F.count(F.lit(1)),
-                                             F.count_if(F.col("times") == 1), F.count_if(F.col("times") == 2)).first()
-    total = Totals(size, types, min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5)
-    named = []
-    for n in range(2, order + 1):                 # each at most 2 / arcs
-        got = counts.where((F.col("n") == n) & (F.col("times") >= arcs / 2 * size)).select("gram").toPandas()
-        named.append(np.sort(unsigned(got["gram"])))
-    kept = recount(train, order, named).where(F.col("times") >= max(2.0, arcs * size)).toPandas()
-    longer = []
+def weigh(counts: DataFrame, total: Totals, order: int) -> DataFrame:
+    """(n, gram, times, weight, known, base): an arc's weight (a token's log10 p, with its base and known = 1),
+    and for a gram that is a state its failure weight in a row of its own."""
+    size = max(total.tokens, 1)
+    nothing = [F.lit(0).alias("known"), F.lit(0.0).alias("base")]
+    lower = counts.where("n = 1").select("gram", "times", F.log10((F.col("times") - total.discount) / size).alias("p"))
+    out = lower.select(F.lit(1).alias("n"), "gram", "times", F.col("p").alias("weight"), F.lit(1).alias("known"),
+                       F.log10((F.col("times") + 0.5) / (size + 0.5 * (total.types + 1))).alias("base"))
     for n in range(2, order + 1):
-        x = kept[kept["n"] == n]
-        longer.append({"times": x["times"].to_numpy(np.int64)} | {k: unsigned(x[k]) for k in ("gram", "context", "tail")})
-    often = tokens.where(F.col("times") >= common * size).select("gram", "times").toPandas()
-    return total, tokens.select("gram", "times"), build(order, total, unsigned(often["gram"]), often["times"].to_numpy(np.int64), longer)
+        own = counts.where(F.col("n") == n).drop("n")
+        used = own.groupBy("context").agg(F.sum(F.col("times") - DISCOUNT).alias("used"))
+        states = materialise(used.join(lower.select(F.col("gram").alias("context"), F.col("times").alias("seen")), "context")
+                             .select("context", "seen", (1 - F.col("used") / F.col("seen")).alias("left")), "states")
+        gain = (F.col("times") - DISCOUNT) / F.col("seen") / (F.col("left") * F.pow(F.lit(10.0), "low"))
+        arcs = own.join(states, "context").join(lower.select(F.col("gram").alias("tail"), F.col("p").alias("low")), "tail") \
+            .select("gram", "times", F.log10(1 + gain).alias("weight"), (F.log10(1 + gain) + F.log10("left") + F.col("low")).alias("p"))
+        lower = materialise(arcs, "arcs")
+        out = out.union(lower.select(F.lit(n), "gram", "times", "weight", *nothing)) \
+            .union(states.select(F.lit(n - 1), "context", "seen", F.log10("left"), *nothing))
+    return out
 
 
-def score(docs: DataFrame, total: Totals, counts: DataFrame, model: Automaton) -> DataFrame:
+def train_automaton(train: DataFrame, order: int = ORDER, common: float = COMMON, arcs: float = ARCS) -> tuple[Totals, DataFrame, Automaton]:
+    """Totals, the weights of the n-grams that are not broadcast (see ``weigh``), and the broadcast part."""
+    counts = materialise(gather(train, order, bucket_count(train)), "counts")
+    size, types, once, twice = counts.where("n = 1").select(F.coalesce(F.sum("times"), F.lit(0)), F.count(F.lit(1)),
+                                                            F.count_if(F.col("times") == 1), F.count_if(F.col("times") == 2)).first()
+    total = Totals(size, types, min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5)
+    weights = weigh(counts, total, order)
+    frequent = F.col("times") >= F.when(F.col("n") == 1, common * size).otherwise(arcs * size)
+    got = weights.where(frequent).toPandas()     # at most 2 / common tokens and 2 / arcs rows of each longer order
+    held = []
+    for n in range(1, order + 1):
+        x = got[got["n"] == n].groupby("gram")[["weight", "base"]].sum()
+        gram = unsigned(x.index.to_numpy())
+        at = np.argsort(gram)
+        held.append((gram[at], x["weight"].to_numpy(float)[at], x["base"].to_numpy(float)[at]))
+    model = Automaton(order, *held[0], [x[:2] for x in held[1:]], [common * size > 1] + [arcs * size > LEAST] * (order - 1),
+                      (total.unseen(), float(total.base(0))))
+    return total, weights.where(~frequent), model
+
+
+def looked_up(docs: DataFrame, weights: DataFrame, model, order: int, buckets: int, unseen: tuple[float, float]) -> DataFrame:
+    """(_row, _rare_asked, _rare_known, _rare_base, _rare_score): sums over the n-grams of each row of ``docs``
+    (_row, text) that are not broadcast."""
+    kinds = [("rows", "<i8"), ("lens", "<i4"), ("grams", "<u8")]
+
+    def block(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        rows, grams, one = (np.concatenate([x[k] for x in held]) for k in range(3))
+        for token in (True, False):
+            r, g = rows[one == token], grams[one == token]
+            bucket = bucket_of(g, buckets)
+            at = np.lexsort((r, bucket))
+            r, g, cuts = r[at], g[at], np.searchsorted(bucket[at], np.arange(buckets + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            out = [[], [], []]
+            for b in some:
+                first, lens = np.unique(r[cuts[b]:cuts[b + 1]], return_counts=True)
+                for column, x, (_, kind) in zip(out, (first, lens, g[cuts[b]:cuts[b + 1]]), kinds):
+                    column.append(x.astype(kind).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), token)), *(pa.array(x, pa.binary()) for x in out)],
+                                             names=["bucket", "token", *(k for k, _ in kinds)])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            ids = np.asarray(batch.column("_row"))
+            for a, b, tokens, starts in token_runs(batch.column("text")):
+                wanted = model.value.walk(tokens, starts)[2]
+                row = np.repeat(ids[a:b], np.diff(starts))
+                for n, (gram, _) in enumerate(ngrams(tokens, starts, order)):
+                    held.append((row[wanted[n]], gram[wanted[n]], np.full(int(wanted[n].sum()), n == 0)))
+                size += len(tokens)
+                if size >= BLOCK_TOKENS:
+                    yield from block(held)
+                    held, size = [], 0
+        if held:
+            yield from block(held)
+
+    def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
+        keys, of = np.unique(unsigned(table.column("gram").to_numpy()), return_inverse=True)
+        value = {k: np.bincount(of, table.column(k).to_numpy().astype(float), minlength=len(keys)) for k in ("weight", "known", "base")}
+        token = np.asarray(asked.column("token"))
+        parts = []
+        for one in (True, False):
+            rows, lens, grams = (np.frombuffer(b"".join(asked.filter(pa.array(token == one)).column(k).to_pylist()), kind) for k, kind in kinds)
+            if not len(grams):
+                continue
+            at, hit = find(keys, grams)
+            got = {k: np.where(hit, v[at], 0.0) if len(keys) else np.zeros(len(grams)) for k, v in value.items()}
+            if one:
+                seen = got["known"] > 0
+                got["weight"], got["base"] = np.where(seen, got["weight"], unseen[0]), np.where(seen, got["base"], unseen[1])
+            begin = np.cumsum(lens) - lens
+            parts.append((rows, lens, *(np.add.reduceat(got[k], begin) for k in ("known", "base", "weight"))))
+        columns = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in range(5)]
+        return pa.table([pa.array(x.astype(kind)) for x, kind in zip(columns, (np.int64, np.int64, np.int64, float, float))],
+                        names=["_row", "_rare_asked", "_rare_known", "_rare_base", "_rare_score"])
+
+    schema = "_row long, _rare_asked long, _rare_known long, _rare_base double, _rare_score double"
+    asked = docs.select("_row", "text").mapInArrow(ask, "bucket int, token boolean, rows binary, lens binary, grams binary")
+    # the bucket of the signed hash: its upper half as an unsigned number
+    bucket = F.pmod(F.shiftrightunsigned("gram", 32), F.lit(buckets)).cast("int").alias("bucket")
+    return asked.groupBy("bucket").cogroup(weights.select(bucket, "gram", "weight", "known", "base").groupBy("bucket")).applyInArrow(answer, schema) \
+        .groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("_rare_asked", "_rare_known", "_rare_base", "_rare_score")))
+
+
+def score(docs: DataFrame, total: Totals, weights: DataFrame, model: Automaton) -> DataFrame:
     """``docs`` without text, plus n_tokens, n_known, base_score, score."""
     others = [c for c in docs.columns if c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    added = [("n_tokens", "long"), ("_known", "long"), ("_base", "double"), ("_score", "double"), ("_rare", "array<long>")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*others).schema] + [f"{n} {k}" for n, k in added])
+    docs = docs.withColumn("_row", F.monotonically_increasing_id())
+    added = [("n_tokens", "long"), ("_known", "long"), ("_base", "double"), ("_score", "double"), ("_asked", "long")]
+    kept = [*others, "_row"]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema] + [f"{n} {k}" for n, k in added])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, tokens, starts in token_runs(batch.column("text")):
-                logs, base, rare = shared.value.walk(tokens, starts)
-                until = np.concatenate([[0], np.cumsum(rare)])[starts]
-                values = [np.diff(starts), np.diff(starts) - np.diff(until), np.add.reduceat(base, starts[:-1]), np.add.reduceat(logs, starts[:-1])]
-                lists = pa.ListArray.from_arrays(pa.array(until.astype(np.int32)), pa.array(signed(tokens[rare])))
-                yield pa.RecordBatch.from_arrays([batch.column(c).slice(a, b - a) for c in others] + [pa.array(v) for v in values] + [lists],
-                                                 names=others + [x[0] for x in added])
-
-    walked = materialise(docs.select(*others, "text").mapInArrow(walk, schema).withColumn("_row", F.monotonically_increasing_id()), "walked")
-    seen = F.coalesce("times", F.lit(0)).cast("double")
-    rare = walked.select("_row", F.explode("_rare").alias("gram")).join(counts, "gram", "left").groupBy("_row").agg(
-        F.count("times").alias("_rare_known"),
-        F.sum(F.log10((seen + 0.5) / (total.tokens + 0.5 * (total.types + 1)))).alias("_rare_base"),
-        F.sum(F.when(F.col("times").isNull(), F.lit(total.unseen())).otherwise(F.log10((seen - total.discount) / max(total.tokens, 1)))).alias("_rare_score"))
-    return walked.drop("_rare").join(rare, "_row", "left").select(
+                logs, base, ask = shared.value.walk(tokens, starts)
+                known = shared.value.known(tokens)
+                values = [np.diff(starts), *(np.add.reduceat(x, starts[:-1]) for x in (known.astype(np.int64), base, logs, ask.sum(0)))]
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(a, b - a) for c in kept] + [pa.array(v) for v in values], names=kept + [x[0] for x in added])
+
+    walked = docs.select(*kept, "text").mapInArrow(walk, schema)
+    if any(model.rest):
+        walked = materialise(walked, "walked")
+        rare = looked_up(docs, weights, shared, model.order, bucket_count(docs), model.unseen)
+        walked = walked.join(rare, "_row", "left")
+        same = F.assert_true(F.col("_asked") == F.coalesce("_rare_asked", F.lit(0)), F.lit("the rows came in another order when read again"))
+        walked = walked.where(same.isNull())
+    else:
+        walked = walked.select("*", F.lit(0).alias("_rare_known"), F.lit(0.0).alias("_rare_base"), F.lit(0.0).alias("_rare_score"))
+    return walked.select(
         *others, "n_tokens", (F.col("_known") + F.coalesce("_rare_known", F.lit(0))).alias("n_known"),
         F.lit(total.tokens).cast("long").alias("train_tokens"),
         (F.col("_base") + F.coalesce("_rare_base", F.lit(0.0))).alias("base_score"),
@@ -264,5 +351,5 @@ def score(docs: DataFrame, total: Totals, counts: DataFrame, model: Automaton) -
 def held_out_scores(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
     out = fold("doc_id", 5) == 1
-    total, counts, model = train_automaton(docs.where(~out).select("text"))
-    return score(docs.select("doc_id", out.alias("held_out"), "text"), total, counts, model)
+    total, weights, model = train_automaton(docs.where(~out).select("text"))
+    return score(docs.select("doc_id", out.alias("held_out"), "text"), total, weights, model)
