@@ -150,6 +150,42 @@ def test_ngram_join_chain_and_hub(spark):
     assert {got[100 + i] for i in range(6)} == {100}
 
 
+def test_near_copies_of_the_pipeline(spark):
+    """The pipeline's stage against all pairs: five-word shingles, similarity 0.8, which op9's 3 and 0.9 would leave."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    made = []
+    for i in range(25):
+        w = [f"a{i}w{k}" for k in range(int(rng.integers(60, 160)))]
+        made.append(w)
+        for gap in range(3):
+            t = list(w)
+            for k in rng.choice(len(w), 1 + gap, replace=False):
+                t[k] = f"b{i}g{gap}k{k}"
+            made.append(t)
+    made += [["one"], ["one"], ["one", "two", "three", "four"], ["one", "two", "three", "four"], ["one", "two", "three", "five"], [], []]
+
+    def groups(size, percent):
+        sets = [frozenset(tuple(w[i:i + size]) for i in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else []) for w in made]
+        root, between = list(range(len(made))), 0
+        for i in range(len(made)):
+            for j in range(i):
+                same, every = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+                between += every and 80 * every <= 100 * same < 90 * every
+                if every and 100 * same >= percent * every:
+                    a, b = root[i], root[j]
+                    root = [min(a, b) if x in (a, b) else x for x in root]
+        return {i for i, r in enumerate(root) if r == i or not sets[i]}, between
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(made)], "doc_id long, text string")
+    plain, between = groups(5, 80)
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    assert between > 20 and plain != groups(3, 90)[0]
+    assert {r.doc_id for r in stage(spark, docs, "").collect()} == plain
+    for size, percent in ((3, 90), (2, 73), (1, 100)):
+        assert {r.doc_id for r in ngram_join.drop_near_copies(docs, size, percent).collect()} == groups(size, percent)[0]
+
+
 def test_packing_round_trip(docs, rows, empty):
     from tokenizers import Tokenizer
 

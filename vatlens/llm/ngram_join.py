@@ -1,8 +1,9 @@
 """Operator 9, n-gram Jaccard join: rare-first prefix filtering with length, positional and suffix filters.
 
-A document's set: the distinct 3-word shingles of its lower-cased (A-Z) words
-[^\\x20\\x09-\\x0D]+; with one or two words, the whole sequence as one. Two documents link when
-100 * |intersection| >= 90 * |union|; groups are the connected components of the links.
+A document's set: the distinct ``shingle``-word shingles of its lower-cased (A-Z) words
+[^\\x20\\x09-\\x0D]+; with fewer words, the whole sequence as one. Two documents link when
+100 * |intersection| >= ``percent`` * |union|; groups are the connected components of the links.
+The query op9 takes 3 words and 90 percent.
 An empty set links with nothing. Rows are documents of their own, also if they repeat a
 doc_id. Shingles are 64-bit hashes.
 
@@ -10,14 +11,14 @@ doc_id. Shingles are 64-bit hashes.
    a fixed size) gives one total order of all shingles: by cell count, then by hash. Any
    total order makes the prefix filter exact; this one puts frequent shingles last.
 2. Classes. Documents of equal sets are one class, so copies never meet each other.
-3. Prefixes. A set of n shingles takes part with its first n - ceil(0.9 n) + 1 shingles.
+3. Prefixes. A set of n shingles takes part with its first n - ceil(percent n / 100) + 1 shingles.
    Linked sets share one of them. Shingles of one class alone are dropped.
 4. Pairs. In each shingle's group the class with the shingle earliest in its order (the one
    with the fewest shingles of its own) is the pivot, and the others are compared with it
    alone: as many pairs as rows. Links so found join classes into components. What is
    left are pairs of a class outside its pivot's component with classes of other
    components; classes of one component need no comparison, as it cannot change the groups.
-5. Filters on each pair, before any set moves: length (10 min >= 9 max), position (what can
+5. Filters on each pair, before any set moves: length (100 min >= percent max), position (what can
    still match behind the shared shingle), and suffix (the difference of the sets' counts
    in 256 cells bounds the overlap from above). Each surviving pair is verified once.
 """
@@ -34,36 +35,37 @@ from pyspark.sql import functions as F
 
 from vatlens.llm.common import chunked, keep_rows, materialise, mix, row_key, signed, text_bytes, word_hashes
 
-SHINGLE = 3
+SHINGLE, PERCENT = 3, 90
 CELLS = 1 << 19
 SIGNATURE = 256
 
 
-def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of every text."""
     offsets, raw = text_bytes(column)
     for a, b in chunked(offsets):
         words, first = word_hashes(offsets[a:b + 1], raw)
+        runs = [mix(words)]                       # of 1, 2, .. ``shingle`` words from each word on
         with np.errstate(over="ignore"):
-            h = words * np.uint64(0x9FB21C651E98DF25)
-            pair = mix(h[:-1] + words[1:]) if len(words) > 1 else h[:0]
-            triple = mix(pair[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[2:]) if len(words) > 2 else h[:0]
+            for n in range(2, shingle + 1):
+                before = words * np.uint64(0x9FB21C651E98DF25) if n == 2 else runs[-1] * np.uint64(0xD6E8FEB86659FD93)
+                runs.append(mix(before[:-1] + words[n - 1:]) if len(words) >= n else words[:0])
         for row in range(a, b):
             low, high = int(first[row - a]), int(first[row - a + 1])
             n = high - low
-            if n >= SHINGLE:
-                yield row, np.unique(triple[low:high - 2])
+            if n >= shingle:
+                yield row, np.unique(runs[-1][low:high - shingle + 1])
             else:
-                yield row, pair[low:low + 1] if n == 2 else mix(words[low:high])
+                yield row, runs[n - 1][low:low + 1] if n else words[:0]
 
 
-def cell_counts(docs: DataFrame, cells: int = CELLS) -> np.ndarray:
+def cell_counts(docs: DataFrame, shingle: int, cells: int = CELLS) -> np.ndarray:
     """Shingle occurrences per hash cell over all documents; a table of fixed size."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
         for batch in batches:
             held, size = [], 0
-            for _, s in shingle_sets(batch.column(0)):
+            for _, s in shingle_sets(batch.column(0), shingle):
                 held.append(s)
                 size += len(s)
                 if size > 1_000_000:
@@ -80,11 +82,11 @@ def cell_counts(docs: DataFrame, cells: int = CELLS) -> np.ndarray:
     return out
 
 
-def prefix_length(n: int) -> int:
-    return n - (9 * n + 9) // 10 + 1
+def prefix_length(n: int, percent: int) -> int:
+    return n - (percent * n + 99) // 100 + 1
 
 
-def described(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+def described(docs: DataFrame, counts: np.ndarray, shingle: int, percent: int) -> DataFrame:
     """Per row: doc_id, _md5, n, class (digest of the set, NULL if empty), signature, prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     schema = pa.schema([("doc_id", pa.int64()), ("_md5", pa.binary()), ("n", pa.int64()), ("class", pa.binary()),
@@ -94,12 +96,12 @@ def described(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         table = shared.value
         for batch in batches:
             n, cls, sig, pre = [], [], [], []
-            for _, s in shingle_sets(batch.column("text")):
+            for _, s in shingle_sets(batch.column("text"), shingle):
                 n.append(len(s))
                 cls.append(digest(s) if len(s) else None)
                 sig.append(np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % SIGNATURE, minlength=SIGNATURE), 32767).astype("<i2").tobytes() if len(s) else None)
                 order = np.lexsort((s, table[(s % np.uint64(len(table))).astype(np.int64)]))
-                pre.append(signed(s[order[:prefix_length(len(s))]]) if len(s) else np.zeros(0, np.int64))
+                pre.append(signed(s[order[:prefix_length(len(s), percent)]]) if len(s) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_md5"), *(pa.array(x, f.type) for x, f in zip((n, cls, sig, pre), list(schema)[2:]))], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key()[1:], "text") \
@@ -110,13 +112,13 @@ def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.astype("<u8").tobytes(), digest_size=16).digest()
 
 
-def could_link(n1: Column, at1: Column, n2: Column, at2: Column) -> Column:
-    """Length and positional filter at a shared shingle: the overlap must reach 9/19 of both sizes,
-    and before the first shared shingle nothing matches."""
-    return (10 * F.least(n1, n2) >= 9 * F.greatest(n1, n2)) & (19 * F.least(n1 - at1, n2 - at2) >= 9 * (n1 + n2))
+def could_link(n1: Column, at1: Column, n2: Column, at2: Column, percent: int) -> Column:
+    """Length and positional filter at a shared shingle: the overlap must reach percent / (100 + percent)
+    of both sizes, and before the first shared shingle nothing matches."""
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * F.least(n1 - at1, n2 - at2) >= percent * (n1 + n2))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links among ``pairs`` (a, b; each once). Signatures first; the sets of survivors come from
     the texts of one document a class, which are the only texts that move."""
     side = {k: classes.select(F.col("class").alias(k), F.col("signature").alias(f"s{k}"), F.col("n").alias(f"n{k}")) for k in "ab"}
@@ -129,7 +131,7 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
                 both = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
                 apart = np.abs(sa - sb).sum(1)                      # at most the symmetric difference
                 full = (sa == 32767).any(1) | (sb == 32767).any(1)
-                keep = pa.array(full | (19 * (both - apart) >= 18 * both))
+                keep = pa.array(full | ((100 + percent) * (both - apart) >= 2 * percent * both))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(keep)
 
     near = materialise(known.mapInArrow(suffix, "a binary, b binary"), "near")
@@ -140,7 +142,7 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cls, sets = [], []
-            for (_, s), c in zip(shingle_sets(batch.column("text")), batch.column("class").to_pylist()):
+            for (_, s), c in zip(shingle_sets(batch.column("text"), shingle), batch.column("class").to_pylist()):
                 if len(s) and digest(s) == c:                        # not another text of the same doc_id
                     cls.append(c)
                     sets.append(s.astype("<u8").tobytes())
@@ -157,7 +159,7 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
                 x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
                 both = np.sort(np.concatenate([x, y]))
                 same = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * same >= 90 * (len(x) + len(y) - same))
+                linked.append(100 * same >= percent * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return filled.select("a", "b", "sa", "sb").mapInArrow(verify, "a binary, b binary")
@@ -189,7 +191,7 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("class"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
 
 
-def linked_classes(rows: DataFrame, texts: DataFrame) -> DataFrame:
+def linked_classes(rows: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(class, root) of every class that links with another, from ``described`` rows."""
     classes = materialise(rows.where("class is not null").groupBy("class").agg(
         F.min_by(F.struct("doc_id", "n", "signature", "prefix"), F.struct("doc_id", "_md5")).alias("_r")).select("class", "_r.*"), "classes")
@@ -198,9 +200,9 @@ def linked_classes(rows: DataFrame, texts: DataFrame) -> DataFrame:
     shared = materialise(shared, "shared")       # a table of its own, so that the join below can split a hot shingle
     held = materialise(every.join(shared, "shingle"), "postings")
     pivot = {k: F.col(f"_pivot.{k}") for k in ("class", "n", "at")}
-    first = held.where((F.col("class") != pivot["class"]) & could_link(F.col("n"), F.col("at"), pivot["n"], pivot["at"]))
+    first = held.where((F.col("class") != pivot["class"]) & could_link(F.col("n"), F.col("at"), pivot["n"], pivot["at"], percent))
     first = first.select(F.least("class", pivot["class"]).alias("a"), F.greatest("class", pivot["class"]).alias("b")).distinct()
-    links = materialise(verified(first, classes, texts), "links")
+    links = materialise(verified(first, classes, texts, shingle, percent), "links")
     root = materialise(components(links), "roots")
     # a class outside its pivot's component meets the classes of other components in the group
     at_pivot = root.select(F.col("class").alias("_pc"), F.col("root").alias("_proot"))
@@ -212,32 +214,32 @@ def linked_classes(rows: DataFrame, texts: DataFrame) -> DataFrame:
     l, r = rest.alias("l"), group.alias("r")
     second = l.join(r, (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.root") != F.col("r.root"))
                     & (~F.col("r.out") | (F.col("l.class") < F.col("r.class")))
-                    & could_link(F.col("l.n"), F.col("l.at"), F.col("r.n"), F.col("r.at")))
+                    & could_link(F.col("l.n"), F.col("l.at"), F.col("r.n"), F.col("r.at"), percent))
     second = second.select(F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = materialise(verified(second, classes, texts), "links")
+    more = materialise(verified(second, classes, texts, shingle, percent), "links")
     return components(links.union(more)) if not more.isEmpty() else root
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(doc_id, _md5, n, _root) per row; _root is NULL for an empty set."""
-    rows = materialise(described(docs, cell_counts(docs)), "described")
+    rows = materialise(described(docs, cell_counts(docs, shingle), shingle, percent), "described")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    root = linked_classes(rows, texts)
+    root = linked_classes(rows, texts, shingle, percent)
     return rows.select("doc_id", "_md5", "n", "class").join(root, "class", "left").withColumn("_root", F.coalesce("root", "class"))
 
 
-def ngram_join(docs: DataFrame) -> DataFrame:
+def ngram_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: the smallest doc_id reachable by links."""
-    found = materialise(grouped(docs), "grouped")
+    found = materialise(grouped(docs, shingle, percent), "grouped")
     least = found.where("_root is not null").groupBy("_root").agg(F.min("doc_id").alias("_least"))
     return found.join(least, "_root", "left").select("doc_id", F.col("n").alias("n_shingles"),
                                                      F.coalesce("_least", "doc_id").alias("component_id"))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group, the smallest doc_id (ties: the smallest digest of the
     text, then any of equal rows); rows with empty sets all stay."""
-    found = materialise(grouped(docs), "grouped")
+    found = materialise(grouped(docs, shingle, percent), "grouped")
     sole = found.where("_root is null").groupBy("doc_id", "_md5").agg(F.count(F.lit(1)).alias("_n"), F.lit(True).alias("_all"))
     win = found.where("_root is not null").groupBy("_root").agg(F.min(F.struct("doc_id", "_md5")).alias("_w")).select("_w.*")
     same = found.where("_root is not null").groupBy("doc_id", "_md5").agg(F.count(F.lit(1)).alias("_n"))
