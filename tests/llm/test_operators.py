@@ -287,6 +287,19 @@ def test_toxicity(spark):
     assert toxicity.held_out_toxicity(docs, labels.limit(0)).where("predicted = 0").count() == len(made)
 
 
+def test_toxicity_features_of_all_labels(spark):
+    """A toxic word of texts outside the fitted sample is still counted as a feature; the sample is bounded."""
+    made = [(i, f"walk river {'scumbag' if i % 5 == 0 else 'stone'} " + ("vermin" if i % 40 == 0 else ""), int(i % 5 == 0)) for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in made], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in made], "doc_id long, toxic int")
+    picked = {r.doc_id for r in toxicity.sampled(docs, labels, 60).collect()}
+    assert toxicity.labelled_words(docs, labels).count() == 400 and len(picked) == 60
+    assert sum(i % 40 == 0 for i in picked) < toxicity.LEAST
+    model = toxicity.learn(docs, labels, sample=60)
+    assert "vermin" in model.index and "scumbag" in model.index
+    assert toxicity.SAMPLE == 40_000
+
+
 def test_lm_scores(docs, rows, empty):
     got = lm_scoring.held_out_scores(docs).toPandas()
     tokens = [words(r[1]) + ["</s>"] for r in rows]

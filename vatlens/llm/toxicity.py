@@ -9,7 +9,7 @@ own, and a neutral mention of the group is not marked.
 The classifier is fitted on a bounded sample: the ``sample`` labelled documents with
 the smallest hash of doc_id (rows that repeat a doc_id: one text of them; labels that
 disagree: toxic). Features are the ``features`` words and beginnings with the strongest
-association (likelihood ratio) in the sample, of those where it is significant. Every whole text is scored.
+association (likelihood ratio) in all labelled documents, of those where it is significant. Every whole text is scored.
 
 Only the text enters a score. NULL is the empty text. Without labelled texts of both
 classes the score is the share of toxic labels, or 0.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from vatlens.llm.common import fold, materialise
 
 #: EVIDENCE: least likelihood ratio of a feature (chi-square at 0.001, one degree of freedom).
-SAMPLE, FEATURES, LEAST, EVIDENCE = 20_000, 4000, 3, 10.83
+SAMPLE, FEATURES, LEAST, EVIDENCE = 40_000, 4000, 3, 10.83
 PREFIXES = (3, 4, 5, 6)
 WEIGHT, RIDGE, STEPS = 5.0, 1e-4, 400
 #: Fixed: identity terms by kind; a term is swapped for the next of its kind.
@@ -88,23 +88,39 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    return labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+
+
 def sampled(texts: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, text, toxic) of the learning sample; at most ``sample`` rows.
 
     The ids are chosen first and, being bounded, broadcast: the other texts do not move."""
-    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = known.withColumn("doc_id", F.col("doc_id").cast("long")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = known_labels(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic") \
         .agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"))
 
 
+def labelled_words(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic, words) of every labelled document: its distinct words, one text each. Only these words move."""
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([" ".join(sorted(words(x.as_py() or ""))) for x in batch.column("text")], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_key"), found], names=["doc_id", "_key", "words"])
+
+    held = texts.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_key"), "text") \
+        .mapInArrow(reduce, "doc_id long, _key long, words string")
+    return held.join(known_labels(labels), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("words", "_key").alias("words"))
+
+
 def associations(rows: DataFrame) -> DataFrame:
-    """(feature, toxic_n, n): in how many learning texts each feature stands."""
+    """(feature, toxic_n, n): in how many labelled documents each feature stands; of the feature '', all."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, every = Counter(), Counter()
         for batch in batches:
-            for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                own = {f for w in words(text.as_py() or "") for f in features_of(w)}
+            for text, label in zip(batch.column("words"), batch.column("toxic").to_pylist()):
+                own = {f for w in text.as_py().split(" ") if w for f in features_of(w)}
+                own.add("")
                 every.update(own)
                 if label:
                     toxic.update(own)
@@ -114,7 +130,7 @@ def associations(rows: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(list(every), pa.string()), pa.array([toxic[f] for f in every], pa.int64()),
                                           pa.array(list(every.values()), pa.int64())], names=["feature", "toxic_n", "n"])
 
-    return rows.select("text", "toxic").mapInArrow(count, "feature string, toxic_n long, n long") \
+    return rows.select("words", "toxic").mapInArrow(count, "feature string, toxic_n long, n long") \
         .groupBy("feature").agg(F.sum("toxic_n").alias("toxic_n"), F.sum("n").alias("n"))
 
 
@@ -177,14 +193,16 @@ def fit(y: np.ndarray, own: Lists, left: Lists, right: Lists, width: int, weight
 
 def learn(texts: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES, least: int = LEAST,
           weight: float = WEIGHT) -> Classifier:
-    rows = materialise(sampled(texts, labels, sample), "labelled")
-    n, toxic = rows.select(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    counts = materialise(associations(labelled_words(texts, labels)).where((F.col("n") >= least) | (F.col("feature") == "")), "associations")
+    n, toxic = counts.where("feature = ''").select(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("toxic_n"), F.lit(0))).first()
     if not 0 < toxic < n:
         rate = toxic / n if n else 0.0
         return Classifier({}, np.zeros(0), float(np.log(max(rate, 1e-17) / max(1 - rate, 1e-17))))
-    names = strongest(associations(rows), n, toxic, features, least)
+    names = strongest(counts.where("feature <> ''"), n, toxic, features, least)
     index = Classifier({f: i for i, f in enumerate(names)}, np.zeros(len(names)), 0.0)
 
+    rows = sampled(texts, labels, sample)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {"doc_id": batch.column("doc_id"), "label": [], "own": [], "other": []}
