@@ -22,7 +22,8 @@ STAGES = [
     ("best_fit_packing", lambda spark, docs, sf_dir: packing.pack(docs)),
 ]
 
-#: Robust estimates and sequential packing have no SQL form; tests hold run() against a plain version.
+#: Robust estimates and sequential packing have no SQL form; a test holds run()'s rows against plain
+#: versions of the stages, but for the robust verdict of the quality stage, which it takes from op8.
 ORACLE_SQL = None
 
 

@@ -434,3 +434,96 @@ def test_pipeline_stages(docs, spark):
         before = now.count()
     packed = corpus_pipeline.STAGES[-1][1](spark, now, "")
     assert packed.select(F.countDistinct("doc_id")).first()[0] == now.select(F.countDistinct("doc_id")).first()[0]
+
+
+def test_pipeline_against_plain_stages(spark, rows, tmp_path):
+    """The rows that run() packs, against plain versions of four stages; of the quality stage the base rules are
+    counted here, its robust verdict is taken from op8 (see the quality tests)."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    spark.createDataFrame(rows, DOCS).repartition(3, "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+    # quality: the base rules
+    def base_failed(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        windows = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
+        count = collections.Counter(windows)
+        covered = {j for i, x in enumerate(windows) if count[x] > 1 for j in range(i, i + 8)}
+        return len(w) < 20 or 100 * len(covered) > 30 * len(w)
+    # a row is known by its id and text; equal rows are judged alike
+    judged = {(r.doc_id, r.n_words, r.word_chars, r.n_symbols): r.kept for r in quality.quality_rules(docs).collect()}
+
+    def fate(r):
+        w = re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")
+        return judged[(r[0], len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", r[1] or "")))]
+    left = [r for r in rows if fate(r)]
+    assert not any(base_failed(r[1]) for r in left) and len(left) > 100
+
+    # exact copies: the largest id of equal lower-cased texts stays
+    best = {}
+    for r in left:
+        key = lowered(r[1])
+        if key not in best or (best[key][0] is None or (r[0] is not None and r[0] > best[key][0])):
+            best[key] = r
+    left = list(best.values())
+
+    # near copies: the smallest id of each component of five-word shingles at 0.8
+    def shingles(t):
+        w = words(t)
+        return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    sets, root = [shingles(r[1]) for r in left], list(range(len(left)))
+    for i in range(len(left)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    groups = collections.defaultdict(list)
+    for i, r in enumerate(left):
+        groups[root[i] if sets[i] else -1 - i].append(r)
+    left = [min(g, key=lambda r: (r[0] is not None, r[0] or 0)) for g in groups.values()]
+
+    # mixing: plain raking of the cells; the draw is the hash of the id
+    def cell(r):
+        t, n = r[1] or "", len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+        marks = t.count("|") + t.count("\t")
+        topic = "empty" if n == 0 else "table" if marks * 5 > n else "note" if n < 100 else "article" if n < 1000 else "book"
+        return (r[3], r[2], topic), n
+    tokens = collections.Counter()
+    for r in left:
+        tokens[cell(r)[0]] += cell(r)[1]
+    total, p = sum(tokens.values()), dict.fromkeys(tokens, mixing.RATE)
+    for _ in range(mixing.ROUNDS):
+        before = dict(p)
+        for m in range(3):
+            sums, now = collections.Counter(), collections.Counter()
+            for c, n in tokens.items():
+                sums[c[m]] += n
+                now[c[m]] += p[c] * n
+            whole = sum(v ** mixing.TEMPER for v in sums.values())
+            p = {c: min(1.0, x * sums[c[m]] ** mixing.TEMPER / whole * mixing.RATE * total / now[c[m]]) if now[c[m]] > 0 else x for c, x in p.items()}
+        if max(abs(p[c] - before[c]) for c in p) < mixing.TOLERANCE:
+            break
+    ids = spark.createDataFrame([(r[0],) for r in left], "doc_id long")
+    number = {r[0]: r[1] for r in ids.select("doc_id", mixing.draw(mixing.SEED)).collect()}
+    assert all(abs(number[r[0]] - p[cell(r)[0]]) > 1e-6 for r in left)
+    sampled = [r for r in left if number[r[0]] < p[cell(r)[0]]]
+    assert 0 < len(sampled) < len(left) < len(rows)
+
+    # packing: the pieces as a set, the sequences by validity
+    exact = Tokenizer.from_file(packing.vocabulary()[0])
+    plain = collections.Counter()
+    for r in sampled:
+        ids = np.array(exact.encode(r[1] or "", add_special_tokens=False).ids + [0], "<u4")
+        start = 0
+        for k, n in enumerate(packing.piece_lengths(len(ids))):
+            plain[(-1 if r[0] is None else r[0], k, start, n, zlib.crc32(ids[start:start + n].tobytes()))] += 1
+            start += n
+    got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert collections.Counter(map(tuple, got[cols].fillna(-1).astype("int64").to_numpy().tolist())) == plain
+    got = got.sort_values(["sequence_id", "offset"])
+    assert (got.offset == got.groupby("sequence_id").length.cumsum() - got.length).all()
+    assert got.groupby("sequence_id").length.sum().max() <= 2048
