@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vatlens.llm import (exact_dedup, language_id, line_dedup, lm_scoring, mixing, ngram_join, packing, quality,
-                         toxicity, url_filter)
+                         sharding, toxicity, url_filter)
 from vatlens.llm.common import table
 
 
@@ -26,10 +26,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": over_documents(quality.quality_rules),
     "op9_ngram_join": over_documents(ngram_join.ngram_join),
     "op10_exact_dedup": over_documents(exact_dedup.exact_dedup),
+    "op11_sharding": over_documents(sharding.sharding),
 }
 
 ORACLE: dict[str, str] = {
     "op6_line_dedup": line_dedup.SQL,
     "op9_ngram_join": ngram_join.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op11_sharding": sharding.SQL,
 }
