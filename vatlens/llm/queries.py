@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vatlens.llm import (exact_dedup, language_id, line_dedup, lm_scoring, mixing, ngram_join, packing, quality,
-                         sharding, toxicity, url_filter)
+from vatlens.llm import (exact_dedup, language_id, line_dedup, lm_scoring, mixing, ngram_join, packing, periodic_runs,
+                         quality, sharding, toxicity, url_filter)
 from vatlens.llm.common import table
 
 
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": over_documents(ngram_join.ngram_join),
     "op10_exact_dedup": over_documents(exact_dedup.exact_dedup),
     "op11_sharding": over_documents(sharding.sharding),
+    "op12_periodic_runs": over_documents(periodic_runs.document_runs),
 }
 
 ORACLE: dict[str, str] = {
