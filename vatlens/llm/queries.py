@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vatlens.llm import (exact_dedup, language_id, line_dedup, lm_scoring, mixing, ngram_join, packing, periodic_runs,
+from vatlens.llm import (exact_dedup, hard_negatives, language_id, line_dedup, lm_scoring, mixing, ngram_join, packing, periodic_runs,
                          quality, sharding, toxicity, url_filter)
 from vatlens.llm.common import table
 
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": over_documents(exact_dedup.exact_dedup),
     "op11_sharding": over_documents(sharding.sharding),
     "op12_periodic_runs": over_documents(periodic_runs.document_runs),
+    "op13_hard_negatives": lambda spark, sf_dir: hard_negatives.mined_embeddings(table(spark, sf_dir, "embeddings")),
 }
 
 ORACLE: dict[str, str] = {
@@ -35,4 +36,5 @@ ORACLE: dict[str, str] = {
     "op9_ngram_join": ngram_join.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
     "op11_sharding": sharding.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
