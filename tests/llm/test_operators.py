@@ -399,10 +399,68 @@ def test_quality_distance(spark):
     core = x[np.argsort(d, kind="stable")[:int(np.ceil(quality.CORE * len(x)))]]
     floor = np.diag(np.square(list(quality.FLOORS.values())))
     gap = x - core.mean(0)
-    again = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(np.cov(core.T, bias=True) + floor), gap)
+    again = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(quality.consistency(quality.CORE) * np.cov(core.T, bias=True) + floor), gap)
     assert np.allclose(d, again, rtol=0.15, atol=0.1)
 
 
+def test_consistency_factor():
+    """The inner half of a normal sample has the factor's inverse as variance (one dimension: a known value)."""
+    x = np.sort(np.abs(np.random.default_rng(0).normal(size=400_000)))
+    assert 1 / quality.consistency(0.5, 1) == pytest.approx(np.mean(x[:200_000] ** 2), rel=1e-2)
+    assert quality.chi_square(3.841458820694124, 1) == pytest.approx(0.95) and quality.chi_square(14.067140449340169, 7) == pytest.approx(0.95)
+
+
+def plain_mcd(x, floor, starts=60):
+    """(mean, inverse covariance, log determinant): the best of many random starts, steps on exactly the core's rows."""
+    rng, h, factor = np.random.default_rng(1), int(np.ceil(quality.CORE * len(x))), quality.consistency(quality.CORE)
+    best = None
+    for _ in range(starts):
+        core = x[rng.choice(len(x), x.shape[1] + 1, replace=False)]
+        before = np.inf
+        while True:
+            mean, cov = core.mean(0), factor * np.cov(core.T, bias=True) + floor
+            size, p = np.linalg.slogdet(cov)[1], np.linalg.inv(cov)
+            if size >= before - 1e-9 and len(core) == h:
+                break
+            before = size if len(core) == h else np.inf
+            d = np.einsum("ij,jk,ik->i", x - mean, p, x - mean)
+            core = x[np.argsort(d, kind="stable")[:h]]
+        if best is None or size < best[2]:
+            best = (mean, p, size)
+    return best
+
+
+def test_quality_against_plain_mcd(spark):
+    """Determinants and verdicts against a plain minimum-covariance-determinant estimate of many random starts, with a
+    quarter of one group's rows far off, a group too small for its own estimate, and equal rows. Cores of nearly the same
+    determinant differ in where they lie among clean rows, so distances there agree only roughly."""
+    rng = np.random.default_rng(8)
+
+    def text(far):
+        words = ["x" * int(k) for k in rng.integers(2, 9, 70)]
+        for at in rng.choice(70, int(rng.integers(30, 45) if far else rng.integers(0, 6)), replace=False):
+            words[at] = "|$%" if far else rng.choice(["Cap!", "a;b", "UP"])
+        return " ".join(words)
+    made = [(i, text(i % 4 == 3), "en", "s") for i in range(400)] + [(1000 + i, text(False), "de", f"t{i % 2}") for i in range(300)] + [(2000 + i, text(i < 2), "de", "few") for i in range(10)]
+    made += [(3000 + i, made[0][1], "en", "s") for i in range(20)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string, source string").repartition(3)
+    got = quality.quality_rules(docs).toPandas().set_index("doc_id")
+    stats = quality.statistics(docs).toPandas().set_index("doc_id").loc[got.index]
+    x, floor = stats[quality.NAMES].to_numpy() / quality.SCALE, np.diag(np.square(list(quality.FLOORS.values())))
+    lang, source = stats.lang.to_numpy(), stats.source.to_numpy()
+    found = {(r["_level"], r["_lang"], r["_source"]): r["_logdet"] for r in quality.cores(quality.statistics(docs)).collect()}
+    size_of = {"en s": found[0, "=en", "=s"], "t0": found[0, "=de", "=t0"], "few": found[1, "=de", ""]}
+    for name, rows, base in (("en s", (source == "s"), (source == "s")), ("t0", source == "t0", source == "t0"), ("few", source == "few", lang == "de")):
+        mean, p, size = plain_mcd(x[base], floor)
+        plain = np.einsum("ij,jk,ik->i", x[rows] - mean, p, x[rows] - mean)
+        mine = got.distance.to_numpy()[rows]
+        assert size - 0.02 <= size_of[name] <= size + 0.4, name
+        assert np.allclose(mine, plain, rtol=0.35, atol=1.5), name
+        clear = np.abs(plain - quality.CUTOFF) > 4
+        assert ((mine > quality.CUTOFF) == (plain > quality.CUTOFF))[clear].all() and clear.mean() > 0.9, name
+    assert got.kept[[i for i in range(400) if i % 4 != 3]].all() and not got.kept[[i for i in range(400) if i % 4 == 3]].any()
+
+
 def test_mixing(docs, empty, spark):
     got = mixing.mix(docs).toPandas()
     assert len(got) == docs.count() and got.probability.between(0, 1).all()

@@ -1,31 +1,40 @@
 """Operator 8, quality rules by robust multivariate outliers. DataFrame and SQL functions only.
 
 Every text gives a vector of transformed statistics. For each (lang, source) group the
-minimum-covariance-determinant estimate of location and scatter is found by
-concentration steps: from a robust start, distances are taken, the share ``core`` of the
-rows with the smallest distances gives the next mean and covariance, and so on. A
-document is rejected if the hard rules fail or its squared Mahalanobis distance passes
+minimum-covariance-determinant estimate of location and scatter is found by concentration steps:
+distances are taken, the share ``core`` of the rows with the smallest distances gives the next mean and
+covariance, and so on. There are two starts, the medians with the floors as scale and the mean and covariance of
+all rows; a group goes on while its determinant falls (``STEPS`` at most, else a warning), and of all cores the
+one with the least determinant stays. Its covariance is made consistent with the normal law by the usual
+factor. A document is rejected if the hard rules fail or its squared Mahalanobis distance passes
 ``cutoff``. Scatter is regularised by a floor per statistic: most statistics of clean text
 are constant zero, and a difference below the floor says nothing.
 
 Each step is one aggregation. Rows are counted with their moments per (group, cell of the
-distance), so the step's quantile and its moments come from one small table; statistics are
-scaled integers, so sums are exact and the result does not depend on task order. Groups of
-fewer than ``min_group`` rows use their language's estimate, and those of their language
-if that is small too the estimate of all rows. A hot group is combined on the map side.
+distance), so the step's quantile and its moments come from one small table (a core takes whole cells);
+statistics are scaled integers, so sums are exact and the result does not depend on task order. Matrices are
+inverted as arrays, by sweeping one pivot after the other. Groups of fewer than ``min_group`` rows use their
+language's estimate, and those of their language if that is small too the estimate of all rows. A hot group is
+combined on the map side.
 
 NULL lang and source are values of their own. A NULL text has no words and fails.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vatlens.llm.common import SPACE, UPPER, materialise, small
+from vatlens.llm.common import BROADCAST_ROWS, UPPER, materialise, small
 
 #: Share of rows in the core; squared distance that rejects; rows below which a group is too small.
-CORE, CUTOFF, MIN_GROUP, STEPS = 0.75, 30.0, 50, 4
+CORE, CUTOFF, MIN_GROUP, STEPS = 0.75, 30.0, 50, 40
+#: A step that lowers the logarithm of the determinant by less ends a group's steps.
+SETTLED = 1e-6
 #: Words in a window, rules of the base.
 WINDOW, MIN_WORDS, REPEAT_PERCENT = 8, 20, 30
 #: Least standard deviation of each statistic: word length (log2), then square roots of the shares of
@@ -34,38 +43,44 @@ WINDOW, MIN_WORDS, REPEAT_PERCENT = 8, 20, 30
 FLOORS = {"length": 0.20, "symbols": 0.10, "capitals": 0.12, "marks": 0.12, "lines": 0.20, "repeats": 0.20, "runs": 0.12}
 #: Statistics are counted in units of 1 / SCALE; distances in cells of 1 / 8.
 SCALE, CELLS = 512, 2048
-SYMBOLS = "#*$%&|<>"
-MARKS = "!?;:=+_~^@/\\"
+#: Characters that are counted, and white space as a pattern.
+SYMBOLS, MARKS, WHITE = "#*$%&|<>", "!?;:=+_~^@/\\", r"[\x20\x09-\x0D]+"
 
 
-def removed(c: Column, chars: str) -> Column:
-    """How many characters of ``c`` are in ``chars``."""
-    return F.length(c) - F.length(F.translate(c, chars, ""))
+def counted(chars: str) -> Column:
+    """How many characters of ``_special`` are in ``chars``."""
+    return F.length("_special") - F.length(F.translate("_special", chars, ""))
 
 
 def base_statistics(docs: DataFrame, *keep: str) -> DataFrame:
     """doc_id, lang, source (and ``keep``) with the five counts and what the vector needs more."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    white = r"[\x20\x09-\x0D]+"
     d = docs.select("doc_id", "lang", "source", *keep, text.alias("_text"))
-    d = d.withColumn("_words", F.filter(F.split("_text", white), lambda w: w != ""))
-    d = d.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0))
-    d = d.withColumn("n_words", F.size("_words").cast("long"))
-    # the windows of 8 words as 64-bit hashes, in reading order
-    d = d.withColumn("_hash", F.transform("_words", lambda w: F.xxhash64(w)))
-    d = d.withColumn("_windows", F.when(F.col("n_words") >= WINDOW, F.transform(
-        F.sequence(F.lit(1), F.col("n_words").cast("int") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_hash", i, WINDOW))))
-        .otherwise(F.array().cast("array<bigint>")))
+    # a short text of the characters that are counted, and nothing else
+    others = "[^A-Z" + "".join("\\" + c for c in SYMBOLS + MARKS) + "]+"
+    d = d.withColumns({"_words": F.filter(F.split("_text", WHITE), lambda w: w != ""),
+                       "_lines": F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
+                       "_special": F.regexp_replace("_text", others, "")})
+    # the windows of 8 words as 64-bit hashes, in reading order: of pairs, of pairs of those, and of pairs again
+    d = d.withColumns({"n_words": F.size("_words").cast("long"), "_hash": F.transform("_words", lambda w: F.xxhash64(w))})
+    d = d.withColumn("_windows", doubled("_hash", 1))
+    for step in range(1, WINDOW.bit_length() - 1):
+        d = d.withColumn("_windows", doubled("_windows", 1 << step))
     return d.select(
         "doc_id", "lang", "source", *keep, "n_words",
-        F.length(F.translate("_text", SPACE, "")).cast("long").alias("word_chars"),
-        removed(F.col("_text"), SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"), counted(SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated_words().cast("long").alias("n_repeat_words"),
-        F.size("_lines").alias("_n_lines"), removed(F.col("_text"), UPPER).alias("_capitals"), removed(F.col("_text"), MARKS).alias("_marks"),
+        F.size("_lines").alias("_n_lines"), counted(UPPER).alias("_capitals"), counted(MARKS).alias("_marks"),
         F.size(F.filter("_hash", lambda h, i: h == F.get("_hash", i + 1))).alias("_runs"))
 
 
+def doubled(column: str, gap: int) -> Column:
+    """Hashes of stretches twice as long: of each entry with that ``gap`` places on, as far as there is one."""
+    ahead = F.slice(column, gap + 1, F.greatest(F.size(column) - gap, F.lit(0)))
+    return F.zip_with(F.slice(column, 1, F.greatest(F.size(column) - gap, F.lit(0))), ahead, lambda a, b: F.xxhash64(a, b))
+
+
 def repeated_words() -> Column:
     """Words that lie in a window found at least twice. Windows are sorted by (hash, place); equal
     neighbours are repeated; the places of those, in order, cover min(8, gap to the next) words each."""
@@ -114,45 +129,53 @@ NAMES = [f"_x_{k}" for k in FLOORS]
 PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
 
 
+SIZE = len(FLOORS)
+
+
 def distance() -> Column:
-    """Squared Mahalanobis distance: the squared length of the inverse Cholesky factor ``_w`` times
-    the difference from the mean ``_m``."""
-    gap = [F.col(x) / SCALE - F.col(f"_m{i}") for i, x in enumerate(NAMES)]
-    out = F.lit(0.0)
-    for i in range(len(NAMES)):
-        z = F.lit(0.0)
-        for j in range(i + 1):
-            z = z + F.col(f"_w{i}_{j}") * gap[j]
-        out = out + z * z
-    return out
-
-
-def factorised(moments: DataFrame, keys: list[str]) -> DataFrame:
-    """Means ``_m`` and inverse Cholesky factors ``_w`` of regularised covariances, from counts and sums."""
-    n = F.col("_n").cast("double")
-    d = moments.select(*keys, "_rows", *[(F.col(f"_s{i}") / n / SCALE).alias(f"_m{i}") for i in range(len(NAMES))],
-                       *[(F.col(f"_q{i}_{j}") / n / SCALE ** 2).alias(f"_q{i}_{j}") for i, j in PAIRS])
-    floors, size = list(FLOORS.values()), len(NAMES)
-
-    def left(i: int, j: int) -> Column:
-        value = F.col(f"_q{i}_{j}") - F.col(f"_m{i}") * F.col(f"_m{j}")
-        for k in range(j):
-            value = value - F.col(f"_l{i}_{k}") * F.col(f"_l{j}_{k}")
-        return value
-
-    for j in range(size):                     # the factor by columns, the diagonal entry first
-        d = d.withColumn(f"_l{j}_{j}", F.sqrt(F.greatest(left(j, j) + F.lit(floors[j] ** 2), F.lit(floors[j] ** 2 / 4))))
-        d = d.withColumns({f"_l{i}_{j}": left(i, j) / F.col(f"_l{j}_{j}") for i in range(j + 1, size)})
-
-    def inverse(i: int, j: int) -> Column:
-        value = F.lit(0.0 if i > j else 1.0)
-        for k in range(j, i):
-            value = value - F.col(f"_l{i}_{k}") * F.col(f"_w{k}_{j}")
-        return value / F.col(f"_l{i}_{i}")
-
-    for off in range(size):                   # its inverse by diagonals
-        d = d.withColumns({f"_w{i}_{i - off}": inverse(i, i - off) for i in range(off, size)})
-    return d.select(*keys, "_rows", *[f"_m{i}" for i in range(len(NAMES))], *[f"_w{i}_{j}" for i, j in PAIRS])
+    """Squared Mahalanobis distance from the mean ``_m`` by the inverse covariance ``_p``, an array of rows."""
+    gap = [f"({x} / {SCALE}D - _m[{i}])" for i, x in enumerate(NAMES)]
+    rows = [f"{gap[i]} * (" + " + ".join([f"_p[{i * SIZE + i}] * {gap[i]}"] + [f"2 * _p[{i * SIZE + j}] * {gap[j]}" for j in range(i)]) + ")" for i in range(SIZE)]
+    return F.expr(f"greatest({' + '.join(rows)}, 0D)")
+
+
+def chi_square(x: float, freedom: int) -> float:
+    """Its distribution function, by the series of the incomplete gamma function."""
+    a, z = freedom / 2, x / 2
+    term = total = 1 / a
+    k = a
+    while term > total * 1e-16:
+        k += 1
+        term *= z / k
+        total += term
+    return total * math.exp(a * math.log(z) - z - math.lgamma(a))
+
+
+def consistency(core: float, size: int = SIZE) -> float:
+    """What the covariance of the inner share ``core`` of a normal sample is multiplied by to be that of all."""
+    low, high = 0.0, 1000.0
+    while high - low > 1e-9:
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle, size) < core else (low, middle)
+    return core / chi_square(high, size + 2)
+
+
+def estimated(moments: DataFrame, keys: list[str], factor: float) -> DataFrame:
+    """keys, _rows, _n, _m (means), _p (inverse of the regularised covariance times ``factor``, by rows) and _logdet."""
+    floors, last = [f ** 2 for f in FLOORS.values()], SIZE * SIZE
+    square = SCALE ** 2
+    d = moments.selectExpr(*keys, "_rows", "_n", f"array({', '.join(f'_s{i} / CAST(_n AS DOUBLE) / {SCALE}' for i in range(SIZE))}) AS _m",
+                           f"array({', '.join(f'_q{max(i, j)}_{min(i, j)} / CAST(_n AS DOUBLE) / {square}' for i in range(SIZE) for j in range(SIZE))}) AS _q")
+    entry = [f"(_q[{i * SIZE + j}] - _m[{i}] * _m[{j}]) * {factor!r}D + {floors[i] if i == j else 0.0!r}D" for i in range(SIZE) for j in range(SIZE)]
+    # one pivot k after the other; the last element adds up the logarithms of the pivots
+    least = f"array({', '.join(f'{f / 4!r}D' for f in floors)})"
+    pivot = f"greatest(a[k * {SIZE + 1}], {least}[k])"
+    i, j = f"(at DIV {SIZE})", f"(at % {SIZE})"
+    sweep = f"""aggregate(sequence(0, {SIZE - 1}), _a, (a, k) -> transform(a, (x, at) ->
+        CASE WHEN at = {last} THEN x + ln({pivot}) WHEN {i} = k AND {j} = k THEN -1 / {pivot} WHEN {i} = k OR {j} = k THEN x / {pivot}
+             ELSE x - a[CAST({i} AS INT) * {SIZE} + k] * a[k * {SIZE} + {j}] / {pivot} END))"""
+    return d.selectExpr(*keys, "_rows", "_n", "_m", f"array({', '.join(entry)}, 0D) AS _a").selectExpr(*keys, "_rows", "_n", "_m", f"{sweep} AS _a") \
+        .selectExpr(*keys, "_rows", "_n", "_m", f"transform(slice(_a, 1, {last}), x -> -x) AS _p", f"_a[{last}] AS _logdet")
 
 
 KEYS = ["_level", "_lang", "_source"]
@@ -167,40 +190,62 @@ def levelled(stats: DataFrame) -> DataFrame:
 
 
 def moments() -> list[Column]:
-    out = [F.count(F.lit(1)).alias("_n")]
-    out += [F.sum(x).alias(f"_s{i}") for i, x in enumerate(NAMES)]
-    return out + [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"_q{i}_{j}") for i, j in PAIRS]
+    return [F.expr("count(1) AS _n"), *[F.expr(f"sum({x}) AS _s{i}") for i, x in enumerate(NAMES)],
+            *[F.expr(f"sum({NAMES[i]} * {NAMES[j]}) AS _q{i}_{j}") for i, j in PAIRS]]
 
 
-def core_moments(rows: DataFrame, cell: Column, core: float) -> DataFrame:
+def core_moments(rows: DataFrame, keys: list[str], cell: Column, core: float) -> DataFrame:
     """Per group: size ``_rows`` and the moments of the cells up to the one that reaches ``core``."""
-    group = Window.partitionBy(*KEYS)
-    cells = rows.groupBy(*KEYS, cell.alias("_cell")).agg(*moments())
+    group = Window.partitionBy(*keys)
+    cells = rows.groupBy(*keys, cell.alias("_cell")).agg(*moments())
     cells = cells.withColumns({"_rows": F.sum("_n").over(group), "_before": F.sum("_n").over(
         group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1))})
     inner = cells.where(F.coalesce("_before", F.lit(0)) < F.ceil(core * F.col("_rows")))
-    sums = ["_n", *[f"_s{i}" for i in range(len(NAMES))], *[f"_q{i}_{j}" for i, j in PAIRS]]
-    return inner.groupBy(*KEYS).agg(F.first("_rows").alias("_rows"), *[F.sum(c).alias(c) for c in sums])
+    sums = ["_n", *[f"_s{i}" for i in range(SIZE)], *[f"_q{i}_{j}" for i, j in PAIRS]]
+    return inner.groupBy(*keys).agg(F.first("_rows").alias("_rows"), *[F.expr(f"sum({c}) AS {c}") for c in sums])
 
 
-def estimates(stats: DataFrame, core: float = CORE, steps: int = STEPS, min_group: int = MIN_GROUP) -> DataFrame:
-    """(_lang, _source, means, factors) for every (lang, source) present."""
-    rows = levelled(stats)
-    # start: the core around the median of every statistic, in units of the floors
-    middle = rows.groupBy(*KEYS).agg(*[F.percentile(x, 0.5).alias(f"_p{i}") for i, x in enumerate(NAMES)])
-    scale = list(FLOORS.values())
-    away = F.lit(0.0)
-    for i, x in enumerate(NAMES):
-        away = away + F.pow((F.col(x) - F.col(f"_p{i}")) / (SCALE * scale[i]), 2)
+def cores(stats: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFrame:
+    """(_level, _lang, _source, _rows, _m, _p, _logdet): of every group the core of least determinant."""
+    rows, factor = levelled(stats), consistency(core)
 
     def cell(squared: Column) -> Column:
         return F.least(F.floor(F.sqrt(squared) * 8), F.lit(CELLS)).cast("int")
 
-    current = materialise(factorised(core_moments(rows.join(small(middle), KEYS), cell(away), core), KEYS), "mcd")
+    # first start: the core around the median of every statistic, in units of the floors
+    middle = materialise(rows.groupBy(*KEYS).agg(*[F.percentile(x, 0.5).alias(f"_p{i}") for i, x in enumerate(NAMES)]), "middle")
+    few = 2 * middle.count() <= BROADCAST_ROWS          # of the states below, too: a row for each group and start
+
+    def bounded(groups: DataFrame) -> DataFrame:
+        return F.broadcast(groups) if few else groups
+
+    away = reduce(Column.__add__, [F.pow((F.col(x) - F.col(f"_p{i}")) / (SCALE * f), 2) for i, (x, f) in enumerate(zip(NAMES, FLOORS.values()))])
+    first = core_moments(rows.join(bounded(middle), KEYS), KEYS, cell(away), core)
+    # second start: the mean and covariance of all rows
+    whole = rows.groupBy(*KEYS).agg(*moments()).withColumn("_rows", F.col("_n"))
+    starts = first.withColumn("_start", F.lit(0)).unionByName(whole.withColumn("_start", F.lit(1)))
+    keys = [*KEYS, "_start"]
+    left = materialise(estimated(starts, keys, factor), "mcd")
+    tried = [left.where("_start = 0")]                  # all rows are no core
     for _ in range(steps):
-        current = materialise(factorised(core_moments(rows.join(small(current.drop("_rows")), KEYS), cell(distance()), core), KEYS), "mcd")
-    values = [c for c in current.columns if c not in (*KEYS, "_rows")]
-    by = {k: current.where(f"_level = {k}").select("_lang", "_source", "_rows", F.struct(*values).alias(f"_e{k}")) for k in range(3)}
+        was = left.select(*keys, "_m", "_p", F.col("_logdet").alias("_was"))
+        after = estimated(core_moments(rows.join(bounded(was), KEYS), keys, cell(distance()), core), keys, factor)
+        after = materialise(after.join(bounded(was.select(*keys, "_was")), keys), "mcd")
+        tried.append(after.drop("_was"))
+        left = after.where(F.col("_logdet") < F.col("_was") - SETTLED).drop("_was")
+        if left.isEmpty():
+            break
+    else:
+        warnings.warn(f"quality rules: {left.count()} groups still had a smaller determinant after {steps} steps", stacklevel=2)
+    every = reduce(DataFrame.unionByName, tried)
+    return materialise(every.groupBy(*KEYS).agg(F.min_by(F.struct("_rows", "_m", "_p", "_logdet"), F.struct("_logdet", "_n")).alias("_e"))
+                       .select(*KEYS, "_e.*"), "cores")
+
+
+def estimates(stats: DataFrame, core: float = CORE, steps: int = STEPS, min_group: int = MIN_GROUP) -> DataFrame:
+    """(_lang, _source, _m, _p) for every (lang, source) present."""
+    current = cores(stats, core, steps)
+    by = {k: current.where(f"_level = {k}").select("_lang", "_source", "_rows", F.struct("_m", "_p").alias(f"_e{k}")) for k in range(3)}
     lang = by[1].select("_lang", F.col("_rows").alias("_n1"), "_e1")
     chosen = by[0].join(lang, "_lang").crossJoin(F.broadcast(by[2].select("_e2")))     # one row
     best = F.when(F.col("_rows") >= min_group, F.col("_e0")).when(F.col("_n1") >= min_group, F.col("_e1")).otherwise(F.col("_e2"))
