@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vatlens.functions.expr import clamp_min, least_of, nz, prior_period_int, safe_div
-from vatlens.plans.iterate import cut, cut_partitioned
+from vatlens.plans.iterate import bucketed, cut, cut_partitioned, release, scratch_path
 from vatlens.plans.skew import SALT, find_hot_keys, salt_big, salt_keys, salt_small
 
 # fixed values of the reference ------------------------------------------
@@ -77,15 +77,20 @@ def periods(spark, today: str, n_years: int) -> DataFrame:
 
 
 # ------------------------------------------------------------ declarations
-def decl_latest(decl: DataFrame, period: int) -> DataFrame:
+def _of(df: DataFrame, period: int | None) -> DataFrame:
+    """Rows of one period; of all periods without one. What follows is keyed by period either way."""
+    return df if period is None else df.where(_c("period") == period)
+
+
+def decl_latest(decl: DataFrame, period: int | None) -> DataFrame:
     """Highest folio per (taxpayer, period) among valid declarations with code 537 > 0."""
-    d = decl.where((_c("period") == period) & _c("validity").isin(*VALIDITY_OK) & (_c("c_537") > 0))
+    d = _of(decl, period).where(_c("validity").isin(*VALIDITY_OK) & (_c("c_537") > 0))
     return d.groupBy("id", "period").agg(F.max("folio").alias("max_folio"))
 
 
-def _latest_rows(decl: DataFrame, period: int) -> DataFrame:
-    d = decl.where((_c("period") == period) & _c("validity").isin(*VALIDITY_OK) & (_c("c_537") > 0))
-    newest = d.groupBy(F.col("id").alias("_id")).agg(F.max_by(F.struct(*d.columns), "folio").alias("_r"))
+def _latest_rows(decl: DataFrame, period: int | None) -> DataFrame:
+    d = _of(decl, period).where(_c("validity").isin(*VALIDITY_OK) & (_c("c_537") > 0))
+    newest = d.groupBy(F.col("id").alias("_id"), F.col("period").alias("_period")).agg(F.max_by(F.struct(*d.columns), "folio").alias("_r"))
     return newest.select("_r.*")
 
 
@@ -99,7 +104,7 @@ def _sum_nz(*cols: str) -> Column:
     return out
 
 
-def decl_prior(decl: DataFrame, prior: int) -> DataFrame:
+def decl_prior(decl: DataFrame, prior: int | None) -> DataFrame:
     """Previous-period declaration: 537, 538, 77, special credit and carry ratio."""
     d = _latest_rows(decl, prior)
     den = F.col("c_537") + _sum_nz(*SPECIAL_CODES)
@@ -110,7 +115,7 @@ def decl_prior(decl: DataFrame, prior: int) -> DataFrame:
         F.round(safe_div(nz("c_77"), den), 6).alias("carry_ratio_ant"))
 
 
-def decl_current(decl: DataFrame, period: int) -> DataFrame:
+def decl_current(decl: DataFrame, period: int | None) -> DataFrame:
     """Current-period declaration with invoice / credit-note credit, net credit and special credit."""
     d = _latest_rows(decl, period)
     fact_cr = _sum_nz("c_520", "c_762", "c_766", "c_525")
@@ -124,16 +129,16 @@ def decl_current(decl: DataFrame, period: int) -> DataFrame:
     )
 
 
-def observations(obs: DataFrame, code: str, period: int) -> DataFrame:
+def observations(obs: DataFrame, code: str, period: int | None) -> DataFrame:
     """Active observations (no end date, status V) of one code in a period."""
-    return obs.where((_c("period") == period) & (_c("code") == code) & _c("end_date").isNull()
-                     & (_c("status") == OBS_ACTIVE_STATUS)).select("id", "period", "amount")
+    return _of(obs, period).where((_c("code") == code) & _c("end_date").isNull()
+                                  & (_c("status") == OBS_ACTIVE_STATUS)).select("id", "period", "amount")
 
 
 def decl_adjust_fm01(current: DataFrame, fm01: DataFrame) -> DataFrame:
     """Carried credit (504) reduced by the FM01 amount, floor 0; FM01 capped by 504."""
-    o = fm01.select("id", F.col("amount").alias("_fm"))
-    j = current.join(o, "id", "left")
+    o = fm01.select("id", "period", F.col("amount").alias("_fm"))
+    j = current.join(o, ["id", "period"], "left")
     diff = nz("c_504") - nz("_fm")
     return j.select(
         *[c for c in current.columns if c != "c_504"],
@@ -148,19 +153,30 @@ def carry_in(decl1: DataFrame, prior: DataFrame, period: int, prior_period: int,
 
     With history: the prior period's total contaminated proportion (floored at
     0) times the adjusted 504 of this period, round 4. Cold start: 0."""
-    p = prior.select(F.col("id").alias("receiver"), "f29_77_ant")
-    d = decl1.select(F.col("id").alias("receiver"), "c_504_orig", "c_504", "fm01")
+    inputs = carry_inputs(decl1, prior.select("id", F.lit(period).alias("period"), "f29_77_ant"))
+    return carry_of(inputs, period, prior_period, history)
+
+
+def carry_inputs(decl1: DataFrame, prior: DataFrame) -> DataFrame:
+    """(receiver, period, f29_77_ant, c_504_orig, c_504, fm01, declares) of all who declared in a period or
+    the one before it; ``prior`` has the period it is prior to."""
+    p = prior.select(F.col("id").alias("receiver"), "period", "f29_77_ant")
+    d = decl1.select(F.col("id").alias("receiver"), "period", "c_504_orig", "c_504", "fm01", F.lit(1).alias("declares"))
+    return d.join(p, ["receiver", "period"], "full").select(
+        "receiver", "period", "f29_77_ant", "c_504_orig", "c_504", "fm01", nz("declares").alias("declares"))
+
+
+def carry_of(inputs: DataFrame, period: int, prior_period: int, history: DataFrame | None) -> DataFrame:
+    """``carry_in`` from the period's ``carry_inputs``."""
     if history is None:
-        base = decl1.select(F.col("id").alias("receiver"))
-        j = base.join(p, "receiver", "left").join(d, "receiver", "left")
-        return j.select(
+        return inputs.where(_c("declares") == 1).select(
             F.lit(prior_period).alias("period_ant"), "receiver", F.lit(period).alias("period"),
             F.lit(0).cast("double").alias("total_cont_an_ant"),
             F.lit(0).cast("double").alias("prop_total_cont_an_ant"), "f29_77_ant", "c_504_orig",
             "c_504", "fm01", F.lit(0).cast("double").alias("carried_cont"))
     h = history.where(_c("period") == prior_period).select(
         "receiver", "total_cont_an", clamp_min(nz("prop_total_cont_an")).alias("_prop"))
-    j = h.join(p, "receiver", "left").join(d, "receiver", "left")
+    j = h.join(inputs.drop("period"), "receiver", "left")
     return j.select(
         F.lit(prior_period).alias("period_ant"), "receiver", F.lit(period).alias("period"),
         F.col("total_cont_an").cast("double").alias("total_cont_an_ant"),
@@ -172,10 +188,10 @@ def carry_in(decl1: DataFrame, prior: DataFrame, period: int, prior_period: int,
 
 
 # ------------------------------------------------------------ ledger -> edges
-def ledger_docs(ledger: DataFrame, period: int) -> DataFrame:
+def ledger_docs(ledger: DataFrame, period: int | None) -> DataFrame:
     """Purchases of the period split into invoice and credit-note VAT (signed)."""
-    lg = ledger.where((_c("period") == period) & _c("tx_type").isin(*TX_TYPES)
-                      & _c("doc_type").isin(*LEDGER_DOC_TYPES) & (_c("operation") == PURCHASE))
+    lg = _of(ledger, period).where(_c("tx_type").isin(*TX_TYPES)
+                                   & _c("doc_type").isin(*LEDGER_DOC_TYPES) & (_c("operation") == PURCHASE))
     inv = _c("doc_type").isin(*INVOICE_DOC_TYPES)
     nc = _c("doc_type").isin(*CREDIT_NOTE_DOC_TYPES)
     zero = F.lit(0).cast(lg.schema["vat"].dataType)
@@ -187,14 +203,22 @@ def ledger_docs(ledger: DataFrame, period: int) -> DataFrame:
         F.when(nc, -_c("vat")).otherwise(_c("vat")).alias("signed_vat"))
 
 
-def trade_edges(docs: DataFrame, decl1: DataFrame) -> DataFrame:
-    """Per (issuer, receiver, period): sums and counts, net VAT, and whether each end declared."""
-    e = docs.groupBy("issuer", "receiver", "period").agg(
+def trade_sums(docs: DataFrame) -> DataFrame:
+    """Per (issuer, receiver, period): sums and counts and net VAT."""
+    return docs.groupBy("issuer", "receiver", "period").agg(
         F.sum("iva_fact").alias("iva_fact"), F.sum("iva_nc").alias("iva_nc"),
         F.count(F.lit(1)).alias("qty_docto"), F.sum("is_fact").alias("qty_fact"),
         F.sum("is_nc").alias("qty_nc"),
         (F.sum(nz("iva_fact")) - F.sum(nz("iva_nc"))).alias("iva_neto1"),
         F.sum(nz("signed_vat")).alias("iva_neto_cv1"))
+
+
+def trade_edges(docs: DataFrame, decl1: DataFrame, summed: bool = False) -> DataFrame:
+    """``trade_sums`` and whether each end declared. ``summed``: ``docs`` are those sums, as a table of their own.
+
+    The declarations are a table of their own too: both sides of each join are then plain shuffles, and AQE
+    splits an issuer or receiver that holds much of the edges."""
+    e = docs if summed else trade_sums(docs)
     dk = decl1.select("id", "period")           # one declaration per (id, period)
     ie = dk.select(F.col("id").alias("issuer"), "period", F.lit(1).alias("issuer_declares"))
     re = dk.select(F.col("id").alias("receiver"), "period", F.lit(1).alias("receiver_declares"))
@@ -251,50 +275,55 @@ def nondeclaring_issuers(edges: DataFrame, declared: DataFrame) -> DataFrame:
                  F.sum("qty_docto").alias("qty_docto"), F.sum("iva_neto").alias("iva_neto")))
 
 
-def doc30_issuers(ledger: DataFrame, auth: DataFrame, period: int) -> DataFrame:
+def doc30_issuers(ledger: DataFrame, auth: DataFrame, period: int | None) -> DataFrame:
     """Issuers of type-30 purchases in the period without an open POFE authorisation."""
-    d = ledger.where((_c("doc_type") == UNAUTHORISED_DOC_TYPE) & (_c("period") == period)
-                     & (_c("operation") == PURCHASE)).select("issuer", "period").distinct()
+    d = _of(ledger, period).where((_c("doc_type") == UNAUTHORISED_DOC_TYPE)
+                                  & (_c("operation") == PURCHASE)).select("issuer", "period").distinct()
     ok = auth.where((_c("attribute") == AUTH_ATTRIBUTE) & _c("end_date").isNull()).select(
         F.col("id").alias("issuer"))
     return d.join(ok, "issuer", "left_anti")
 
 
 def alerted_issuers(edges: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Issuers with an active alert 4110-4112 (not deactivated by a user, not unblocked)."""
+    """(issuer, period) of issuers with an active alert 4110-4112 (not deactivated by a user, not unblocked)."""
     a = alerts.where(_c("deactivated_by").isNull() & _c("unblock_folio").isNull()
                      & _c("code").isin(*ALERT_CODES)).select(F.col("id").alias("issuer"))
-    return edges.select("issuer").distinct().join(a, "issuer", "left_semi")
+    return edges.select("issuer", "period").distinct().join(a, "issuer", "left_semi")
 
 
-def special_credit(declared: DataFrame, period: int) -> DataFrame:
+def special_credit(declared: DataFrame, period: int | None) -> DataFrame:
     """Taxpayers with special credit > 0 in the period."""
-    return declared.where((_c("period") == period) & (_c("special_cr") > 0)).select(
-        "id", "special_cr", "period")
+    return _of(declared, period).where(_c("special_cr") > 0).select("id", "special_cr", "period")
+
+
+def _self_edge(df: DataFrame, id_col: str, amount: Column, kind: str) -> DataFrame:
+    return df.select(
+        F.col(id_col).alias("issuer"), F.col(id_col).alias("receiver"), "period",
+        F.lit(0).alias("iva_fact"), F.lit(0).alias("iva_nc"), F.lit(0).alias("qty_docto"),
+        F.lit(0).alias("qty_fact"), F.lit(0).alias("qty_nc"), amount.alias("iva_neto"),
+        F.lit(0).alias("iva_neto_cv"), F.lit(1).alias("issuer_declares"),
+        F.lit(1).alias("receiver_declares"), F.lit(kind).alias("node_kind"))
+
+
+def self_edges(special: DataFrame, w08: DataFrame, fm01: DataFrame) -> DataFrame:
+    """Self edges that carry special credit, W08 and FM01: those that need no earlier period."""
+    ce = _self_edge(special.groupBy("id", "period").agg(F.sum("special_cr").alias("a")), "id", F.col("a"), PHANTOM["CE"])
+    w = _self_edge(w08.groupBy("id", "period").agg(F.sum("amount").alias("a")), "id", F.col("a"), PHANTOM["W08"])
+    fm = _self_edge(fm01.groupBy("id", "period").agg(F.sum("amount").alias("a")), "id", F.col("a"), PHANTOM["FM01"])
+    return ce.unionByName(w).unionByName(fm)
+
+
+def carried_edges(carry: DataFrame) -> DataFrame:
+    """Self edges that carry the credit of the period before."""
+    return _self_edge(carry, "receiver", F.col("carried_cont"), PHANTOM["REM"])
 
 
 def phantom_edges(edges: DataFrame, special: DataFrame, w08: DataFrame, carry: DataFrame,
                   fm01: DataFrame) -> DataFrame:
     """Normal edges plus self edges carrying special credit, W08, carried credit and FM01."""
     normal = edges.withColumn("node_kind", F.lit(NORMAL))
-
-    def self_edge(df: DataFrame, id_col: str, amount: Column, kind: str) -> DataFrame:
-        return df.select(
-            F.col(id_col).alias("issuer"), F.col(id_col).alias("receiver"), "period",
-            F.lit(0).alias("iva_fact"), F.lit(0).alias("iva_nc"), F.lit(0).alias("qty_docto"),
-            F.lit(0).alias("qty_fact"), F.lit(0).alias("qty_nc"), amount.alias("iva_neto"),
-            F.lit(0).alias("iva_neto_cv"), F.lit(1).alias("issuer_declares"),
-            F.lit(1).alias("receiver_declares"), F.lit(kind).alias("node_kind"))
-
-    ce = self_edge(special.groupBy("id", "period").agg(F.sum("special_cr").alias("a")), "id",
-                   F.col("a"), PHANTOM["CE"])
-    w = self_edge(w08.groupBy("id", "period").agg(F.sum("amount").alias("a")), "id",
-                  F.col("a"), PHANTOM["W08"])
-    rem = self_edge(carry, "receiver", F.col("carried_cont"), PHANTOM["REM"])
-    fm = self_edge(fm01.groupBy("id", "period").agg(F.sum("amount").alias("a")), "id",
-                   F.col("a"), PHANTOM["FM01"])
     # normal edges are unique by their keys; only self edges can repeat
-    return normal.unionByName(ce.unionByName(w).unionByName(rem).unionByName(fm).distinct())
+    return normal.unionByName(self_edges(special, w08, fm01).unionByName(carried_edges(carry)).distinct())
 
 
 def edge_level0(pedges: DataFrame) -> DataFrame:
@@ -310,11 +339,11 @@ def _credit_test() -> Column:
             | (_c("fact_cr_fixed") > 0) | (_c("nc_cr") > 0))
 
 
-def seed_table(doc30: DataFrame, nondecl: DataFrame, alerted: DataFrame, period: int) -> DataFrame:
+def seed_table(doc30: DataFrame, nondecl: DataFrame, alerted: DataFrame) -> DataFrame:
     """(issuer, period, origin) for the issuer-based origins 7, 1 and 2."""
     return (doc30.select("issuer", "period", F.lit(7).alias("origin"))
             .unionByName(nondecl.select("issuer", "period", F.lit(1).alias("origin")))
-            .unionByName(alerted.select("issuer", F.lit(period).alias("period"), F.lit(2).alias("origin")))
+            .unionByName(alerted.select("issuer", "period", F.lit(2).alias("origin")))
             .distinct())
 
 
@@ -376,11 +405,25 @@ def hop1_result(hop1: DataFrame, declared: DataFrame) -> DataFrame:
     aggregation on the map side, so a receiver with a huge number of issuers
     is combined before the shuffle); only then are the sums joined to the
     receiver's declaration (one row per declarant)."""
-    sums = hop1.groupBy("period", "receiver", "origin").agg(
+    return hop1_capped(hop1_sums(hop1), declared)
+
+
+def hop1_sums(hop1: DataFrame) -> DataFrame:
+    """Edge rows of hop 1 summed per (period, receiver, origin)."""
+    return hop1.groupBy("period", "receiver", "origin").agg(
         F.sum("iva_fact_cont").alias("s_fact"), F.sum("iva_nc_cont").alias("s_nc"),
         F.sum("iva_neto_cont").alias("s_net"), F.sum("issuer_declares").alias("s_ie"),
         F.sum("receiver_declares").alias("s_re"))
-    g = sums.join(_declared_caps(declared), ["receiver", "period"], "inner")
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys``; without "period" among them both sides are of one period, which ``left`` keeps."""
+    return left.join(right if "period" in keys else right.drop("period"), keys, "inner")
+
+
+def hop1_capped(sums: DataFrame, declared: DataFrame, by_period: bool = True) -> DataFrame:
+    """Sums of hop 1 capped by the receiver's declaration (see ``hop1_result``)."""
+    g = _meet(sums, _declared_caps(declared), ["receiver"] + ["period"] * by_period)
     fact_cdo = least_of("s_fact", "mf")
     nc_cdo = least_of("s_nc", "mn")
     neto_cdo = (F.when(_c("origin") == 3, _c("s_net"))
@@ -413,11 +456,12 @@ def hop_edges(pedges: DataFrame, materialise=lambda df: df) -> tuple[DataFrame,
 
 
 def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
-             hot: DataFrame | None = None) -> DataFrame:
+             hot: DataFrame | None = None, by_period: bool = True) -> DataFrame:
     """Hop ``hop`` (2..5): each edge of an already contaminated issuer carries its VAT times
     the issuer's contaminated proportion; self edges are excluded; sums are capped by the
     receiver's declaration. When the edges are salted (``hop_edges``; ``hot`` is None when
-    no issuer is hot) the previous hop's rows of hot issuers are repeated per salt bucket."""
+    no issuer is hot) the previous hop's rows of hot issuers are repeated per salt bucket.
+    Without ``by_period`` all inputs are of one period and meet on the taxpayer alone."""
     nc_uses_fact, prod_digits, sum_digits, need_fact = HOP_RULES[hop]
     p = prev.select(F.col("receiver").alias("issuer"), "period", "origin",
                     _c("iva_fact_cdo").alias("p_fact_cdo"), "prop_fact_cdo", "prop_nc_cdo",
@@ -425,11 +469,11 @@ def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
     if need_fact:
         p = p.where(_c("p_fact_cdo") > 0)
     e = pedges.where(_c("issuer") != _c("receiver"))
+    keys = ["issuer"] + ["period"] * by_period
     if SALT in e.columns:                             # salted on hot issuers (``hop_edges``)
-        j = e.join(salt_small(p, ["issuer", "period"], hot), ["issuer", "period", SALT], "inner")
+        j = _meet(e, salt_small(p, ["issuer", "period"], hot), [*keys, SALT])
     else:
-        j = e.select("issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto").join(
-            p, ["issuer", "period"], "inner")
+        j = _meet(e.select("issuer", "receiver", "period", "iva_fact", "iva_nc", "iva_neto"), p, keys)
 
     def carried(amount: str, prop: str) -> Column:
         """Money times a proportion of 5 digits, exact in DECIMAL: no rounding (here or of the sums)
@@ -444,7 +488,7 @@ def hop_next(pedges: DataFrame, prev: DataFrame, declared: DataFrame, hop: int,
     # sum per (period, receiver, origin) before meeting the declarations (map-side combine)
     sums = rows.groupBy("period", "receiver", "origin").agg(
         F.sum("pf").alias("sf"), F.sum("pn").alias("sn"), F.sum("pt").alias("st"))
-    g = sums.join(_declared_caps(declared), ["receiver", "period"], "inner")
+    g = _meet(sums, _declared_caps(declared), ["receiver"] + ["period"] * by_period)
 
     def capped(s: str, m: str) -> Column:
         v = F.round(_c(s), sum_digits) if sum_digits is not None else _c(s)
@@ -483,36 +527,24 @@ def origin_summary(hops: DataFrame, decl1: DataFrame) -> DataFrame:
     each hop, their total and min(1, total / declared net) -- one aggregation."""
     dk = decl1.select(F.col("id").alias("receiver"), "period").distinct()
     h = hops.join(dk, ["receiver", "period"], "left_semi")
-    aggs = [F.max("f29_fact_reci").alias("f29_fact_reci"), F.max("f29_nc_reci").alias("f29_nc_reci"),
-            F.max("f29_neto_reci").alias("f29_neto_reci"), F.max("c_537").alias("c_537"),
-            F.count(F.lit(1)).alias("qty_arco")]
-    for k in range(1, 6):
-        aggs += [F.max(F.when(_c("hop") == k, _c("iva_neto_cdo"))).alias(f"_v{k}"),
-                 F.max(F.when(_c("hop") == k, _c("prop_neto_cdo"))).alias(f"_p{k}"),
-                 F.max(F.when(_c("hop") == k, _c("origin"))).alias(f"origin_a{k}")]
-    g = h.groupBy("period", "receiver", "origin").agg(*aggs)
-    cols = [_c(c) for c in ("period", "receiver", "origin", "f29_fact_reci", "f29_nc_reci",
-                            "f29_neto_reci", "c_537", "qty_arco")]
-    capped_terms = []
-    for k in range(1, 6):
-        v = nz(f"_v{k}")
-        cap_v = F.when((v > 0) & (v > _c("f29_neto_reci")), _c("f29_neto_reci")).otherwise(v)
-        p = nz(f"_p{k}")
-        cols += [cap_v.alias(f"iva_neto_cdo_a{k}"),
-                 F.when(p > 1, F.lit(1.0)).otherwise(p).alias(f"prop_neto_cdo_a{k}")]
-        capped_terms.append(cap_v)
-    first = F.when(_c("origin_a1") == 3, nz("_v1")).otherwise(capped_terms[0])
-    total = first
-    for t in capped_terms[1:]:
-        total = total + t
-    capped_total = capped_terms[0]
-    for t in capped_terms[1:]:
-        capped_total = capped_total + t
-    cols += [total.alias("total_cont"),
-             F.when(capped_total > _c("f29_neto_reci"), F.lit(1.0))
-             .otherwise(safe_div(capped_total, "f29_neto_reci")).alias("prop_total_cont"),
-             *[_c(f"origin_a{k}") for k in range(1, 6)]]
-    return g.select(*cols)
+    g = h.groupBy("period", "receiver", "origin").agg(
+        *[F.expr(f"max({c}) AS {c}") for c in ("f29_fact_reci", "f29_nc_reci", "f29_neto_reci", "c_537")], F.expr("count(1) AS qty_arco"),
+        *[F.expr(e) for k in range(1, 6) for e in (f"max(CASE WHEN hop = {k} THEN iva_neto_cdo END) AS _v{k}",
+                                                   f"max(CASE WHEN hop = {k} THEN prop_neto_cdo END) AS _p{k}",
+                                                   f"max(CASE WHEN hop = {k} THEN origin END) AS origin_a{k}")])
+
+    def value(k: int) -> str:
+        return f"coalesce(_v{k}, 0)"
+    terms = [f"(CASE WHEN {value(k)} > 0 AND {value(k)} > f29_neto_reci THEN f29_neto_reci ELSE {value(k)} END)" for k in range(1, 6)]
+    first = f"(CASE WHEN origin_a1 = 3 THEN {value(1)} ELSE {terms[0]} END)"
+    capped_total = " + ".join(terms)
+    return g.selectExpr(
+        "period", "receiver", "origin", "f29_fact_reci", "f29_nc_reci", "f29_neto_reci", "c_537", "qty_arco",
+        *[e for k, term in enumerate(terms, 1) for e in (
+            f"{term} AS iva_neto_cdo_a{k}", f"CASE WHEN coalesce(_p{k}, 0) > 1 THEN 1.0D ELSE coalesce(_p{k}, 0) END AS prop_neto_cdo_a{k}")],
+        f"{' + '.join([first, *terms[1:]])} AS total_cont",
+        f"CASE WHEN {capped_total} > f29_neto_reci THEN 1.0D ELSE try_divide(CAST({capped_total} AS DOUBLE), CAST(f29_neto_reci AS DOUBLE)) END AS prop_total_cont",
+        *[f"origin_a{k}" for k in range(1, 6)])
 
 
 def receivers(summary: DataFrame) -> DataFrame:
@@ -528,43 +560,29 @@ PIVOT_MEASURES = ([f"iva_neto_cdo_a{k}" for k in range(1, 6)] + [f"prop_neto_cdo
 
 def origin_pivot(summary: DataFrame) -> DataFrame:
     """One row per receiver: its declared maxima and the 12 summary measures for each of the
-    7 origins (one row each), in one aggregation."""
-    measures = [F.max(F.when(_c("origin") == code, _c(m))).alias(f"{m}_{suffix}")
-                for code, suffix in ORIGIN_SUFFIX.items() for m in PIVOT_MEASURES]
-    out = summary.groupBy("period", "receiver").agg(
-        F.max("f29_neto_reci").alias("f29_neto_reci"), F.max("c_537").alias("c_537"), *measures)
-    order = ["period", "receiver", "f29_neto_reci"]
-    for sfx in PIVOT_ORDER:
-        order += [f"{m}_{sfx}" for m in PIVOT_MEASURES]
-    order.append("c_537")
-    return out.select(*order)
+    7 origins (one row each), in one aggregation: a receiver's rows, seven at most, become a map by origin."""
+    by_origin = f"map_from_entries(collect_list(struct(origin, struct({', '.join(PIVOT_MEASURES)})))) AS _m"
+    out = summary.groupBy("period", "receiver").agg(F.max("f29_neto_reci").alias("f29_neto_reci"), F.max("c_537").alias("c_537"), F.expr(by_origin))
+    code = {suffix: k for k, suffix in ORIGIN_SUFFIX.items()}
+    return out.selectExpr("period", "receiver", "f29_neto_reci",
+                          *[f"_m[{code[sfx]}].{m} AS {m}_{sfx}" for sfx in PIVOT_ORDER for m in PIVOT_MEASURES], "c_537")
 
 
 def hop_totals(pivot: DataFrame) -> DataFrame:
     """Per hop: sums over the origins except special credit; then grand totals."""
-    cols = [F.col(c) for c in pivot.columns]
-    for k in range(1, 6):
-        for m in ("iva_neto_cdo", "prop_neto_cdo"):
-            terms = [nz(f"{m}_a{k}_{s}") for s in TOTAL_ORIGINS]
-            acc = terms[0]
-            for t in terms[1:]:
-                acc = acc + t
-            cols.append(acc.alias(f"{m}_a{k}_an"))
-    out = pivot.select(*cols)
-    tot = nz("iva_neto_cdo_a1_an")
-    prop = F.col("prop_neto_cdo_a1_an")
-    for k in range(2, 6):
-        tot = tot + nz(f"iva_neto_cdo_a{k}_an")
-        prop = prop + F.col(f"prop_neto_cdo_a{k}_an")
-    return out.select("*", tot.alias("total_cont_an"), prop.alias("prop_total_cont_an"))
+    measures = ("iva_neto_cdo", "prop_neto_cdo")
+    out = pivot.selectExpr("*", *[" + ".join(f"coalesce({m}_a{k}_{s}, 0)" for s in TOTAL_ORIGINS) + f" AS {m}_a{k}_an"
+                                  for k in range(1, 6) for m in measures])
+    return out.selectExpr("*", " + ".join(f"coalesce(iva_neto_cdo_a{k}_an, 0)" for k in range(1, 6)) + " AS total_cont_an",
+                          " + ".join(f"prop_neto_cdo_a{k}_an" for k in range(1, 6)) + " AS prop_total_cont_an")
 
 
 def carried_history_rows(history_p: DataFrame, carry: DataFrame, decl1: DataFrame) -> DataFrame:
     """Carried amounts and every origin's measures of hop 1 and totals, per receiver of the period."""
     c = carry.select("receiver", "period", "period_ant", "f29_77_ant", "prop_total_cont_an_ant",
                      "carried_cont")
-    d = decl1.select(F.col("id").alias("receiver"), F.col("c_504").alias("_c504")).distinct()
-    j = history_p.join(c, ["receiver", "period"], "left").join(d, "receiver", "left")
+    d = decl1.select(F.col("id").alias("receiver"), "period", F.col("c_504").alias("_c504")).distinct()
+    j = history_p.join(c, ["receiver", "period"], "left").join(d, ["receiver", "period"], "left")
     cols = ["period", "receiver", "f29_neto_reci", "period_ant", "f29_77_ant", "prop_total_cont_an_ant",
             "carried_cont", F.col("_c504").alias("c_504")]
     for sfx in CARRIED_ORDER + ("an",):
@@ -621,7 +639,7 @@ def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataF
     edges = leaf(trade_edges_clamped(trade_edges(ledger_docs(ledger, period), decl1)))
     declared = leaf(decl_or_ledger(decl1, edges))
     nondecl = nondeclaring_issuers(edges, declared).select("issuer", "period").distinct()
-    seeds = seed_table(doc30_issuers(ledger, auth, period), nondecl, alerted_issuers(edges, alerts), period)
+    seeds = seed_table(doc30_issuers(ledger, auth, period), nondecl, alerted_issuers(edges, alerts))
     pedges = leaf(phantom_edges(edges, special_credit(declared, period),
                                 observations(obs, OBS_W08, period), carry, fm))
     hop1 = hop1_by_origin(edge_level0(pedges), declared, seeds, phantom_origins)
@@ -643,3 +661,90 @@ def trace_period(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataF
     out.pivot = origin_pivot(out.summary)
     out.totals = hop_totals(out.pivot)
     return out
+
+
+# ------------------------------------------------------------ all periods
+@dataclass
+class Ground:
+    """What no period needs another one for, of all periods at once: tables in folders by period.
+
+    declared is bucketed on the taxpayer, hop_edges on the issuer (and salt); hop1 has the sums of hop 1
+    over the normal edges, phantom the rows of hop 1 of self edges without carried credit."""
+
+    decl1: DataFrame
+    inputs: DataFrame
+    declared: DataFrame
+    seeds: DataFrame
+    hop1: DataFrame
+    phantom: DataFrame
+    hop_edges: DataFrame
+    hot: DataFrame | None
+
+    def of(self, name: str, period: int) -> DataFrame:
+        return getattr(self, name).where(_c("period") == period)
+
+    def release(self) -> None:
+        """Remove the two large tables; nothing reads them after the last period."""
+        release(self.declared)
+        release(self.hop_edges)
+
+
+def _by_period(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in folders by period; the rows of a period are dealt to its files by AQE's rebalancing."""
+    path = scratch_path(df.sparkSession, name)
+    df.hint("rebalance", "period").write.partitionBy("period").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ground(decl: DataFrame, obs: DataFrame, ledger: DataFrame, auth: DataFrame, alerts: DataFrame,
+           phantom_origins: bool = True) -> Ground:
+    """One pass over all periods: declarations, edges, seeds and the part of hop 1 that no carried credit enters.
+    The ledger is read for the edges and for the issuers of type 30, once each."""
+    fm = cut(observations(obs, OBS_FM01, None))
+    decl1 = _by_period(decl_adjust_fm01(decl_current(decl, None), fm), "decl1")
+    prior = decl_prior(decl, None)
+    after = F.when(_c("period_ant") % 100 == 12, _c("period_ant") + 89).otherwise(_c("period_ant") + 1).cast("int")
+    inputs = _by_period(carry_inputs(decl1, prior.select("id", after.alias("period"), "f29_77_ant")), "inputs")
+    edges = cut(trade_edges_clamped(trade_edges(cut(trade_sums(ledger_docs(ledger, None))), decl1, summed=True)))
+    declared = cut(decl_or_ledger(decl1, edges))
+    nondecl = nondeclaring_issuers(edges, declared).select("issuer", "period").distinct()
+    seeds = _by_period(seed_table(doc30_issuers(ledger, auth, None), nondecl, alerted_issuers(edges, alerts)), "seeds")
+    normal = edges.withColumn("node_kind", F.lit(NORMAL)).withColumn("iva_neto", _c("iva_neto").cast("double"))
+    selfs = self_edges(special_credit(declared, None), observations(obs, OBS_W08, None), fm).distinct() \
+        .withColumn("iva_neto", _c("iva_neto").cast("double"))
+    hop1 = _by_period(hop1_sums(hop1_by_origin(edge_level0(normal), declared, seeds, phantom_origins)), "hop1")
+    phantom = _by_period(hop1_by_origin(edge_level0(selfs), declared, seeds, phantom_origins), "phantom")
+    salted, hot = hop_edges(normal, cut)
+    most = edges.groupBy("period").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    n = most // BUCKET_ROWS + 1
+    return Ground(decl1, inputs, bucketed(declared, ["id"], n, "period"), seeds, hop1, phantom,
+                  bucketed(salted, salt_keys(["issuer"], hot), n, "period"), hot)
+
+
+#: Edges of a period in one bucket.
+BUCKET_ROWS = 250_000
+
+
+def trace_carried(g: Ground, period: int, history: DataFrame | None, phantom_origins: bool = True) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Hop totals of one period from ``ground`` and the history, its carry, and the folders that both read: only
+    what carried credit reaches is computed here. Every hop's result is a small table in the shared
+    folder, so a lost executor costs its running tasks only."""
+    declared, kept = g.of("declared", period), []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(scratch_path(df.sparkSession, "hop"))
+        df.write.parquet(kept[-1])
+        return df.sparkSession.read.schema(df.schema).parquet(kept[-1])
+    carry = keep(carry_of(g.of("inputs", period), period, prior_period_int(period), history))
+    brought = hop1_by_origin(edge_level0(carried_edges(carry).distinct()), declared, g.of("seeds", period), phantom_origins)
+    rows = g.of("phantom", period)
+    fitted = brought.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+    sums = hop1_sums(rows.unionByName(fitted).distinct())
+    normal = g.of("hop1", period)
+    both = normal.unionByName(sums.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in normal.schema.fields]))
+    measures = [c for c in both.columns if c.startswith("s_")]
+    results = [keep(hop1_capped(both.groupBy("period", "receiver", "origin").agg(*[F.sum(c).alias(c) for c in measures]), declared, by_period=False))]
+    edges = g.of("hop_edges", period)
+    for k in range(2, 6):
+        results.append(keep(hop_next(edges, results[-1], declared, k, g.hot, by_period=False)))
+    return hop_totals(origin_pivot(origin_summary(hops_union(results), g.of("decl1", period)))), carry, kept

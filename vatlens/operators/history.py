@@ -1,6 +1,6 @@
 """2.6 history: idempotent per-period upsert, snapshot, extract, profile, and
-the multi-period driver where each period's carry-in reads the history
-written by the period before.
+the multi-period driver: one pass over all periods for what needs no earlier period, then a loop in
+which each period's carry-in reads the history written by the period before.
 
 Histories are parquet tables partitioned by period. An upsert of period P
 writes only partition P with dynamic partition overwrite, so it drops the
@@ -11,10 +11,13 @@ atomic; the snapshot holds the partition until then.)
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vatlens.operators import credit as cr
+from vatlens.plans.iterate import remove
 from vatlens.sources.tables import dates_as_text, read_csv, table_exists, write_csv
 
 STAMP_COLS = ("created", "user")
@@ -81,17 +84,24 @@ def run_periods(spark: SparkSession, decl: DataFrame, obs: DataFrame, ledger: Da
                 carried_path: str, phantom_origins: bool = True,
                 snapshot_path: str | None = None) -> None:
     """Process periods in order; each one reads the history left by the previous one (the first
-    starts cold). Before a period, the snapshot takes the partition that was written last and
-    the one about to be replaced, so that it always holds the history as it was."""
+    starts cold). What needs no earlier period is computed for all of them at once (``credit.ground``);
+    a period's own work is the carried credit and the hops it enters. Before a period, the snapshot
+    takes the partition that was written last and the one about to be replaced, so that it always
+    holds the history as it was."""
+    g = cr.ground(decl, obs, ledger, auth, alerts, phantom_origins)
     before: list[int] = []
+    carries, folders = [], []
     for p in periods:
         if snapshot_path:
             snapshot_backup(spark, history_path, snapshot_path, [*before, p])
         before = [p]
-        hist = read_history(spark, history_path)
-        r = cr.trace_period(decl, obs, ledger, auth, alerts, p, history=hist,
-                            phantom_origins=phantom_origins)
-        history_upsert(r.totals, history_path)
-        totals_p = spark.read.parquet(history_path).where(F.col("period") == p).drop(*STAMP_COLS)
-        carried = cr.carried_history_rows(totals_p, r.carry, r.decl1)
-        history_upsert(carried, carried_path, stamp=False)
+        totals, carry, hops = cr.trace_carried(g, p, read_history(spark, history_path), phantom_origins)
+        history_upsert(totals, history_path)
+        carries.append(carry)
+        folders.append(hops[0])                       # the carry, for the carried history
+        remove(spark, hops[1:])
+    if carries:
+        done = spark.read.parquet(history_path).where(F.col("period").isin(periods)).drop(*STAMP_COLS)
+        history_upsert(cr.carried_history_rows(done, reduce(DataFrame.unionByName, carries), g.decl1), carried_path, stamp=False)
+    remove(spark, folders)
+    g.release()

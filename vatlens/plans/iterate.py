@@ -9,8 +9,7 @@ per-round count used as the stop rule.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -41,15 +40,45 @@ def cut(df: DataFrame) -> DataFrame:
 PARTITION_ROWS = 4_000_000
 
 
-@contextmanager
-def _adaptive_off(spark) -> Iterator[None]:
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def scratch_path(spark, name: str) -> str:
+    """A new path in the shared checkpoint folder, removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vatlens-{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def bucketed(df: DataFrame, keys: list[str], buckets: int, period: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, hash-bucketed on ``keys`` (one file a bucket), and in folders by
+    ``period`` if given. Joins and aggregates on ``keys`` read it without a shuffle; the session's settings
+    are not touched, so whatever is planned meanwhile keeps AQE."""
+    spark = df.sparkSession
+    name, path = f"vatlens_{uuid.uuid4().hex}", scratch_path(spark, "table")
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).format("parquet")
+    (writer.partitionBy(period) if period else writer).saveAsTable(name)
+    out = spark.table(name)
+    out._vatlens_table = (name, path)
+    return out
+
+
+def remove(spark, paths: list[str]) -> None:
+    """Delete folders of tables that nothing reads any more."""
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(df: DataFrame) -> None:
+    """Remove a ``bucketed`` table that nothing reads any more."""
+    name, path = getattr(df, "_vatlens_table", (None, None))
+    if name:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(df.sparkSession, [path])
+
+
+def bucket_count(df: DataFrame, rows: int) -> int:
+    """Buckets of a reused table: ``PARTITION_ROWS`` rows each, ``spark.sql.shuffle.partitions`` at least."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // PARTITION_ROWS))
 
 
 def cut_partitioned(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
@@ -57,22 +86,13 @@ def cut_partitioned(df: DataFrame, *keys: str, partitions: int | None = None) ->
 
     For a large table reused by every round of a loop (edges, ownership mesh,
     declarations): later joins on ``keys`` then shuffle only the other side.
-    Under AQE the physical plan of a checkpoint is an adaptive plan whose
-    output partitioning is unknown, so the checkpoint would not advertise the
-    hash partitioning and every round would shuffle the big table again
-    (checked with ``explain``). ``df`` itself is computed under AQE (runtime
-    join choice, skew splits) into the cache; only the final repartition and
-    checkpoint are planned with AQE off. The number of partitions follows the rows
-    (``PARTITION_ROWS`` each, ``spark.sql.shuffle.partitions`` at least) unless given, and
-    the loop's join sides line up without coalescing.
+    A checkpoint does not keep it under AQE (its plan is adaptive and reports an unknown
+    partitioning), so the table is written in buckets. ``df`` itself is computed under AQE
+    (runtime join choice, skew splits) into the cache; the number of buckets follows its rows
+    (see ``bucket_count``) unless given, and the loop's join sides line up without coalescing.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // PARTITION_ROWS))
-    with _adaptive_off(spark):
-        # the checkpoint's second job re-reads the shuffle files, not the plan
-        out = base.repartition(n, *keys).checkpoint(eager=True)
+    out = bucketed(base, list(keys), partitions or bucket_count(df, base.count()))
     base.unpersist()
     return out
 

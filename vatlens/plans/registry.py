@@ -422,6 +422,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from vatlens.operators import credit as cr  # noqa: E402
 from vatlens.operators import history as hist_ops  # noqa: E402
+from vatlens.plans.iterate import cut  # noqa: E402
 from vatlens.session import ensure_checkpoint_dir  # noqa: E402
 
 P1 = 200006
@@ -433,9 +434,14 @@ def _decl1(b, period=P1):
     return cr.decl_adjust_fm01(cur, cr.observations(b.observations, cr.OBS_FM01, period))
 
 
-def _edges(b, decl1=None, period=P1):
+def _flagged_edges(b, decl1=None, period=P1):
+    """Edges of a period; the sums and the declarations they meet are tables of their own."""
     decl1 = decl1 if decl1 is not None else _decl1(b, period)
-    return cr.trade_edges_clamped(cr.trade_edges(cr.ledger_docs(b.ledger, period), decl1))
+    return cr.trade_edges(cut(cr.trade_sums(cr.ledger_docs(b.ledger, period))), cut(decl1), summed=True)
+
+
+def _edges(b, decl1=None, period=P1):
+    return cr.trade_edges_clamped(_flagged_edges(b, decl1, period))
 
 
 def _trace(b, period=P1, hops=5):
@@ -519,7 +525,7 @@ def _q_ledger_docs(b):
 
 @query("trade_edges")
 def _q_trade_edges(b):
-    return cr.trade_edges(cr.ledger_docs(b.ledger, P1), _decl1(b))
+    return _flagged_edges(b)
 
 
 @query("trade_edges_clamped")
@@ -547,7 +553,7 @@ def _q_doc30_issuers(b):
 
 @query("alerted_issuers")
 def _q_alerted_issuers(b):
-    return cr.alerted_issuers(_edges(b), b.alerts)
+    return cr.alerted_issuers(_edges(b), b.alerts).select("issuer")
 
 
 @query("special_credit")
