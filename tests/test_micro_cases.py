@@ -46,6 +46,37 @@ def test_opacity_chain_and_first_iteration(spark):
     assert all(math.isclose(r["value"], 0.3) for r in opacity.collect())
 
 
+def test_opacity_chain_of_forty_levels(spark):
+    """Each round is driven by the newly resolved companies alone; a value that is NULL resolves nobody."""
+    made = [(1, 1000, 100.0)] + [(k, k - 1, 60.0) for k in range(2, 42)] + [(k, 1001, 40.0) for k in range(2, 42)]
+    made += [(50, 1000, 0.0), (51, 50, 100.0), (52, 51, 30.0), (60, 41, 50.0), (60, 3, 50.0), (60, 20, 10.0), (61, 62, 100.0), (62, 61, 100.0), (70, 1002, 5.0)]
+    shares = spark.createDataFrame([(c, p, x, x) for c, p, x in made], OWN_SCHEMA)
+    seed = spark.createDataFrame([(1000, 0.5), (1001, 0.1)], "id long, value double")
+    seeds = {1000: 0.5, 1001: 0.1}
+    plain, first, it = {}, {}, 0
+    while True:                                       # the whole mesh refilled every round
+        known = {**plain, **seeds}
+        new = {}
+        for c in {m[0] for m in made}:
+            own_rows = [(p, x) for k, p, x in made if k == c]
+            if all(known.get(p) is not None for p, _ in own_rows):
+                w = sum(x for _, x in own_rows)
+                new[c] = sum(x * known[p] * 0.01 for p, x in own_rows) / w * 100 if w else None
+        grown = set(new) - set(first)
+        first.update({c: it for c in grown})
+        if not grown:
+            break
+        plain, it = new, it + 1
+    trace = own.LoopTrace()
+    opacity, filled = own.opacity_propagate(shares.select("company", "partner", "capital"), seed, trace=trace)
+    got = {r["company"]: (r["value"], r["iteration"]) for r in opacity.collect()}
+    assert {c: i for c, (_, i) in got.items()} == first and max(first.values()) == 41
+    assert all(v is None if plain[c] is None else math.isclose(v, plain[c]) for c, (v, _) in got.items())
+    assert trace.changed[:3] == [1, 1, 1] and trace.changed[-1] == 0
+    known = {**plain, **seeds}
+    assert all((r["value"] is None) == (known.get(r["partner"]) is None) for r in filled.collect()) and filled.count() == len(made)
+
+
 def test_diamond_counts_twice_in_total_once_in_kin(spark):
     # A=1 owns B=2 and C=3; both own person P=10; A also owns person Q=11, kin of P
     mesh = spark.createDataFrame([(1, 2, 50.0, 50.0), (1, 3, 40.0, 40.0), (1, 11, 10.0, 10.0),

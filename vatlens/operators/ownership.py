@@ -5,15 +5,15 @@ defined only when every partner has a value. Seeds give natural persons a
 value; a company's value, once defined, is final, so the set of resolved
 companies only grows and the loop can stop as soon as a round adds none.
 
-Per round the plan is: averaged mesh (salted on hot partners, hash-partitioned
-on (partner, salt) once and checkpointed) joined to the resolved-company table
-on partner, then one aggregate by company. Only the resolved table moves
-between rounds; a person or holding that is partner of a third of all
-companies is spread over all tasks.
+Per round the plan is: averaged mesh (salted on hot partners, bucketed on (partner, salt)
+once) joined to the newly resolved companies on partner, then one aggregate by company. Only the
+frontier and what it sends moves in a round; a person or holding that is partner of a
+third of all companies is spread over all tasks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame, Window
@@ -85,16 +85,6 @@ def _resolve(mesh_valued: DataFrame) -> DataFrame:
         "company", (safe_div("s", "w") * 100).alias("value"))
 
 
-def _fill(mesh_seeded: DataFrame, resolved: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    r = resolved.select(F.col("company").alias("partner"), F.col("value").alias("_cv"))
-    if SALT in mesh_seeded.columns:                   # salted on hot partners
-        j = mesh_seeded.join(salt_small(r, ["partner"], hot), ["partner", SALT], "left")
-    else:
-        j = mesh_seeded.join(r, "partner", "left")
-    return j.select("company", "partner", "capital",
-                    F.coalesce(F.col("value"), F.col("_cv")).alias("value"))
-
-
 def opacity_level0(avg_share: DataFrame, seed: DataFrame) -> DataFrame:
     """Companies all of whose partners are seeded."""
     return _resolve(_seeded(avg_share, seed))
@@ -112,29 +102,54 @@ def opacity_propagate(avg_share: DataFrame, seed: DataFrame, max_iter: int | Non
     opacity: (company, value, iteration) with the first iteration in which
     the company resolved; filled mesh: (company, partner, capital, value) as
     filled by the last round (NULL where still unknown).
+
+    A company's value is final once it is known, so a round is driven by its frontier, the companies that
+    the round before resolved: they send value and weight along the mesh, each receiving company adds them to
+    its sums and counts its missing partners down, and those that reach 0 are the next frontier. The other
+    companies' sums wait in the message tables of earlier rounds; nothing is refilled.
     """
     trace = trace if trace is not None else LoopTrace()
     seeded = _seeded(avg_share, seed)
     hot = find_hot_keys(seeded, ["partner"])
     mesh = cut_partitioned(salt_big(seeded, ["partner"], hot, ["company"]), *salt_keys(["partner"], hot))
-    resolved = cut(_resolve(mesh).withColumn("iteration", F.lit(0)))
-    used = None
+    # per company: partners without a value, and the sums of those with one
+    need = cut(mesh.groupBy("company").agg(
+        F.count_if(F.col("value").isNull()).alias("missing"), F.sum(F.col("capital") * F.col("value") * 0.01).alias("s"), F.sum("capital").alias("w")))
+    share = (safe_div("s", "w") * 100).alias("value")
+    frontier = cut(need.where("missing = 0").select("company", share))
+    found, messages = [frontier.withColumn("iteration", F.lit(0))], None
     trace.rounds_run = 1
+    used = None
     for it in count(1) if max_iter is None else range(1, max_iter):
-        used = resolved
-        fresh = _resolve(_fill(mesh, resolved, hot))
-        step, obs = observed(
-            fresh.join(resolved.select("company", "iteration"), "company", "left")
-            .select("company", "value", F.coalesce("iteration", F.lit(it)).alias("iteration")),
-            grown=F.count_if(F.col("iteration") == it))
-        new = cut(step)
+        used = len(found)
+        open_mesh = mesh.where(F.col("value").isNull()).drop("value")
+        src = frontier.select(F.col("company").alias("partner"), "value")
+        sent = (open_mesh.join(salt_small(src, ["partner"], hot), salt_keys(["partner"], hot))
+                .groupBy("company").agg(F.count(F.lit(1)).alias("got"), F.count("value").alias("known"),
+                                        F.sum(F.col("capital") * F.col("value") * 0.01).alias("more")))
+        sent = cut(sent)
+        # only companies that were sent something can resolve: what they were sent before is added up
+        before = sent.select("company", F.lit(0).cast("long").alias("got"), F.lit(0).cast("long").alias("known"), F.lit(None).cast("double").alias("more"))
+        if messages is not None:
+            before = messages.join(sent.select("company"), "company", "left_semi")
+        total = sent.unionByName(before).groupBy("company").agg(F.sum("known").alias("known"), F.sum("more").alias("more"))
+        ready = need.join(total, "company").where((F.col("known") == F.col("missing")) & (F.col("missing") > 0)) \
+            .select("company", (safe_div(F.coalesce("s", F.lit(0.0)) + F.coalesce("more", F.lit(0.0)), F.col("w")) * 100).alias("value"))
+        step, obs = observed(ready, grown=F.count(F.lit(1)))
+        frontier = cut(step)
+        messages = sent if messages is None else messages.unionByName(sent)
         trace.rounds_run += 1
         grown = obs.get["grown"]                      # collected by the round's own write
         trace.changed.append(grown)
-        resolved = new
+        found.append(frontier.withColumn("iteration", F.lit(it)))
         if grown == 0:
             break
-    filled = mesh.drop(SALT) if used is None else _fill(mesh, used, hot)
+    resolved = reduce(DataFrame.unionByName, found)
+    filled = mesh.drop(SALT)
+    if used is not None:                              # what the last round saw
+        seen = reduce(DataFrame.unionByName, found[:used]).select(F.col("company").alias("partner"), F.col("value").alias("_cv"))
+        filled = mesh.join(salt_small(seen, ["partner"], hot), salt_keys(["partner"], hot), "left").select(
+            "company", "partner", "capital", F.coalesce("value", "_cv").alias("value"))
     return resolved, filled
 
 

@@ -48,13 +48,14 @@ def scratch_path(spark, name: str) -> str:
     return path
 
 
-def bucketed(df: DataFrame, keys: list[str], buckets: int, period: str | None = None) -> DataFrame:
+def bucketed(df: DataFrame, keys: list[str], buckets: int, period: str | None = None, placed: bool = False) -> DataFrame:
     """``df`` as a table in the shared folder, hash-bucketed on ``keys`` (one file a bucket), and in folders by
     ``period`` if given. Joins and aggregates on ``keys`` read it without a shuffle; the session's settings
-    are not touched, so whatever is planned meanwhile keeps AQE."""
+    are not touched, so whatever is planned meanwhile keeps AQE. ``placed``: the rows of ``df`` already lie by
+    these buckets (a join with such a table), so they are written where they are."""
     spark = df.sparkSession
     name, path = f"vatlens_{uuid.uuid4().hex}", scratch_path(spark, "table")
-    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).format("parquet")
+    writer = (df if placed else df.repartition(buckets, *keys)).write.bucketBy(buckets, *keys).option("path", path).format("parquet")
     (writer.partitionBy(period) if period else writer).saveAsTable(name)
     out = spark.table(name)
     out._vatlens_table = (name, path)

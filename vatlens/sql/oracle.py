@@ -191,35 +191,38 @@ def _resolve_sql(src: str) -> str:
             f"FROM {src} GROUP BY company HAVING count(*) = count(value)")
 
 
-def _fill_sql(i: int) -> str:
-    return (f"SELECT s.company, s.partner, s.capital, COALESCE(s.value, q.value) AS value "
-            f"FROM seeded s LEFT JOIN res{i - 1} q ON s.partner = q.company")
-
-
-OPACITY_CTES = [OCLEAN, OAVG, SEEDED, ("res0", _resolve_sql("seeded"))]
-for _i in range(1, 10):
-    OPACITY_CTES += [(f"fill{_i}", _fill_sql(_i)), (f"res{_i}", _resolve_sql(f"fill{_i}"))]
+#: All rounds until one adds nothing; the last holds every resolved company.
+RESOLVED = ("opres", f"""
+WITH RECURSIVE rounds AS (
+  SELECT 0 AS round, company, value, 0 AS iteration, TRUE AS fresh FROM res0
+  UNION ALL
+  SELECT x.round, x.company, x.value, coalesce(o.iteration, x.round), o.company IS NULL
+  FROM (SELECT (SELECT max(round) FROM rounds) + 1 AS round, company,
+               sum(capital * value * 0.01) / NULLIF(sum(capital), 0) * 100 AS value
+        FROM (SELECT s.company, s.capital, coalesce(s.value, q.value) AS value FROM seeded s LEFT JOIN rounds q ON s.partner = q.company)
+        GROUP BY company HAVING count(*) = count(value)) x
+  LEFT JOIN rounds o ON o.company = x.company
+  WHERE EXISTS (SELECT 1 FROM rounds WHERE fresh))
+SELECT company, value, iteration FROM rounds WHERE round = (SELECT max(round) FROM rounds)""")
+OPACITY_CTES = [OCLEAN, OAVG, SEEDED, ("res0", _resolve_sql("seeded")), RESOLVED]
 OPACITY_IN = ["ownership", "opacity_seed"]
 
 ORACLE["opacity_level0"] = with_inputs(
     OPACITY_IN, f"SELECT company, {r('value')} AS value FROM res0", OPACITY_CTES[:4])
 ORACLE["opacity_propagate"] = with_inputs(
-    OPACITY_IN, f"SELECT company, {r('value')} AS value FROM res9", OPACITY_CTES)
-ORACLE["opacity_first_iter"] = with_inputs(
-    OPACITY_IN, "SELECT company, CASE "
-    + " ".join(f"WHEN company IN (SELECT company FROM res{i}) THEN {i}" for i in range(9))
-    + " ELSE 9 END AS iteration FROM res9", OPACITY_CTES)
+    OPACITY_IN, f"SELECT company, {r('value')} AS value FROM opres", OPACITY_CTES)
+ORACLE["opacity_first_iter"] = with_inputs(OPACITY_IN, "SELECT company, iteration FROM opres", OPACITY_CTES)
 ORACLE["opacity_filled_mesh"] = with_inputs(
-    OPACITY_IN, f"SELECT company, partner, {r('capital')} AS capital, {r('value')} AS value FROM fill9",
-    OPACITY_CTES)
+    OPACITY_IN, f"SELECT s.company, s.partner, {r('s.capital')} AS capital, {r('coalesce(s.value, q.value)')} AS value "
+    "FROM seeded s LEFT JOIN opres q ON s.partner = q.company", OPACITY_CTES)
 ORACLE["opacity_summary"] = with_inputs(
     OPACITY_IN, f"SELECT count(value) AS count, {r('avg(value)', 6)} AS mean, {r('stddev_samp(value)', 6)} AS std, "
     f"{r('min(value)', 6)} AS min, {r('quantile_cont(value, 0.25)', 6)} AS q25, {r('quantile_cont(value, 0.5)', 6)} AS q50, "
-    f"{r('quantile_cont(value, 0.75)', 6)} AS q75, {r('max(value)', 6)} AS max FROM res9", OPACITY_CTES)
+    f"{r('quantile_cont(value, 0.75)', 6)} AS q75, {r('max(value)', 6)} AS max FROM opres", OPACITY_CTES)
 
 ORACLE["opacity_quartiles"] = with_inputs(
     OPACITY_IN, f"SELECT {r('quantile_cont(value, 0.25)', 6)} AS q25, {r('quantile_cont(value, 0.5)', 6)} AS q50, "
-    f"{r('quantile_cont(value, 0.75)', 6)} AS q75 FROM res9", OPACITY_CTES)
+    f"{r('quantile_cont(value, 0.75)', 6)} AS q75 FROM opres", OPACITY_CTES)
 
 # ------------------------------------------------------------- 2.2 kinship
 #: Rounds of replacing an owner that is a company by its own owners.
@@ -504,7 +507,7 @@ LEFT JOIN lregion g ON c.id = g.id
 LEFT JOIN docs d ON c.id = d.id
 LEFT JOIN life l ON c.id = l.id
 LEFT JOIN (SELECT DISTINCT id FROM seeds) s ON c.id = s.id
-LEFT JOIN res9 o ON c.id = o.company
+LEFT JOIN opres o ON c.id = o.company
 LEFT JOIN krate kr ON c.id = kr.company
 LEFT JOIN (SELECT COALESCE(f.id, p.id) AS id, COALESCE(f.fee_workers, 0) AS fee_workers,
                   COALESCE(p.dependent_workers, 0) AS dependent_workers
