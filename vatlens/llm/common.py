@@ -41,7 +41,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage: later stages read files that all executors see, so
     the loss of an executor costs only its running tasks. The files are removed
-    when the driver's JVM ends.
+    by ``discard``, or when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vatlens-llm/{name}-{uuid.uuid4().hex}"
@@ -49,7 +49,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._vatlens_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove materialised tables that nothing reads any more: all that was made of them is written."""
+    for t in tables:
+        spark = t.sparkSession
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t._vatlens_path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -74,21 +84,22 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.col(doc_id).alias("_id"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("_md5")]
 
 
-def keep_rows(docs: DataFrame, keepers: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose (id, text) is in ``keepers`` (_id, _md5, _n), whole rows.
+def drop_rows(docs: DataFrame, losers: DataFrame) -> DataFrame:
+    """Rows of ``docs`` without those whose (id, text) is in ``losers`` (_id, _md5, _all), whole rows.
 
-    ``keepers`` has each (id, text) once; ``_n`` is the number of equal rows of it,
-    of which one stays. The text travels through one shuffle on the id and digest.
+    ``losers`` has each (id, text) once. With ``_all`` all its rows go, else one of its equal rows stays.
+    A table of losers up to the broadcast bound meets the texts where they lie; a larger one
+    by a shuffle on the id and digest.
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]
     flat = docs.toDF(*names)
     at = {c: names[i] for i, c in reversed(list(enumerate(docs.columns)))}
     flat = flat.withColumns(dict(zip(("_id", "_md5"), row_key(at["doc_id"], at["text"]))))
-    k = keepers.toDF("_kid", "_kmd5", "_n")
-    hit = flat.join(k, F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_md5") == F.col("_kmd5")))
-    out = hit
-    if not k.where("_n > 1").isEmpty():
-        out = hit.where("_n = 1").unionByName(hit.where("_n > 1").dropDuplicates(["_id", "_md5"]))
+    k = small(losers.toDF("_kid", "_kmd5", "_all"))
+    met = flat.join(k, F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_md5") == F.col("_kmd5")), "left")
+    out = met.where("_all is null")
+    if not losers.where("not _all").isEmpty():
+        out = out.unionByName(met.where("not _all").dropDuplicates(["_id", "_md5"]))
     return out.select(*names).toDF(*docs.columns)
 
 

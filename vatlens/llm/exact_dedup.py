@@ -4,8 +4,8 @@ A Misra-Gries summary (``approx_top_k``: the frequent-items sketch, whose map
 side is bounded by ``tracked`` counters) names the digests that may hold many
 rows. Their exact counts and winners are computed with map-side combining (each
 task sends at most ``heavy`` rows) and broadcast, so their rows are settled
-without a shuffle. All other digests are shuffled in the ordinary way; none of
-them can hold more than about 4 / tracked of the rows.
+without a shuffle. All other digests are shuffled in the ordinary way, their groups combined on
+the map side; none of them can hold more than 1 / (heavy + 1) of the rows (0.098 %).
 
 Equal: identical after lower-casing A-Z; a NULL text counts as empty. The row with
 the largest doc_id stays (NULL is the smallest id). Rows that repeat doc_id and text
@@ -14,10 +14,10 @@ are copies of each other too: one of them stays.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vatlens.llm.common import ascii_lower, keep_rows, materialise, row_key
+from vatlens.llm.common import ascii_lower, drop_rows, materialise, row_key
 
 #: Digests settled by broadcast at most, and counters of the summary.
 HEAVY, TRACKED = 1024, 8192
@@ -30,23 +30,25 @@ def digests(docs: DataFrame, *more) -> DataFrame:
                        .withColumn("_row", F.monotonically_increasing_id()), "digests")
 
 
+def winners(rows: DataFrame) -> DataFrame:
+    """(_digest, _win, group_size): the winning row and the size of each group."""
+    return rows.groupBy("_digest").agg(F.max(F.struct(*[c for c in ("doc_id", "_row", "_md5") if c in rows.columns])).alias("_win"), F.count(F.lit(1)).alias("group_size"))
+
+
 def heavy_digests(rows: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
-    """(_digest, _win, group_size) of the frequent digests, exact; at most ``heavy`` rows."""
+    """``winners`` of the frequent digests, exact; at most ``heavy`` rows."""
     named = rows.agg(F.expr(f"approx_top_k(_digest, {heavy}, {tracked})").alias("_top")) \
         .select(F.explode("_top").alias("_t")).select(F.col("_t.item").alias("_digest")).where("_digest is not null")
-    return materialise(rows.join(F.broadcast(named), "_digest", "left_semi").groupBy("_digest").agg(
-        F.max(F.struct("doc_id", "_row")).alias("_win"), F.count(F.lit(1)).alias("group_size"))
-        .where("group_size > 1"), "heavy")
+    return materialise(winners(rows.join(F.broadcast(named), "_digest", "left_semi")).where("group_size > 1"), "heavy")
 
 
 def resolve(rows: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
     """``rows`` with (_win, group_size): the winner and the size of each row's group."""
     top = heavy_digests(rows, heavy, tracked)
     settled = rows.join(F.broadcast(top), "_digest")
-    group = Window.partitionBy("_digest")
-    rest = rows.join(F.broadcast(top.select("_digest")), "_digest", "left_anti").withColumns({
-        "_win": F.max(F.struct("doc_id", "_row")).over(group), "group_size": F.count(F.lit(1)).over(group)})
-    return settled.unionByName(rest)
+    rest = rows.join(F.broadcast(top.select("_digest")), "_digest", "left_anti")
+    # a table of its own: both join sides are then plain shuffles
+    return settled.unionByName(rest.join(materialise(winners(rest), "winners"), "_digest"))
 
 
 def exact_dedup(docs: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
@@ -58,14 +60,11 @@ def exact_dedup(docs: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) ->
 
 def drop_copies(docs: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` drops, all columns kept."""
-    rows = resolve(digests(docs, *row_key()[1:]), heavy, tracked)
-    own = rows.where(F.col("doc_id").eqNullSafe(F.col("_win.doc_id")))
-    # rows of the winner's id and group: those with the winner's own text hold it, once
-    win = own.where("_row = _win._row").select("_digest", F.col("doc_id").alias("_id"), "_md5")
-    same = own.where("_row <> _win._row").groupBy(F.col("doc_id").alias("_id"), "_md5").agg(F.count(F.lit(1)).alias("_m"))
-    keepers = win.join(same, win["_id"].eqNullSafe(same["_id"]) & (win["_md5"] == same["_md5"]), "left").select(
-        win["_id"], win["_md5"], (1 + F.coalesce("_m", F.lit(0))).alias("_n"))
-    return keep_rows(docs, materialise(keepers, "keepers"))
+    rows = resolve(digests(docs, *row_key()[1:]), heavy, tracked).where("_row <> _win._row")
+    # a loser of the winner's id and text is equal to it: one of those rows stays
+    same = F.col("doc_id").eqNullSafe(F.col("_win.doc_id")) & (F.col("_md5") == F.col("_win._md5"))
+    losers = rows.groupBy(F.col("doc_id").alias("_id"), "_md5").agg(F.max(~same).alias("_all"))
+    return drop_rows(docs, materialise(losers, "losers"))
 
 
 SQL = r"""

@@ -7,12 +7,15 @@ The query op9 takes 3 words and 90 percent.
 An empty set links with nothing. Rows are documents of their own, also if they repeat a
 doc_id. Shingles are 64-bit hashes.
 
-1. Rare first. A table of hashed shingle counts over all documents (``cells`` counters,
+1. Rare first. A table of hashed shingle counts over all documents (``CELLS`` counters,
    a fixed size) gives one total order of all shingles: by cell count, then by hash. Any
-   total order makes the prefix filter exact; this one puts frequent shingles last.
-2. Classes. Documents of equal sets are one class, so copies never meet each other.
+   total order makes the prefix filter exact; this one puts frequent shingles last. (With many more shingles
+   than cells the counts even out, and prefixes of rare shingles become plain ones: more rows, the same result.)
+2. Classes. Documents of equal sets are one class with an 8-byte number, so copies never meet each other.
 3. Prefixes. A set of n shingles takes part with its first n - ceil(percent n / 100) + 1 shingles.
-   Linked sets share one of them. Shingles of one class alone are dropped.
+   Linked sets share one of them, so shingles of one class alone are of no use. A filter of fixed size
+   (``BITS`` bits: cells hit by two classes or more) drops most of them before any row leaves
+   its task; false hits only cost rows, and exact counts drop them after the shuffle.
 4. Pairs. In each shingle's group the class with the shingle earliest in its order (the one
    with the fewest shingles of its own) is the pivot, and the others are compared with it
    alone: as many pairs as rows. Links so found join classes into components. What is
@@ -21,6 +24,9 @@ doc_id. Shingles are 64-bit hashes.
 5. Filters on each pair, before any set moves: length (100 min >= percent max), position (what can
    still match behind the shared shingle), and suffix (the difference of the sets' counts
    in 256 cells bounds the overlap from above). Each surviving pair is verified once.
+
+Tables that are used up are removed at once. A group of k sets that share a prefix shingle, and of which none
+links with the others, still costs up to k * k / 2 pairs in step 4 that only the filters of step 5 stop.
 """
 
 from __future__ import annotations
@@ -33,11 +39,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vatlens.llm.common import chunked, keep_rows, materialise, mix, row_key, signed, text_bytes, word_hashes
+from vatlens.llm.common import chunked, discard, drop_rows, materialise, mix, row_key, signed, small, text_bytes, word_hashes
 
 SHINGLE, PERCENT = 3, 90
 CELLS = 1 << 19
 SIGNATURE = 256
+#: Bits of the filter of shared shingles, and of one piece of it.
+BITS, PIECE = 1 << 27, 1 << 16
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -60,7 +68,9 @@ def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, np.ndarr
 
 
 def cell_counts(docs: DataFrame, shingle: int, cells: int = CELLS) -> np.ndarray:
-    """Shingle occurrences per hash cell over all documents; a table of fixed size."""
+    """Shingle occurrences per hash cell over all documents; a table of fixed size, a few packed rows a task."""
+    pieces = 64
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
         for batch in batches:
@@ -73,13 +83,92 @@ def cell_counts(docs: DataFrame, shingle: int, cells: int = CELLS) -> np.ndarray
                     held, size = [], 0
             if held:
                 total += np.bincount((np.concatenate(held) % np.uint64(cells)).astype(np.int64), minlength=cells)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["cell", "n"])
+        if total.any():
+            kind = "<u2" if total.max() < 1 << 16 else "<i8"
+            parts = total.astype(kind).reshape(pieces, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(pieces, dtype=np.int32)), pa.array([kind] * pieces), pa.array([p.tobytes() for p in parts], pa.binary())],
+                                             names=["piece", "kind", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, kind, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                sums[piece] = sums.get(piece, 0) + np.frombuffer(raw, kind).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["piece", "counts"])
 
-    got = docs.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(cells, np.int64)
-    out[got["cell"].to_numpy()] = got["n"].to_numpy()
-    return out
+    got = docs.select("text").mapInArrow(count, "piece int, kind string, counts binary").repartition("piece") \
+        .mapInArrow(add, "piece int, counts binary").collect()             # ``cells`` counters
+    out = np.zeros((pieces, cells // pieces), np.int64)
+    for row in got:
+        out[row["piece"]] = np.frombuffer(row["counts"], np.int64)
+    return out.reshape(-1)
+
+
+def shared_cells(prefixes: DataFrame, bits: int | None = None) -> np.ndarray:
+    """Packed bits: the cells hit by the prefix shingles of two classes or more; a table of fixed size."""
+    bits = bits or BITS
+
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            cells = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8") % np.uint64(bits)
+            held.append(cells.astype(np.uint32))
+            size += len(cells)
+            if size > 4_000_000:
+                yield emit(np.concatenate(held))
+                held, size = [], 0
+        if held:
+            yield emit(np.concatenate(held))
+
+    def emit(cells: np.ndarray) -> pa.RecordBatch:
+        """Each cell once, with those hit twice here marked, two bytes a cell, a row a piece."""
+        cells, times = np.unique(cells, return_counts=True)
+        rows = [[], [], []]
+        for mark in (False, True):
+            some = cells[times > 1] if mark else cells[times == 1]
+            piece = some // PIECE
+            cuts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]])) if len(some) else np.zeros(0, np.int64)
+            for low, high in zip(cuts, np.append(cuts[1:], len(some))):
+                for column, x in zip(rows, (int(piece[low]), mark, (some[low:high] % PIECE).astype("<u2").tobytes())):
+                    column.append(x)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int32(), pa.bool_(), pa.binary()))], names=["piece", "twice", "cells"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once: dict[int, np.ndarray] = {}
+        more: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, twice, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                at = np.frombuffer(raw, "<u2")
+                seen, again = (d.setdefault(piece, np.zeros(PIECE, bool)) for d in (once, more))
+                again[at if twice else at[seen[at]]] = True
+                seen[at] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(more), pa.int32()), pa.array([np.packbits(x).tobytes() for x in more.values()], pa.binary())], names=["piece", "bits"])
+
+    got = prefixes.select("prefix").mapInArrow(hit, "piece int, twice boolean, cells binary").repartition("piece") \
+        .mapInArrow(meet, "piece int, bits binary").toLocalIterator()      # ``bits`` bits in all
+    out = np.zeros((bits // PIECE, PIECE // 8), np.uint8)
+    for row in got:
+        out[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def postings(classes: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(shingle, class, n, at) of the prefix shingles whose cell two classes hit."""
+    shared = classes.sparkSession.sparkContext.broadcast(bits)
+
+    def list_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column("prefix")
+            lens = np.array([len(x.as_buffer()) // 8 for x in raw], np.int64)
+            s = np.frombuffer(b"".join(raw.to_pylist()), "<u8")
+            cell = s % np.uint64(len(shared.value) * 8)
+            keep = (shared.value[(cell >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & 1 == 1
+            place = np.arange(len(s)) - np.repeat(np.cumsum(lens) - lens, lens)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(s[keep])), pa.array(np.repeat(np.asarray(batch.column("class")), lens)[keep]),
+                                              pa.array(np.repeat(np.asarray(batch.column("n")), lens)[keep].astype(np.int32)), pa.array(place[keep].astype(np.int32))],
+                                             names=["shingle", "class", "n", "at"])
+
+    return classes.select("class", "n", "prefix").mapInArrow(list_, "shingle long, class long, n int, at int")
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -87,10 +176,10 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def described(docs: DataFrame, counts: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """Per row: doc_id, _md5, n, class (digest of the set, NULL if empty), signature, prefix."""
+    """Per row: doc_id, _md5, n, digest (of the set, NULL if empty), signature, prefix (packed hashes)."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    schema = pa.schema([("doc_id", pa.int64()), ("_md5", pa.binary()), ("n", pa.int64()), ("class", pa.binary()),
-                        ("signature", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("_md5", pa.binary()), ("n", pa.int64()), ("digest", pa.binary()),
+                        ("signature", pa.binary()), ("prefix", pa.binary())])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -101,11 +190,11 @@ def described(docs: DataFrame, counts: np.ndarray, shingle: int, percent: int) -
                 cls.append(digest(s) if len(s) else None)
                 sig.append(np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % SIGNATURE, minlength=SIGNATURE), 32767).astype("<i2").tobytes() if len(s) else None)
                 order = np.lexsort((s, table[(s % np.uint64(len(table))).astype(np.int64)]))
-                pre.append(signed(s[order[:prefix_length(len(s), percent)]]) if len(s) else np.zeros(0, np.int64))
+                pre.append(s[order[:prefix_length(len(s), percent)]].astype("<u8").tobytes() if len(s) else b"")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_md5"), *(pa.array(x, f.type) for x, f in zip((n, cls, sig, pre), list(schema)[2:]))], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key()[1:], "text") \
-        .mapInArrow(describe, "doc_id long, _md5 binary, n long, class binary, signature binary, prefix array<long>")
+        .mapInArrow(describe, "doc_id long, _md5 binary, n long, digest binary, signature binary, prefix binary")
 
 
 def digest(s: np.ndarray) -> bytes:
@@ -134,21 +223,21 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: in
                 keep = pa.array(full | ((100 + percent) * (both - apart) >= 2 * percent * both))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(keep)
 
-    near = materialise(known.mapInArrow(suffix, "a binary, b binary"), "near")
-    needed = near.select(F.col("a").alias("class")).union(near.select("b")).distinct() \
-        .join(classes.select("class", F.col("doc_id").alias("_id")), "class")
-    moved = texts.join(needed, texts["doc_id"].eqNullSafe(needed["_id"])).select("class", "text")
+    near = materialise(known.mapInArrow(suffix, "a long, b long"), "near")
+    needed = materialise(near.select(F.col("a").alias("class")).union(near.select("b")).distinct()
+                         .join(classes.select("class", "digest", F.col("doc_id").alias("_id")), "class"), "needed")
+    moved = texts.join(small(needed), texts["doc_id"].eqNullSafe(F.col("_id"))).select("class", "digest", "text")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cls, sets = [], []
-            for (_, s), c in zip(shingle_sets(batch.column("text"), shingle), batch.column("class").to_pylist()):
-                if len(s) and digest(s) == c:                        # not another text of the same doc_id
+            for (_, s), c, d in zip(shingle_sets(batch.column("text"), shingle), batch.column("class").to_pylist(), batch.column("digest").to_pylist()):
+                if len(s) and digest(s) == d:                        # not another text of the same doc_id
                     cls.append(c)
                     sets.append(s.astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(sets, pa.binary())], names=["class", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.binary())], names=["class", "set"])
 
-    sets = materialise(moved.mapInArrow(rebuild, "class binary, set binary").dropDuplicates(["class"]), "sets")
+    sets = materialise(moved.mapInArrow(rebuild, "class long, set binary").dropDuplicates(["class"]), "sets")
     filled = near.join(sets.select(F.col("class").alias("a"), F.col("set").alias("sa")), "a") \
         .join(sets.select(F.col("class").alias("b"), F.col("set").alias("sb")), "b")
 
@@ -162,7 +251,9 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: in
                 linked.append(100 * same >= percent * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return filled.select("a", "b", "sa", "sb").mapInArrow(verify, "a binary, b binary")
+    links = materialise(filled.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long"), "links")
+    discard(near, needed, sets)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -191,18 +282,18 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("class"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
 
 
-def linked_classes(rows: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(class, root) of every class that links with another, from ``described`` rows."""
-    classes = materialise(rows.where("class is not null").groupBy("class").agg(
-        F.min_by(F.struct("doc_id", "n", "signature", "prefix"), F.struct("doc_id", "_md5")).alias("_r")).select("class", "_r.*"), "classes")
-    every = classes.select("class", "n", F.posexplode("prefix").alias("at", "shingle"))
+def linked_classes(classes: DataFrame, prefixes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(class, root) of every class that links with another. ``prefixes`` (class, n, prefix) is used up."""
+    every = materialise(postings(prefixes, shared_cells(prefixes)), "every")
+    discard(prefixes)
     shared = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("_k"), F.min(F.struct("at", "n", "class")).alias("_pivot")).where("_k > 1").drop("_k")
     shared = materialise(shared, "shared")       # a table of its own, so that the join below can split a hot shingle
     held = materialise(every.join(shared, "shingle"), "postings")
+    discard(every, shared)
     pivot = {k: F.col(f"_pivot.{k}") for k in ("class", "n", "at")}
     first = held.where((F.col("class") != pivot["class"]) & could_link(F.col("n"), F.col("at"), pivot["n"], pivot["at"], percent))
-    first = first.select(F.least("class", pivot["class"]).alias("a"), F.greatest("class", pivot["class"]).alias("b")).distinct()
-    links = materialise(verified(first, classes, texts, shingle, percent), "links")
+    first = materialise(first.select(F.least("class", pivot["class"]).alias("a"), F.greatest("class", pivot["class"]).alias("b")).distinct(), "first")
+    links = verified(first, classes, texts, shingle, percent)
     root = materialise(components(links), "roots")
     # a class outside its pivot's component meets the classes of other components in the group
     at_pivot = root.select(F.col("class").alias("_pc"), F.col("root").alias("_proot"))
@@ -210,28 +301,41 @@ def linked_classes(rows: DataFrame, texts: DataFrame, shingle: int, percent: int
         .join(at_pivot, F.col("_pivot.class") == F.col("_pc"), "left").withColumn("_proot", F.coalesce("_proot", F.col("_pivot.class"))) \
         .select("shingle", "class", "n", "at", "root", (F.col("root") != F.col("_proot")).alias("out"))
     placed = materialise(placed, "placed")
+    discard(held)
     rest, group = placed.where("out"), placed
     l, r = rest.alias("l"), group.alias("r")
     second = l.join(r, (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.root") != F.col("r.root"))
                     & (~F.col("r.out") | (F.col("l.class") < F.col("r.class")))
                     & could_link(F.col("l.n"), F.col("l.at"), F.col("r.n"), F.col("r.at"), percent))
     second = second.select(F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = materialise(verified(second, classes, texts, shingle, percent), "links")
-    return components(links.union(more)) if not more.isEmpty() else root
+    more = verified(second, classes, texts, shingle, percent)
+    discard(placed, first)
+    return materialise(components(links.union(more)), "roots") if not more.isEmpty() else root
 
 
 def grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(doc_id, _md5, n, _root) per row; _root is NULL for an empty set."""
+    """(doc_id, _md5, n, _root) per row, as a table; _root is NULL for an empty set."""
     rows = materialise(described(docs, cell_counts(docs, shingle), shingle, percent), "described")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    root = linked_classes(rows, texts, shingle, percent)
-    return rows.select("doc_id", "_md5", "n", "class").join(root, "class", "left").withColumn("_root", F.coalesce("root", "class"))
+    found = rows.where("digest is not null").groupBy("digest").agg(
+        F.min_by(F.struct("doc_id", "n", "signature", "prefix"), F.struct("doc_id", "_md5")).alias("_r")) \
+        .select("digest", "_r.*", F.monotonically_increasing_id().alias("class"))
+    found = materialise(found, "classes")
+    prefixes, classes = materialise(found.select("class", "n", "prefix"), "prefixes"), materialise(found.drop("prefix"), "classes")
+    slim = materialise(rows.select("doc_id", "_md5", "n", "digest"), "rows")
+    discard(rows, found)
+    root = linked_classes(classes, prefixes, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle, percent)
+    names = classes.select("class", "digest")
+    linked = root.join(names, "class").join(names.select(F.col("class").alias("root"), F.col("digest").alias("_to")), "root").select("digest", "_to")
+    out = materialise(slim.join(linked, "digest", "left").select("doc_id", "_md5", "n", F.coalesce("_to", "digest").alias("_root")), "grouped")
+    discard(slim, classes)
+    return out
 
 
 def ngram_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: the smallest doc_id reachable by links."""
-    found = materialise(grouped(docs, shingle, percent), "grouped")
-    least = found.where("_root is not null").groupBy("_root").agg(F.min("doc_id").alias("_least"))
+    found = grouped(docs, shingle, percent)
+    # a table of its own, so that the join can split the rows of a large component
+    least = materialise(found.where("_root is not null").groupBy("_root").agg(F.min("doc_id").alias("_least")), "least")
     return found.join(least, "_root", "left").select("doc_id", F.col("n").alias("n_shingles"),
                                                      F.coalesce("_least", "doc_id").alias("component_id"))
 
@@ -239,13 +343,13 @@ def ngram_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group, the smallest doc_id (ties: the smallest digest of the
     text, then any of equal rows); rows with empty sets all stay."""
-    found = materialise(grouped(docs, shingle, percent), "grouped")
-    sole = found.where("_root is null").groupBy("doc_id", "_md5").agg(F.count(F.lit(1)).alias("_n"), F.lit(True).alias("_all"))
-    win = found.where("_root is not null").groupBy("_root").agg(F.min(F.struct("doc_id", "_md5")).alias("_w")).select("_w.*")
-    same = found.where("_root is not null").groupBy("doc_id", "_md5").agg(F.count(F.lit(1)).alias("_n"))
-    w = win.toDF("_i", "_m")
-    kept = same.join(w, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_md5") == F.col("_m")), "left_semi")
-    return keep_rows(docs, materialise(kept.select("doc_id", "_md5", "_n").union(sole.select("doc_id", "_md5", F.lit(1).cast("long"))), "keepers"))
+    found = grouped(docs, shingle, percent)
+    held = found.where("_root is not null").groupBy("_root", "doc_id", "_md5").agg(F.count(F.lit(1)).alias("_n"))
+    win = materialise(held.groupBy("_root").agg(F.min(F.struct("doc_id", "_md5")).alias("_w")), "winners")
+    won = F.col("doc_id").eqNullSafe(F.col("_w.doc_id")) & (F.col("_md5") == F.col("_w._md5"))
+    losers = materialise(held.join(win, "_root").where(~won | (F.col("_n") > 1)).select("doc_id", "_md5", (~won).alias("_all")), "losers")
+    discard(found, win)
+    return drop_rows(docs, losers)
 
 
 SQL = r"""
