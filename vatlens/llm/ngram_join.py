@@ -7,15 +7,15 @@ The query op9 takes 3 words and 90 percent.
 An empty set links with nothing. Rows are documents of their own, also if they repeat a
 doc_id. Shingles are 64-bit hashes.
 
-1. Rare first. A table of hashed shingle counts over all documents (``CELLS`` counters,
-   a fixed size) gives one total order of all shingles: by cell count, then by hash. Any
-   total order makes the prefix filter exact; this one puts frequent shingles last. (With many more shingles
-   than cells the counts even out, and prefixes of rare shingles become plain ones: more rows, the same result.)
+1. Rare first. Two tables of fixed size over all documents give one total order of all shingles: a filter
+   of ``BITS`` bits tells the cells that two documents or more hit, ``CELLS`` counters the rest: shingles of
+   a cell hit once come first, then by cell count, then by hash. Any total order makes the prefix
+   filter exact; this one fills prefixes with shingles that no other document has. (With many more shingles than
+   bits the filter fills up, and prefixes of rare shingles become plain ones: more rows, the same result.)
 2. Classes. Documents of equal sets are one class with an 8-byte number, so copies never meet each other.
 3. Prefixes. A set of n shingles takes part with its first n - ceil(percent n / 100) + 1 shingles.
-   Linked sets share one of them, so shingles of one class alone are of no use. A filter of fixed size
-   (``BITS`` bits: cells hit by two classes or more) drops most of them before any row leaves
-   its task; false hits only cost rows, and exact counts drop them after the shuffle.
+   Linked sets share one of them, so shingles of one document alone are of no use: the filter drops most of them
+   before any row leaves its task; false hits only cost rows, and exact counts drop them after the shuffle.
 4. Pairs. In each shingle's group the class with the shingle earliest in its order (the one
    with the fewest shingles of its own) is the pivot, and the others are compared with it
    alone: as many pairs as rows. Links so found join classes into components. What is
@@ -36,7 +36,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vatlens.llm.common import chunked, discard, drop_rows, materialise, mix, row_key, signed, small, text_bytes, word_hashes
@@ -45,7 +46,7 @@ SHINGLE, PERCENT = 3, 90
 CELLS = 1 << 19
 SIGNATURE = 256
 #: Bits of the filter of shared shingles, and of one piece of it.
-BITS, PIECE = 1 << 27, 1 << 16
+BITS, PIECE = 1 << 28, 1 << 16
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -104,25 +105,16 @@ def cell_counts(docs: DataFrame, shingle: int, cells: int = CELLS) -> np.ndarray
     return out.reshape(-1)
 
 
-def shared_cells(prefixes: DataFrame, bits: int | None = None) -> np.ndarray:
-    """Packed bits: the cells hit by the prefix shingles of two classes or more; a table of fixed size."""
+def shared_cells(docs: DataFrame, shingle: int, bits: int | None = None) -> np.ndarray:
+    """Packed bits: the cells hit by the shingles of two documents or more; a table of fixed size. Each task sends
+    two bytes for a cell that it hits."""
     bits = bits or BITS
 
-    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            cells = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8") % np.uint64(bits)
-            held.append(cells.astype(np.uint32))
-            size += len(cells)
-            if size > 4_000_000:
-                yield emit(np.concatenate(held))
-                held, size = [], 0
-        if held:
-            yield emit(np.concatenate(held))
-
     def emit(cells: np.ndarray) -> pa.RecordBatch:
-        """Each cell once, with those hit twice here marked, two bytes a cell, a row a piece."""
-        cells, times = np.unique(cells, return_counts=True)
+        """Each cell once, apart those hit twice here, a row a piece."""
+        cells = np.sort(cells)
+        first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+        times, cells = np.diff(np.append(first, len(cells))), cells[first]
         rows = [[], [], []]
         for mark in (False, True):
             some = cells[times > 1] if mark else cells[times == 1]
@@ -133,18 +125,37 @@ def shared_cells(prefixes: DataFrame, bits: int | None = None) -> np.ndarray:
                     column.append(x)
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int32(), pa.bool_(), pa.binary()))], names=["piece", "twice", "cells"])
 
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for _, s in shingle_sets(batch.column(0), shingle):
+                held.append((s % np.uint64(bits)).astype(np.uint32))
+                size += len(s)
+                if size > 4_000_000:
+                    yield emit(np.concatenate(held))
+                    held, size = [], 0
+        if size:
+            yield emit(np.concatenate(held))
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once: dict[int, np.ndarray] = {}
-        more: dict[int, np.ndarray] = {}
+        """One piece after the other, as the rows are sorted by it."""
+        now, once, more = None, None, None
+
+        def piece_of() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(more).tobytes()], pa.binary())], names=["piece", "bits"])
         for batch in batches:
             for piece, twice, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if piece != now:
+                    if now is not None and more.any():
+                        yield piece_of()
+                    now, once, more = piece, np.zeros(PIECE, bool), np.zeros(PIECE, bool)
                 at = np.frombuffer(raw, "<u2")
-                seen, again = (d.setdefault(piece, np.zeros(PIECE, bool)) for d in (once, more))
-                again[at if twice else at[seen[at]]] = True
-                seen[at] = True
-        yield pa.RecordBatch.from_arrays([pa.array(list(more), pa.int32()), pa.array([np.packbits(x).tobytes() for x in more.values()], pa.binary())], names=["piece", "bits"])
+                more[at if twice else at[once[at]]] = True
+                once[at] = True
+        if now is not None and more.any():
+            yield piece_of()
 
-    got = prefixes.select("prefix").mapInArrow(hit, "piece int, twice boolean, cells binary").repartition("piece") \
+    got = docs.select("text").mapInArrow(hit, "piece int, twice boolean, cells binary").repartition("piece").sortWithinPartitions("piece") \
         .mapInArrow(meet, "piece int, bits binary").toLocalIterator()      # ``bits`` bits in all
     out = np.zeros((bits // PIECE, PIECE // 8), np.uint8)
     for row in got:
@@ -152,17 +163,20 @@ def shared_cells(prefixes: DataFrame, bits: int | None = None) -> np.ndarray:
     return out.reshape(-1)
 
 
-def postings(classes: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(shingle, class, n, at) of the prefix shingles whose cell two classes hit."""
-    shared = classes.sparkSession.sparkContext.broadcast(bits)
+def is_set(bits: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Whether the cell of each shingle is set."""
+    cell = s % np.uint64(len(bits) * 8)
+    return (bits[(cell >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & 1 == 1
+
 
+def postings(classes: DataFrame, shared: Broadcast) -> DataFrame:
+    """(shingle, class, n, at) of the prefix shingles whose cell two documents hit."""
     def list_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column("prefix")
             lens = np.array([len(x.as_buffer()) // 8 for x in raw], np.int64)
             s = np.frombuffer(b"".join(raw.to_pylist()), "<u8")
-            cell = s % np.uint64(len(shared.value) * 8)
-            keep = (shared.value[(cell >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & 1 == 1
+            keep = is_set(shared.value, s)
             place = np.arange(len(s)) - np.repeat(np.cumsum(lens) - lens, lens)
             yield pa.RecordBatch.from_arrays([pa.array(signed(s[keep])), pa.array(np.repeat(np.asarray(batch.column("class")), lens)[keep]),
                                               pa.array(np.repeat(np.asarray(batch.column("n")), lens)[keep].astype(np.int32)), pa.array(place[keep].astype(np.int32))],
@@ -175,7 +189,7 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def described(docs: DataFrame, counts: np.ndarray, shingle: int, percent: int) -> DataFrame:
+def described(docs: DataFrame, counts: np.ndarray, bits: Broadcast, shingle: int, percent: int) -> DataFrame:
     """Per row: doc_id, _md5, n, digest (of the set, NULL if empty), signature, prefix (packed hashes)."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     schema = pa.schema([("doc_id", pa.int64()), ("_md5", pa.binary()), ("n", pa.int64()), ("digest", pa.binary()),
@@ -189,7 +203,7 @@ def described(docs: DataFrame, counts: np.ndarray, shingle: int, percent: int) -
                 n.append(len(s))
                 cls.append(digest(s) if len(s) else None)
                 sig.append(np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % SIGNATURE, minlength=SIGNATURE), 32767).astype("<i2").tobytes() if len(s) else None)
-                order = np.lexsort((s, table[(s % np.uint64(len(table))).astype(np.int64)]))
+                order = np.lexsort((s, table[(s % np.uint64(len(table))).astype(np.int64)], is_set(bits.value, s)))
                 pre.append(s[order[:prefix_length(len(s), percent)]].astype("<u8").tobytes() if len(s) else b"")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_md5"), *(pa.array(x, f.type) for x, f in zip((n, cls, sig, pre), list(schema)[2:]))], schema=schema)
 
@@ -282,9 +296,9 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("class"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
 
 
-def linked_classes(classes: DataFrame, prefixes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def linked_classes(classes: DataFrame, prefixes: DataFrame, bits: Broadcast, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(class, root) of every class that links with another. ``prefixes`` (class, n, prefix) is used up."""
-    every = materialise(postings(prefixes, shared_cells(prefixes)), "every")
+    every = materialise(postings(prefixes, bits), "every")
     discard(prefixes)
     shared = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("_k"), F.min(F.struct("at", "n", "class")).alias("_pivot")).where("_k > 1").drop("_k")
     shared = materialise(shared, "shared")       # a table of its own, so that the join below can split a hot shingle
@@ -315,7 +329,8 @@ def linked_classes(classes: DataFrame, prefixes: DataFrame, texts: DataFrame, sh
 
 def grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(doc_id, _md5, n, _root) per row, as a table; _root is NULL for an empty set."""
-    rows = materialise(described(docs, cell_counts(docs, shingle), shingle, percent), "described")
+    bits = docs.sparkSession.sparkContext.broadcast(shared_cells(docs, shingle))
+    rows = materialise(described(docs, cell_counts(docs, shingle), bits, shingle, percent), "described")
     found = rows.where("digest is not null").groupBy("digest").agg(
         F.min_by(F.struct("doc_id", "n", "signature", "prefix"), F.struct("doc_id", "_md5")).alias("_r")) \
         .select("digest", "_r.*", F.monotonically_increasing_id().alias("class"))
@@ -323,11 +338,12 @@ def grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     prefixes, classes = materialise(found.select("class", "n", "prefix"), "prefixes"), materialise(found.drop("prefix"), "classes")
     slim = materialise(rows.select("doc_id", "_md5", "n", "digest"), "rows")
     discard(rows, found)
-    root = linked_classes(classes, prefixes, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle, percent)
+    root = linked_classes(classes, prefixes, bits, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle, percent)
     names = classes.select("class", "digest")
     linked = root.join(names, "class").join(names.select(F.col("class").alias("root"), F.col("digest").alias("_to")), "root").select("digest", "_to")
     out = materialise(slim.join(linked, "digest", "left").select("doc_id", "_md5", "n", F.coalesce("_to", "digest").alias("_root")), "grouped")
     discard(slim, classes)
+    bits.destroy()
     return out
 
 
