@@ -267,6 +267,13 @@ def test_url_filter(spark):
     assert url_filter.url_filter(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_url_labels_follow_the_rule_before_the_words(spark):
+    made = ["http://casino.org/fr/x", "http://casino.org/en/x", "http://plain.net/", "http://a.casino.net/", "http://casino.example.com/de/", "http://plain.org/fr/"]
+    sites = url_filter.parsed(spark.createDataFrame(list(enumerate(made)), "page_id long, url string"))
+    got = {r.text: r.label for r in url_filter.labelled(sites, ["casino"]).collect()}
+    assert got == {"casino.org/fr/x": 0, "casino.org/en/x": 1, "plain.net/": 1, "a.casino.net/": 1, "casino.example.com/de/": 1, "plain.org/fr/": 0}
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(3)
     plain, made = ["walk", "house", "river", "stone", "light"], []

@@ -62,7 +62,8 @@ def lost_keys(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_D
     per_key = held.groupBy("_key").agg(
         (F.count_distinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int"))).alias("_docs"),
         F.max("doc_id").alias("_last")).where(F.col("_docs") >= min_docs).select("_key", "_last")
-    lost = held.join(per_key, "_key").where(~F.col("doc_id").eqNullSafe(F.col("_last")))
+    # a table of its own, so that the join can split the documents of a frequent line
+    lost = held.join(materialise(per_key, "lost-keys"), "_key").where(~F.col("doc_id").eqNullSafe(F.col("_last")))
     return lost.groupBy("doc_id").agg(F.collect_set("_key").alias("_lost"))
 
 
