@@ -12,7 +12,7 @@ Conventions of every operator in this package:
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed: white space of the word contract, [\x20\x09-\x0D].
 SPACE = " \t\n\x0b\x0c\r"
 
+#: Spark's setting that removes an execution's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows of a table that may be broadcast; larger ones are joined by shuffling.
 BROADCAST_ROWS = 100_000
 #: Bytes of text that a task handles at once.
@@ -41,11 +43,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage: later stages read files that all executors see, so
     the loss of an executor costs only its running tasks. The files are removed
-    by ``discard``, or when the driver's JVM ends.
+    by ``discard``, or when the driver's JVM ends. The write's own shuffle files go
+    when it is done, as nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vatlens-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")            # read when the write is planned; it changes no plan and no result
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
@@ -213,6 +221,75 @@ def word_hashes(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, np.searchsorted(starts, cuts, "left").astype(np.int64)
 
 
+# --- a filter of hashes seen twice ---------------------------------------------------------------
+
+#: Bits of one piece of a filter.
+PIECE = 1 << 16
+
+
+def cells_hit_twice(texts: DataFrame, hashes: Callable[[pa.Array], Iterator[np.ndarray]], bits: int) -> np.ndarray:
+    """Packed bits: the cells hit twice or more by the ``hashes`` of a text column; a table of fixed size. Each
+    task sends two bytes for a cell that it hits."""
+    def emit(cells: np.ndarray) -> pa.RecordBatch:
+        """Each cell once, apart those hit twice here, a row a piece."""
+        cells = np.sort(cells)
+        first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+        times, cells = np.diff(np.append(first, len(cells))), cells[first]
+        rows = [[], [], []]
+        for mark in (False, True):
+            some = cells[times > 1] if mark else cells[times == 1]
+            piece = some // PIECE
+            cuts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]])) if len(some) else np.zeros(0, np.int64)
+            for low, high in zip(cuts, np.append(cuts[1:], len(some))):
+                for column, x in zip(rows, (int(piece[low]), mark, (some[low:high] % PIECE).astype("<u2").tobytes())):
+                    column.append(x)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int32(), pa.bool_(), pa.binary()))], names=["piece", "twice", "cells"])
+
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for s in hashes(batch.column(0)):
+                held.append((s % np.uint64(bits)).astype(np.uint32))
+                size += len(s)
+                if size > 4_000_000:
+                    yield emit(np.concatenate(held))
+                    held, size = [], 0
+        if size:
+            yield emit(np.concatenate(held))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One piece after the other, as the rows are sorted by it."""
+        now, once, more = None, None, None
+
+        def piece_of() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(more).tobytes()], pa.binary())], names=["piece", "bits"])
+        for batch in batches:
+            for piece, twice, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if piece != now:
+                    if now is not None and more.any():
+                        yield piece_of()
+                    now, once, more = piece, np.zeros(PIECE, bool), np.zeros(PIECE, bool)
+                at = np.frombuffer(raw, "<u2")
+                more[at if twice else at[once[at]]] = True
+                once[at] = True
+        if now is not None and more.any():
+            yield piece_of()
+
+    met = materialise(texts.mapInArrow(hit, "piece int, twice boolean, cells binary").repartition("piece").sortWithinPartitions("piece")
+                      .mapInArrow(meet, "piece int, bits binary"), "cells")
+    out = np.zeros((bits // PIECE, PIECE // 8), np.uint8)
+    for row in met.toLocalIterator():                                      # ``bits`` bits in all
+        out[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
+    discard(met)
+    return out.reshape(-1)
+
+
+def is_set(bits: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Whether the cell of each hash is set."""
+    cell = s % np.uint64(len(bits) * 8)
+    return (bits[(cell >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & 1 == 1
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's signed long."""
     return h.astype(np.uint64).view(np.int64)

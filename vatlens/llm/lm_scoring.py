@@ -11,6 +11,9 @@ gains over the failure path, and a state its failure weight log10(left). An n-gr
 a text is followed by one token, so it always pays its state's weight; so a text's score is a sum
 over its n-grams of one weight each, and n-grams without a weight add nothing.
 
+* A filter of ``BITS`` bits holds the cells that longer n-grams hit twice. An n-gram whose cell is not set was
+  seen once at most: it is not sent to be counted, and no text looks it up. False hits only cost bytes, as
+  exact counts follow. With many more n-grams than bits the filter fills up, and everything is sent.
 * Counts and weights of all n-grams: tables in the shared folder that grow with the corpus.
 * Tokens of at least ``common`` of all tokens, and n-grams of at least ``arcs`` of them: at most
   1 / common and 1 / arcs of each order, broadcast.
@@ -29,10 +32,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vatlens.llm.common import chunked, fold, materialise, mix, signed, text_bytes, unmix, word_hashes
+from vatlens.llm.common import cells_hit_twice, chunked, discard, fold, is_set, materialise, mix, signed, text_bytes, unmix, word_hashes
 
 ORDER = 3
 COMMON, ARCS = 1e-6, 4e-6
@@ -40,6 +45,8 @@ COMMON, ARCS = 1e-6, 4e-6
 LEAST = 2
 DISCOUNT = 0.75
 BLOCK_TOKENS = 2_000_000
+#: Bits of the filter of n-grams seen twice.
+BITS = 1 << 27
 #: Bytes of text a hash bucket.
 BUCKET_BYTES = 16_000_000
 FACTOR = np.uint64(0x9FB21C651E98DF25)
@@ -102,7 +109,17 @@ def merged(grams: np.ndarray, tails: np.ndarray, times: np.ndarray) -> tuple[np.
     return grams[first], tails[at][first], np.add.reduceat(times[at], first) if len(grams) else times
 
 
-def gather(train: DataFrame, order: int, buckets: int) -> DataFrame:
+def seen_twice(train: DataFrame, order: int, bits: int) -> np.ndarray:
+    """Packed bits: the cells that n-grams of two tokens or more hit twice."""
+    def hashes(column: pa.Array) -> Iterator[np.ndarray]:
+        for _, _, tokens, starts in token_runs(column):
+            for gram, inside in ngrams(tokens, starts, order)[1:]:
+                yield gram[inside]
+
+    return cells_hit_twice(train.select("text"), hashes, bits)
+
+
+def gather(train: DataFrame, order: int, buckets: int, twice: Broadcast) -> DataFrame:
     """(n, gram, times, context, tail): exact counts of all tokens, and of every longer n-gram seen LEAST times."""
     kinds = [("grams", "<u8"), ("tails", "<u8"), ("times", "<i8")]
 
@@ -122,6 +139,8 @@ def gather(train: DataFrame, order: int, buckets: int) -> DataFrame:
             for _, _, tokens, starts in token_runs(batch.column(0)):
                 grams = ngrams(tokens, starts, order)
                 for n, (part, (gram, inside)) in enumerate(zip(parts, grams)):
+                    if n:
+                        inside = inside & is_set(twice.value, gram)
                     part.append((gram[inside], grams[n - 1][0][inside] if n else np.zeros(len(gram), np.uint64)))
                 size += len(tokens)
                 if size >= BLOCK_TOKENS:
@@ -158,7 +177,7 @@ def find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Automaton:
     """The broadcast part. tokens/token_log/base_log: common tokens; arcs: for n = 2 .. order the
     frequent n-grams (sorted) and their weights; rest: for n = 1 .. order, whether there are others;
-    unseen: weight and base of an unseen token."""
+    unseen: weight and base of an unseen token; twice: the filter of n-grams seen twice."""
 
     order: int
     tokens: np.ndarray
@@ -167,10 +186,11 @@ class Automaton:
     arcs: list[tuple[np.ndarray, np.ndarray]]
     rest: list[bool]
     unseen: tuple[float, float]
+    twice: np.ndarray
 
-    def walk(self, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def follow(self, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         """Per token: the broadcast weights of the n-grams that end there; the base; for each n whether
-        the n-gram's weight (and the base) is to be looked up."""
+        the n-gram's weight (and the base) is to be looked up; whether the token is held here; the n-grams."""
         at, common = find(self.tokens, tokens)
         grams = ngrams(tokens, starts, self.order)
         out, base = (np.full(len(tokens), 0.0 if self.rest[0] else x) for x in self.unseen)
@@ -178,14 +198,17 @@ class Automaton:
             out, base = np.where(common, self.token_log[at], out), np.where(common, self.base_log[at], base)
         ask = [~common & self.rest[0]]
         for (keys, weights), rest, (gram, inside) in zip(self.arcs, self.rest[1:], grams[1:]):
-            at, arc = find(keys, gram)
+            passing = np.flatnonzero(inside & is_set(self.twice, gram))      # all others were seen once at most
+            at, arc = find(keys, gram[passing])
             if len(keys):
-                out = out + np.where(arc & inside, weights[at], 0.0)
-            ask.append(~arc & inside & rest)
-        return out, base, np.array(ask)
+                out[passing] += np.where(arc, weights[at], 0.0)
+            wanted = np.zeros(len(tokens), bool)
+            wanted[passing] = ~arc & rest
+            ask.append(wanted)
+        return out, base, np.array(ask), common, [gram for gram, _ in grams]
 
-    def known(self, tokens: np.ndarray) -> np.ndarray:
-        return find(self.tokens, tokens)[1]
+    def walk(self, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.follow(tokens, starts)[:3]
 
 
 @dataclass
@@ -210,10 +233,11 @@ def unsigned(x) -> np.ndarray:
 
 def weigh(counts: DataFrame, total: Totals, order: int) -> DataFrame:
     """(n, gram, times, weight, known, base): an arc's weight (a token's log10 p, with its base and known = 1),
-    and for a gram that is a state its failure weight in a row of its own."""
+    and for a gram that is a state its failure weight in a row of its own. ``counts`` is used up."""
     size = max(total.tokens, 1)
     nothing = [F.lit(0).alias("known"), F.lit(0.0).alias("base")]
     lower = counts.where("n = 1").select("gram", "times", F.log10((F.col("times") - total.discount) / size).alias("p"))
+    lower = materialise(lower, "tokens")
     out = lower.select(F.lit(1).alias("n"), "gram", "times", F.col("p").alias("weight"), F.lit(1).alias("known"),
                        F.log10((F.col("times") + 0.5) / (size + 0.5 * (total.types + 1))).alias("base"))
     for n in range(2, order + 1):
@@ -224,15 +248,19 @@ def weigh(counts: DataFrame, total: Totals, order: int) -> DataFrame:
         gain = (F.col("times") - DISCOUNT) / F.col("seen") / (F.col("left") * F.pow(F.lit(10.0), "low"))
         arcs = own.join(states, "context").join(lower.select(F.col("gram").alias("tail"), F.col("p").alias("low")), "tail") \
             .select("gram", "times", F.log10(1 + gain).alias("weight"), (F.log10(1 + gain) + F.log10("left") + F.col("low")).alias("p"))
-        lower = materialise(arcs, "arcs")
+        lower = materialise(arcs if n < order else arcs.drop("p"), "arcs")
         out = out.union(lower.select(F.lit(n), "gram", "times", "weight", *nothing)) \
             .union(states.select(F.lit(n - 1), "context", "seen", F.log10("left"), *nothing))
+    discard(counts)
     return out
 
 
-def train_automaton(train: DataFrame, order: int = ORDER, common: float = COMMON, arcs: float = ARCS) -> tuple[Totals, DataFrame, Automaton]:
+def train_automaton(train: DataFrame, order: int = ORDER, common: float = COMMON, arcs: float = ARCS, bits: int = BITS) -> tuple[Totals, DataFrame, Automaton]:
     """Totals, the weights of the n-grams that are not broadcast (see ``weigh``), and the broadcast part."""
-    counts = materialise(gather(train, order, bucket_count(train)), "counts")
+    passing = seen_twice(train, order, bits)
+    shared = train.sparkSession.sparkContext.broadcast(passing)
+    counts = materialise(gather(train, order, bucket_count(train), shared), "counts")
+    shared.destroy()
     size, types, once, twice = counts.where("n = 1").select(F.coalesce(F.sum("times"), F.lit(0)), F.count(F.lit(1)),
                                                             F.count_if(F.col("times") == 1), F.count_if(F.col("times") == 2)).first()
     total = Totals(size, types, min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5)
@@ -246,17 +274,34 @@ def train_automaton(train: DataFrame, order: int = ORDER, common: float = COMMON
         at = np.argsort(gram)
         held.append((gram[at], x["weight"].to_numpy(float)[at], x["base"].to_numpy(float)[at]))
     model = Automaton(order, *held[0], [x[:2] for x in held[1:]], [common * size > 1] + [arcs * size > LEAST] * (order - 1),
-                      (total.unseen(), float(total.base(0))))
+                      (total.unseen(), float(total.base(0))), passing)
     return total, weights.where(~frequent), model
 
 
-def looked_up(docs: DataFrame, weights: DataFrame, model, order: int, buckets: int, unseen: tuple[float, float]) -> DataFrame:
-    """(_row, _rare_asked, _rare_known, _rare_base, _rare_score): sums over the n-grams of each row of ``docs``
-    (_row, text) that are not broadcast."""
+#: Sums of a text, and the parts of a packed question.
+SUMS = [("n_tokens", "long"), ("_known", "long"), ("_base", "double"), ("_score", "double")]
+ASKED = [("bucket", "int"), ("token", "boolean"), ("rows", "binary"), ("lens", "binary"), ("grams", "binary")]
+
+
+def score(docs: DataFrame, total: Totals, weights: DataFrame, model: Automaton) -> DataFrame:
+    """``docs`` without text, plus n_tokens, n_known, base_score, score.
+
+    One pass over the texts gives a row for each text, with the sums of its broadcast weights, and its questions for
+    the other n-grams, packed by hash bucket. Both go through one shuffle, in which each bucket's questions meet its
+    weights, and are summed by row; so rows are numbered and read once."""
+    others = [c for c in docs.columns if c != "text"]
+    held = [f"_c{i}" for i in range(len(others))]
+    flat = docs.select(*others, "text").toDF(*held, "text").withColumn("_row", F.monotonically_increasing_id())
     kinds = [("rows", "<i8"), ("lens", "<i4"), ("grams", "<u8")]
+    shared, buckets, unseen = docs.sparkSession.sparkContext.broadcast(model), bucket_count(docs), model.unseen
+    result = [f"{f.name} {f.dataType.simpleString()}" for f in flat.select(*held).schema] + ["_row long"] + [f"{n} {k}" for n, k in SUMS]
+    names = [*held, "_row", *(n for n, _ in SUMS)]
+
+    def nothing(like: pa.Schema, n: int, columns: list[str]) -> list[pa.Array]:
+        return [pa.nulls(n, like.field(c).type) for c in columns]
 
-    def block(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        rows, grams, one = (np.concatenate([x[k] for x in held]) for k in range(3))
+    def block(like: pa.Schema, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        rows, grams, one = (np.concatenate([x[k] for x in parts]) for k in range(3))
         for token in (True, False):
             r, g = rows[one == token], grams[one == token]
             bucket = bucket_of(g, buckets)
@@ -268,32 +313,39 @@ def looked_up(docs: DataFrame, weights: DataFrame, model, order: int, buckets: i
                 first, lens = np.unique(r[cuts[b]:cuts[b + 1]], return_counts=True)
                 for column, x, (_, kind) in zip(out, (first, lens, g[cuts[b]:cuts[b + 1]]), kinds):
                     column.append(x.astype(kind).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), token)), *(pa.array(x, pa.binary()) for x in out)],
-                                             names=["bucket", "token", *(k for k, _ in kinds)])
+            no = [*nothing(like, len(some), [*held, "_row"]), *(pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*no, pa.array(some.astype(np.int32)), pa.array(np.full(len(some), token)), *(pa.array(x, pa.binary()) for x in out)],
+                                             names=[*names, *(n for n, _ in ASKED)])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        parts, size, like = [], 0, None
         for batch in batches:
-            ids = np.asarray(batch.column("_row"))
+            ids, like = np.asarray(batch.column("_row")), batch.schema
             for a, b, tokens, starts in token_runs(batch.column("text")):
-                wanted = model.value.walk(tokens, starts)[2]
+                logs, base, wanted, common, grams = shared.value.follow(tokens, starts)
+                sums = [np.diff(starts), *(np.add.reduceat(x, starts[:-1]) for x in (common.astype(np.int64), base, logs))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(a, b - a) for c in [*held, "_row"]] + [pa.array(x) for x in sums]
+                    + [pa.array((ids[a:b] % buckets).astype(np.int32)), *(pa.nulls(b - a, t) for t in (pa.bool_(), *[pa.binary()] * 3))],
+                    names=[*names, *(n for n, _ in ASKED)])
                 row = np.repeat(ids[a:b], np.diff(starts))
-                for n, (gram, _) in enumerate(ngrams(tokens, starts, order)):
-                    held.append((row[wanted[n]], gram[wanted[n]], np.full(int(wanted[n].sum()), n == 0)))
+                for n, gram in enumerate(grams):
+                    parts.append((row[wanted[n]], gram[wanted[n]], np.full(int(wanted[n].sum()), n == 0)))
                 size += len(tokens)
                 if size >= BLOCK_TOKENS:
-                    yield from block(held)
-                    held, size = [], 0
-        if held:
-            yield from block(held)
+                    yield from block(like, parts)
+                    parts, size = [], 0
+        if parts:
+            yield from block(like, parts)
 
     def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
         keys, of = np.unique(unsigned(table.column("gram").to_numpy()), return_inverse=True)
         value = {k: np.bincount(of, table.column(k).to_numpy().astype(float), minlength=len(keys)) for k in ("weight", "known", "base")}
-        token = np.asarray(asked.column("token"))
-        parts = []
+        texts = asked.filter(pc.is_null(asked.column("grams"))).select(names)
+        parts = [texts]
         for one in (True, False):
-            rows, lens, grams = (np.frombuffer(b"".join(asked.filter(pa.array(token == one)).column(k).to_pylist()), kind) for k, kind in kinds)
+            part = asked.filter(pc.equal(asked.column("token"), one))
+            rows, lens, grams = (np.frombuffer(b"".join(part.column(k).to_pylist()), kind) for k, kind in kinds)
             if not len(grams):
                 continue
             at, hit = find(keys, grams)
@@ -302,50 +354,18 @@ def looked_up(docs: DataFrame, weights: DataFrame, model, order: int, buckets: i
                 seen = got["known"] > 0
                 got["weight"], got["base"] = np.where(seen, got["weight"], unseen[0]), np.where(seen, got["base"], unseen[1])
             begin = np.cumsum(lens) - lens
-            parts.append((rows, lens, *(np.add.reduceat(got[k], begin) for k in ("known", "base", "weight"))))
-        columns = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in range(5)]
-        return pa.table([pa.array(x.astype(kind)) for x, kind in zip(columns, (np.int64, np.int64, np.int64, float, float))],
-                        names=["_row", "_rare_asked", "_rare_known", "_rare_base", "_rare_score"])
+            known, base, weight = (np.add.reduceat(got[k], begin) for k in ("known", "base", "weight"))
+            sums = [rows, np.zeros(len(rows), np.int64), known.astype(np.int64), base, weight]
+            parts.append(pa.table(nothing(texts.schema, len(rows), held) + [pa.array(x) for x in sums], names=names).cast(texts.schema))
+        return pa.concat_tables(parts)
 
-    schema = "_row long, _rare_asked long, _rare_known long, _rare_base double, _rare_score double"
-    asked = docs.select("_row", "text").mapInArrow(ask, "bucket int, token boolean, rows binary, lens binary, grams binary")
+    asked = flat.mapInArrow(ask, ", ".join(result + [f"{n} {k}" for n, k in ASKED]))
     # the bucket of the signed hash: its upper half as an unsigned number
     bucket = F.pmod(F.shiftrightunsigned("gram", 32), F.lit(buckets)).cast("int").alias("bucket")
-    return asked.groupBy("bucket").cogroup(weights.select(bucket, "gram", "weight", "known", "base").groupBy("bucket")).applyInArrow(answer, schema) \
-        .groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("_rare_asked", "_rare_known", "_rare_base", "_rare_score")))
-
-
-def score(docs: DataFrame, total: Totals, weights: DataFrame, model: Automaton) -> DataFrame:
-    """``docs`` without text, plus n_tokens, n_known, base_score, score."""
-    others = [c for c in docs.columns if c != "text"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.withColumn("_row", F.monotonically_increasing_id())
-    added = [("n_tokens", "long"), ("_known", "long"), ("_base", "double"), ("_score", "double"), ("_asked", "long")]
-    kept = [*others, "_row"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema] + [f"{n} {k}" for n, k in added])
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, tokens, starts in token_runs(batch.column("text")):
-                logs, base, ask = shared.value.walk(tokens, starts)
-                known = shared.value.known(tokens)
-                values = [np.diff(starts), *(np.add.reduceat(x, starts[:-1]) for x in (known.astype(np.int64), base, logs, ask.sum(0)))]
-                yield pa.RecordBatch.from_arrays([batch.column(c).slice(a, b - a) for c in kept] + [pa.array(v) for v in values], names=kept + [x[0] for x in added])
-
-    walked = docs.select(*kept, "text").mapInArrow(walk, schema)
-    if any(model.rest):
-        walked = materialise(walked, "walked")
-        rare = looked_up(docs, weights, shared, model.order, bucket_count(docs), model.unseen)
-        walked = walked.join(rare, "_row", "left")
-        same = F.assert_true(F.col("_asked") == F.coalesce("_rare_asked", F.lit(0)), F.lit("the rows came in another order when read again"))
-        walked = walked.where(same.isNull())
-    else:
-        walked = walked.select("*", F.lit(0).alias("_rare_known"), F.lit(0.0).alias("_rare_base"), F.lit(0.0).alias("_rare_score"))
-    return walked.select(
-        *others, "n_tokens", (F.col("_known") + F.coalesce("_rare_known", F.lit(0))).alias("n_known"),
-        F.lit(total.tokens).cast("long").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_rare_base", F.lit(0.0))).alias("base_score"),
-        (F.col("_score") + F.coalesce("_rare_score", F.lit(0.0))).alias("score"))
+    summed = asked.groupBy("bucket").cogroup(weights.select(bucket, "gram", "weight", "known", "base").groupBy("bucket")).applyInArrow(answer, ", ".join(result)) \
+        .groupBy("_row").agg(*(F.any_value(c, True).alias(c) for c in held), *(F.sum(c).alias(c) for c, _ in SUMS))
+    return summed.select(*held, "n_tokens", "_known", F.lit(total.tokens).cast("long"), "_base", "_score") \
+        .toDF(*others, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def held_out_scores(docs: DataFrame) -> DataFrame:

@@ -40,13 +40,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vatlens.llm.common import chunked, discard, drop_rows, materialise, mix, row_key, signed, small, text_bytes, word_hashes
+from vatlens.llm.common import cells_hit_twice, chunked, discard, drop_rows, is_set, materialise, mix, row_key, signed, small, text_bytes, word_hashes
 
 SHINGLE, PERCENT = 3, 90
 CELLS = 1 << 19
 SIGNATURE = 256
-#: Bits of the filter of shared shingles, and of one piece of it.
-BITS, PIECE = 1 << 27, 1 << 16
+#: Bits of the filter of shared shingles.
+BITS = 1 << 27
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -106,67 +106,8 @@ def cell_counts(docs: DataFrame, shingle: int, cells: int = CELLS) -> np.ndarray
 
 
 def shared_cells(docs: DataFrame, shingle: int, bits: int | None = None) -> np.ndarray:
-    """Packed bits: the cells hit by the shingles of two documents or more; a table of fixed size. Each task sends
-    two bytes for a cell that it hits."""
-    bits = bits or BITS
-
-    def emit(cells: np.ndarray) -> pa.RecordBatch:
-        """Each cell once, apart those hit twice here, a row a piece."""
-        cells = np.sort(cells)
-        first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-        times, cells = np.diff(np.append(first, len(cells))), cells[first]
-        rows = [[], [], []]
-        for mark in (False, True):
-            some = cells[times > 1] if mark else cells[times == 1]
-            piece = some // PIECE
-            cuts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]])) if len(some) else np.zeros(0, np.int64)
-            for low, high in zip(cuts, np.append(cuts[1:], len(some))):
-                for column, x in zip(rows, (int(piece[low]), mark, (some[low:high] % PIECE).astype("<u2").tobytes())):
-                    column.append(x)
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int32(), pa.bool_(), pa.binary()))], names=["piece", "twice", "cells"])
-
-    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for _, s in shingle_sets(batch.column(0), shingle):
-                held.append((s % np.uint64(bits)).astype(np.uint32))
-                size += len(s)
-                if size > 4_000_000:
-                    yield emit(np.concatenate(held))
-                    held, size = [], 0
-        if size:
-            yield emit(np.concatenate(held))
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One piece after the other, as the rows are sorted by it."""
-        now, once, more = None, None, None
-
-        def piece_of() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(more).tobytes()], pa.binary())], names=["piece", "bits"])
-        for batch in batches:
-            for piece, twice, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                if piece != now:
-                    if now is not None and more.any():
-                        yield piece_of()
-                    now, once, more = piece, np.zeros(PIECE, bool), np.zeros(PIECE, bool)
-                at = np.frombuffer(raw, "<u2")
-                more[at if twice else at[once[at]]] = True
-                once[at] = True
-        if now is not None and more.any():
-            yield piece_of()
-
-    got = docs.select("text").mapInArrow(hit, "piece int, twice boolean, cells binary").repartition("piece").sortWithinPartitions("piece") \
-        .mapInArrow(meet, "piece int, bits binary").toLocalIterator()      # ``bits`` bits in all
-    out = np.zeros((bits // PIECE, PIECE // 8), np.uint8)
-    for row in got:
-        out[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.reshape(-1)
-
-
-def is_set(bits: np.ndarray, s: np.ndarray) -> np.ndarray:
-    """Whether the cell of each shingle is set."""
-    cell = s % np.uint64(len(bits) * 8)
-    return (bits[(cell >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & 1 == 1
+    """Packed bits: the cells hit by the shingles of two documents or more."""
+    return cells_hit_twice(docs.select("text"), lambda column: (s for _, s in shingle_sets(column, shingle)), bits or BITS)
 
 
 def postings(classes: DataFrame, shared: Broadcast) -> DataFrame:
