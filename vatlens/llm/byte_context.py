@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vatlens.llm.common import chunked, materialise, text_bytes
+from vatlens.llm.common import chunked, discard, materialise, text_bytes
 
 LETTERS, DIGIT, BLANK, MARK, HIGH = 0, 26, 27, 28, 29
 #: Symbols of the text folding: 26 letters, digit, blank, mark, 126 bytes from 0x80 to 0xFD.
@@ -132,18 +132,22 @@ def count_contexts(learn: DataFrame, fold: str, order: int) -> DataFrame:
         .selectExpr("label", f"gram div {n} as context", f"cast(gram % {n} as int) as symbol", "n")
 
 
-def levels(counts: DataFrame, fold: str, order: int, limit: int, least: int) -> list[dict[str, np.ndarray]]:
-    """Counts by depth 0 .. ``order`` of the contexts that become nodes: seen at least ``least``
-    times, and at each depth the ``limit`` most frequent (ties by code). At most
-    limit x symbols x classes rows of each depth reach the driver."""
+def levels(counts: DataFrame, fold: str, order: int, quota: int, least: int) -> list[dict[str, np.ndarray]]:
+    """Counts by depth 0 .. ``order`` of the contexts that become nodes: seen at least ``least`` times
+    over all classes, and among the ``quota`` most frequent ones (ties by code) of some class. Each class
+    has its own quota, so the contexts of a small class stay however many the others have. At most
+    quota x classes x symbols x classes rows of each depth reach the driver."""
     n, out = FOLDS[fold][1], []
     counts = materialise(counts, "contexts")
     for depth in range(order + 1):
         c = counts.withColumn("context", F.col("context") % (n + 1) ** depth) \
             .groupBy("label", "context", "symbol").agg(F.sum("n").alias("n"))
-        top = c.groupBy("context").agg(F.sum("n").alias("_all")).where(F.col("_all") >= least) \
-            .orderBy(F.desc("_all"), "context").limit(limit)
-        got = c.join(F.broadcast(top.select("context")), "context").toPandas()
+        of = materialise(c.groupBy("label", "context").agg(F.sum("n").alias("_n")), "of")
+        seen = of.groupBy("context").agg(F.sum("_n").alias("_all")).where(F.col("_all") >= least)
+        place = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("_n"), "context"))
+        top = of.join(seen, "context").withColumn("_place", place).where(F.col("_place") <= quota).select("context").distinct()
+        got = c.join(F.broadcast(top), "context").toPandas()
+        discard(of)
         out.append({k: got[k].to_numpy(np.int64) for k in ("label", "context", "symbol", "n")})
     return out
 
@@ -214,5 +218,5 @@ def freeze(fold: str, order: int, classes: int, counts: list[dict[str, np.ndarra
             shorter[codes] = rows + np.arange(len(codes))
             all_bits = np.concatenate([all_bits, tables[-1]])
             rows += len(codes)
-    bits = -np.log2(np.concatenate(tables)).astype(np.float32)
+    bits = np.concatenate([-np.log2(t).astype(np.float32) for t in tables])
     return ContextModel(fold, order, classes, codes, rows, shorter, bits)

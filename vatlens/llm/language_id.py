@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from vatlens.llm.byte_context import ContextModel, count_contexts, escape, freeze, levels
 from vatlens.llm.common import fold
 
+#: Symbols of a context, nodes a depth that each language may name (its most frequent), and least count of a node.
 ORDER, NODES, LEAST = 3, 6000, 16
 
 
