@@ -445,7 +445,9 @@ def _edges(b, decl1=None, period=P1):
 
 
 def _trace(b, period=P1, hops=5):
-    return cr.trace_period(b.declarations, b.observations, b.ledger, b.authorisations, b.alerts, period, hops=hops)
+    """One period, on top of what the periods before it left in the history."""
+    return cr.trace_period(b.declarations, b.observations, b.ledger, b.authorisations, b.alerts, period,
+                           _history_before(b, period), hops=hops)
 
 
 def _scratch(b, name):
@@ -458,20 +460,28 @@ def _ledger_periods(b, years=PERIODS_YEARS):
     return b.ledger.select("period").distinct().join(wanted, "period", "left_semi")
 
 
-_TRACED: dict[tuple, tuple[str, str, str, int]] = {}
+_TRACED: dict[tuple, tuple[str, str, str, int | None]] = {}
 
 
-def _history(b):
-    """Folders of history, carried history and snapshot after tracing every period of the ledger,
-    in order, and the last period; written once per application and state of the inputs."""
+def _history(b, until=None):
+    """Folders of history, carried history and snapshot after tracing the periods of the ledger in order, up to
+    ``until`` (all without it), and the last period; written once per application and state of the inputs."""
     key = b.key()
-    if key not in _TRACED:
-        months = [r["period"] for r in _ledger_periods(b, HISTORY_YEARS).orderBy("period").collect()]
+    if (key, until) not in _TRACED:
+        months = [r["period"] for r in _ledger_periods(b, HISTORY_YEARS).orderBy("period").collect()
+                  if until is None or r["period"] <= until]
         paths = _scratch(b, "history"), _scratch(b, "carried"), _scratch(b, "snapshot")
         hist_ops.run_periods(b.spark, b.declarations, b.observations, b.ledger, b.authorisations, b.alerts,
                              months, *paths[:2], snapshot_path=paths[2])
-        _TRACED[key] = (*paths, months[-1])
-    return _TRACED[key]
+        _TRACED[key, until] = (*paths, months[-1] if months else None)
+    return _TRACED[key, until]
+
+
+def _history_before(b, period=P1):
+    """The history that serves ``period``: the one of all periods if it is there (a period depends on earlier ones
+    only), else one that ends before it. None when the ledger begins with ``period``."""
+    until = None if (b.key(), None) in _TRACED else cr.prior_period_int(period)
+    return hist_ops.read_history(b.spark, _history(b, until)[0])
 
 
 @query("periods")
@@ -513,9 +523,8 @@ def _q_decl_adjust_fm01(b):
 
 @query("carry_in")
 def _q_carry_in(b):
-    d1 = _decl1(b)
-    return cr.carry_in(d1, cr.decl_prior(b.declarations, cr.prior_period_int(P1)), P1,
-                       cr.prior_period_int(P1), None)
+    prior = cr.prior_period_int(P1)
+    return cr.carry_in(_decl1(b), cr.decl_prior(b.declarations, prior), P1, prior, _history_before(b))
 
 
 @query("ledger_docs")

@@ -386,10 +386,19 @@ from vatlens.sql import credit_sql as cs  # noqa: E402
 P1 = 200006
 #: The periods of the ledger, in order.
 PERIODS = range(200001, 200013)
-A = cs.base() + cs.period_ctes(P1, "a_")
-ALL = cs.base()
-for _p in PERIODS:
-    ALL += cs.period_ctes(_p, f"m{_p}_", None if _p == PERIODS[0] else f"m{_p - 1}_totals")
+
+
+def _chain(periods) -> list[tuple[str, str]]:
+    """Relations m<period>_<name> of each period, on top of the one before it."""
+    out = cs.base()
+    for p in periods:
+        out += cs.period_ctes(p, f"m{p}_", None if p == PERIODS[0] else f"m{p - 1}_totals")
+    return out
+
+
+ALL = _chain(PERIODS)
+#: One period on top of the periods before it.
+A = _chain(range(PERIODS[0], P1)) + cs.period_ctes(P1, "a_", f"m{cs.prior(P1)}_totals")
 CIN = cs.CREDIT_INPUTS
 
 
