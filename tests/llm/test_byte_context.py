@@ -106,5 +106,20 @@ def test_contexts_of_a_rare_class_survive_many_of_a_large_one(spark):
     assert bits[0, 1] < bits[0, 0]
 
 
+def test_url_contexts_beyond_the_quota_count_in_full(spark):
+    """Scores do not depend on how many contexts fit into the table of every task; copies of a text are scored alike."""
+    learn = [(0, f"{t.replace(' ', '.')}/fr") for t in made(8, "abcdef", 40, 4)] + [(1, f"{t.replace(' ', '-')}/win") for t in made(9, "abcxyz", 20, 4)]
+    urls = spark.createDataFrame(learn, "label int, text string")
+    want = plain_lengths("url", url_filter.ORDER, url_filter.LEAST, learn, texts := [*(t for _, t in learn[::5]), "abab.cdef/fr", "", "é", learn[0][1]], plain_interpolation)
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    model = url_filter.learn(urls, nodes=15)
+    assert len(model.codes) <= 30 and model.rest.count() > 60
+    whole = url_filter.learn(urls)
+    assert whole.rest is None and len(whole.codes) == len(model.codes) + model.rest.count()
+    for m in (model, whole):
+        got = {r["i"]: r["_score"] for r in url_filter.scored(rows, m).collect()}
+        assert [got[i] for i in range(len(texts))] == pytest.approx([(b[0] - b[1]) / max(1, len(t)) for t, b in zip(texts, want)], rel=1e-4, abs=1e-5)
+
+
 def test_no_class_and_empty_table(spark):
     assert language_id.learn(spark.createDataFrame([], "text string, lang string")) == ([], None)

@@ -12,7 +12,7 @@ two table reads a byte: the deepest node of the last symbols, and its code lengt
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -132,24 +132,49 @@ def count_contexts(learn: DataFrame, fold: str, order: int) -> DataFrame:
         .selectExpr("label", f"gram div {n} as context", f"cast(gram % {n} as int) as symbol", "n")
 
 
+def level(counts: DataFrame, fold: str, depth: int, quota: int | None, least: int, beyond: bool = False) -> tuple[dict[str, np.ndarray], DataFrame | None]:
+    """Counts of the contexts of ``depth`` that become nodes: seen at least ``least`` times over all classes, and
+    among the ``quota`` most frequent ones (ties by code) of some class, all of them without a quota. With
+    ``beyond``, also a table (context, label, symbol, n) of those beyond the quota; None if there are none."""
+    n = FOLDS[fold][1]
+    c = counts.withColumn("context", F.col("context") % (n + 1) ** depth) \
+        .groupBy("label", "context", "symbol").agg(F.sum("n").alias("n"))
+    of = materialise(c.groupBy("label", "context").agg(F.sum("n").alias("_n")), "of")
+    seen = of.groupBy("context").agg(F.sum("_n").alias("_all")).where(F.col("_all") >= least)
+    over = beyond and seen.limit(quota + 1).count() > quota
+    if quota is None or (beyond and not over):
+        top = seen.select("context")
+    else:
+        place = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("_n"), "context"))
+        top = of.join(seen, "context").withColumn("_place", place).where(F.col("_place") <= quota).select("context").distinct()
+    got = c.join(F.broadcast(top), "context").toPandas()
+    rest = None
+    if over:
+        rest = materialise(c.join(seen.select("context"), "context", "left_semi").join(F.broadcast(top), "context", "left_anti")
+                           .select("context", "label", "symbol", "n"), "rest")
+        if rest.isEmpty():
+            discard(rest)
+            rest = None
+    discard(of)
+    return {k: got[k].to_numpy(np.int64) for k in ("label", "context", "symbol", "n")}, rest
+
+
 def levels(counts: DataFrame, fold: str, order: int, quota: int, least: int) -> list[dict[str, np.ndarray]]:
-    """Counts by depth 0 .. ``order`` of the contexts that become nodes: seen at least ``least`` times
-    over all classes, and among the ``quota`` most frequent ones (ties by code) of some class. Each class
+    """Counts by depth 0 .. ``order`` of the contexts that become nodes (see ``level``). Each class
     has its own quota, so the contexts of a small class stay however many the others have. At most
     quota x classes x symbols x classes rows of each depth reach the driver."""
-    n, out = FOLDS[fold][1], []
     counts = materialise(counts, "contexts")
-    for depth in range(order + 1):
-        c = counts.withColumn("context", F.col("context") % (n + 1) ** depth) \
-            .groupBy("label", "context", "symbol").agg(F.sum("n").alias("n"))
-        of = materialise(c.groupBy("label", "context").agg(F.sum("n").alias("_n")), "of")
-        seen = of.groupBy("context").agg(F.sum("_n").alias("_all")).where(F.col("_all") >= least)
-        place = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("_n"), "context"))
-        top = of.join(seen, "context").withColumn("_place", place).where(F.col("_place") <= quota).select("context").distinct()
-        got = c.join(F.broadcast(top), "context").toPandas()
-        discard(of)
-        out.append({k: got[k].to_numpy(np.int64) for k in ("label", "context", "symbol", "n")})
-    return out
+    return [level(counts, fold, depth, quota, least)[0] for depth in range(order + 1)]
+
+
+def whole_levels(counts: DataFrame, fold: str, order: int, quota: int, least: int) -> tuple[list[dict[str, np.ndarray]], DataFrame | None]:
+    """``levels`` that leave no context out: the shorter ones, whose number the alphabet bounds, all come to the
+    driver; of the deepest ones the quota, and the rest as a table (see ``gains``)."""
+    counts = materialise(counts, "contexts")
+    shorter = [level(counts, fold, depth, None, least)[0] for depth in range(order)]
+    deepest, rest = level(counts, fold, order, quota, least, beyond=True)
+    discard(counts)
+    return [*shorter, deepest], rest
 
 
 def escape(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
@@ -181,6 +206,8 @@ class ContextModel:
     first: int
     shorter: np.ndarray     # node of every code of order - 1 symbols
     bits: np.ndarray
+    parents: np.ndarray | None = None    # distributions of the nodes before ``first``, while ``gains`` needs them
+    rest: DataFrame | None = None        # ``gains`` of the deepest nodes beyond the quota; not for tasks
 
     def lengths(self, column: pa.Array) -> np.ndarray:
         """Code length in bits of every text under every class (rows x classes)."""
@@ -198,7 +225,7 @@ class ContextModel:
 
 
 def freeze(fold: str, order: int, classes: int, counts: list[dict[str, np.ndarray]],
-           rule: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> ContextModel:
+           rule: Callable[[np.ndarray, np.ndarray], np.ndarray], parents: bool = False) -> ContextModel:
     """Turn counts by depth into code lengths, each node mixed with its longest shorter node by ``rule``."""
     n = FOLDS[fold][1]
     root = np.full((1, n, classes), 1.0 / n)
@@ -219,4 +246,45 @@ def freeze(fold: str, order: int, classes: int, counts: list[dict[str, np.ndarra
             all_bits = np.concatenate([all_bits, tables[-1]])
             rows += len(codes)
     bits = np.concatenate([-np.log2(t).astype(np.float32) for t in tables])
-    return ContextModel(fold, order, classes, codes, rows, shorter, bits)
+    return ContextModel(fold, order, classes, codes, rows, shorter, bits, all_bits if parents else None)
+
+
+def gains(rest: DataFrame, model: ContextModel, rule: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """(context, gain) of the deepest nodes that ``model`` does not hold: their code lengths less those of the node
+    that stands in for them there, symbol by symbol, a class after the other. ``model`` has its ``parents``."""
+    shared = rest.sparkSession.sparkContext.broadcast(model)
+
+    def mix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        n = FOLDS[m.fold][1]
+        for batch in batches:
+            for low in range(0, len(batch), 2000):
+                part = batch.slice(low, 2000)
+                seen = part.column(1)
+                symbol, label, count = (x.to_numpy(zero_copy_only=False) for x in seen.flatten().flatten())
+                dense = np.zeros((len(part), n, m.classes))
+                np.add.at(dense, (np.repeat(np.arange(len(part)), seen.value_lengths().to_numpy()), symbol, label), count)
+                up = m.shorter[part.column(0).to_numpy() % (n + 1) ** (m.order - 1)]
+                gain = -np.log2(rule(dense, m.parents[up])).astype(np.float32).astype(np.float64) - m.bits[up]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(gain.reshape(len(part), -1)), pa.list_(pa.float64()))], names=["context", "gain"])
+
+    grouped = rest.groupBy("context").agg(F.collect_list(F.struct("symbol", "label", "n")).alias("seen"))
+    return grouped.mapInArrow(mix, "context long, gain array<double>")
+
+
+def unheld(texts: DataFrame, model: ContextModel) -> DataFrame:
+    """(id, place, context, symbol) of the bytes of ``texts`` (id, text) whose deepest context ``model`` does not
+    hold; places rise within a text."""
+    shared = texts.sparkSession.sparkContext.broadcast(replace(model, bits=None, shorter=None, parents=None, rest=None))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, done = shared.value, 0
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for a, b, cuts, s, code in streams(batch.column(1), m.fold, m.order):
+                at = np.flatnonzero(~np.isin(code, m.codes))
+                of = np.repeat(ids[a:b], np.diff(cuts))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (of[at], done + at, code[at], s[at])], names=["id", "place", "context", "symbol"])
+                done += len(s)
+
+    return texts.select("id", "text").mapInArrow(find, "id long, place long, context long, symbol long")

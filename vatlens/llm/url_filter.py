@@ -19,6 +19,7 @@ there is nothing against it. The rules must not repeat a (host, path).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vatlens.llm.byte_context import ContextModel, count_contexts, freeze, interpolate, levels
-from vatlens.llm.common import LOWER, UPPER
+from vatlens.llm.byte_context import ContextModel, count_contexts, freeze, gains, interpolate, unheld, whole_levels
+from vatlens.llm.common import LOWER, UPPER, discard, materialise
 
 #: The rules of the registered query: (host, path, verdict).
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -35,7 +36,8 @@ RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 REJECTED_TERMS = ["adult", "bet", "bets", "betting", "bonus", "casino", "cheap", "crack", "escort", "free", "gambling",
                   "jackpot", "keygen", "loan", "loans", "lottery", "nude", "pharma", "pills", "poker", "porn", "sex",
                   "slots", "torrent", "viagra", "warez", "webcam", "win", "xxx"]
-#: Symbols of a context, nodes a depth that each class may name (its most frequent), least count of a node, folds.
+#: Symbols of a context, deepest nodes that each class may name for the table of every task (its most frequent; the rest are
+#: joined), least count of a node, folds.
 ORDER, NODES, LEAST, FOLDS = 4, 20_000, 4, 5
 CELLS = 4000
 
@@ -74,13 +76,18 @@ def labelled(sites: DataFrame, terms: list[str] = REJECTED_TERMS) -> DataFrame:
 
 
 def learn(urls: DataFrame, order: int = ORDER, nodes: int = NODES, least: int = LEAST) -> ContextModel:
-    counts = levels(count_contexts(urls, "url", order), "url", order, nodes, least)
-    return freeze("url", order, 2, counts, interpolate)
+    counts, rest = whole_levels(count_contexts(urls, "url", order), "url", order, nodes, least)
+    model = freeze("url", order, 2, counts, interpolate, parents=rest is not None)
+    if rest is None:
+        return model
+    table = materialise(gains(rest, model, interpolate), "gains")
+    discard(rest)
+    return replace(model, parents=None, rest=table)
 
 
 def scored(urls: DataFrame, model: ContextModel) -> DataFrame:
     """``urls`` plus _score, bits a character for rejection."""
-    shared = urls.sparkSession.sparkContext.broadcast(model)
+    shared = urls.sparkSession.sparkContext.broadcast(replace(model, rest=None))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +96,21 @@ def scored(urls: DataFrame, model: ContextModel) -> DataFrame:
             chars = np.array([max(1, len(x.as_py() or "")) for x in column], float)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((bits[:, 0] - bits[:, 1]) / chars)], names=[*batch.schema.names, "_score"])
 
-    return urls.mapInArrow(score, T.StructType([*urls.schema, T.StructField("_score", T.DoubleType())]))
+    out = urls.mapInArrow(score, T.StructType([*urls.schema, T.StructField("_score", T.DoubleType())]))
+    if model.rest is None:
+        return out
+    more = F.coalesce("_more", F.lit(0.0)) / F.greatest(F.char_length("text"), F.lit(1))
+    return out.join(corrections(urls, model), "text", "left").select(*urls.columns, (F.col("_score") + more).alias("_score"))
+
+
+def corrections(urls: DataFrame, model: ContextModel) -> DataFrame:
+    """(text, _more): what the contexts beyond the table of every task add to a text's bits for rejection, each distinct
+    text once. They join the places that read them, and a text's are summed in the order of its bytes."""
+    texts = materialise(urls.where("text <> ''").select("text").distinct().withColumn("id", F.monotonically_increasing_id()), "texts")
+    bits = F.col("gain")[(F.col("symbol") * 2).cast("int")] - F.col("gain")[(F.col("symbol") * 2 + 1).cast("int")]
+    found = unheld(texts, model).join(model.rest, "context").select("id", F.struct("place", bits.alias("bits")).alias("_at"))
+    total = F.aggregate(F.array_sort(F.collect_list("_at")), F.lit(0.0), lambda s, x: s + x["bits"])
+    return found.groupBy("id").agg(total.alias("_more")).join(texts, "id").select("text", "_more")
 
 
 def calibrate(held: DataFrame) -> float:
