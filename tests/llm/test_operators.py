@@ -321,6 +321,18 @@ def test_lm_scores(docs, rows, empty):
     assert lm_scoring.held_out_scores(empty).count() == 0
 
 
+def test_ngrams_are_counted_a_length_at_a_time(spark, monkeypatch):
+    """One shuffle does not hold the n-grams of all lengths, and the counts are those of one that does."""
+    train = spark.createDataFrame([("a b c a b c d",), ("a b c",), ("",), (None,)], "text string")
+    twice = spark.sparkContext.broadcast(lm_scoring.seen_twice(train, 4, lm_scoring.BITS))
+    rows = {k: sorted(map(tuple, lm_scoring.gather(train, b, 3, twice, a).collect())) for k, (a, b) in {"all": (1, 4), "short": (1, 2), "3": (3, 3), "4": (4, 4)}.items()}
+    assert rows["all"] == sorted(rows["short"] + rows["3"] + rows["4"]) and {r[0] for r in rows["3"]} == {3}
+    counted, gather = [], lm_scoring.gather
+    monkeypatch.setattr(lm_scoring, "gather", lambda *a: counted.append((a[4], a[1])) or gather(*a))
+    lm_scoring.train_automaton(train, order=4)
+    assert counted == [(1, 2), (3, 3), (4, 4)]
+
+
 def test_lm_automaton_against_recursion(spark):
     """Array passes equal a token-by-token walk, and a state's distribution sums to one."""
     texts = ["a b a b c", "a b c", "b c a", "a b a b a", "c c c a b"]

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -119,12 +120,13 @@ def seen_twice(train: DataFrame, order: int, bits: int) -> np.ndarray:
     return cells_hit_twice(train.select("text"), hashes, bits)
 
 
-def gather(train: DataFrame, order: int, buckets: int, twice: Broadcast) -> DataFrame:
-    """(n, gram, times, context, tail): exact counts of all tokens, and of every longer n-gram seen LEAST times."""
+def gather(train: DataFrame, order: int, buckets: int, twice: Broadcast, shortest: int = 1) -> DataFrame:
+    """(n, gram, times, context, tail): exact counts of all tokens, and of every longer n-gram seen LEAST times; of
+    the lengths ``shortest`` .. ``order`` only."""
     kinds = [("grams", "<u8"), ("tails", "<u8"), ("times", "<i8")]
 
     def block(parts: list[list]) -> Iterator[pa.RecordBatch]:
-        for n, part in enumerate(parts, 1):
+        for n, part in enumerate(parts, shortest):
             held = merged(*(packed([x[k] for x in part]) for k in (0, 1)), np.ones(sum(len(x[0]) for x in part), np.int64))
             at = np.argsort(bucket_of(held[0], buckets), kind="stable")
             cuts = np.searchsorted(bucket_of(held[0], buckets)[at], np.arange(buckets + 1))
@@ -134,24 +136,24 @@ def gather(train: DataFrame, order: int, buckets: int, twice: Broadcast) -> Data
                                              names=["bucket", "n", *(k for k, _ in kinds)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [[] for _ in range(order)], 0
+        parts, size = [[] for _ in range(shortest, order + 1)], 0
         for batch in batches:
             for _, _, tokens, starts in token_runs(batch.column(0)):
                 grams = ngrams(tokens, starts, order)
-                for n, (part, (gram, inside)) in enumerate(zip(parts, grams)):
+                for n, (part, (gram, inside)) in enumerate(zip(parts, grams[shortest - 1:]), shortest - 1):
                     if n:
                         inside = inside & is_set(twice.value, gram)
                     part.append((gram[inside], grams[n - 1][0][inside] if n else np.zeros(len(gram), np.uint64)))
                 size += len(tokens)
                 if size >= BLOCK_TOKENS:
                     yield from block(parts)
-                    parts, size = [[] for _ in range(order)], 0
+                    parts, size = [[] for _ in range(shortest, order + 1)], 0
         if size:
             yield from block(parts)
 
     def add(rows: pa.Table) -> pa.Table:
         out, order_of = [], np.asarray(rows.column("n"))
-        for n in range(1, order + 1):
+        for n in range(shortest, order + 1):
             of = rows.filter(pa.array(order_of == n))
             grams, tails, times = merged(*(np.frombuffer(b"".join(of.column(k).to_pylist()), kind) for k, kind in kinds))
             keep = times >= (LEAST if n > 1 else 1)
@@ -233,7 +235,7 @@ def unsigned(x) -> np.ndarray:
 
 def weigh(counts: DataFrame, total: Totals, order: int) -> DataFrame:
     """(n, gram, times, weight, known, base): an arc's weight (a token's log10 p, with its base and known = 1),
-    and for a gram that is a state its failure weight in a row of its own. ``counts`` is used up."""
+    and for a gram that is a state its failure weight in a row of its own. ``counts`` is not read any more then."""
     size = max(total.tokens, 1)
     nothing = [F.lit(0).alias("known"), F.lit(0.0).alias("base")]
     lower = counts.where("n = 1").select("gram", "times", F.log10((F.col("times") - total.discount) / size).alias("p"))
@@ -251,7 +253,6 @@ def weigh(counts: DataFrame, total: Totals, order: int) -> DataFrame:
         lower = materialise(arcs if n < order else arcs.drop("p"), "arcs")
         out = out.union(lower.select(F.lit(n), "gram", "times", "weight", *nothing)) \
             .union(states.select(F.lit(n - 1), "context", "seen", F.log10("left"), *nothing))
-    discard(counts)
     return out
 
 
@@ -259,12 +260,16 @@ def train_automaton(train: DataFrame, order: int = ORDER, common: float = COMMON
     """Totals, the weights of the n-grams that are not broadcast (see ``weigh``), and the broadcast part."""
     passing = seen_twice(train, order, bits)
     shared = train.sparkSession.sparkContext.broadcast(passing)
-    counts = materialise(gather(train, order, bucket_count(train), shared), "counts")
+    # the shuffle of a count holds most n-grams of the texts: that of the shorter ones is gone when the longest are counted
+    buckets, cuts = bucket_count(train), [0, min(2, order), *range(3, order + 1)]
+    parts = [materialise(gather(train, b, buckets, shared, a + 1), "counts") for a, b in zip(cuts, cuts[1:])]
+    counts = reduce(DataFrame.union, parts)
     shared.destroy()
     size, types, once, twice = counts.where("n = 1").select(F.coalesce(F.sum("times"), F.lit(0)), F.count(F.lit(1)),
                                                             F.count_if(F.col("times") == 1), F.count_if(F.col("times") == 2)).first()
     total = Totals(size, types, min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5)
     weights = weigh(counts, total, order)
+    discard(*parts)
     frequent = F.col("times") >= F.when(F.col("n") == 1, common * size).otherwise(arcs * size)
     got = weights.where(frequent).toPandas()     # at most 2 / common tokens and 2 / arcs rows of each longer order
     held = []
