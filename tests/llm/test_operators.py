@@ -321,6 +321,18 @@ def test_lm_scores(docs, rows, empty):
     assert lm_scoring.held_out_scores(empty).count() == 0
 
 
+def test_texts_are_scored_in_parts(spark, monkeypatch):
+    """Every row is scored once, in one of the parts, with the score it has without parts; copies and empty texts too."""
+    docs = spark.createDataFrame([(i % 9, t) for i, t in enumerate(["a b c a b", "b c d", "", None, "a b c a b", "x y"] * 4)], "doc_id long, text string")
+    total, weights, model = lm_scoring.train_automaton(docs.select("text"), common=0.3, arcs=0.3)
+    seen, one = [], lm_scoring.score_part
+    monkeypatch.setattr(lm_scoring, "score_part", lambda part, *a: seen.append(part.count()) or one(part, *a))
+    rows = sorted((r.doc_id, r.n_tokens, round(r.score, 9)) for r in lm_scoring.score(docs, total, weights, model).collect())
+    assert sum(seen) == len(rows) == 24 and len(seen) == lm_scoring.PARTS and min(seen) > 0
+    whole = one(docs, total, weights, model.unseen, spark.sparkContext.broadcast(model), 1)
+    assert rows == sorted((r.doc_id, r.n_tokens, round(r.score, 9)) for r in whole.collect())
+
+
 def test_ngrams_are_counted_a_length_at_a_time(spark, monkeypatch):
     """One shuffle does not hold the n-grams of all lengths, and the counts are those of one that does."""
     train = spark.createDataFrame([("a b c a b c d",), ("a b c",), ("",), (None,)], "text string")

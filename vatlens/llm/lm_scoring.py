@@ -50,6 +50,8 @@ BLOCK_TOKENS = 2_000_000
 BITS = 1 << 27
 #: Bytes of text a hash bucket.
 BUCKET_BYTES = 16_000_000
+#: Parts of the texts that are scored one after the other.
+PARTS = 2
 FACTOR = np.uint64(0x9FB21C651E98DF25)
 #: The end token's hash.
 END = np.uint64(0x5851F42D4C957F2D)
@@ -291,6 +293,15 @@ ASKED = [("bucket", "int"), ("token", "boolean"), ("rows", "binary"), ("lens", "
 def score(docs: DataFrame, total: Totals, weights: DataFrame, model: Automaton) -> DataFrame:
     """``docs`` without text, plus n_tokens, n_known, base_score, score.
 
+    The texts are scored in ``PARTS`` by their hash, one after the other: the shuffle of a part is gone when the next begins."""
+    shared, buckets = docs.sparkSession.sparkContext.broadcast(model), bucket_count(docs)
+    part = F.pmod(F.xxhash64(*docs.columns), F.lit(PARTS))
+    return reduce(DataFrame.union, [materialise(score_part(docs.where(part == k), total, weights, model.unseen, shared, buckets), "scores") for k in range(PARTS)])
+
+
+def score_part(docs: DataFrame, total: Totals, weights: DataFrame, unseen: tuple[float, float], shared: Broadcast, buckets: int) -> DataFrame:
+    """``score`` of a part of the texts.
+
     One pass over the texts gives a row for each text, with the sums of its broadcast weights, and its questions for
     the other n-grams, packed by hash bucket. Both go through one shuffle, in which each bucket's questions meet its
     weights, and are summed by row; so rows are numbered and read once."""
@@ -298,7 +309,6 @@ def score(docs: DataFrame, total: Totals, weights: DataFrame, model: Automaton)
     held = [f"_c{i}" for i in range(len(others))]
     flat = docs.select(*others, "text").toDF(*held, "text").withColumn("_row", F.monotonically_increasing_id())
     kinds = [("rows", "<i8"), ("lens", "<i4"), ("grams", "<u8")]
-    shared, buckets, unseen = docs.sparkSession.sparkContext.broadcast(model), bucket_count(docs), model.unseen
     result = [f"{f.name} {f.dataType.simpleString()}" for f in flat.select(*held).schema] + ["_row long"] + [f"{n} {k}" for n, k in SUMS]
     names = [*held, "_row", *(n for n, _ in SUMS)]
 
