@@ -333,6 +333,28 @@ def test_texts_are_scored_in_parts(spark, monkeypatch):
     assert rows == sorted((r.doc_id, r.n_tokens, round(r.score, 9)) for r in whole.collect())
 
 
+def test_questions_are_sent_in_bounded_blocks(spark, monkeypatch):
+    """A task does not hold the questions of all its texts, and the blocks change no score."""
+    docs = spark.createDataFrame([(i, f"a b c a b w{i} c a v{i} b") for i in range(64)] + [(64, ""), (65, None)], "doc_id long, text string").coalesce(1)
+    total, weights, model = lm_scoring.train_automaton(docs.select("text"), common=1.0, arcs=1.0)
+
+    def scores():
+        out = lm_scoring.score_part(docs, total, weights, model.unseen, spark.sparkContext.broadcast(model), 3)
+        return sorted((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in out.collect())
+    whole, bucket_of = scores(), lm_scoring.bucket_of
+
+    def bounded(grams, buckets):
+        assert len(grams) <= 2 * (40 + 4 * 11), "a block of some 40 tokens and one batch"
+        return bucket_of(grams, buckets)
+    monkeypatch.setattr(lm_scoring, "bucket_of", bounded)
+    monkeypatch.setattr(lm_scoring, "ASK_TOKENS", 40, raising=False)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        assert scores() == whole and len(whole) == 66
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_ngrams_are_counted_a_length_at_a_time(spark, monkeypatch):
     """One shuffle does not hold the n-grams of all lengths, and the counts are those of one that does."""
     train = spark.createDataFrame([("a b c a b c d",), ("a b c",), ("",), (None,)], "text string")

@@ -45,11 +45,13 @@ COMMON, ARCS = 1e-6, 4e-6
 #: Times that an n-gram of two tokens or more is seen, to be in the model.
 LEAST = 2
 DISCOUNT = 0.75
-BLOCK_TOKENS = 2_000_000
+#: Tokens whose n-grams a task holds before it sends their counts, and before it sends their questions. They
+#: bound a worker's memory: a token has up to ``order`` of each, some 50 bytes apiece while they are sorted.
+BLOCK_TOKENS, ASK_TOKENS = 1_000_000, 400_000
 #: Bits of the filter of n-grams seen twice.
 BITS = 1 << 27
-#: Bytes of text a hash bucket.
-BUCKET_BYTES = 16_000_000
+#: Bytes of text a hash bucket. A task holds one bucket's counts, or its questions and weights, at a time.
+BUCKET_BYTES = 8_000_000
 #: Parts of the texts that are scored one after the other.
 PARTS = 2
 FACTOR = np.uint64(0x9FB21C651E98DF25)
@@ -315,25 +317,26 @@ def score_part(docs: DataFrame, total: Totals, weights: DataFrame, unseen: tuple
     def nothing(like: pa.Schema, n: int, columns: list[str]) -> list[pa.Array]:
         return [pa.nulls(n, like.field(c).type) for c in columns]
 
-    def block(like: pa.Schema, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        rows, grams, one = (np.concatenate([x[k] for x in parts]) for k in range(3))
-        for token in (True, False):
-            r, g = rows[one == token], grams[one == token]
+    def block(like: pa.Schema, parts: list[list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        """Questions of tokens and of longer n-grams, each in the order of rows, a row a bucket."""
+        for token, part in zip((True, False), parts):
+            r, g = (np.concatenate([x[k] for x in part]) for k in range(2))
             bucket = bucket_of(g, buckets)
-            at = np.lexsort((r, bucket))
+            at = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
             r, g, cuts = r[at], g[at], np.searchsorted(bucket[at], np.arange(buckets + 1))
             some = np.flatnonzero(np.diff(cuts))
             out = [[], [], []]
             for b in some:
-                first, lens = np.unique(r[cuts[b]:cuts[b + 1]], return_counts=True)
-                for column, x, (_, kind) in zip(out, (first, lens, g[cuts[b]:cuts[b + 1]]), kinds):
+                rows = r[cuts[b]:cuts[b + 1]]
+                first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+                for column, x, (_, kind) in zip(out, (rows[first], np.diff(np.append(first, len(rows))), g[cuts[b]:cuts[b + 1]]), kinds):
                     column.append(x.astype(kind).tobytes())
             no = [*nothing(like, len(some), [*held, "_row"]), *(pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*no, pa.array(some.astype(np.int32)), pa.array(np.full(len(some), token)), *(pa.array(x, pa.binary()) for x in out)],
                                              names=[*names, *(n for n, _ in ASKED)])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size, like = [], 0, None
+        parts, size, like = ([], []), 0, None
         for batch in batches:
             ids, like = np.asarray(batch.column("_row")), batch.schema
             for a, b, tokens, starts in token_runs(batch.column("text")):
@@ -344,13 +347,14 @@ def score_part(docs: DataFrame, total: Totals, weights: DataFrame, unseen: tuple
                     + [pa.array((ids[a:b] % buckets).astype(np.int32)), *(pa.nulls(b - a, t) for t in (pa.bool_(), *[pa.binary()] * 3))],
                     names=[*names, *(n for n, _ in ASKED)])
                 row = np.repeat(ids[a:b], np.diff(starts))
-                for n, gram in enumerate(grams):
-                    parts.append((row[wanted[n]], gram[wanted[n]], np.full(int(wanted[n].sum()), n == 0)))
+                longer = wanted[1:].T
+                parts[0].append((row[wanted[0]], tokens[wanted[0]]))
+                parts[1].append((row[np.nonzero(longer)[0]], np.array(grams[1:], np.uint64).reshape(-1, len(tokens)).T[longer]))
                 size += len(tokens)
-                if size >= BLOCK_TOKENS:
+                if size >= ASK_TOKENS:
                     yield from block(like, parts)
-                    parts, size = [], 0
-        if parts:
+                    parts, size = ([], []), 0
+        if size:
             yield from block(like, parts)
 
     def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
